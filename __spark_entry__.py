@@ -78,6 +78,36 @@ def _overhead_pct(spark, sf_dir):
     return decimals_to_double(D.overhead_pct(src, R.all_projects(src)))
 
 
+def _per_request(fn, *args):
+    """A chapter-level operator over every project's request."""
+    def run(spark, sf_dir):
+        src = _src(spark, sf_dir)
+        return decimals_to_double(fn(src, R.all_projects(src), P, *args))
+    return run
+
+
+def _snapshot(src):
+    return src["resumen_seguimiento"]
+
+
+def _expected(spark, sf_dir):
+    return G.expected_projects(_src(spark, sf_dir))
+
+
+def _existing(spark, sf_dir):
+    return G.existing_projects(_snapshot(_src(spark, sf_dir)), P)
+
+
+def _missing(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return G.missing_projects(src, _snapshot(src), P)
+
+
+def _backfill(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return S.resumen(src, G.backfill_requests(src, _snapshot(src), P), P)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     prev = P.previous()
     return {
@@ -98,8 +128,29 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pending_docs": _ds(D.pending_docs, None, None, P.month_start, P.month_end),
         "tracking_docs": _ds(D.tracking_docs, None, None, P.month_start, P.month_end),
         "resource_entries": _ds(D.resource_entries, None, None, P.month_start, P.month_end),
+        # §2.5 chapter aggregates (per project of every request)
+        "cost_to_date_by_chapter": _per_request(C.cost_by_chapter, False),
+        "cost_month_by_chapter": _per_request(C.cost_by_chapter, True),
+        "cert_to_date_by_chapter": _per_request(C.cert_by_chapter, False),
+        "cert_month_by_chapter": _per_request(C.cert_by_chapter, True),
+        "pending_cert_by_chapter": _per_request(C.production_by_chapter, "cpend"),
+        "remaining_prod_by_chapter": _per_request(C.production_by_chapter, "resto"),
+        "pending_cost_by_chapter": _per_request(C.pending_cost_by_chapter),
+        "unposted_cost_by_chapter": _per_request(C.unposted_cost_by_chapter),
+        "contract_by_chapter": _per_request(C.task_by_chapter, "contr"),
+        "planned_by_chapter": _per_request(C.task_by_chapter, "plan"),
+        # spine, transform rows, totals
+        "chapter_spine": _per_request(S.chapter_spine),
+        "direct_rows": _per_request(S.transform_rows, "direct"),
+        "overhead_rows": _per_request(S.transform_rows, "overhead"),
+        "direct_totals": _per_request(S.direct_totals),
         # the summary
         "resumen": _resumen,
+        # gap fill
+        "expected_projects": _expected,
+        "existing_projects": _existing,
+        "missing_projects": _missing,
+        "backfill_missing": _backfill,
     }
 
 
@@ -121,5 +172,23 @@ def oracle_sql() -> dict[str, str]:
         "pending_docs": O.pending_docs(),
         "tracking_docs": O.tracking_docs(),
         "resource_entries": O.resource_entries(),
+        "cost_to_date_by_chapter": O.cost_to_date_by_chapter(),
+        "cost_month_by_chapter": O.cost_month_by_chapter(),
+        "cert_to_date_by_chapter": O.cert_to_date_by_chapter(),
+        "cert_month_by_chapter": O.cert_month_by_chapter(),
+        "pending_cert_by_chapter": O.pending_cert_by_chapter(),
+        "remaining_prod_by_chapter": O.remaining_prod_by_chapter(),
+        "pending_cost_by_chapter": O.pending_cost_by_chapter(),
+        "unposted_cost_by_chapter": O.unposted_cost_by_chapter(),
+        "contract_by_chapter": O.contract_by_chapter(),
+        "planned_by_chapter": O.planned_by_chapter(),
+        "chapter_spine": O.chapter_spine(),
+        "direct_rows": O.direct_rows(),
+        "overhead_rows": O.overhead_rows(),
+        "direct_totals": O.direct_totals(),
         "resumen": O.resumen(),
+        "expected_projects": O.expected_projects(),
+        "existing_projects": O.existing_projects(),
+        "missing_projects": O.missing_projects(),
+        "backfill_missing": O.backfill_missing(),
     }

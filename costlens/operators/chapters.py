@@ -146,8 +146,7 @@ def planning_part(src: Sources, req: DataFrame, period: Period) -> DataFrame:
     ts = as_ts("Planning_Date")
     amt = F.col("Line_Amount")
     in_m = ts >= lit_ts(period.month_start)
-    p = pl.where((F.col("Gen_Prod_Posting_Group") == F.lit(CERT)) & (ts <= lit_ts(period.cut))
-                 & F.col("Job_Task_No").isNotNull())
+    p = pl.where((F.col("Gen_Prod_Posting_Group") == F.lit(CERT)) & (ts <= lit_ts(period.cut)))
     cid = trim_ws(F.coalesce(F.col("CompanyId").cast("string"), F.lit("None")))
     agg = p.groupBy(cid.alias("_cid"), F.col("Company_Name").alias("_cname"),
                     F.col("Job_No").alias("_pno"), F.col("Job_Task_No").alias("raw_cap")).agg(
@@ -198,3 +197,66 @@ def chapter_aggregate(part: DataFrame, metric: str, alias: str, key: str = "cap"
     s = F.sum(metric)
     val = s if null_if_all_null else F.coalesce(s, F.lit(0))
     return part.groupBy("company_name", "project_no", F.col(key).alias("job_task_no")).agg(val.alias(alias))
+
+
+def _norm_req(req: DataFrame) -> DataFrame:
+    cols = set(req.columns)
+    if "company_key" not in cols:
+        req = req.withColumn("company_key", normalize_text("company_name"))
+    if "project_key" not in cols:
+        req = req.withColumn("project_key", normalize_text("project_no"))
+    return req
+
+
+def cost_by_chapter(src: Sources, req: DataFrame, period: Period, month: bool) -> DataFrame:
+    """Σ posted cost excluding certifications (NULL group kept), to date or in
+    the month, by (company, project, raw chapter)."""
+    fle = src["job_ledger_entries_bc"]
+    d = as_date("Posting_Date")
+    cond = not_certification("Gen_Prod_Posting_Group") & (d <= lit_date(period.cut))
+    if month:
+        cond = cond & (d >= lit_date(period.month_start))
+    agg = fle.where(cond).groupBy("Job_No", "CompanyId", "Job_Task_No") \
+        .agg(F.sum("Total_Cost_LCY").alias("_v"))
+    jc = _jobs_companies(src)
+    j = agg.join(jc, (agg["Job_No"] == jc["No"]) & (agg["CompanyId"] == jc["_jcid"]), "inner") \
+        .select(jc["company_name"], jc["No"].alias("project_no"), agg["Job_Task_No"], "_v")
+    j = _to_requests(j, req, ["company_name", "project_no"], ["company_name", "project_no"])
+    name = "coste_bc_mes_actual" if month else "coste_bc_a_origen"
+    return j.groupBy("company_name", "project_no", F.col("Job_Task_No").alias("job_task_no")) \
+        .agg(F.coalesce(F.sum("_v"), F.lit(0)).alias(name))
+
+
+def cert_by_chapter(src: Sources, req: DataFrame, period: Period, month: bool) -> DataFrame:
+    """Σ certified planning amounts by raw chapter; NULL when every amount is NULL."""
+    p = planning_part(src, req, period)
+    if month:
+        p = p.where(F.col("rows_m") > 0)
+        v = F.sum("sum_m")
+        name = "certificacion_mes_actual"
+    else:
+        v = F.sum("sum_o")
+        name = "certificacion_a_origen"
+    return p.groupBy("company_name", "project_no", F.col("raw_cap").alias("job_task_no")).agg(v.alias(name))
+
+
+def production_by_chapter(src: Sources, req: DataFrame, period: Period, metric: str) -> DataFrame:
+    """Σ pending certification ('cpend') or remaining production ('resto') of the
+    month by raw chapter (NULL chapter is a group)."""
+    name = {"cpend": "certificacion_pendiente", "resto": "resto_produccion"}[metric]
+    return chapter_aggregate(production_part(src, _norm_req(req), period), metric, name, key="raw_cap")
+
+
+def pending_cost_by_chapter(src: Sources, req: DataFrame, period: Period) -> DataFrame:
+    return chapter_aggregate(pending_part(src, _norm_req(req), period), "pend", "coste_pendiente")
+
+
+def unposted_cost_by_chapter(src: Sources, req: DataFrame, period: Period) -> DataFrame:
+    return chapter_aggregate(unposted_part(src, req, period), "qwk", "coste_qwark")
+
+
+def task_by_chapter(src: Sources, req: DataFrame, period: Period, metric: str) -> DataFrame:
+    """Σ contract price ('contr') or planned cost ('plan') by normalised chapter;
+    NULL when every value is NULL."""
+    name = {"contr": "contratos", "plan": "planificado"}[metric]
+    return chapter_aggregate(tasks_part(src, req, period), metric, name, null_if_all_null=True)

@@ -186,3 +186,37 @@ def resumen(src: Sources, requests: DataFrame, period: Period, as_double: bool =
     else:
         out = out.select(*OUT_COLS)
     return out
+
+
+def chapter_spine(src: Sources, requests: DataFrame, period: Period) -> DataFrame:
+    """Distinct normalised chapters of each request (planning lines excluded)."""
+    req = prepare_requests(requests)
+    return chapter_rows(src, req, period).select("company_name", "project_no", F.col("cap").alias("capitulo"))
+
+
+def transform_rows(src: Sources, requests: DataFrame, period: Period, which: str = "all") -> DataFrame:
+    """Rows before the load step (chapter in ``linea``, NULL metrics -> 0):
+    ``which`` = 'direct', 'overhead' or 'all'."""
+    req = prepare_requests(requests)
+    directs = direct_rows(chapter_rows(src, req, period))
+    if which == "direct":
+        rows = directs
+    else:
+        overheads = overhead_rows(src, req, directs)
+        rows = overheads if which == "overhead" else directs.unionByName(overheads)
+    return rows.select(*[F.coalesce(F.col(c), F.lit(0)).cast("double").alias(c) if c in NUM_COLS else F.col(c)
+                         for c in rows.columns])
+
+
+def direct_totals(src: Sources, requests: DataFrame, period: Period) -> DataFrame:
+    """Per request: the three overhead bases (sums of rounded direct values)."""
+    req = prepare_requests(requests)
+    directs = direct_rows(chapter_rows(src, req, period))
+    tot = directs.groupBy(*_REQ_KEYS).agg(
+        F.sum("produccion_a_origen").alias("total_produccion_a_origen"),
+        F.sum("certificacion_mes_actual").alias("total_certificacion_mes_actual"),
+        F.sum("produccion_mes_anterior").alias("total_produccion_mes_anterior"))
+    out = req.select(*_REQ_KEYS).join(tot, _REQ_KEYS, "left")
+    return out.select(*_REQ_KEYS, *[F.coalesce(F.col(c), F.lit(0)).cast("double").alias(c)
+                                    for c in ["total_produccion_a_origen", "total_certificacion_mes_actual",
+                                              "total_produccion_mes_anterior"]])
