@@ -25,7 +25,10 @@ from costlens.operators import datasets as D  # noqa: E402
 from costlens.plans import gapfill as G  # noqa: E402
 from costlens.plans import requests as R  # noqa: E402
 from costlens.plans import resumen as S  # noqa: E402
+from costlens.plans import runs as RUN  # noqa: E402
 from costlens.plans.period import DEFAULT_PERIOD as P  # noqa: E402
+from costlens.session import scratch_path  # noqa: E402
+from costlens.sinks import tables as T  # noqa: E402
 from costlens.sources.fixtures import load_fixture_sources  # noqa: E402
 
 SF_SMOKE = "/root/testdata/sf0.001"
@@ -108,6 +111,56 @@ def _backfill(spark, sf_dir):
     return S.resumen(src, G.backfill_requests(src, _snapshot(src), P), P)
 
 
+def _read_back(spark, path, drop=()):
+    df = T.read_table(spark, path)
+    return df.drop(*T.META_COLS, *drop)
+
+
+def _upsert_resumen(spark, sf_dir):
+    """Upsert the month's summary twice (the second run replaces the first)."""
+    src = _src(spark, sf_dir)
+    target = RUN.Target(scratch_path(spark, "upsert-resumen"))
+    for _ in range(2):
+        rows = RUN._prep(S.resumen(src, R.all_projects(src), P), T.RunStamp.new())
+        T.upsert(spark, rows, target.path(RUN.SUMMARY), S.KEY_COLS, partition_by="period_date")
+    return _read_back(spark, target.path(RUN.SUMMARY)).select(*S.OUT_COLS)
+
+
+def _upsert_facturas(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    target = RUN.Target(scratch_path(spark, "upsert-facturas"))
+    for _ in range(2):
+        rows = RUN._prep(RUN.invoice_rows(src, P), T.RunStamp.new())
+        T.upsert(spark, rows, target.path(RUN.INVOICES), RUN.INVOICE_KEYS)
+    return _read_back(spark, target.path(RUN.INVOICES)).select(*RUN.INVOICE_COLS)
+
+
+def _append_detail(name):
+    def run(spark, sf_dir):
+        src = _src(spark, sf_dir)
+        target = RUN.Target(scratch_path(spark, f"append-{name}"))
+        df = RUN.detail_rows(src, P)[name]
+        cols = df.columns
+        df = RUN._prep(df, T.RunStamp.new()).withColumn("period_date", F.lit(P.cut).cast("date"))
+        T.append(df, target.path(name), partition_by="period_date")
+        return _read_back(spark, target.path(name)).select(*cols)
+    return run
+
+
+def _latest_snapshot(spark, sf_dir):
+    """Run log of two runs (every project, then the backfill of the missing
+    ones, later); the latest-row view keeps one row per key."""
+    src = _src(spark, sf_dir)
+    path = scratch_path(spark, "latest")
+    first = RUN._prep(S.resumen(src, R.all_projects(src), P), T.RunStamp.new())
+    T.append(first, path, partition_by="period_date")
+    reqs = G.backfill_requests(src, _snapshot(src), P)
+    second = RUN._prep(S.resumen(src, reqs, P), T.RunStamp.new())
+    T.append(second, path, partition_by="period_date")
+    latest = T.latest_rows(T.read_table(spark, path), S.KEY_COLS)
+    return latest.drop(*T.META_COLS).select(*S.OUT_COLS)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     prev = P.previous()
     return {
@@ -151,6 +204,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "existing_projects": _existing,
         "missing_projects": _missing,
         "backfill_missing": _backfill,
+        # sinks (written to a fresh folder under the checkpoint dir, read back)
+        "upsert_resumen": _upsert_resumen,
+        "upsert_facturas": _upsert_facturas,
+        "append_unposted_docs": _append_detail(RUN.UNPOSTED_DOCS),
+        "append_pending_docs": _append_detail(RUN.PENDING_DOCS),
+        "append_tracking_docs": _append_detail(RUN.TRACKING_DOCS),
+        "append_resource_entries": _append_detail(RUN.RESOURCES),
+        "latest_snapshot": _latest_snapshot,
     }
 
 
@@ -191,4 +252,11 @@ def oracle_sql() -> dict[str, str]:
         "existing_projects": O.existing_projects(),
         "missing_projects": O.missing_projects(),
         "backfill_missing": O.backfill_missing(),
+        "upsert_resumen": O.resumen(),
+        "upsert_facturas": O.upsert_facturas(),
+        "append_unposted_docs": O.cleaned(O.unposted_docs(), O.TEXT_COLUMNS["unposted_docs"]),
+        "append_pending_docs": O.cleaned(O.pending_docs(), O.TEXT_COLUMNS["pending_docs"]),
+        "append_tracking_docs": O.cleaned(O.tracking_docs(), O.TEXT_COLUMNS["tracking_docs"]),
+        "append_resource_entries": O.cleaned(O.resource_entries(), O.TEXT_COLUMNS["resource_entries"]),
+        "latest_snapshot": O.resumen(),
     }
