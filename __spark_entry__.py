@@ -35,8 +35,16 @@ SF_SMOKE = "/root/testdata/sf0.001"
 ONE_COMPANY = "NATION_2"
 
 
+_SOURCES: dict = {}
+
+
 def _src(spark: SparkSession, sf_dir: str):
-    return load_fixture_sources(spark, sf_dir)
+    """Canonical sources of a TESTDATA folder (lazy DataFrames, built once per
+    session and folder; nothing is cached in memory)."""
+    key = (id(spark), sf_dir)
+    if key not in _SOURCES:
+        _SOURCES[key] = load_fixture_sources(spark, sf_dir)
+    return _SOURCES[key]
 
 
 def _one_project(src) -> str | None:

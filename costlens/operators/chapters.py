@@ -39,9 +39,37 @@ PART_METRICS = [
 
 
 def _jobs_companies(src: Sources) -> DataFrame:
+    """Project -> company name lookup (one row per job), broadcast when a
+    bounded count proves it small; otherwise joins with it stay shuffle joins."""
+    if "_jobs_companies" in src:
+        return src["_jobs_companies"]
     jobs = src["job_list_bc"].select(F.col("No"), F.col("CompanyId").alias("_jcid"))
     comps = small_side(src["companies_bc"].select(F.col("id"), F.col("name").alias("company_name")))
-    return jobs.join(comps, F.col("_jcid") == F.col("id"), "inner").drop("id")
+    return small_side(jobs.join(comps, F.col("_jcid") == F.col("id"), "inner").drop("id"))
+
+
+def _lookup(src: Sources, name: str, build) -> DataFrame:
+    return src[name] if name in src else build()
+
+
+def with_lookups(src: Sources) -> dict:
+    """Size-check the shared lookups once per plan (each check is one bounded
+    count) and hand the same DataFrames to every part."""
+    out = dict(src)
+    out["_jobs_companies"] = _jobs_companies(src)
+    out["_cq"] = _companies_qwark(src)
+    out["_bu"] = _business_units(src)
+    return out
+
+
+def _companies_qwark(src: Sources) -> DataFrame:
+    return _lookup(src, "_cq", lambda: small_side(src["companies_qwark"].select(
+        F.col("id").alias("_cq_id"), F.col("name").alias("company_name"))))
+
+
+def _business_units(src: Sources) -> DataFrame:
+    return _lookup(src, "_bu", lambda: small_side(src["businessUnit_qwark"].select(
+        F.col("id").cast("string").alias("_bu_id"), F.col("Unidad de negocio").alias("_unit"))))
 
 
 def _to_requests(df: DataFrame, req: DataFrame, left_keys, right_keys) -> DataFrame:
@@ -111,10 +139,8 @@ def unposted_part(src: Sources, req: DataFrame, period: Period) -> DataFrame:
     agg = fq.groupBy("company", "bunisnessUnit", "posting_jobNo",
                      normalize_chapter("posting_jobTaskNo").alias("cap")) \
         .agg(F.sum("baseAmount").alias("qwk"))
-    cq = small_side(src["companies_qwark"].select(F.col("id").alias("_cq_id"),
-                                                  F.col("name").alias("company_name")))
-    bu = small_side(src["businessUnit_qwark"].select(
-        F.col("id").cast("string").alias("_bu_id"), F.col("Unidad de negocio").alias("_unit")))
+    cq = _companies_qwark(src)
+    bu = _business_units(src)
     j = agg.join(cq, agg["company"] == cq["_cq_id"], "left") \
            .join(bu, agg["bunisnessUnit"].cast("string") == bu["_bu_id"], "left")
     j = j.select("company_name", derive_project("posting_jobNo", "_unit").alias("project_no"), "cap", "qwk")
@@ -172,6 +198,7 @@ def raw_exact(df: DataFrame, metrics) -> DataFrame:
 
 def all_parts(src: Sources, req: DataFrame, period: Period) -> DataFrame:
     """Tall union of every source's contribution (one row per source group)."""
+    src = with_lookups(src)
     parts = [
         raw_exact(ledger_part(src, req, period), RAW_KEYED["ledger"]),
         raw_exact(production_part(src, req, period), RAW_KEYED["production"]),

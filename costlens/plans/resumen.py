@@ -2,22 +2,27 @@
 
 Shape of the plan (one request = one (company, project) pair):
 
-1. every source aggregated on its own keys, mapped to request keys and
-   stacked into one tall union (``operators.chapters.all_parts``);
-2. the union is hash-partitioned by (company_name, project_no) **once**; the
-   chapter aggregation, the per-project overhead totals, the chapter
-   unification window and the final re-aggregation all cluster on supersets
-   of those keys, so Spark reuses that partitioning instead of shuffling
-   again;
-3. overhead rows join per-project totals with the overhead percentages.
+1. every source is aggregated on its own keys and mapped to request keys
+   (``operators.chapters.all_parts``); every request adds one *seed* row that
+   carries its company id and overhead percentages;
+2. that tall union is hash-partitioned by (company_name, project_no) **once**.
+   The chapter aggregation, the per-project totals window, the expansion of
+   the seed into the two overhead rows, the chapter-unification window and
+   the final re-aggregation all cluster on supersets of those keys, so the
+   whole tail runs inside that one partitioning, with no further shuffle and
+   no second evaluation of the direct rows;
+3. the request set is small (one row per project) but read by every source
+   join; it is checkpointed once to the shared checkpoint folder.
 
 Money stays DECIMAL throughout (order-independent sums, half-up rounding to
-cents) and becomes DOUBLE only in the output.
+cents) and becomes DOUBLE only in the output. Row volume after step 1 is
+bounded by projects x chapters, so a hot project costs no more than its
+chapter count in the tail.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from costlens.functions.money import CENTS, PCT, clamp_pct, round_money
@@ -42,6 +47,7 @@ NUM_COLS = [
 ]
 OUT_COLS = ["company_id", "company_name", "project_no", "period_date", "grupo", "capitulo", "nivel"] + NUM_COLS
 
+# Group / level labels and the overhead lines.
 DIRECT = "Directos"
 OVERHEAD = "Proporcionales"
 DETAIL = "Detalle"
@@ -49,33 +55,62 @@ OVERHEAD_LINES = (("Gastos generales", "gastos_generales"), ("Postventa", "postv
 DESCRIPTIVE_CHAPTER = r"^[0-9]{2}\.[0-9]{2}\..+"   # 'NN.NN.<description>'
 
 _REQ_KEYS = ["company_name", "project_no"]
+_SUMMED = ["cbo", "cbm", "pend", "qwk", "cpend", "resto", "contr", "plan",
+           "rows_o", "sum_o", "n_o", "rows_m", "sum_m", "n_m"]
+_SEED = "R"      # row kinds in the tall union: request seed / source data
+_DATA = "D"
 
 
-def _zero():
+def _zero() -> Column:
     return F.lit(0).cast(CENTS)
 
 
 def prepare_requests(requests: DataFrame) -> DataFrame:
-    """Normalised join keys + a broadcast hint when the request set is proven small."""
-    return small_side(with_norm_keys(requests.select("company_name", "project_no", "company_id")))
-
-
-def chapter_rows(src: Sources, req: DataFrame, period: Period) -> DataFrame:
-    """Spine chapters of each request with their summed source metrics."""
-    tall = all_parts(src, req, period).repartition(*_REQ_KEYS)
-    agg = tall.groupBy("company_name", "project_no", "cap").agg(
-        F.max("in_spine").alias("in_spine"),
-        *[F.sum(m).alias(m) for m in
-          ["cbo", "cbm", "pend", "qwk", "cpend", "resto", "contr", "plan",
-           "rows_o", "sum_o", "n_o", "rows_m", "sum_m", "n_m"]])
-    return agg.where(F.col("in_spine"))
-
-
-def direct_rows(chapters: DataFrame) -> DataFrame:
-    """The 21 metrics of each spine chapter, rounded to cents.
-
-    Certification metrics are NULL when the chapter's planning amounts are all
-    NULL (kept NULL so they drop out of the overhead base, zeroed later)."""
+    """Request set with normalised join keys, materialised once (checkpoint to
+    the shared checkpoint folder) because every source join reads it, and
+    broadcast only when a bounded count proves it small."""
+    req = with_norm_keys(requests.select("company_name", "project_no", "company_id"))
+    req = req.checkpoint(eager=True)
+    return small_side(req)
+
+
+def _seeds(src: Sources, req: DataFrame) -> DataFrame:
+    """Seed rows of kind R: one per request (its company id) plus one per
+    matching overhead-percentage row. They are aggregated together with the
+    chapters, inside the same partitioning, so the percentages need no shuffle
+    of their own."""
+    ids = req.select(*_REQ_KEYS, "company_id")
+    pcts = overhead_pct(src, req).select(*_REQ_KEYS, F.lit(None).cast("string").alias("company_id"),
+                                          F.col("gastos_generales").alias("gg"), F.col("postventa").alias("pv"))
+    s = ids.unionByName(pcts, allowMissingColumns=True)
+    return s.select(*_REQ_KEYS, F.lit(_SEED).alias("kind"), F.lit(None).cast("string").alias("cap"),
+                    F.lit(False).alias("in_spine"), "company_id", "gg", "pv")
+
+
+def _tall(src: Sources, req: DataFrame, period: Period, with_seeds: bool = True) -> DataFrame:
+    """Source contributions (+ request seeds), hash-partitioned by request."""
+    data = all_parts(src, req, period).withColumn("kind", F.lit(_DATA))
+    tall = data.unionByName(_seeds(src, req), allowMissingColumns=True) if with_seeds else data
+    return tall.repartition(*_REQ_KEYS)
+
+
+def _grouped(tall: DataFrame) -> DataFrame:
+    """Spine chapters (kind D, in_spine) with summed metrics, and one seed row
+    per request with its overhead fractions. The reference takes the first
+    numeric percentage without an order; here the smallest (deterministic)."""
+    extra = []
+    if "gg" in tall.columns:
+        extra = [F.max("company_id").alias("company_id"),
+                 clamp_pct(F.min("gg")).alias("gastos_generales"), clamp_pct(F.min("pv")).alias("postventa")]
+    agg = tall.groupBy("company_name", "project_no", "kind", "cap").agg(
+        F.max("in_spine").alias("in_spine"), *[F.sum(m).alias(m) for m in _SUMMED], *extra)
+    return agg.where((F.col("kind") == _SEED) | F.col("in_spine"))
+
+
+def _direct_metrics() -> dict[str, Column]:
+    """The 21 metrics of a spine chapter, rounded to cents. Certification
+    metrics are NULL when the chapter's planning amounts are all NULL (they
+    then drop out of the overhead base and become 0 in the output)."""
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     rows_o = F.coalesce(F.col("rows_o"), F.lit(0))
     rows_m = F.coalesce(F.col("rows_m"), F.lit(0))
@@ -83,66 +118,65 @@ def direct_rows(chapters: DataFrame) -> DataFrame:
     cert_m = F.when(rows_m == 0, F.lit(0)).when(F.col("n_m") == 0, F.lit(None)).otherwise(F.col("sum_m"))
     cert_prev = F.when(rows_o == 0, F.lit(0)).when(F.col("n_o") == 0, F.lit(None)) \
         .otherwise(F.col("sum_o") - z("sum_m"))
-    return chapters.select(
-        "company_name", "project_no",
-        F.lit(DIRECT).alias("grupo"), F.col("cap").alias("linea"), F.lit(DETAIL).alias("nivel"),
-        round_money(z("cbo")).alias("coste_bc_a_origen"),
-        round_money(z("cbm")).alias("coste_bc_mes_actual"),
-        round_money(z("cbo") - z("cbm")).alias("coste_bc_mes_anterior"),
-        round_money(z("qwk")).alias("coste_qwark"),
-        round_money(z("pend")).alias("coste_pendiente"),
-        round_money(z("cbo") + z("pend")).alias("coste_total_a_origen"),
-        round_money(cert_o).alias("certificacion_a_origen"),
-        round_money(cert_m).alias("certificacion_mes_actual"),
-        round_money(cert_prev).alias("certificacion_mes_anterior"),
-        round_money(z("cpend")).alias("certificacion_pendiente"),
-        round_money(z("resto")).alias("resto_produccion"),
-        round_money(cert_o + z("cpend") + z("resto")).alias("produccion_a_origen"),
-        _zero().alias("certificacion_pendiente_mes_anterior"),
-        _zero().alias("resto_produccion_mes_anterior"),
-        round_money(cert_prev).alias("produccion_mes_anterior"),
-        _zero().alias("resultado"), _zero().alias("pct_resultado"),
-        round_money(z("contr")).alias("contratos"),
-        round_money(z("plan")).alias("planificado"),
-        _zero().alias("pct_avance_venta_contrato"), _zero().alias("pct_avance_coste_planificado"),
-    )
-
-
-def project_pcts(src: Sources, req: DataFrame) -> DataFrame:
-    """Per request: the overhead fractions. The reference takes the first
-    numeric value without an order; here the smallest (deterministic)."""
-    p = overhead_pct(src, req).groupBy(*_REQ_KEYS).agg(
-        F.min("gastos_generales").alias("gastos_generales"), F.min("postventa").alias("postventa"))
-    return p.select(*_REQ_KEYS, clamp_pct("gastos_generales").alias("gastos_generales"),
-                    clamp_pct("postventa").alias("postventa"))
-
-
-def overhead_rows(src: Sources, req: DataFrame, directs: DataFrame) -> DataFrame:
-    """Two percentage rows per request, emitted even when it has no chapters.
-
-    Bases are sums of the rounded direct values (NULLs skipped): production to
-    date, certification of the month, production of the previous months."""
-    tot = directs.groupBy(*_REQ_KEYS).agg(
-        F.sum("produccion_a_origen").alias("t_po"),
-        F.sum("certificacion_mes_actual").alias("t_cm"),
-        F.sum("produccion_mes_anterior").alias("t_pp"))
-    base = req.select(*_REQ_KEYS).join(tot, _REQ_KEYS, "left").join(project_pcts(src, req), _REQ_KEYS, "left")
-    cents = lambda c: F.coalesce(F.col(c), F.lit(0)).cast(CENTS)
-    lines = F.explode(F.array(*[
+    m = {c: _zero() for c in NUM_COLS}
+    m.update({
+        "coste_bc_a_origen": round_money(z("cbo")),
+        "coste_bc_mes_actual": round_money(z("cbm")),
+        "coste_bc_mes_anterior": round_money(z("cbo") - z("cbm")),
+        "coste_qwark": round_money(z("qwk")),
+        "coste_pendiente": round_money(z("pend")),
+        "coste_total_a_origen": round_money(z("cbo") + z("pend")),
+        "certificacion_a_origen": round_money(cert_o),
+        "certificacion_mes_actual": round_money(cert_m),
+        "certificacion_mes_anterior": round_money(cert_prev),
+        "certificacion_pendiente": round_money(z("cpend")),
+        "resto_produccion": round_money(z("resto")),
+        "produccion_a_origen": round_money(cert_o + z("cpend") + z("resto")),
+        "produccion_mes_anterior": round_money(cert_prev),
+        "contratos": round_money(z("contr")),
+        "planificado": round_money(z("plan")),
+    })
+    return m
+
+
+def _with_directs(grouped: DataFrame) -> DataFrame:
+    m = _direct_metrics()
+    is_d = F.col("kind") == _DATA
+    return grouped.select("company_name", "project_no", "kind", "cap", "company_id",
+                          "gastos_generales", "postventa",
+                          *[F.when(is_d, m[c]).alias(c) for c in NUM_COLS])
+
+
+def _expand(rows: DataFrame) -> DataFrame:
+    """Totals of the direct rows per request (window over the request
+    partition), then each seed becomes the two overhead rows. The overhead
+    bases are sums of the rounded direct values with NULLs skipped."""
+    w = Window.partitionBy(*_REQ_KEYS)
+    is_d = F.col("kind") == _DATA
+    tot = lambda c: F.coalesce(F.sum(F.when(is_d, F.col(c))).over(w), F.lit(0)).cast(CENTS)
+    rows = rows.withColumn("t_po", tot("produccion_a_origen")) \
+               .withColumn("t_cm", tot("certificacion_mes_actual")) \
+               .withColumn("t_pp", tot("produccion_mes_anterior")) \
+               .withColumn("company_id", F.max("company_id").over(w))
+    lines = F.when(~is_d, F.array(*[
         F.struct(F.lit(label).alias("linea"), F.coalesce(F.col(col), F.lit(0)).cast(PCT).alias("pct"))
-        for label, col in OVERHEAD_LINES]))
-    rows = base.select(*_REQ_KEYS, cents("t_po").alias("t_po"), cents("t_cm").alias("t_cm"),
-                       cents("t_pp").alias("t_pp"), lines.alias("l"))
-    ctao = round_money(F.col("l.pct") * F.col("t_po"))
-    vals = {c: _zero() for c in NUM_COLS}
-    vals.update({
-        "coste_bc_a_origen": ctao,
-        "coste_total_a_origen": ctao,
-        "coste_bc_mes_actual": round_money(F.col("l.pct") * F.col("t_cm")),
-        "coste_bc_mes_anterior": round_money(F.col("l.pct") * F.col("t_pp")),
+        for label, col in OVERHEAD_LINES])
+    ).otherwise(F.array(F.struct(F.col("cap").alias("linea"), F.lit(None).cast(PCT).alias("pct"))))
+    rows = rows.withColumn("l", F.explode(lines))
+    pct = F.col("l.pct")
+    ctao = round_money(pct * F.col("t_po"))
+    over = {c: _zero() for c in NUM_COLS}
+    over.update({
+        "coste_bc_a_origen": ctao, "coste_total_a_origen": ctao,
+        "coste_bc_mes_actual": round_money(pct * F.col("t_cm")),
+        "coste_bc_mes_anterior": round_money(pct * F.col("t_pp")),
     })
-    return rows.select(*_REQ_KEYS, F.lit(OVERHEAD).alias("grupo"), F.col("l.linea").alias("linea"),
-                       F.lit(DETAIL).alias("nivel"), *[vals[c].alias(c) for c in NUM_COLS])
+    return rows.select(
+        "company_id", *_REQ_KEYS, "kind",
+        F.when(is_d, F.lit(DIRECT)).otherwise(F.lit(OVERHEAD)).alias("grupo"),
+        F.col("l.linea").alias("linea"), F.lit(DETAIL).alias("nivel"),
+        *[F.when(is_d, F.col(c)).otherwise(over[c]).alias(c) for c in NUM_COLS],
+        "t_po", "t_cm", "t_pp")
 
 
 def unify_chapters(rows: DataFrame) -> DataFrame:
@@ -160,20 +194,19 @@ def unify_chapters(rows: DataFrame) -> DataFrame:
     return cleaned.withColumn("capitulo", mapped).drop("linea")
 
 
+def transform_frame(src: Sources, requests: DataFrame, period: Period) -> DataFrame:
+    """Rows before the load step: directs and overheads with ``linea``, NULL
+    metrics kept, plus the per-request totals (``t_*``)."""
+    req = prepare_requests(requests)
+    return _expand(_with_directs(_grouped(_tall(src, req, period))))
+
+
 def resumen(src: Sources, requests: DataFrame, period: Period, as_double: bool = True) -> DataFrame:
     """Summary rows (28 columns) for every request and the given month."""
-    req = prepare_requests(requests)
-    chapters = chapter_rows(src, req, period)
-    directs = direct_rows(chapters)
-    overheads = overhead_rows(src, req, directs)
-    rows = directs.unionByName(overheads)
-    rows = rows.select(*[F.coalesce(F.col(c), F.lit(0)).alias(c) if c in NUM_COLS else F.col(c)
-                         for c in rows.columns])
+    rows = transform_frame(src, requests, period)
+    rows = rows.select("company_id", *_REQ_KEYS, "grupo", "linea", "nivel",
+                       *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in NUM_COLS])
     rows = unify_chapters(rows)
-    ids = req.select(*[F.col(c).alias(f"_r_{c}") for c in ("company_name", "project_no", "company_id")])
-    rows = rows.join(ids, (F.col("company_name") == F.col("_r_company_name"))
-                     & (F.col("project_no") == F.col("_r_project_no")), "inner") \
-        .withColumnRenamed("_r_company_id", "company_id").drop("_r_company_name", "_r_project_no")
     out = rows.groupBy("company_id", "company_name", "project_no", "grupo", "capitulo", "nivel") \
         .agg(*[F.sum(c).alias(c) for c in NUM_COLS])
     out = out.withColumn("produccion_a_origen", F.col("certificacion_a_origen")
@@ -182,41 +215,33 @@ def resumen(src: Sources, requests: DataFrame, period: Period, as_double: bool =
     for c in ("company_id", "company_name", "project_no", "grupo", "capitulo", "nivel"):
         out = out.withColumn(c, clean_value(c))
     if as_double:
-        out = out.select(*[F.col(c).cast("double").alias(c) if c in NUM_COLS else F.col(c) for c in OUT_COLS])
-    else:
-        out = out.select(*OUT_COLS)
-    return out
+        return out.select(*[F.col(c).cast("double").alias(c) if c in NUM_COLS else F.col(c) for c in OUT_COLS])
+    return out.select(*OUT_COLS)
 
 
 def chapter_spine(src: Sources, requests: DataFrame, period: Period) -> DataFrame:
     """Distinct normalised chapters of each request (planning lines excluded)."""
     req = prepare_requests(requests)
-    return chapter_rows(src, req, period).select("company_name", "project_no", F.col("cap").alias("capitulo"))
+    g = _grouped(_tall(src, req, period, with_seeds=False))
+    return g.select("company_name", "project_no", F.col("cap").alias("capitulo"))
 
 
 def transform_rows(src: Sources, requests: DataFrame, period: Period, which: str = "all") -> DataFrame:
     """Rows before the load step (chapter in ``linea``, NULL metrics -> 0):
     ``which`` = 'direct', 'overhead' or 'all'."""
-    req = prepare_requests(requests)
-    directs = direct_rows(chapter_rows(src, req, period))
+    rows = transform_frame(src, requests, period)
     if which == "direct":
-        rows = directs
-    else:
-        overheads = overhead_rows(src, req, directs)
-        rows = overheads if which == "overhead" else directs.unionByName(overheads)
-    return rows.select(*[F.coalesce(F.col(c), F.lit(0)).cast("double").alias(c) if c in NUM_COLS else F.col(c)
-                         for c in rows.columns])
+        rows = rows.where(F.col("kind") == _DATA)
+    elif which == "overhead":
+        rows = rows.where(F.col("kind") == _SEED)
+    return rows.select(*_REQ_KEYS, "grupo", "linea", "nivel",
+                       *[F.coalesce(F.col(c), F.lit(0)).cast("double").alias(c) for c in NUM_COLS])
 
 
 def direct_totals(src: Sources, requests: DataFrame, period: Period) -> DataFrame:
     """Per request: the three overhead bases (sums of rounded direct values)."""
-    req = prepare_requests(requests)
-    directs = direct_rows(chapter_rows(src, req, period))
-    tot = directs.groupBy(*_REQ_KEYS).agg(
-        F.sum("produccion_a_origen").alias("total_produccion_a_origen"),
-        F.sum("certificacion_mes_actual").alias("total_certificacion_mes_actual"),
-        F.sum("produccion_mes_anterior").alias("total_produccion_mes_anterior"))
-    out = req.select(*_REQ_KEYS).join(tot, _REQ_KEYS, "left")
-    return out.select(*_REQ_KEYS, *[F.coalesce(F.col(c), F.lit(0)).cast("double").alias(c)
-                                    for c in ["total_produccion_a_origen", "total_certificacion_mes_actual",
-                                              "total_produccion_mes_anterior"]])
+    rows = transform_frame(src, requests, period).where(F.col("kind") == _SEED) \
+        .where(F.col("linea") == OVERHEAD_LINES[0][0])
+    return rows.select(*_REQ_KEYS, F.col("t_po").cast("double").alias("total_produccion_a_origen"),
+                       F.col("t_cm").cast("double").alias("total_certificacion_mes_actual"),
+                       F.col("t_pp").cast("double").alias("total_produccion_mes_anterior"))
