@@ -31,10 +31,15 @@ def not_certification(gppg) -> "F.Column":
 
 
 def _jobs_companies(src: Sources) -> DataFrame:
-    """job_list_bc ⨝ companies_bc -> (No, CompanyId, Description, company_name)."""
+    """job_list_bc ⨝ companies_bc -> (No, CompanyId, Description, company_name).
+
+    One row per job: broadcast when a bounded count proves it small, so the
+    fact table joined to it (ledger, task lines) is never shuffled and a hot
+    project cannot skew a join partition; above the bound it stays a shuffle
+    join (AQE splits skewed partitions)."""
     jobs = src["job_list_bc"].select("No", "CompanyId", "Description")
     comps = small_side(src["companies_bc"].select(F.col("id"), F.col("name").alias("company_name")))
-    return jobs.join(comps, jobs["CompanyId"] == comps["id"], "inner").drop("id")
+    return small_side(jobs.join(comps, jobs["CompanyId"] == comps["id"], "inner").drop("id"))
 
 
 # ─────────────────────────── ledger / tasks ───────────────────────────
@@ -311,18 +316,21 @@ def invoices_by_chapter(src: Sources, company: str | None, project: str | None,
     join of the two aggregates: the same totals, with no quadratic fan-out on
     a hot document. ``dedupe_lines=True`` counts each invoice once instead.
     """
-    pil = src["purchase_invoice_lines_bc"]
+    # lines counted per invoice map-side first: the header join then sees one
+    # row per invoice, however many lines a hot invoice has
+    pil = src["purchase_invoice_lines_bc"].groupBy("CompanyId", "InvoiceId") \
+        .agg(F.count(F.lit(1)).alias("n_lines"))
     pi = src["purchase_invoices_bc"]
     base = pil.join(pi, (pi["id"] == pil["InvoiceId"]) & (pi["CompanyId"] == pil["CompanyId"]), "left") \
         .select(pil["CompanyId"].alias("company_id"), pil["InvoiceId"].alias("invoice_id"),
                 pi["number"].alias("numero_factura"), pi["vendorName"].alias("proveedor"),
-                as_date(pi["invoiceDate"]).alias("fecha_factura"))
+                as_date(pi["invoiceDate"]).alias("fecha_factura"), pil["n_lines"])
     base = base.where(F.col("fecha_factura").between(lit_date(d1), lit_date(d2)))
     comps = small_side(src["companies_bc"].select(F.col("id").alias("_cid"), F.col("name").alias("_cname")))
     comps = where_eq(comps, "_cname", company)
     base = base.join(comps, base["company_id"] == comps["_cid"], "inner").drop("_cid", "_cname")
     inv = base.groupBy("company_id", "invoice_id", "numero_factura", "proveedor", "fecha_factura") \
-        .agg(F.count(F.lit(1)).alias("n_lines"))
+        .agg(F.sum("n_lines").alias("n_lines"))
     if dedupe_lines:
         inv = inv.withColumn("n_lines", F.lit(1).cast("long"))
     inv = inv.withColumn("_k", F.concat(F.col("company_id").cast("string"), F.lit("|"),
