@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference workload is a month-end batch job; it has no streams, event-time
+windows, watermarks or stateful operators, so none are built here. A new month
+or late-arriving source rows are handled by re-running the batched snapshot
+(`costlens.plans.runs.run_snapshot`), whose summary upsert replaces only the
+period's partition, or by the batched backfill of projects that are missing.
+"""
