@@ -88,16 +88,21 @@ def upsert(spark: SparkSession, incoming: DataFrame, path: str, keys: list[str],
     others = [c for c in incoming.columns if c not in keys]
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in others])
     incoming = incoming.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-    obs = Observation("upsert")
-    incoming = incoming.observe(obs, F.count(F.lit(1)).alias("rows"))
 
     if not table_exists(spark, path):
-        w0 = incoming.write.mode("overwrite")
+        obs = Observation("upsert")
+        w0 = incoming.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
         if partition_by:
             w0 = w0.partitionBy(partition_by)
         w0.parquet(path)
         return {"inserted": int(obs.get["rows"]), "skipped": 0}
 
+    # The new rows feed three branches below (merged rows, key set, touched
+    # partitions); materialise them once in the shared checkpoint folder
+    # instead of evaluating their plan three times.
+    incoming = incoming.checkpoint(eager=True)
+    inserted = incoming.count()
+
     existing = read_table(spark, path)
     if partition_by:
         touched = incoming.select(partition_by).distinct()
@@ -114,8 +119,6 @@ def upsert(spark: SparkSession, incoming: DataFrame, path: str, keys: list[str],
         sw = sw.partitionBy(partition_by)
     sw.parquet(staging)
 
-    inserted = int(obs.get["rows"])
-
     # Without a partition column the staged copy holds every row of the table
     # and replaces it whole; with one, only the touched partitions are replaced.
     staged = read_table(spark, staging)
