@@ -102,7 +102,12 @@ def _snapshot(src):
 
 
 def _expected(spark, sf_dir):
-    return G.expected_projects(_src(spark, sf_dir))
+    return G.expected_projects(_src(spark, sf_dir), sort=True)
+
+
+def _resumen_prev(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    return S.resumen(src, R.all_projects(src), P, with_prev_month=True)
 
 
 def _existing(spark, sf_dir):
@@ -196,6 +201,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cert_month_by_chapter": _per_request(C.cert_by_chapter, True),
         "pending_cert_by_chapter": _per_request(C.production_by_chapter, "cpend"),
         "remaining_prod_by_chapter": _per_request(C.production_by_chapter, "resto"),
+        "prev_pending_cert_by_chapter": _per_request(C.production_by_chapter, "cpend", True),
+        "prev_remaining_prod_by_chapter": _per_request(C.production_by_chapter, "resto", True),
         "pending_cost_by_chapter": _per_request(C.pending_cost_by_chapter),
         "unposted_cost_by_chapter": _per_request(C.unposted_cost_by_chapter),
         "contract_by_chapter": _per_request(C.task_by_chapter, "contr"),
@@ -207,6 +214,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "direct_totals": _per_request(S.direct_totals),
         # the summary
         "resumen": _resumen,
+        "resumen_with_prev_month": _resumen_prev,
         # gap fill
         "expected_projects": _expected,
         "existing_projects": _existing,
@@ -247,6 +255,8 @@ def oracle_sql() -> dict[str, str]:
         "cert_month_by_chapter": O.cert_month_by_chapter(),
         "pending_cert_by_chapter": O.pending_cert_by_chapter(),
         "remaining_prod_by_chapter": O.remaining_prod_by_chapter(),
+        "prev_pending_cert_by_chapter": O.prev_pending_cert_by_chapter(),
+        "prev_remaining_prod_by_chapter": O.prev_remaining_prod_by_chapter(),
         "pending_cost_by_chapter": O.pending_cost_by_chapter(),
         "unposted_cost_by_chapter": O.unposted_cost_by_chapter(),
         "contract_by_chapter": O.contract_by_chapter(),
@@ -256,6 +266,7 @@ def oracle_sql() -> dict[str, str]:
         "overhead_rows": O.overhead_rows(),
         "direct_totals": O.direct_totals(),
         "resumen": O.resumen(),
+        "resumen_with_prev_month": O.resumen_with_prev_month(),
         "expected_projects": O.expected_projects(),
         "existing_projects": O.existing_projects(),
         "missing_projects": O.missing_projects(),

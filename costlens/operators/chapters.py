@@ -35,6 +35,7 @@ PART_METRICS = [
     "contr", "plan",                  # contract price, planned cost
     "rows_o", "sum_o", "n_o",         # certification to date: rows, sum, non-null count
     "rows_m", "sum_m", "n_m",         # certification in the month
+    "cpend_prev", "resto_prev",       # production of the previous month (option)
 ]
 
 
@@ -148,10 +149,14 @@ def unposted_part(src: Sources, req: DataFrame, period: Period) -> DataFrame:
     return j.withColumn("raw_cap", F.col("cap")).withColumn("in_spine", F.lit(True))
 
 
-def tasks_part(src: Sources, req: DataFrame, period: Period) -> DataFrame:
-    """Contract price and planned cost per normalised chapter (no date limit:
-    the task end date is never selected by the reference's query)."""
+def tasks_part(src: Sources, req: DataFrame, period: Period, with_end_date: bool = False) -> DataFrame:
+    """Contract price and planned cost per normalised chapter. By default no
+    date limit: the reference's query never selects the task end date, so its
+    end-date filter is inactive; ``with_end_date`` applies it (end date
+    present and on or before the cut)."""
     t = src["job_task_lines_subform_bc"]
+    if with_end_date:
+        t = t.where(F.col("End_Date").isNotNull() & (as_ts("End_Date") <= lit_ts(period.cut)))
     agg = t.groupBy("Job_No", "CompanyId", normalize_chapter("Job_Task_No").alias("cap")).agg(
         F.sum("Schedule_Total_Price").alias("contr"), F.sum("Schedule_Total_Cost").alias("plan"))
     jc = _jobs_companies(src)
@@ -196,7 +201,16 @@ def raw_exact(df: DataFrame, metrics) -> DataFrame:
     return df.select(*[F.when(exact, F.col(c)).alias(c) if c in metrics else F.col(c) for c in df.columns])
 
 
-def all_parts(src: Sources, req: DataFrame, period: Period) -> DataFrame:
+def prev_production_part(src: Sources, req: DataFrame, period: Period) -> DataFrame:
+    """Production of the previous month (option ``with_prev_month``): its
+    chapters join the spine, its amounts feed the '*_mes_anterior' columns."""
+    p = production_part(src, req, period, prev=True)
+    return raw_exact(p.withColumnRenamed("cpend", "cpend_prev").withColumnRenamed("resto", "resto_prev"),
+                     ("cpend_prev", "resto_prev"))
+
+
+def all_parts(src: Sources, req: DataFrame, period: Period, with_prev_month: bool = False,
+              with_end_date: bool = False) -> DataFrame:
     """Tall union of every source's contribution (one row per source group)."""
     src = with_lookups(src)
     parts = [
@@ -204,15 +218,18 @@ def all_parts(src: Sources, req: DataFrame, period: Period) -> DataFrame:
         raw_exact(production_part(src, req, period), RAW_KEYED["production"]),
         pending_part(src, req, period),
         unposted_part(src, req, period),
-        tasks_part(src, req, period),
+        tasks_part(src, req, period, with_end_date),
         planning_part(src, req, period),
     ]
+    if with_prev_month:
+        parts.append(prev_production_part(src, req, period))
     cols = ["company_name", "project_no", "cap", "in_spine"] + PART_METRICS
     out = None
     for p in parts:
         p = p.drop("raw_cap")
         out = p if out is None else out.unionByName(p, allowMissingColumns=True)
-    return out.select(*cols)
+    have = set(out.columns)
+    return out.select(*[F.col(c) if c in have else F.lit(None).cast("decimal(18,6)").alias(c) for c in cols])
 
 
 # ─────────────── individual chapter aggregates (§2.5 queries) ───────────────
@@ -267,11 +284,15 @@ def cert_by_chapter(src: Sources, req: DataFrame, period: Period, month: bool) -
     return p.groupBy("company_name", "project_no", F.col("raw_cap").alias("job_task_no")).agg(v.alias(name))
 
 
-def production_by_chapter(src: Sources, req: DataFrame, period: Period, metric: str) -> DataFrame:
+def production_by_chapter(src: Sources, req: DataFrame, period: Period, metric: str,
+                          prev: bool = False) -> DataFrame:
     """Σ pending certification ('cpend') or remaining production ('resto') of the
-    month by raw chapter (NULL chapter is a group)."""
+    month (or of the previous month) by raw chapter (NULL chapter is a group)."""
     name = {"cpend": "certificacion_pendiente", "resto": "resto_produccion"}[metric]
-    return chapter_aggregate(production_part(src, _norm_req(req), period), metric, name, key="raw_cap")
+    if prev:
+        name += "_mes_anterior"
+    return chapter_aggregate(production_part(src, _norm_req(req), period, prev=prev), metric, name,
+                             key="raw_cap")
 
 
 def pending_cost_by_chapter(src: Sources, req: DataFrame, period: Period) -> DataFrame:

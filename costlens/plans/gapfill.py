@@ -16,16 +16,18 @@ from costlens.plans.requests import resolve_company_ids
 from costlens.sources.loaders import Sources
 
 
-def expected_projects(src: Sources, company: str | None = None) -> DataFrame:
+def expected_projects(src: Sources, company: str | None = None, sort: bool = False) -> DataFrame:
     """Every project of the job list, with its company name (NULL when the
-    company is unknown: LEFT join)."""
+    company is unknown: LEFT join); ``sort`` orders the report by company and
+    project (the anti-join below does not need the order)."""
     jobs = src["job_list_bc"].select(F.col("No"), F.col("CompanyId"))
     comps = small_side(src["companies_bc"].select(F.col("id").alias("_cid"), F.col("name").alias("_cname")))
     j = jobs.join(comps, jobs["CompanyId"] == comps["_cid"], "left")
     if company is not None:
         j = j.where(F.lower(F.col("_cname").cast("string")) == F.lower(F.lit(company)))
-    return j.select(F.col("_cname").cast("string").alias("company_name"),
-                    F.col("No").cast("string").alias("project_no")).distinct()
+    out = j.select(F.col("_cname").cast("string").alias("company_name"),
+                   F.col("No").cast("string").alias("project_no")).distinct()
+    return out.orderBy("company_name", "project_no") if sort else out
 
 
 def existing_projects(snapshot: DataFrame, period: Period, company: str | None = None) -> DataFrame:

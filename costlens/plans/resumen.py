@@ -56,7 +56,7 @@ DESCRIPTIVE_CHAPTER = r"^[0-9]{2}\.[0-9]{2}\..+"   # 'NN.NN.<description>'
 
 _REQ_KEYS = ["company_name", "project_no"]
 _SUMMED = ["cbo", "cbm", "pend", "qwk", "cpend", "resto", "contr", "plan",
-           "rows_o", "sum_o", "n_o", "rows_m", "sum_m", "n_m"]
+           "rows_o", "sum_o", "n_o", "rows_m", "sum_m", "n_m", "cpend_prev", "resto_prev"]
 _SEED = "R"      # row kinds in the tall union: request seed / source data
 _DATA = "D"
 
@@ -87,9 +87,9 @@ def _seeds(src: Sources, req: DataFrame) -> DataFrame:
                     F.lit(False).alias("in_spine"), "company_id", "gg", "pv")
 
 
-def _tall(src: Sources, req: DataFrame, period: Period, with_seeds: bool = True) -> DataFrame:
+def _tall(src: Sources, req: DataFrame, period: Period, with_seeds: bool = True, **options) -> DataFrame:
     """Source contributions (+ request seeds), hash-partitioned by request."""
-    data = all_parts(src, req, period).withColumn("kind", F.lit(_DATA))
+    data = all_parts(src, req, period, **options).withColumn("kind", F.lit(_DATA))
     tall = data.unionByName(_seeds(src, req), allowMissingColumns=True) if with_seeds else data
     return tall.repartition(*_REQ_KEYS)
 
@@ -133,6 +133,8 @@ def _direct_metrics() -> dict[str, Column]:
         "resto_produccion": round_money(z("resto")),
         "produccion_a_origen": round_money(cert_o + z("cpend") + z("resto")),
         "produccion_mes_anterior": round_money(cert_prev),
+        "certificacion_pendiente_mes_anterior": round_money(z("cpend_prev")),
+        "resto_produccion_mes_anterior": round_money(z("resto_prev")),
         "contratos": round_money(z("contr")),
         "planificado": round_money(z("plan")),
     })
@@ -194,16 +196,23 @@ def unify_chapters(rows: DataFrame) -> DataFrame:
     return cleaned.withColumn("capitulo", mapped).drop("linea")
 
 
-def transform_frame(src: Sources, requests: DataFrame, period: Period) -> DataFrame:
+def transform_frame(src: Sources, requests: DataFrame, period: Period, **options) -> DataFrame:
     """Rows before the load step: directs and overheads with ``linea``, NULL
     metrics kept, plus the per-request totals (``t_*``)."""
     req = prepare_requests(requests)
-    return _expand(_with_directs(_grouped(_tall(src, req, period))))
+    return _expand(_with_directs(_grouped(_tall(src, req, period, **options))))
 
 
-def resumen(src: Sources, requests: DataFrame, period: Period, as_double: bool = True) -> DataFrame:
-    """Summary rows (28 columns) for every request and the given month."""
-    rows = transform_frame(src, requests, period)
+def resumen(src: Sources, requests: DataFrame, period: Period, as_double: bool = True,
+            with_prev_month: bool = False, with_end_date: bool = False) -> DataFrame:
+    """Summary rows (28 columns) for every request and the given month.
+
+    Options (both off by default, as in the reference): ``with_prev_month``
+    feeds the previous month's production into the '*_mes_anterior' columns
+    and the spine; ``with_end_date`` limits contract / planned amounts to
+    tasks ended by the cut."""
+    rows = transform_frame(src, requests, period, with_prev_month=with_prev_month,
+                           with_end_date=with_end_date)
     rows = rows.select("company_id", *_REQ_KEYS, "grupo", "linea", "nivel",
                        *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in NUM_COLS])
     rows = unify_chapters(rows)

@@ -139,3 +139,22 @@ def backfill_missing(spark: SparkSession, src: Sources, period: Period, target:
         return {"missing": n, "run": 0}
     res = run_snapshot(spark, src, reqs, period, target, details=details)
     return {"missing": n, "run": n, "result": res}
+
+
+def run_from_params(spark: SparkSession, src: Sources, params: dict, target: Target) -> dict:
+    """Parameter-dict entry point (the reference's JSON / CLI entry, as a
+    function): ``{"company_name"?, "project_no"?, "year", "month", "details"?}``.
+    Missing company / project mean every matching project. Returns
+    ``{"ok", "message", "params", "result"}``; errors are reported, not raised."""
+    from costlens.plans import requests as R
+    try:
+        period = Period(int(params["year"]), int(params["month"]))
+        company, project = params.get("company_name"), params.get("project_no")
+        reqs = R.all_projects(src, company=company, project=project)
+        if company is not None and project is not None:
+            reqs = R.explicit(spark, src, [(company, project)])
+        result = run_snapshot(spark, src, reqs, period, target, details=bool(params.get("details", True)),
+                              all_projects=company is None and project is None)
+        return {"ok": True, "message": "snapshot written", "params": params, "result": result}
+    except Exception as exc:  # reported to the caller like the reference's entry
+        return {"ok": False, "message": f"{type(exc).__name__}: {exc}", "params": params, "result": None}

@@ -66,7 +66,8 @@ TABLES: dict[str, Table] = {t.name: t for t in [
         _c("CompanyId", "string", "company_id"),
         _c("Job_Task_No", "string", "job_task_no"),
         _c("Schedule_Total_Price", "decimal(18,6)", "schedule_total_price"),
-        _c("Schedule_Total_Cost", "decimal(18,6)", "schedule_total_cost"))),
+        _c("Schedule_Total_Cost", "decimal(18,6)", "schedule_total_cost"),
+        _c("End_Date", "timestamp_ntz", "end_date", required=False))),
     Table("job_planning_lines_bc", (
         _c("Planning_Date", "timestamp_ntz", "planning_date", "PlanningDate", "planningdate",
            "Date", "date", required=False),

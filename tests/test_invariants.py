@@ -51,3 +51,17 @@ def test_run_then_backfill_leaves_nothing_missing(spark, tmp_table_root):
     RUN.backfill_missing(spark, src, JAN, target, snapshot=src["resumen_seguimiento"], details=False)
     after = rows(RUN.snapshot_table(spark, target).drop("snapshot_run_id", "snapshot_run_ts"))
     assert before == after
+
+
+def test_run_from_params_single_project(spark, tmp_table_root):
+    src = load_fixture_sources(spark, SF)
+    one = R.all_projects(src).orderBy("company_name", "project_no").first()
+    out = RUN.run_from_params(spark, src, {"company_name": one["company_name"], "project_no": one["project_no"],
+                                           "year": 1997, "month": 1, "details": False},
+                              RUN.Target(tmp_table_root))
+    assert out["ok"], out["message"]
+    snap = RUN.snapshot_table(spark, RUN.Target(tmp_table_root))
+    keys = {(r["company_name"], r["project_no"]) for r in snap.select("company_name", "project_no").collect()}
+    assert keys == {(one["company_name"], one["project_no"])}
+    bad = RUN.run_from_params(spark, src, {"year": 1997}, RUN.Target(tmp_table_root))
+    assert not bad["ok"]

@@ -152,3 +152,17 @@ def test_unposted_registered_and_derived_project(spark):
     rows = {r["documentNo_orig"]: r for r in DS.unposted_pending(src, None, None, D(1997, 1, 31)).collect()}
     assert set(rows) == {"c", "d"}                       # registered and negative dropped; RET kept
     assert rows["c"]["proyecto"] == "PY_000042"
+
+
+def test_t7_task_end_date_option(spark, base):
+    task = lambda t, price, end: {"Job_No": "PY_1", "CompanyId": "1", "Job_Task_No": t,
+                                  "Schedule_Total_Price": dec(price), "Schedule_Total_Cost": dec(price),
+                                  "End_Date": end}
+    tables = dict(base, job_task_lines_subform_bc=[task("01.01", 10, TS(1997, 1, 10)),
+                                                    task("01.01", 5, None),
+                                                    task("01.01", 7, TS(1997, 3, 1))])
+    src = make_sources(spark, **tables)
+    default = {r["capitulo"]: r for r in resumen(src, R.all_projects(src), JAN).collect()}
+    limited = {r["capitulo"]: r for r in resumen(src, R.all_projects(src), JAN, with_end_date=True).collect()}
+    assert default["01.01"]["contratos"] == 22.0      # end date ignored, as in the reference
+    assert limited["01.01"]["contratos"] == 10.0
