@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costlens.functions.dates import as_date, as_ts, in_window, lit_date, lit_ts
+from costlens.functions.dates import as_date, as_ts, lit_date, lit_ts, on_or_before, within
 from costlens.functions.text import contains_ci, derive_project, normalize_chapter, normalize_text, trim_ws
 from costlens.operators.datasets import CERT, not_certification
 from costlens.operators.joins import small_side
@@ -93,7 +93,7 @@ def ledger_part(src: Sources, req: DataFrame, period: Period) -> DataFrame:
     fle = src["job_ledger_entries_bc"]
     d = as_date("Posting_Date")
     nc = not_certification("Gen_Prod_Posting_Group")
-    agg = fle.where(d <= lit_date(period.cut)).groupBy("Job_No", "CompanyId", "Job_Task_No").agg(
+    agg = fle.where(on_or_before(fle, "Posting_Date", period.cut)).groupBy("Job_No", "CompanyId", "Job_Task_No").agg(
         F.sum(F.when(nc, F.col("Total_Cost_LCY"))).alias("cbo"),
         F.sum(F.when(nc & (d >= lit_date(period.month_start)), F.col("Total_Cost_LCY"))).alias("cbm"),
     )
@@ -109,7 +109,8 @@ def production_part(src: Sources, req: DataFrame, period: Period, prev: bool = F
     """Pending certification and remaining production of the month (raw chapter),
     matched to requests on normalised company / project text."""
     p = period.previous() if prev else period
-    d = src["DimSeguimientoProduccion"].where(in_window("fecha_produccion", p.month_start, p.month_end))
+    d = src["DimSeguimientoProduccion"]
+    d = d.where(within(d, "fecha_produccion", p.month_start, p.month_end))
     raw = F.coalesce(F.col("capitulo_codigo").cast("string"), F.col("capitulo").cast("string"))
     agg = d.groupBy(normalize_text("empresa").alias("_ck"), normalize_text("proyecto").alias("_pk"),
                     raw.alias("raw_cap")).agg(
@@ -121,8 +122,8 @@ def production_part(src: Sources, req: DataFrame, period: Period, prev: bool = F
 
 def pending_part(src: Sources, req: DataFrame, period: Period) -> DataFrame:
     """Pending cost of the month, per normalised chapter."""
-    d = src["DimPendientesProduccion"].where(
-        in_window("fecha_produccion", period.month_start, period.month_end))
+    d = src["DimPendientesProduccion"]
+    d = d.where(within(d, "fecha_produccion", period.month_start, period.month_end))
     raw = F.coalesce(F.col("capitulo_codigo").cast("string"), F.col("capitulo").cast("string"))
     agg = d.groupBy(normalize_text("empresa").alias("_ck"), normalize_text("proyecto").alias("_pk"),
                     normalize_chapter(raw).alias("cap")).agg(F.sum("coste_pendiente").alias("pend"))
@@ -134,9 +135,9 @@ def unposted_part(src: Sources, req: DataFrame, period: Period) -> DataFrame:
     """Unposted positive invoices up to the cut, per normalised chapter
     (blank chapter -> 'None'). Pre-aggregated on the invoice's own keys before
     the company / business-unit lookups."""
-    fq = src["facturas_qwark"].where(
-        (as_date("documentDate") <= lit_date(period.cut)) & (F.col("baseAmount") > 0)
-        & ~contains_ci("bc_documentNo", "CFR"))
+    fq = src["facturas_qwark"]
+    fq = fq.where(on_or_before(fq, "documentDate", period.cut) & (F.col("baseAmount") > 0)
+                  & ~contains_ci("bc_documentNo", "CFR"))
     agg = fq.groupBy("company", "bunisnessUnit", "posting_jobNo",
                      normalize_chapter("posting_jobTaskNo").alias("cap")) \
         .agg(F.sum("baseAmount").alias("qwk"))
@@ -178,6 +179,8 @@ def planning_part(src: Sources, req: DataFrame, period: Period) -> DataFrame:
     amt = F.col("Line_Amount")
     in_m = ts >= lit_ts(period.month_start)
     p = pl.where((F.col("Gen_Prod_Posting_Group") == F.lit(CERT)) & (ts <= lit_ts(period.cut)))
+    # (planning dates are compared as timestamps: a 10:00 entry on the last
+    # day is after the midnight cut, as in the reference)
     cid = trim_ws(F.coalesce(F.col("CompanyId").cast("string"), F.lit("None")))
     agg = p.groupBy(cid.alias("_cid"), F.col("Company_Name").alias("_cname"),
                     F.col("Job_No").alias("_pno"), F.col("Job_Task_No").alias("raw_cap")).agg(
@@ -257,7 +260,7 @@ def cost_by_chapter(src: Sources, req: DataFrame, period: Period, month: bool) -
     the month, by (company, project, raw chapter)."""
     fle = src["job_ledger_entries_bc"]
     d = as_date("Posting_Date")
-    cond = not_certification("Gen_Prod_Posting_Group") & (d <= lit_date(period.cut))
+    cond = not_certification("Gen_Prod_Posting_Group") & on_or_before(fle, "Posting_Date", period.cut)
     if month:
         cond = cond & (d >= lit_date(period.month_start))
     agg = fle.where(cond).groupBy("Job_No", "CompanyId", "Job_Task_No") \

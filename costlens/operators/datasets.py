@@ -14,7 +14,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costlens.functions.dates import as_date, in_window, lit_date
+from costlens.functions.dates import as_date, lit_date, on_or_before, within
 from costlens.functions.money import money
 from costlens.functions.text import (
     contains_ci, derive_project, normalize_chapter, normalize_text, trim_ws,
@@ -47,7 +47,8 @@ def _jobs_companies(src: Sources) -> DataFrame:
 def ledger_entries(src: Sources, company: str | None, project: str | None,
                    date_to: dt.date) -> DataFrame:
     """Job ledger entries up to ``date_to`` with company and project attributes."""
-    fle = src["job_ledger_entries_bc"].where(as_date("Posting_Date") <= lit_date(date_to))
+    led = src["job_ledger_entries_bc"]
+    fle = led.where(on_or_before(led, "Posting_Date", date_to))
     jc = _jobs_companies(src)
     jc = where_eq(jc, "company_name", company)
     jc = where_eq(jc, "No", project)
@@ -112,7 +113,8 @@ def unposted_pending(src: Sources, company: str | None, project: str | None,
     A blank job number is derived from the business-unit name's first four
     digits ('PY_00' + digits).
     """
-    fq = _unposted_base(src).where(as_date("documentDate") <= lit_date(date_to))
+    fq = _unposted_base(src)
+    fq = fq.where(on_or_before(fq, "documentDate", date_to))
     registrada = contains_ci("bc_documentNo", "CFR")
     out = fq.select(
         as_date("documentDate").alias("fecha_factura"),
@@ -134,7 +136,8 @@ def unposted_docs(src: Sources, company: str | None, project: str | None,
                   d1: dt.date, d2: dt.date) -> DataFrame:
     """Document-level detail of the unposted cost within [d1, d2], without 'RET'
     (retention) documents; sorted by date and document."""
-    fq = _unposted_base(src).where(in_window("documentDate", d1, d2))
+    fq = _unposted_base(src)
+    fq = fq.where(within(fq, "documentDate", d1, d2))
     orig = F.col("bc_documentNo")
     registrada = contains_ci(F.coalesce(orig, F.col("documentNo")), "CFR")
     has_ret = (contains_ci("documentNo", "RET") | contains_ci(orig, "RET")
@@ -191,7 +194,8 @@ def _chapter_text(df: DataFrame) -> "F.Column":
 def pending_month(src: Sources, company: str | None, project: str | None,
                   d1: dt.date, d2: dt.date) -> DataFrame:
     """Pending cost rows whose production date lies in [d1, d2]."""
-    d = src["DimPendientesProduccion"].where(in_window("fecha_produccion", d1, d2))
+    d = src["DimPendientesProduccion"]
+    d = d.where(within(d, "fecha_produccion", d1, d2))
     d = _norm_filter(d, company, project, "empresa", "proyecto")
     return d.select(
         as_date("fecha_produccion").alias("fecha_produccion"),
@@ -205,7 +209,8 @@ def pending_month(src: Sources, company: str | None, project: str | None,
 def production_month(src: Sources, company: str | None, project: str | None,
                      d1: dt.date, d2: dt.date) -> DataFrame:
     """Production-tracking rows (pending certification, remaining production) in [d1, d2]."""
-    d = src["DimSeguimientoProduccion"].where(in_window("fecha_produccion", d1, d2))
+    d = src["DimSeguimientoProduccion"]
+    d = d.where(within(d, "fecha_produccion", d1, d2))
     d = _norm_filter(d, company, project, "empresa", "proyecto")
     return d.select(
         as_date("fecha_produccion").alias("fecha_produccion"),
@@ -243,7 +248,8 @@ def _company_by_name(src: Sources, df: DataFrame) -> DataFrame:
 def pending_docs(src: Sources, company: str | None, project: str | None,
                  d1: dt.date, d2: dt.date) -> DataFrame:
     """Photo of pending cost, windowed on the follow-up date (fecha_seguimiento)."""
-    d = src["DimPendientesProduccion"].where(in_window("fecha_seguimiento", d1, d2))
+    d = src["DimPendientesProduccion"]
+    d = d.where(within(d, "fecha_seguimiento", d1, d2))
     d = _strip_filter(d, company, project, "empresa", "proyecto")
     d = d.select(
         as_date("fecha_seguimiento").alias("fecha_seguimiento"),
@@ -262,7 +268,8 @@ def pending_docs(src: Sources, company: str | None, project: str | None,
 def tracking_docs(src: Sources, company: str | None, project: str | None,
                   d1: dt.date, d2: dt.date) -> DataFrame:
     """Photo of production tracking, windowed on fecha_produccion."""
-    d = src["DimSeguimientoProduccion"].where(in_window("fecha_produccion", d1, d2))
+    d = src["DimSeguimientoProduccion"]
+    d = d.where(within(d, "fecha_produccion", d1, d2))
     d = _strip_filter(d, company, project, "empresa", "proyecto")
     d = d.select(
         as_date("fecha_produccion").alias("fecha_produccion"),
@@ -283,7 +290,8 @@ def tracking_docs(src: Sources, company: str | None, project: str | None,
 def resource_entries(src: Sources, company: str | None, project: str | None,
                      d1: dt.date, d2: dt.date) -> DataFrame:
     """Resource ledger entries posted in [d1, d2]."""
-    r = src["resource_ledger_entries_bc"].where(in_window("Posting_Date", d1, d2))
+    r = src["resource_ledger_entries_bc"]
+    r = r.where(within(r, "Posting_Date", d1, d2))
     r = where_eq(r, "Job_No", project)
     comps = small_side(src["companies_bc"].select(F.col("id").cast("string").alias("_cid"),
                                                   F.col("name").alias("_cname")))
@@ -321,6 +329,7 @@ def invoices_by_chapter(src: Sources, company: str | None, project: str | None,
     pil = src["purchase_invoice_lines_bc"].groupBy("CompanyId", "InvoiceId") \
         .agg(F.count(F.lit(1)).alias("n_lines"))
     pi = src["purchase_invoices_bc"]
+    pi = pi.where(within(pi, "invoiceDate", d1, d2))
     base = pil.join(pi, (pi["id"] == pil["InvoiceId"]) & (pi["CompanyId"] == pil["CompanyId"]), "left") \
         .select(pil["CompanyId"].alias("company_id"), pil["InvoiceId"].alias("invoice_id"),
                 pi["number"].alias("numero_factura"), pi["vendorName"].alias("proveedor"),
