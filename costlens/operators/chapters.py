@@ -204,28 +204,30 @@ def raw_exact(df: DataFrame, metrics) -> DataFrame:
     return df.select(*[F.when(exact, F.col(c)).alias(c) if c in metrics else F.col(c) for c in df.columns])
 
 
-def prev_production_part(src: Sources, req: DataFrame, period: Period) -> DataFrame:
-    """Production of the previous month (option ``with_prev_month``): its
-    chapters join the spine, its amounts feed the '*_mes_anterior' columns."""
-    p = production_part(src, req, period, prev=True)
-    return raw_exact(p.withColumnRenamed("cpend", "cpend_prev").withColumnRenamed("resto", "resto_prev"),
-                     ("cpend_prev", "resto_prev"))
-
-
 def all_parts(src: Sources, req: DataFrame, period: Period, with_prev_month: bool = False,
-              with_end_date: bool = False) -> DataFrame:
-    """Tall union of every source's contribution (one row per source group)."""
+              with_end_date: bool = False, normalize_all_chapters: bool = False) -> DataFrame:
+    """Tall union of every source's contribution (one row per source group).
+
+    ``normalize_all_chapters`` corrects the raw-chapter lookups: ledger,
+    production and planning amounts then land on their normalised chapter
+    instead of being lost for NULL / untrimmed chapters."""
     src = with_lookups(src)
+    exact = (lambda df, m: df) if normalize_all_chapters else raw_exact
+    planning = planning_part(src, req, period)
+    if normalize_all_chapters:
+        planning = planning.withColumn("cap", normalize_chapter("raw_cap"))
     parts = [
-        raw_exact(ledger_part(src, req, period), RAW_KEYED["ledger"]),
-        raw_exact(production_part(src, req, period), RAW_KEYED["production"]),
+        exact(ledger_part(src, req, period), RAW_KEYED["ledger"]),
+        exact(production_part(src, req, period), RAW_KEYED["production"]),
         pending_part(src, req, period),
         unposted_part(src, req, period),
         tasks_part(src, req, period, with_end_date),
-        planning_part(src, req, period),
+        planning,
     ]
     if with_prev_month:
-        parts.append(prev_production_part(src, req, period))
+        prev = production_part(src, req, period, prev=True) \
+            .withColumnRenamed("cpend", "cpend_prev").withColumnRenamed("resto", "resto_prev")
+        parts.append(exact(prev, ("cpend_prev", "resto_prev")))
     cols = ["company_name", "project_no", "cap", "in_spine"] + PART_METRICS
     out = None
     for p in parts:

@@ -222,9 +222,13 @@ def production_month(src: Sources, company: str | None, project: str | None,
     )
 
 
-def _photo_chapter() -> "F.Column":
+def _photo_chapter(fallback: bool = False) -> "F.Column":
     """Detail photos render a NULL code as the text 'None' before the fallback,
-    so the text chapter is never used while the code column exists."""
+    so the text chapter is never used while the code column exists;
+    ``fallback=True`` applies the intended COALESCE(code, text)."""
+    if fallback:
+        return normalize_chapter(F.coalesce(F.col("capitulo_codigo").cast("string"),
+                                            F.col("capitulo").cast("string")))
     code = F.coalesce(F.col("capitulo_codigo").cast("string"), F.lit("None"))
     return normalize_chapter(code)
 
@@ -246,7 +250,7 @@ def _company_by_name(src: Sources, df: DataFrame) -> DataFrame:
 
 
 def pending_docs(src: Sources, company: str | None, project: str | None,
-                 d1: dt.date, d2: dt.date) -> DataFrame:
+                 d1: dt.date, d2: dt.date, chapter_fallback: bool = False) -> DataFrame:
     """Photo of pending cost, windowed on the follow-up date (fecha_seguimiento)."""
     d = src["DimPendientesProduccion"]
     d = d.where(within(d, "fecha_seguimiento", d1, d2))
@@ -255,7 +259,7 @@ def pending_docs(src: Sources, company: str | None, project: str | None,
         as_date("fecha_seguimiento").alias("fecha_seguimiento"),
         F.col("proyecto").alias("project_no"),
         F.col("empresa").alias("company_name"),
-        _photo_chapter().alias("capitulo"),
+        _photo_chapter(chapter_fallback).alias("capitulo"),
         F.col("coste_pendiente"),
         F.col("observaciones"),
         F.col("proveedor"),
@@ -266,7 +270,7 @@ def pending_docs(src: Sources, company: str | None, project: str | None,
 
 
 def tracking_docs(src: Sources, company: str | None, project: str | None,
-                  d1: dt.date, d2: dt.date) -> DataFrame:
+                  d1: dt.date, d2: dt.date, chapter_fallback: bool = False) -> DataFrame:
     """Photo of production tracking, windowed on fecha_produccion."""
     d = src["DimSeguimientoProduccion"]
     d = d.where(within(d, "fecha_produccion", d1, d2))
@@ -275,7 +279,7 @@ def tracking_docs(src: Sources, company: str | None, project: str | None,
         as_date("fecha_produccion").alias("fecha_produccion"),
         F.col("proyecto").alias("project_no"),
         F.col("empresa").alias("company_name"),
-        _photo_chapter().alias("capitulo"),
+        _photo_chapter(chapter_fallback).alias("capitulo"),
         F.col("certificacion_pendiente"),
         F.col("resto_produccion"),
         F.col("observaciones"),

@@ -33,6 +33,7 @@ from costlens.operators.joins import small_side
 from costlens.plans.period import Period
 from costlens.plans.requests import with_norm_keys
 from costlens.sources.loaders import Sources
+from costlens.session import checkpointed
 
 KEY_COLS = ["company_name", "project_no", "period_date", "grupo", "capitulo", "nivel"]
 
@@ -70,7 +71,7 @@ def prepare_requests(requests: DataFrame) -> DataFrame:
     the shared checkpoint folder) because every source join reads it, and
     broadcast only when a bounded count proves it small."""
     req = with_norm_keys(requests.select("company_name", "project_no", "company_id"))
-    req = req.checkpoint(eager=True)
+    req = checkpointed(req)
     return small_side(req)
 
 
@@ -204,15 +205,18 @@ def transform_frame(src: Sources, requests: DataFrame, period: Period, **options
 
 
 def resumen(src: Sources, requests: DataFrame, period: Period, as_double: bool = True,
-            with_prev_month: bool = False, with_end_date: bool = False) -> DataFrame:
+            with_prev_month: bool = False, with_end_date: bool = False,
+            normalize_all_chapters: bool = False) -> DataFrame:
     """Summary rows (28 columns) for every request and the given month.
 
     Options (both off by default, as in the reference): ``with_prev_month``
     feeds the previous month's production into the '*_mes_anterior' columns
     and the spine; ``with_end_date`` limits contract / planned amounts to
-    tasks ended by the cut."""
+    tasks ended by the cut; ``normalize_all_chapters`` keeps the ledger,
+    production and planning amounts of NULL / untrimmed chapters (the
+    reference loses them)."""
     rows = transform_frame(src, requests, period, with_prev_month=with_prev_month,
-                           with_end_date=with_end_date)
+                           with_end_date=with_end_date, normalize_all_chapters=normalize_all_chapters)
     rows = rows.select("company_id", *_REQ_KEYS, "grupo", "linea", "nivel",
                        *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in NUM_COLS])
     rows = unify_chapters(rows)

@@ -24,6 +24,7 @@ from costlens.sinks.tables import (
     RunStamp, append, append_run_log, clean_text_columns, read_table, stamp_run, table_exists, upsert,
 )
 from costlens.sources.loaders import Sources
+from costlens.session import checkpointed
 
 SUMMARY = "resumen_seguimiento"
 INVOICES = "facturas"
@@ -133,7 +134,7 @@ def backfill_missing(spark: SparkSession, src: Sources, period: Period, target:
     snap = snapshot if snapshot is not None else snapshot_table(spark, target)
     reqs = G.backfill_requests(src, snap, period, company)
     # materialise the request set: it is read by every sink of the run
-    reqs = reqs.checkpoint(eager=True)
+    reqs = checkpointed(reqs)
     n = reqs.count()
     if dry_run or n == 0:
         return {"missing": n, "run": 0}

@@ -55,6 +55,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+def checkpointed(df):
+    """Reliable checkpoint into the shared checkpoint folder (``spark.checkpoint.dir``;
+    a scratch folder only when the session has none, as in local tests)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location (for written tables)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from costlens.functions.text import clean_value
+from costlens.session import checkpointed
 
 
 @dataclass(frozen=True)
@@ -100,7 +101,7 @@ def upsert(spark: SparkSession, incoming: DataFrame, path: str, keys: list[str],
     # The new rows feed three branches below (merged rows, key set, touched
     # partitions); materialise them once in the shared checkpoint folder
     # instead of evaluating their plan three times.
-    incoming = incoming.checkpoint(eager=True)
+    incoming = checkpointed(incoming)
     inserted = incoming.count()
 
     existing = read_table(spark, path)

@@ -166,3 +166,21 @@ def test_t7_task_end_date_option(spark, base):
     limited = {r["capitulo"]: r for r in resumen(src, R.all_projects(src), JAN, with_end_date=True).collect()}
     assert default["01.01"]["contratos"] == 22.0      # end date ignored, as in the reference
     assert limited["01.01"]["contratos"] == 10.0
+
+
+def test_t2_option_normalize_all_chapters(spark, base):
+    tables = dict(base, job_ledger_entries_bc=[ledger(D(1997, 1, 5), "PY_1", " 02.01 ", 7),
+                                                ledger(D(1997, 1, 5), "PY_1", None, 3)])
+    src = make_sources(spark, **tables)
+    rows = {r["capitulo"]: r for r in
+            resumen(src, R.all_projects(src), JAN, normalize_all_chapters=True).collect()}
+    assert rows["02.01"]["coste_bc_a_origen"] == 7.0
+    assert rows["None"]["coste_bc_a_origen"] == 3.0
+
+
+def test_t6_option_chapter_fallback(spark):
+    src = make_sources(spark, companies_bc=[company("1", "ACME")], DimPendientesProduccion=[
+        {"fecha_seguimiento": D(1997, 1, 3), "coste_pendiente": dec(1), "capitulo_codigo": None,
+         "capitulo": " CAP X ", "proyecto": "PY_1", "empresa": "ACME"}])
+    rows = DS.pending_docs(src, None, None, D(1997, 1, 1), D(1997, 1, 31), chapter_fallback=True).collect()
+    assert rows[0]["capitulo"] == "CAP X"
