@@ -102,7 +102,7 @@ def ledger_part(src: Sources, req: DataFrame, period: Period) -> DataFrame:
         .select(jc["company_name"], jc["No"].alias("project_no"),
                 agg["Job_Task_No"].alias("raw_cap"), "cbo", "cbm")
     j = _to_requests(j, req, ["company_name", "project_no"], ["company_name", "project_no"])
-    return j.withColumn("cap", normalize_chapter("raw_cap")).withColumn("in_spine", F.lit(True))
+    return j.withColumns({"cap": normalize_chapter("raw_cap"), "in_spine": F.lit(True)})
 
 
 def production_part(src: Sources, req: DataFrame, period: Period, prev: bool = False) -> DataFrame:
@@ -117,7 +117,7 @@ def production_part(src: Sources, req: DataFrame, period: Period, prev: bool = F
         F.sum("certificacion_pendiente").alias("cpend"),
         F.sum("resto_produccion").alias("resto"))
     j = _to_requests(agg, req, ["_ck", "_pk"], ["company_key", "project_key"]).drop("_ck", "_pk")
-    return j.withColumn("cap", normalize_chapter("raw_cap")).withColumn("in_spine", F.lit(True))
+    return j.withColumns({"cap": normalize_chapter("raw_cap"), "in_spine": F.lit(True)})
 
 
 def pending_part(src: Sources, req: DataFrame, period: Period) -> DataFrame:
@@ -128,7 +128,7 @@ def pending_part(src: Sources, req: DataFrame, period: Period) -> DataFrame:
     agg = d.groupBy(normalize_text("empresa").alias("_ck"), normalize_text("proyecto").alias("_pk"),
                     normalize_chapter(raw).alias("cap")).agg(F.sum("coste_pendiente").alias("pend"))
     j = _to_requests(agg, req, ["_ck", "_pk"], ["company_key", "project_key"]).drop("_ck", "_pk")
-    return j.withColumn("raw_cap", F.col("cap")).withColumn("in_spine", F.lit(True))
+    return j.withColumns({"raw_cap": F.col("cap"), "in_spine": F.lit(True)})
 
 
 def unposted_part(src: Sources, req: DataFrame, period: Period) -> DataFrame:
@@ -147,7 +147,7 @@ def unposted_part(src: Sources, req: DataFrame, period: Period) -> DataFrame:
            .join(bu, agg["bunisnessUnit"].cast("string") == bu["_bu_id"], "left")
     j = j.select("company_name", derive_project("posting_jobNo", "_unit").alias("project_no"), "cap", "qwk")
     j = _to_requests(j, req, ["company_name", "project_no"], ["company_name", "project_no"])
-    return j.withColumn("raw_cap", F.col("cap")).withColumn("in_spine", F.lit(True))
+    return j.withColumns({"raw_cap": F.col("cap"), "in_spine": F.lit(True)})
 
 
 def tasks_part(src: Sources, req: DataFrame, period: Period, with_end_date: bool = False) -> DataFrame:
@@ -166,7 +166,7 @@ def tasks_part(src: Sources, req: DataFrame, period: Period, with_end_date: bool
     j = agg.join(jc, tkey == jkey, "inner").select(
         jc["company_name"], jc["No"].alias("project_no"), "cap", "contr", "plan")
     j = _to_requests(j, req, ["company_name", "project_no"], ["company_name", "project_no"])
-    return j.withColumn("raw_cap", F.col("cap")).withColumn("in_spine", F.lit(True))
+    return j.withColumns({"raw_cap": F.col("cap"), "in_spine": F.lit(True)})
 
 
 def planning_part(src: Sources, req: DataFrame, period: Period) -> DataFrame:
@@ -192,7 +192,7 @@ def planning_part(src: Sources, req: DataFrame, period: Period) -> DataFrame:
     a = _to_requests(agg, with_id, ["_cid", "_pno"], ["company_id", "project_no"])
     b = _to_requests(agg, no_id, ["_cname", "_pno"], ["company_name", "project_no"])
     j = a.unionByName(b).drop("_cid", "_cname", "_pno")
-    return j.withColumn("cap", F.col("raw_cap")).withColumn("in_spine", F.lit(False))
+    return j.withColumns({"cap": F.col("raw_cap"), "in_spine": F.lit(False)})
 
 
 RAW_KEYED = {"ledger": ("cbo", "cbm"), "production": ("cpend", "resto")}

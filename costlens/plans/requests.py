@@ -32,8 +32,8 @@ def resolve_company_ids(src: Sources, pairs: DataFrame) -> DataFrame:
 
 
 def with_norm_keys(requests: DataFrame) -> DataFrame:
-    return requests.withColumn("company_key", normalize_text("company_name")) \
-                   .withColumn("project_key", normalize_text("project_no"))
+    return requests.select("*", normalize_text("company_name").alias("company_key"),
+                           normalize_text("project_no").alias("project_key"))
 
 
 def all_projects(src: Sources, company: str | None = None,

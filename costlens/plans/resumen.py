@@ -157,10 +157,11 @@ def _expand(rows: DataFrame) -> DataFrame:
     w = Window.partitionBy(*_REQ_KEYS)
     is_d = F.col("kind") == _DATA
     tot = lambda c: F.coalesce(F.sum(F.when(is_d, F.col(c))).over(w), F.lit(0)).cast(CENTS)
-    rows = rows.withColumn("t_po", tot("produccion_a_origen")) \
-               .withColumn("t_cm", tot("certificacion_mes_actual")) \
-               .withColumn("t_pp", tot("produccion_mes_anterior")) \
-               .withColumn("company_id", F.max("company_id").over(w))
+    rows = rows.select(*[c for c in rows.columns if c != "company_id"],
+                       tot("produccion_a_origen").alias("t_po"),
+                       tot("certificacion_mes_actual").alias("t_cm"),
+                       tot("produccion_mes_anterior").alias("t_pp"),
+                       F.max("company_id").over(w).alias("company_id"))
     lines = F.when(~is_d, F.array(*[
         F.struct(F.lit(label).alias("linea"), F.coalesce(F.col(col), F.lit(0)).cast(PCT).alias("pct"))
         for label, col in OVERHEAD_LINES])
@@ -222,11 +223,15 @@ def resumen(src: Sources, requests: DataFrame, period: Period, as_double: bool =
     rows = unify_chapters(rows)
     out = rows.groupBy("company_id", "company_name", "project_no", "grupo", "capitulo", "nivel") \
         .agg(*[F.sum(c).alias(c) for c in NUM_COLS])
-    out = out.withColumn("produccion_a_origen", F.col("certificacion_a_origen")
-                         + F.col("certificacion_pendiente") + F.col("resto_produccion"))
-    out = out.withColumn("period_date", F.lit(period.cut).cast("date"))
-    for c in ("company_id", "company_name", "project_no", "grupo", "capitulo", "nivel"):
-        out = out.withColumn(c, clean_value(c))
+    # produccion_a_origen is recomputed from its three components after the
+    # re-aggregation; text keys are cleaned as the sink does
+    text_keys = ("company_id", "company_name", "project_no", "grupo", "capitulo", "nivel")
+    out = out.select(
+        *[clean_value(c).alias(c) if c in text_keys else F.col(c) for c in out.columns
+          if c != "produccion_a_origen"],
+        (F.col("certificacion_a_origen") + F.col("certificacion_pendiente")
+         + F.col("resto_produccion")).alias("produccion_a_origen"),
+        F.lit(period.cut).cast("date").alias("period_date"))
     if as_double:
         return out.select(*[F.col(c).cast("double").alias(c) if c in NUM_COLS else F.col(c) for c in OUT_COLS])
     return out.select(*OUT_COLS)
