@@ -19,6 +19,30 @@ RECOMMENDED_CONF = {
 }
 
 
+def cluster_conf(executors: int = 1000, cores_per_executor: int = 8,
+                 shuffle_mb_per_task: int = 256) -> dict:
+    """Settings for the production scale (~100 TB of sources, ~1000 executors).
+
+    * many initial shuffle partitions (several per core) so no reducer holds
+      more than a few hundred MB; AQE coalesces the small ones at runtime to
+      the advisory size and splits skewed join partitions;
+    * large input splits: the sources are read once per plan, column-pruned
+      and date-filtered in the scan;
+    * the broadcast threshold stays Spark's default; explicit broadcasts in
+      this package happen only after a bounded row count (``operators.joins``).
+    """
+    cores = executors * cores_per_executor
+    return dict(RECOMMENDED_CONF, **{
+        "spark.sql.shuffle.partitions": str(max(2 * cores, 200)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{shuffle_mb_per_task}m",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * shuffle_mb_per_task}m",
+        "spark.sql.files.maxPartitionBytes": "512m",
+        "spark.sql.parquet.aggregatePushdown": "true",
+    })
+
+
 def build_session(master: str = "local[8]", app: str = "costlens",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.master(master).appName(app)
