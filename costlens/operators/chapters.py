@@ -156,10 +156,12 @@ def tasks_part(src: Sources, req: DataFrame, period: Period, with_end_date: bool
     end-date filter is inactive; ``with_end_date`` applies it (end date
     present and on or before the cut)."""
     t = src["job_task_lines_subform_bc"]
-    if with_end_date:
-        t = t.where(F.col("End_Date").isNotNull() & (as_ts("End_Date") <= lit_ts(period.cut)))
+    # every task line adds its chapter to the spine; the end date only limits the amounts
+    ended = (F.col("End_Date").isNotNull() & (as_ts("End_Date") <= lit_ts(period.cut))) if with_end_date \
+        else F.lit(True)
     agg = t.groupBy("Job_No", "CompanyId", normalize_chapter("Job_Task_No").alias("cap")).agg(
-        F.sum("Schedule_Total_Price").alias("contr"), F.sum("Schedule_Total_Cost").alias("plan"))
+        F.sum(F.when(ended, F.col("Schedule_Total_Price"))).alias("contr"),
+        F.sum(F.when(ended, F.col("Schedule_Total_Cost"))).alias("plan"))
     jc = _jobs_companies(src)
     tkey = F.concat(agg["Job_No"], F.lit("_"), agg["CompanyId"])
     jkey = F.concat(jc["No"], F.lit("_"), jc["_jcid"])

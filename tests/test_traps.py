@@ -160,12 +160,14 @@ def test_t7_task_end_date_option(spark, base):
                                   "End_Date": end}
     tables = dict(base, job_task_lines_subform_bc=[task("01.01", 10, TS(1997, 1, 10)),
                                                     task("01.01", 5, None),
-                                                    task("01.01", 7, TS(1997, 3, 1))])
+                                                    task("01.01", 7, TS(1997, 3, 1)),
+                                                    task("09.01", 4, TS(1997, 3, 1))])
     src = make_sources(spark, **tables)
     default = {r["capitulo"]: r for r in resumen(src, R.all_projects(src), JAN).collect()}
     limited = {r["capitulo"]: r for r in resumen(src, R.all_projects(src), JAN, with_end_date=True).collect()}
     assert default["01.01"]["contratos"] == 22.0      # end date ignored, as in the reference
     assert limited["01.01"]["contratos"] == 10.0
+    assert limited["09.01"]["contratos"] == 0.0        # chapter kept in the spine
 
 
 def test_t2_option_normalize_all_chapters(spark, base):
