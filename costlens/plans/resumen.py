@@ -12,7 +12,8 @@ Shape of the plan (one request = one (company, project) pair):
    whole tail runs inside that one partitioning, with no further shuffle and
    no second evaluation of the direct rows;
 3. the request set is small (one row per project) but read by every source
-   join; it is checkpointed once to the shared checkpoint folder.
+   join; it is checkpointed once to the shared checkpoint folder, and so is
+   the partitioned tall union (the narrowest point of the plan).
 
 Money stays DECIMAL throughout (order-independent sums, half-up rounding to
 cents) and becomes DOUBLE only in the output. Row volume after step 1 is
@@ -89,10 +90,17 @@ def _seeds(src: Sources, req: DataFrame) -> DataFrame:
 
 
 def _tall(src: Sources, req: DataFrame, period: Period, with_seeds: bool = True, **options) -> DataFrame:
-    """Source contributions (+ request seeds), hash-partitioned by request."""
+    """Source contributions (+ request seeds), checkpointed to the shared
+    checkpoint folder, then hash-partitioned by request.
+
+    The checkpoint sits at the narrowest point of the plan (already aggregated
+    per source, about projects x chapters rows): a lost executor re-reads it
+    instead of re-running the source scans, and the tail is planned over a
+    small plan. The repartition comes after it, inside the tail's query, so
+    every later operator of the tail reuses that one partitioning."""
     data = all_parts(src, req, period, **options).withColumn("kind", F.lit(_DATA))
     tall = data.unionByName(_seeds(src, req), allowMissingColumns=True) if with_seeds else data
-    return tall.repartition(*_REQ_KEYS)
+    return checkpointed(tall).repartition(*_REQ_KEYS)
 
 
 def _grouped(tall: DataFrame) -> DataFrame:
