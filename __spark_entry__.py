@@ -4,7 +4,8 @@ Every query reads the TESTDATA tables of ``sf_dir`` through the fixture
 adapters (``costlens.sources.fixtures``) and runs over the whole tables.
 Fixed parameters: month 1997-01 (d1 = 1997-01-01, cut = 1997-01-31), all
 companies and projects, except the ``*_one_project`` variants, which filter
-on company NATION_2 and its smallest project number.
+on company NATION_2 and its smallest project number, and the
+``*_one_company`` variants, which filter on company NATION_2 only.
 """
 
 from __future__ import annotations
@@ -84,6 +85,14 @@ def _production_one(spark, sf_dir):
     return decimals_to_double(D.production_month(src, ONE_COMPANY, _one_project(src), P.month_start, P.month_end))
 
 
+def _one(fn, *tail):
+    """A dataset filtered on the fixed company and its smallest project."""
+    def run(spark, sf_dir):
+        src = _src(spark, sf_dir)
+        return decimals_to_double(fn(src, ONE_COMPANY, _one_project(src), *tail))
+    return run
+
+
 def _overhead_pct(spark, sf_dir):
     src = _src(spark, sf_dir)
     return decimals_to_double(D.overhead_pct(src, R.all_projects(src)))
@@ -181,6 +190,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ledger_entries": _ds(D.ledger_entries, None, None, P.cut),
         "ledger_entries_one_project": _ledger_one,
         "task_lines": _ds(D.task_lines, None, None),
+        "task_lines_one_project": _one(D.task_lines),
+        "unposted_pending_one_project": _one(D.unposted_pending, P.cut),
+        "invoices_by_chapter_one_company": _ds(D.invoices_by_chapter, ONE_COMPANY, None, P.month_start, P.month_end),
+        "unposted_docs_one_company": _ds(D.unposted_docs, ONE_COMPANY, None, P.month_start, P.month_end),
+        "pending_docs_one_project": _one(D.pending_docs, P.month_start, P.month_end),
+        "tracking_docs_one_project": _one(D.tracking_docs, P.month_start, P.month_end),
+        "resource_entries_one_company": _ds(D.resource_entries, ONE_COMPANY, None, P.month_start, P.month_end),
         "unposted_pending": _ds(D.unposted_pending, None, None, P.cut),
         "overhead_pct": _overhead_pct,
         "pending_month": _ds(D.pending_month, None, None, P.month_start, P.month_end),
@@ -236,6 +252,13 @@ def oracle_sql() -> dict[str, str]:
         "ledger_entries": O.ledger_entries(),
         "ledger_entries_one_project": O.ledger_entries(filtered=True),
         "task_lines": O.task_lines(),
+        "task_lines_one_project": O.task_lines(filtered=True),
+        "unposted_pending_one_project": O.unposted_pending(filtered=True),
+        "invoices_by_chapter_one_company": O.invoices_by_chapter(company=True),
+        "unposted_docs_one_company": O.unposted_docs(company=True),
+        "pending_docs_one_project": O.pending_docs(filtered=True),
+        "tracking_docs_one_project": O.tracking_docs(filtered=True),
+        "resource_entries_one_company": O.resource_entries(company=True),
         "unposted_pending": O.unposted_pending(),
         "overhead_pct": O.overhead_pct(),
         "pending_month": O.pending_month(),
