@@ -20,7 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costlens.functions.dates import as_date, as_ts, lit_date, lit_ts, on_or_before, within
-from costlens.functions.text import contains_ci, derive_project, normalize_chapter, normalize_text, trim_ws
+from costlens.functions.text import (
+    contains_ci, derive_project, is_blank, normalize_chapter, normalize_text, trim_ws,
+)
 from costlens.operators.datasets import CERT, not_certification
 from costlens.operators.joins import small_side
 from costlens.plans.period import Period
@@ -206,14 +208,45 @@ def raw_exact(df: DataFrame, metrics) -> DataFrame:
     return df.select(*[F.when(exact, F.col(c)).alias(c) if c in metrics else F.col(c) for c in df.columns])
 
 
+def restrict_to_requests(src: Sources, req: DataFrame) -> dict:
+    """Cut every raw source down to rows whose project can belong to a request,
+    before any aggregation: a single-project or backfill run then reads the
+    big tables but aggregates only its own projects. The filters are supersets
+    (project number only; blank invoice jobs kept, their project is derived
+    later) — the exact request match happens after aggregation. Only used
+    when the request set is proven small, so both sides are broadcast."""
+    projects = F.broadcast(req.select(F.col("project_no").alias("_fp")).distinct())
+    keys = F.broadcast(req.select(F.col("project_key").alias("_fk")).distinct())
+    out = dict(src)
+
+    def by_project(name: str, col: str) -> None:
+        df = src[name]
+        out[name] = df.join(projects, df[col] == projects["_fp"], "left_semi")
+
+    by_project("job_ledger_entries_bc", "Job_No")
+    by_project("job_task_lines_subform_bc", "Job_No")
+    by_project("job_planning_lines_bc", "Job_No")
+    for name in ("DimSeguimientoProduccion", "DimPendientesProduccion"):
+        df = src[name]
+        out[name] = df.join(keys, normalize_text(df["proyecto"]) == keys["_fk"], "left_semi")
+    fq = src["facturas_qwark"]
+    fq = fq.join(projects, fq["posting_jobNo"] == projects["_fp"], "left")
+    out["facturas_qwark"] = fq.where(F.col("_fp").isNotNull() | is_blank("posting_jobNo")).drop("_fp")
+    return out
+
+
 def all_parts(src: Sources, req: DataFrame, period: Period, with_prev_month: bool = False,
-              with_end_date: bool = False, normalize_all_chapters: bool = False) -> DataFrame:
+              with_end_date: bool = False, normalize_all_chapters: bool = False,
+              restrict: bool = False) -> DataFrame:
     """Tall union of every source's contribution (one row per source group).
 
     ``normalize_all_chapters`` corrects the raw-chapter lookups: ledger,
     production and planning amounts then land on their normalised chapter
-    instead of being lost for NULL / untrimmed chapters."""
+    instead of being lost for NULL / untrimmed chapters. ``restrict`` cuts
+    the raw sources to the requested projects first (small request sets)."""
     src = with_lookups(src)
+    if restrict:
+        src = restrict_to_requests(src, req)
     exact = (lambda df, m: df) if normalize_all_chapters else raw_exact
     planning = planning_part(src, req, period)
     if normalize_all_chapters:

@@ -30,7 +30,7 @@ from costlens.functions.money import CENTS, PCT, clamp_pct, round_money
 from costlens.functions.text import clean_chapter, clean_value
 from costlens.operators.chapters import all_parts
 from costlens.operators.datasets import overhead_pct
-from costlens.operators.joins import small_side
+from costlens.operators.joins import is_small, small_side
 from costlens.plans.period import Period
 from costlens.plans.requests import with_norm_keys
 from costlens.sources.loaders import Sources
@@ -76,6 +76,11 @@ def prepare_requests(requests: DataFrame) -> DataFrame:
     return small_side(req)
 
 
+# A request set at most this large (and proven so by a bounded count) also
+# filters the raw sources before aggregation (see ``restrict_to_requests``).
+RESTRICT_MAX_REQUESTS = 50_000
+
+
 def _seeds(src: Sources, req: DataFrame) -> DataFrame:
     """Seed rows of kind R: one per request (its company id) plus one per
     matching overhead-percentage row. They are aggregated together with the
@@ -98,7 +103,8 @@ def _tall(src: Sources, req: DataFrame, period: Period, with_seeds: bool = True,
     instead of re-running the source scans, and the tail is planned over a
     small plan. The repartition comes after it, inside the tail's query, so
     every later operator of the tail reuses that one partitioning."""
-    data = all_parts(src, req, period, **options).withColumn("kind", F.lit(_DATA))
+    restrict = is_small(req, RESTRICT_MAX_REQUESTS)
+    data = all_parts(src, req, period, restrict=restrict, **options).withColumn("kind", F.lit(_DATA))
     tall = data.unionByName(_seeds(src, req), allowMissingColumns=True) if with_seeds else data
     return checkpointed(tall).repartition(*_REQ_KEYS)
 
