@@ -19,7 +19,8 @@ from costlens.functions.money import money
 from costlens.functions.text import (
     contains_ci, derive_project, normalize_chapter, normalize_text, trim_ws,
 )
-from costlens.operators.joins import small_side, where_eq
+from costlens.operators.joins import is_small, small_side, where_eq
+from costlens.session import checkpointed
 from costlens.sources.loaders import Sources
 
 CERT = "CERTIFICACIONES"   # posting group of certified revenue (fixed value)
@@ -348,15 +349,25 @@ def invoices_by_chapter(src: Sources, company: str | None, project: str | None,
         inv = inv.withColumn("n_lines", F.lit(1).cast("long"))
     inv = inv.withColumn("_k", F.concat(F.col("company_id").cast("string"), F.lit("|"),
                                         F.coalesce(F.col("numero_factura").cast("string"), F.lit(""))))
+    # one month's invoices: materialised once (read by the size check and the
+    # join) in the shared checkpoint folder
+    inv = checkpointed(inv)
 
     j = src["job_ledger_entries_bc"].where(not_certification("Gen_Prod_Posting_Group")
                                            & F.col("Job_Task_No").isNotNull())
     j = where_eq(j, "Job_No", project)
-    led = j.groupBy(
-        F.concat(F.col("CompanyId").cast("string"), F.lit("|"),
-                 F.coalesce(F.col("Document_No").cast("string"), F.lit(""))).alias("_k"),
-        F.col("Job_Task_No"), F.col("Job_No"),
-    ).agg(F.sum("Total_Cost_LCY").alias("_cost"), F.count(F.lit(1)).alias("_n"))
+    led_key = F.concat(F.col("CompanyId").cast("string"), F.lit("|"),
+                       F.coalesce(F.col("Document_No").cast("string"), F.lit("")))
+    small = is_small(inv)
+    if small:
+        # the ledger (the biggest table) is cut to this month's invoice
+        # documents before it is aggregated, by a broadcast semi-join
+        keys = F.broadcast(inv.select(F.col("_k").alias("_ik")).distinct())
+        j = j.join(keys, led_key == keys["_ik"], "left_semi")
+    led = j.groupBy(led_key.alias("_k"), F.col("Job_Task_No"), F.col("Job_No")) \
+        .agg(F.sum("Total_Cost_LCY").alias("_cost"), F.count(F.lit(1)).alias("_n"))
+    if small:
+        inv = F.broadcast(inv)
 
     out = inv.join(led, "_k", "inner").groupBy(
         "Job_Task_No", "numero_factura", "proveedor", "fecha_factura", "company_id", "invoice_id", "Job_No",

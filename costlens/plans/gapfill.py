@@ -48,7 +48,8 @@ def missing_projects(src: Sources, snapshot: DataFrame, period: Period,
     exp = expected_projects(src, company)
     exp = exp.withColumn("company_key", F.lower(trim_ws("company_name"))) \
              .withColumn("project_key", F.lower(trim_ws("project_no")))
-    exist = existing_projects(snapshot, period, company)
+    # one row per project already in the summary: broadcast after a bounded count
+    exist = small_side(existing_projects(snapshot, period, company))
     return exp.join(exist, ["company_key", "project_key"], "left_anti") \
               .select("company_name", "project_no").distinct()
 

@@ -65,3 +65,17 @@ def test_run_from_params_single_project(spark, tmp_table_root):
     assert keys == {(one["company_name"], one["project_no"])}
     bad = RUN.run_from_params(spark, src, {"year": 1997}, RUN.Target(tmp_table_root))
     assert not bad["ok"]
+
+
+def test_restricted_sources_give_the_same_rows(spark):
+    from costlens.plans import resumen as S
+    src = load_fixture_sources(spark, SF)
+    reqs = R.all_projects(src).orderBy("project_no").limit(5)
+    restricted = rows(S.resumen(src, reqs, JAN))
+    old = S.RESTRICT_MAX_REQUESTS
+    try:
+        S.RESTRICT_MAX_REQUESTS = 0          # never restrict
+        full = rows(S.resumen(src, reqs, JAN))
+    finally:
+        S.RESTRICT_MAX_REQUESTS = old
+    assert restricted == full and len(full) > 0
