@@ -1,9 +1,7 @@
 """Golden summary tests on hand-written rows, one per semantic trap."""
 
-import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from costlens.operators import datasets as DS
 from costlens.plans import requests as R
