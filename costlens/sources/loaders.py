@@ -33,22 +33,31 @@ def load_parquet_sources(spark: SparkSession, root: str, tables=None,
 def load_jdbc_sources(spark: SparkSession, url: str, tables=None,
                       properties: dict | None = None,
                       partitioning: dict | None = None,
+                      predicates: dict | None = None,
                       schema: str = "public") -> dict[str, DataFrame]:
     """Read source tables over JDBC (e.g. the PostgreSQL ERP replicas).
 
-    ``partitioning`` maps a table to ``{"column", "lowerBound", "upperBound",
-    "numPartitions"}`` so big tables are read by parallel range queries
-    instead of one connection; Spark pushes simple filters into each query.
+    Big tables are read in parallel, one query per Spark partition, either by
+    ``partitioning`` (table -> ``{"column", "lowerBound", "upperBound",
+    "numPartitions"}``, numeric / date range splits) or by ``predicates``
+    (table -> list of WHERE clauses, e.g. one per company or month). Spark
+    pushes simple filters and the column list into every query.
+    ``properties`` are passed to the driver (user, password, fetchsize, ...).
     """
     props = dict(properties or {})
     partitioning = partitioning or {}
+    predicates = predicates or {}
     out = {}
     for name in tables or TABLES:
-        reader = spark.read.format("jdbc").option("url", url) \
-            .option("dbtable", f'{schema}."{name}"')
-        for k, v in props.items():
-            reader = reader.option(k, v)
-        for k, v in partitioning.get(name, {}).items():
-            reader = reader.option("partitionColumn" if k == "column" else k, v)
-        out[name] = resolve_columns(reader.load(), name, cast=True)
+        table = f'{schema}."{name}"'
+        if name in predicates:
+            df = spark.read.jdbc(url, table, predicates=list(predicates[name]), properties=props)
+        else:
+            reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
+            for k, v in props.items():
+                reader = reader.option(k, v)
+            for k, v in partitioning.get(name, {}).items():
+                reader = reader.option("partitionColumn" if k == "column" else k, v)
+            df = reader.load()
+        out[name] = resolve_columns(df, name, cast=True)
     return out
