@@ -79,3 +79,19 @@ def test_restricted_sources_give_the_same_rows(spark):
     finally:
         S.RESTRICT_MAX_REQUESTS = old
     assert restricted == full and len(full) > 0
+
+
+def test_unification_keeps_metric_totals(spark):
+    """Σ of every metric per project is the same before and after the load's
+    chapter unification and re-aggregation (produccion_a_origen excepted: the
+    load recomputes it from its three components)."""
+    from costlens.plans import resumen as S
+    src = load_fixture_sources(spark, SF)
+    reqs = R.all_projects(src)
+    cols = [c for c in S.NUM_COLS if c != "produccion_a_origen"]
+    before = S.transform_rows(src, reqs, JAN).groupBy("company_name", "project_no") \
+        .agg(*[F.round(F.sum(c), 2).alias(c) for c in cols])
+    after = S.resumen(src, reqs, JAN).groupBy("company_name", "project_no") \
+        .agg(*[F.round(F.sum(c), 2).alias(c) for c in cols])
+    assert rows(before) == rows(after)
+    assert before.count() == reqs.count()
