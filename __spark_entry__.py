@@ -42,7 +42,11 @@ _SOURCES: dict = {}
 def _src(spark: SparkSession, sf_dir: str):
     """Canonical sources of a TESTDATA folder (lazy DataFrames, built once per
     session and folder; nothing is cached in memory)."""
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # sessions without a local SparkContext handle
+        app = None
+    key = (app, id(spark), sf_dir)
     if key not in _SOURCES:
         _SOURCES[key] = load_fixture_sources(spark, sf_dir)
     return _SOURCES[key]
