@@ -184,3 +184,17 @@ def test_t6_option_chapter_fallback(spark):
          "capitulo": " CAP X ", "proyecto": "PY_1", "empresa": "ACME"}])
     rows = DS.pending_docs(src, None, None, D(1997, 1, 1), D(1997, 1, 31), chapter_fallback=True).collect()
     assert rows[0]["capitulo"] == "CAP X"
+
+
+def test_planning_timestamp_after_midnight_of_the_cut_is_excluded(spark, base):
+    plan = lambda ts, amt: {"Planning_Date": ts, "Gen_Prod_Posting_Group": "CERTIFICACIONES",
+                            "Line_Amount": dec(amt), "Job_No": "PY_1", "Job_Task_No": "01.01",
+                            "CompanyId": "1", "Company_Name": None}
+    s = summary(spark, **base,
+                job_ledger_entries_bc=[ledger(D(1997, 1, 5), "PY_1", "01.01", 1)],
+                job_planning_lines_bc=[plan(TS(1997, 1, 31, 0, 0), 100), plan(TS(1997, 1, 31, 10, 0), 7),
+                                       plan(TS(1996, 12, 31), 5)])
+    r = s[("PY_1", "Directos", "01.01")]
+    assert r["certificacion_a_origen"] == 105.0      # the 10:00 line on the last day is after the cut
+    assert r["certificacion_mes_actual"] == 100.0
+    assert r["certificacion_mes_anterior"] == 5.0
