@@ -296,10 +296,9 @@ def cost_by_chapter(src: Sources, req: DataFrame, period: Period, month: bool) -
     """Σ posted cost excluding certifications (NULL group kept), to date or in
     the month, by (company, project, raw chapter)."""
     fle = src["job_ledger_entries_bc"]
-    d = as_date("Posting_Date")
-    cond = not_certification("Gen_Prod_Posting_Group") & on_or_before(fle, "Posting_Date", period.cut)
-    if month:
-        cond = cond & (d >= lit_date(period.month_start))
+    window = within(fle, "Posting_Date", period.month_start, period.cut) if month \
+        else on_or_before(fle, "Posting_Date", period.cut)
+    cond = not_certification("Gen_Prod_Posting_Group") & window
     agg = fle.where(cond).groupBy("Job_No", "CompanyId", "Job_Task_No") \
         .agg(F.sum("Total_Cost_LCY").alias("_v"))
     jc = _jobs_companies(src)
