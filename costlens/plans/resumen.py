@@ -221,13 +221,13 @@ def transform_frame(src: Sources, requests: DataFrame, period: Period, **options
 
 def resumen(src: Sources, requests: DataFrame, period: Period, as_double: bool = True,
             with_prev_month: bool = False, with_end_date: bool = False,
-            normalize_all_chapters: bool = False) -> DataFrame:
+            normalize_all_chapters: bool = False, ordered: bool = False) -> DataFrame:
     """Summary rows (28 columns) for every request and the given month.
 
     Options (both off by default, as in the reference): ``with_prev_month``
     feeds the previous month's production into the '*_mes_anterior' columns
     and the spine; ``with_end_date`` limits contract / planned amounts to
-    tasks ended by the cut; ``normalize_all_chapters`` keeps the ledger,
+    tasks ended by the cut; ``ordered`` sorts the rows as a report; ``normalize_all_chapters`` keeps the ledger,
     production and planning amounts of NULL / untrimmed chapters (the
     reference loses them)."""
     rows = transform_frame(src, requests, period, with_prev_month=with_prev_month,
@@ -247,8 +247,15 @@ def resumen(src: Sources, requests: DataFrame, period: Period, as_double: bool =
          + F.col("resto_produccion")).alias("produccion_a_origen"),
         F.lit(period.cut).cast("date").alias("period_date"))
     if as_double:
-        return out.select(*[F.col(c).cast("double").alias(c) if c in NUM_COLS else F.col(c) for c in OUT_COLS])
-    return out.select(*OUT_COLS)
+        out = out.select(*[F.col(c).cast("double").alias(c) if c in NUM_COLS else F.col(c) for c in OUT_COLS])
+    else:
+        out = out.select(*OUT_COLS)
+    if ordered:
+        # report order of the reference's load: by its grouping keys
+        # (directs before overheads, chapters in code-point order)
+        out = out.orderBy(*[F.col(c).asc_nulls_last() for c in
+                            ("company_id", "company_name", "project_no", "grupo", "capitulo", "nivel")])
+    return out
 
 
 def chapter_spine(src: Sources, requests: DataFrame, period: Period) -> DataFrame:

@@ -198,3 +198,11 @@ def test_planning_timestamp_after_midnight_of_the_cut_is_excluded(spark, base):
     assert r["certificacion_a_origen"] == 105.0      # the 10:00 line on the last day is after the cut
     assert r["certificacion_mes_actual"] == 100.0
     assert r["certificacion_mes_anterior"] == 5.0
+
+
+def test_ordered_report(spark, base):
+    src = make_sources(spark, **base, job_ledger_entries_bc=[
+        ledger(D(1997, 1, 5), "PY_1", "02.01", 1), ledger(D(1997, 1, 5), "PY_1", "01.01", 1)])
+    got = [(r["grupo"], r["capitulo"]) for r in resumen(src, R.all_projects(src), JAN, ordered=True).collect()]
+    assert got == [("Directos", "01.01"), ("Directos", "02.01"),
+                   ("Proporcionales", "Gastos generales"), ("Proporcionales", "Postventa")]
