@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from costlens.functions.text import clean_value
+from costlens.operators.joins import small_side
 from costlens.session import checkpointed
 
 
@@ -108,7 +109,9 @@ def upsert(spark: SparkSession, incoming: DataFrame, path: str, keys: list[str],
     if partition_by:
         touched = incoming.select(partition_by).distinct()
         existing = existing.join(touched, partition_by, "left_semi")
-    inc_keys = incoming.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
+    # the new keys are broadcast when a bounded count proves them few (a
+    # backfill), so the existing partition is not shuffled for the anti-join
+    inc_keys = small_side(incoming.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct())
     kept = existing.join(inc_keys, _keys_equal(existing, inc_keys, keys), "left_anti")
     merged = incoming.unionByName(kept, allowMissingColumns=True)
 
