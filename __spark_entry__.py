@@ -137,8 +137,8 @@ def _backfill(spark, sf_dir):
     return S.resumen(src, G.backfill_requests(src, _snapshot(src), P), P)
 
 
-def _read_back(spark, path, drop=()):
-    df = T.read_table(spark, path)
+def _read_back(spark, path, drop=(), schema=None):
+    df = T.read_table(spark, path, schema)
     return df.drop(*T.META_COLS, *drop)
 
 
@@ -148,8 +148,9 @@ def _upsert_resumen(spark, sf_dir):
     target = RUN.Target(scratch_path(spark, "upsert-resumen"))
     for _ in range(2):
         rows = RUN._prep(S.resumen(src, R.all_projects(src), P), T.RunStamp.new())
-        T.upsert(spark, rows, target.path(RUN.SUMMARY), S.KEY_COLS, partition_by="period_date")
-    return _read_back(spark, target.path(RUN.SUMMARY)).select(*S.OUT_COLS)
+        T.upsert(spark, rows, target.path(RUN.SUMMARY), S.KEY_COLS, partition_by=RUN.SUMMARY_PARTITIONS,
+                 schema=RUN.summary_schema())
+    return _read_back(spark, target.path(RUN.SUMMARY), schema=RUN.summary_schema()).select(*S.OUT_COLS)
 
 
 def _upsert_facturas(spark, sf_dir):

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, DoubleType, StringType, StructField, StructType, TimestampType
 
 from costlens.functions.text import trim_ws
 from costlens.operators import datasets as D
@@ -19,7 +20,7 @@ from costlens.operators.joins import small_side
 from costlens.output import decimals_to_double
 from costlens.plans import gapfill as G
 from costlens.plans.period import Period
-from costlens.plans.resumen import KEY_COLS, resumen
+from costlens.plans.resumen import KEY_COLS, NUM_COLS, OUT_COLS, resumen
 from costlens.sinks.tables import (
     RunStamp, append, append_run_log, clean_text_columns, read_table, stamp_run, table_exists, upsert,
 )
@@ -34,11 +35,24 @@ TRACKING_DOCS = "seguimiento_produccion"
 RESOURCES = "resource_ledger_entries"
 RUN_LOG = "snapshot_run"
 
+# The summary is partitioned by month and company: a run or a backfill
+# rewrites only the (month, company) partitions it touches.
+SUMMARY_PARTITIONS = ["period_date", "company_name"]
+
 INVOICE_KEYS = ["company_id", "invoice_id", "capitulo"]
 INVOICE_COLS = ["company_id", "invoice_id", "job_no", "capitulo", "numero_factura", "proveedor",
                 "fecha_factura", "coste_registrado_a_origen"]
 
 
+def summary_schema() -> StructType:
+    """Column types of the summary table (fixed on read, see ``read_table``)."""
+    fields = [StructField("snapshot_run_id", StringType()), StructField("snapshot_run_ts", TimestampType())]
+    for c in OUT_COLS:
+        t = DoubleType() if c in NUM_COLS else DateType() if c == "period_date" else StringType()
+        fields.append(StructField(c, t))
+    return StructType(fields)
+
+
 @dataclass(frozen=True)
 class Target:
     """Root folder of the snapshot tables (shared storage on a cluster)."""
@@ -104,7 +118,8 @@ def run_snapshot(spark: SparkSession, src: Sources, requests: DataFrame, period:
     req = None if all_projects else requests
     out = {"snapshot_run_id": stamp.run_id}
     out[SUMMARY] = upsert(spark, _prep(summary_rows(src, requests, period), stamp),
-                          target.path(SUMMARY), KEY_COLS, partition_by="period_date")
+                          target.path(SUMMARY), KEY_COLS, partition_by=SUMMARY_PARTITIONS,
+                          schema=summary_schema())
     if details:
         out[INVOICES] = upsert(spark, _prep(invoice_rows(src, period, req), stamp),
                                target.path(INVOICES), INVOICE_KEYS)
@@ -120,7 +135,7 @@ def snapshot_table(spark: SparkSession, target: Target, empty_like: DataFrame |
     """The summary table, or an empty frame of the given shape before the first run."""
     path = target.path(SUMMARY)
     if table_exists(spark, path):
-        return read_table(spark, path)
+        return read_table(spark, path, summary_schema())
     if empty_like is None:
         raise FileNotFoundError(path)
     return empty_like.limit(0)

@@ -65,12 +65,22 @@ def _remove(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
     """Read a sink table; ``mergeSchema`` picks up columns added later
-    (additive schema evolution)."""
+    (additive schema evolution). With ``schema`` the column types — including
+    those of partition columns, which would otherwise be inferred from folder
+    names (a company called '0001' would become the number 1) — are fixed."""
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
+def _cols(partition_by) -> list[str]:
+    if not partition_by:
+        return []
+    return [partition_by] if isinstance(partition_by, str) else list(partition_by)
+
+
 def _keys_equal(left: DataFrame, right: DataFrame, keys) -> "F.Column":
     cond = None
     for k in keys:
@@ -80,13 +90,16 @@ def _keys_equal(left: DataFrame, right: DataFrame, keys) -> "F.Column":
 
 
 def upsert(spark: SparkSession, incoming: DataFrame, path: str, keys: list[str],
-           partition_by: str | None = None) -> dict:
+           partition_by=None, schema=None) -> dict:
     """Insert-or-replace ``incoming`` rows by ``keys`` into the parquet table at ``path``.
 
     Keys that appear more than once in ``incoming`` keep one deterministic row
     (largest non-key values first), so a batch never carries two versions of
-    a key.
+    a key. ``partition_by`` is a column or a list of columns; only the
+    partitions present in ``incoming`` are read and rewritten. ``schema``
+    fixes the table's column types on read (see ``read_table``).
     """
+    parts = _cols(partition_by)
     others = [c for c in incoming.columns if c not in keys]
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in others])
     incoming = incoming.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
@@ -94,8 +107,8 @@ def upsert(spark: SparkSession, incoming: DataFrame, path: str, keys: list[str],
     if not table_exists(spark, path):
         obs = Observation("upsert")
         w0 = incoming.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-        if partition_by:
-            w0 = w0.partitionBy(partition_by)
+        if parts:
+            w0 = w0.partitionBy(*parts)
         w0.parquet(path)
         return {"inserted": int(obs.get["rows"]), "skipped": 0}
 
@@ -105,10 +118,10 @@ def upsert(spark: SparkSession, incoming: DataFrame, path: str, keys: list[str],
     incoming = checkpointed(incoming)
     inserted = incoming.count()
 
-    existing = read_table(spark, path)
-    if partition_by:
-        touched = incoming.select(partition_by).distinct()
-        existing = existing.join(touched, partition_by, "left_semi")
+    existing = read_table(spark, path, schema)
+    if parts:
+        touched = small_side(incoming.select(*parts).distinct())
+        existing = existing.join(touched, parts, "left_semi")
     # the new keys are broadcast when a bounded count proves them few (a
     # backfill), so the existing partition is not shuffled for the anti-join
     inc_keys = small_side(incoming.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct())
@@ -119,28 +132,28 @@ def upsert(spark: SparkSession, incoming: DataFrame, path: str, keys: list[str],
     # a whole-table overwrite would delete it before it is read
     staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex[:12]}"
     sw = merged.write.mode("overwrite")
-    if partition_by:
-        sw = sw.partitionBy(partition_by)
+    if parts:
+        sw = sw.partitionBy(*parts)
     sw.parquet(staging)
 
     # Without a partition column the staged copy holds every row of the table
     # and replaces it whole; with one, only the touched partitions are replaced.
-    staged = read_table(spark, staging)
+    staged = read_table(spark, staging, schema)
     ow = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    if partition_by:
-        ow = ow.partitionBy(partition_by)
+    if parts:
+        ow = ow.partitionBy(*parts)
     ow.parquet(path)
     _remove(spark, staging)
     return {"inserted": inserted, "skipped": 0}
 
 
-def append(incoming: DataFrame, path: str, partition_by: str | None = None) -> dict:
+def append(incoming: DataFrame, path: str, partition_by=None) -> dict:
     """Append rows (detail photos). Re-running a period appends again, as the
     reference does (its detail tables have no key)."""
     obs = Observation("append")
     w = incoming.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append")
-    if partition_by:
-        w = w.partitionBy(partition_by)
+    if _cols(partition_by):
+        w = w.partitionBy(*_cols(partition_by))
     w.parquet(path)
     return {"inserted": int(obs.get["rows"]), "skipped": 0}
 

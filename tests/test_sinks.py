@@ -57,3 +57,23 @@ def test_stamp_and_run_log(spark, tmp_table_root):
     T.append_run_log(spark, tmp_table_root + "/log", st, {"year": 1997, "month": 1})
     row = spark.read.parquet(tmp_table_root + "/log").first()
     assert row["snapshot_run_id"] == st.run_id and '"month": 1' in row["params_json"]
+
+
+def test_two_level_partitions_keep_text_and_untouched_files(spark, tmp_table_root):
+    import os
+    from pyspark.sql import types as ST
+    path = tmp_table_root + "/p2"
+    sch = ST.StructType([ST.StructField("k", ST.StringType()), ST.StructField("v", ST.DoubleType()),
+                         ST.StructField("period_date", ST.DateType()), ST.StructField("company_name", ST.StringType())])
+    jan = dt.date(1997, 1, 31)
+    keys, parts = ["k", "period_date", "company_name"], ["period_date", "company_name"]
+    T.upsert(spark, spark.createDataFrame([("a", 1.0, jan, "0001"), ("b", 2.0, jan, "ACME")], sch),
+             path, keys, partition_by=parts, schema=sch)
+    local = path.replace("file:", "")
+    acme = os.path.join(local, "period_date=1997-01-31", "company_name=ACME")
+    before = sorted(os.listdir(acme))
+    T.upsert(spark, spark.createDataFrame([("a", 5.0, jan, "0001")], sch), path, keys,
+             partition_by=parts, schema=sch)
+    assert sorted(os.listdir(acme)) == before            # untouched partition not rewritten
+    got = sorted((r["k"], r["v"], r["company_name"]) for r in T.read_table(spark, path, sch).collect())
+    assert got == [("a", 5.0, "0001"), ("b", 2.0, "ACME")]   # '0001' stays text
