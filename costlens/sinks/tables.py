@@ -89,6 +89,17 @@ def _keys_equal(left: DataFrame, right: DataFrame, keys) -> "F.Column":
     return cond
 
 
+def _clustered(df: DataFrame, parts: list[str], keys: list[str]) -> DataFrame:
+    """Range-partition rows on (partition columns, first other key) before a
+    partitioned write: each task then covers a contiguous key range and writes
+    files for few partitions (no small-file explosion), while a hot partition
+    value is still split across several tasks by its key range."""
+    if not parts:
+        return df
+    extra = [k for k in keys if k not in parts][:1]
+    return df.repartitionByRange(*[F.col(c) for c in parts + extra])
+
+
 def upsert(spark: SparkSession, incoming: DataFrame, path: str, keys: list[str],
            partition_by=None, schema=None) -> dict:
     """Insert-or-replace ``incoming`` rows by ``keys`` into the parquet table at ``path``.
@@ -106,7 +117,9 @@ def upsert(spark: SparkSession, incoming: DataFrame, path: str, keys: list[str],
 
     if not table_exists(spark, path):
         obs = Observation("upsert")
-        w0 = incoming.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+        # observed above the range repartition: its sampling job must not count
+        w0 = _clustered(incoming, parts, keys).observe(obs, F.count(F.lit(1)).alias("rows")) \
+            .write.mode("overwrite")
         if parts:
             w0 = w0.partitionBy(*parts)
         w0.parquet(path)
@@ -131,7 +144,7 @@ def upsert(spark: SparkSession, incoming: DataFrame, path: str, keys: list[str],
     # sibling of the table on the same (shared) file system, never inside it:
     # a whole-table overwrite would delete it before it is read
     staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex[:12]}"
-    sw = merged.write.mode("overwrite")
+    sw = _clustered(merged, parts, keys).write.mode("overwrite")
     if parts:
         sw = sw.partitionBy(*parts)
     sw.parquet(staging)
