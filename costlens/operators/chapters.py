@@ -191,11 +191,15 @@ def planning_part(src: Sources, req: DataFrame, period: Period) -> DataFrame:
         F.count(F.lit(1)).alias("rows_o"), F.sum(amt).alias("sum_o"), F.count(amt).alias("n_o"),
         F.count(F.when(in_m, F.lit(1))).alias("rows_m"), F.sum(F.when(in_m, amt)).alias("sum_m"),
         F.count(F.when(in_m, amt)).alias("n_m"))
-    with_id = req.where(F.col("company_id").isNotNull())
-    no_id = req.where(F.col("company_id").isNull())
-    a = _to_requests(agg, with_id, ["_cid", "_pno"], ["company_id", "project_no"])
-    b = _to_requests(agg, no_id, ["_cname", "_pno"], ["company_name", "project_no"])
-    j = a.unionByName(b).drop("_cid", "_cname", "_pno")
+    # One equi-join for both matching rules: a request with a company id is
+    # keyed 'i:<id>', one without 'n:<name>'; each aggregated planning row
+    # offers both of its keys (after the aggregation, so the explode is cheap)
+    # and a request has exactly one, so no row is counted twice.
+    agg = agg.withColumn("_mk", F.explode(F.array(F.concat(F.lit("i:"), F.col("_cid")),
+                                                  F.concat(F.lit("n:"), F.col("_cname")))))
+    r = req.withColumn("_mk", F.when(F.col("company_id").isNotNull(), F.concat(F.lit("i:"), F.col("company_id")))
+                       .otherwise(F.concat(F.lit("n:"), F.col("company_name"))))
+    j = _to_requests(agg, r, ["_mk", "_pno"], ["_mk", "project_no"]).drop("_mk", "_cid", "_cname", "_pno")
     return j.withColumns({"cap": F.col("raw_cap"), "in_spine": F.lit(False)})
 
 

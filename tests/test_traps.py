@@ -206,3 +206,18 @@ def test_ordered_report(spark, base):
     got = [(r["grupo"], r["capitulo"]) for r in resumen(src, R.all_projects(src), JAN, ordered=True).collect()]
     assert got == [("Directos", "01.01"), ("Directos", "02.01"),
                    ("Proporcionales", "Gastos generales"), ("Proporcionales", "Postventa")]
+
+
+def test_planning_matched_by_name_when_the_request_has_no_company_id(spark):
+    plan = lambda cid, cname, amt: {"Planning_Date": TS(1997, 1, 10), "Gen_Prod_Posting_Group": "CERTIFICACIONES",
+                                    "Line_Amount": dec(amt), "Job_No": "PY_9", "Job_Task_No": "01.01",
+                                    "CompanyId": cid, "Company_Name": cname}
+    src = make_sources(spark, companies_bc=[company("1", "ACME")],   # PY_9 is not in the job list
+                       DimSeguimientoProduccion=[{"fecha_produccion": D(1997, 1, 20), "certificacion_pendiente": dec(1),
+                                                  "resto_produccion": dec(0), "capitulo_codigo": "01.01",
+                                                  "capitulo": None, "proyecto": "PY_9", "empresa": "ACME",
+                                                  "observaciones": None}],
+                       job_planning_lines_bc=[plan("7", "ACME", 40), plan("8", "OTHER", 1000)])
+    rows = {r["capitulo"]: r for r in resumen(src, R.explicit(spark, src, [("ACME", "PY_9")]), JAN).collect()}
+    assert rows["01.01"]["company_id"] is None
+    assert rows["01.01"]["certificacion_a_origen"] == 40.0
