@@ -134,9 +134,10 @@ def unposted_pending(src: Sources, company: str | None, project: str | None,
 
 
 def unposted_docs(src: Sources, company: str | None, project: str | None,
-                  d1: dt.date, d2: dt.date) -> DataFrame:
+                  d1: dt.date, d2: dt.date, sort: bool = True) -> DataFrame:
     """Document-level detail of the unposted cost within [d1, d2], without 'RET'
-    (retention) documents; sorted by date and document."""
+    (retention) documents; sorted by date and document (``sort=False`` skips
+    the global sort, e.g. when the rows only go into a table)."""
     fq = _unposted_base(src)
     fq = fq.where(within(fq, "documentDate", d1, d2))
     orig = F.col("bc_documentNo")
@@ -157,6 +158,8 @@ def unposted_docs(src: Sources, company: str | None, project: str | None,
     )
     out = where_eq(out, "company_name", company)
     out = where_eq(out, "project_no", project)
+    if not sort:
+        return out
     return out.orderBy(F.col("fecha_factura").asc_nulls_last(), F.col("document_no").asc_nulls_last())
 
 
@@ -318,7 +321,8 @@ def resource_entries(src: Sources, company: str | None, project: str | None,
 # ─────────────────────────── invoices by chapter ───────────────────────────
 
 def invoices_by_chapter(src: Sources, company: str | None, project: str | None,
-                        d1: dt.date, d2: dt.date, dedupe_lines: bool = False) -> DataFrame:
+                        d1: dt.date, d2: dt.date, dedupe_lines: bool = False,
+                        sort: bool = True) -> DataFrame:
     """Posted cost per (chapter, invoice) for invoices dated in [d1, d2].
 
     The reference joins every invoice *line* to every ledger entry of the
@@ -372,9 +376,12 @@ def invoices_by_chapter(src: Sources, company: str | None, project: str | None,
     out = inv.join(led, "_k", "inner").groupBy(
         "Job_Task_No", "numero_factura", "proveedor", "fecha_factura", "company_id", "invoice_id", "Job_No",
     ).agg(F.sum(F.col("_cost") * F.col("n_lines")).alias("coste_registrado_a_origen"))
-    return out.select(
+    out = out.select(
         F.col("Job_Task_No").cast("string").alias("capitulo"),
         "coste_registrado_a_origen", "numero_factura", "proveedor", "fecha_factura",
         F.col("company_id").alias("CompanyId"), F.col("invoice_id").alias("id"), "Job_No",
-    ).orderBy(F.col("fecha_factura").asc_nulls_last(), F.col("numero_factura").asc_nulls_last(),
+    )
+    if not sort:          # e.g. rows that only go into a table
+        return out
+    return out.orderBy(F.col("fecha_factura").asc_nulls_last(), F.col("numero_factura").asc_nulls_last(),
               F.col("capitulo").asc_nulls_last())

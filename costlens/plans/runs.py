@@ -71,7 +71,7 @@ def summary_rows(src: Sources, requests: DataFrame, period: Period) -> DataFrame
 
 
 def invoice_rows(src: Sources, period: Period, requests: DataFrame | None = None) -> DataFrame:
-    inv = D.invoices_by_chapter(src, None, None, period.month_start, period.month_end)
+    inv = D.invoices_by_chapter(src, None, None, period.month_start, period.month_end, sort=False)
     if requests is not None:
         ids = small_side(requests.join(
             src["companies_bc"].select(F.col("id").alias("_cid"), F.col("name").alias("_cn")),
@@ -96,7 +96,7 @@ def _semi(df: DataFrame, requests: DataFrame | None, company_col: str, project_c
 
 def detail_rows(src: Sources, period: Period, requests: DataFrame | None = None) -> dict[str, DataFrame]:
     a, b = period.month_start, period.month_end
-    unposted = _semi(D.unposted_docs(src, None, None, a, b), requests, "company_name", "project_no")
+    unposted = _semi(D.unposted_docs(src, None, None, a, b, sort=False), requests, "company_name", "project_no")
     pending = _semi(D.pending_docs(src, None, None, a, b), requests, "company_name", "project_no", strip=True)
     tracking = _semi(D.tracking_docs(src, None, None, a, b), requests, "company_name", "project_no", strip=True)
     res = D.resource_entries(src, None, None, a, b)
