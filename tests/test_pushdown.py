@@ -34,3 +34,23 @@ def test_parquet_sources_push_period_filters(spark, tmp_table_root):
     a = resumen(pq, R.all_projects(pq), JAN)
     b = resumen(fx, R.all_projects(fx), JAN)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def _key_shuffles(df) -> int:
+    plan = _plan(df)
+    return sum(1 for ln in plan.split("\n")
+               if "Exchange hashpartitioning" in ln or "Exchange rangepartitioning" in ln)
+
+
+def test_plan_shape_of_the_summary(spark, tmp_table_root):
+    """Guards the plan: one shuffle per source in the source job, exactly one
+    shuffle for the whole tail."""
+    from costlens.operators.chapters import all_parts
+    from costlens.plans import resumen as S
+    fx = load_fixture_sources(spark, SF)
+    for name, df in fx.items():
+        df.write.mode("overwrite").parquet(f"{tmp_table_root}/{name}")
+    pq = load_parquet_sources(spark, tmp_table_root, tables=list(fx))
+    req = S.prepare_requests(R.all_projects(pq))
+    assert _key_shuffles(all_parts(pq, req, JAN)) <= 6
+    assert _key_shuffles(resumen(pq, R.all_projects(pq), JAN)) == 1
