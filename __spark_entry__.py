@@ -188,9 +188,25 @@ def _latest_snapshot(spark, sf_dir):
     return latest.drop(*T.META_COLS).select(*S.OUT_COLS)
 
 
+def _llm():
+    """Query and SQL tables of the training-data operators and their pipeline;
+    empty without the subpackage."""
+    try:
+        import corpus_pipeline
+        from costlens.llm import queries as llm
+    except ModuleNotFoundError as e:
+        if e.name not in ("corpus_pipeline", "costlens.llm"):
+            raise
+        return {}, {}
+    sql = dict(llm.oracle_sql())
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return dict(llm.queries(), pipeline=corpus_pipeline.run), sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     prev = P.previous()
-    return {
+    return _llm()[0] | {
         # §2.6 composite datasets
         "ledger_entries": _ds(D.ledger_entries, None, None, P.cut),
         "ledger_entries_one_project": _ledger_one,
@@ -253,7 +269,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    return _llm()[1] | {
         "ledger_entries": O.ledger_entries(),
         "ledger_entries_one_project": O.ledger_entries(filtered=True),
         "task_lines": O.task_lines(),
