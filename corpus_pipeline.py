@@ -4,6 +4,8 @@ its predecessor kept, and its decisions take effect.
 A stage takes (spark, docs, sf_dir) and returns a DataFrame; the result is written
 as Parquet to the cluster's shared checkpoint folder and read again as the next
 stage's docs. All stages but the last return exactly the columns they were given.
+
+Rejections are joined by doc_id; a null doc_id is never rejected by them.
 """
 
 from __future__ import annotations
@@ -11,21 +13,54 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from costlens.llm import mixing
+from costlens.llm.decontaminate import decontaminate
+from costlens.llm.hilbert import document_dims, hilbert_shards
 from costlens.llm.near_dedup import near_dedup
 from costlens.llm.staging import staged, table
+from costlens.llm.toxicity import toxicity as toxicity_scores
 
 #: Similarity, in percent, at which the pipeline counts documents as near copies.
 NEAR_PERCENT = 80
 
 
+def _without(docs: DataFrame, lost: DataFrame) -> DataFrame:
+    """``docs`` but for the doc_ids of ``lost``."""
+    lost = lost.select(F.col("doc_id").alias("__lost")).distinct()
+    return docs.join(lost, docs["doc_id"] == F.col("__lost"), "left_anti")
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier predicts to be toxic go."""
+    return _without(docs, toxicity_scores(docs, table(spark, sf_dir, "labels")).where("predicted = 1"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the smallest id."""
-    lost = near_dedup(docs, percent=NEAR_PERCENT).where(~F.col("kept")).select(F.col("doc_id").alias("__lost"))
-    return docs.join(lost, docs["doc_id"] == F.col("__lost"), "left_anti")
+    return _without(docs, near_dedup(docs, percent=NEAR_PERCENT).where(~F.col("kept")))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold an item of the benchmark go."""
+    return _without(docs, decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each source's documents as often as its target weight asks, in training order."""
+    return mixing.training_order(docs).drop("copy", "position").select(*docs.columns)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Eight shards along a Hilbert curve over language, source and length."""
+    return hilbert_shards(docs, document_dims())
 
 
 STAGES = [
+    ("toxicity", toxicity),
     ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", mix),
+    ("sharding", shard),
 ]
 
 #: The toxicity stage is a trained classifier: SQL can't express the pipeline.

@@ -8,18 +8,53 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from costlens.llm import mixing
+from costlens.llm.decontaminate import decontaminate
+from costlens.llm.embedding_dedup import embedding_dedup
+from costlens.llm.hilbert import document_dims, hilbert_shards
 from costlens.llm.near_dedup import near_dedup
 from costlens.llm.staging import table
+from costlens.llm.toxicity import toxicity
 
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = hilbert_shards(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"), document_dims(), drop=("text",))
+    grown = F.lit(None).cast("int").alias("grown_shard")
+    return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", grown, "curve")
+
+
+def op8_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.plan(table(spark, sf_dir, "documents"))
+    first = F.round(F.array_min("positions"), 6).alias("first_position")
+    return out.select("doc_id", "size", "source_size", "target", "taken", F.size("positions").alias("copies"), first)
+
+
+def op9_cross_polytope_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(table(spark, sf_dir, "embeddings"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_minhash_near_dedup": op2_minhash_near_dedup,
+        "op3_decontamination": op3_decontamination,
+        "op4_hilbert_sharding": op4_hilbert_sharding,
+        "op8_curriculum_mixing": op8_curriculum_mixing,
+        "op9_cross_polytope_near_dedup": op9_cross_polytope_near_dedup,
+        "op10_toxicity": op10_toxicity,
     }
 
 

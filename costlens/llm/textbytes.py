@@ -7,6 +7,7 @@ cutting bytes is the same as cutting code points. All hashes are 64 bits wide.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -153,3 +154,89 @@ def shingle_sets(col: pa.Array, width: int) -> Iterator[tuple[int, int, np.ndarr
         row, value = shingle_hashes(row, word_hashes(part, start, end), j - i, width)
         row, value = distinct_sorted(row, value)
         yield i, j - i, np.searchsorted(row, np.arange(j - i + 1)), value
+
+
+def _letter_tables() -> tuple[np.ndarray, np.ndarray]:
+    """For the code points below 0x10000: is it a letter or a mark inside a word; its
+    lower case where that is a single code point, itself otherwise."""
+    letter, lower = np.zeros(0x10000, bool), np.arange(0x10000, dtype=np.uint32)
+    for c in range(0x10000):
+        s = chr(c)
+        if s.isalpha() or unicodedata.category(s)[0] == "M":
+            letter[c] = True
+            small = s.lower()
+            if len(small) == 1:
+                lower[c] = ord(small)
+    return letter, lower
+
+
+_LETTER, _SMALL = _letter_tables()
+
+
+def letter_stream(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of the texts, lower-cased, each run of other characters than letters
+    as one space, and each text between two spaces; and the bounds of the texts.
+    Code points from 0x10000 count as letters."""
+    n = len(offsets) - 1
+    points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le", "replace"), np.uint32)
+    starts = np.cumsum((data & 0xC0) != 0x80)  # code points up to and with each byte
+    if len(data) and starts[-1] != len(points):  # not UTF-8 throughout: repair each text
+        fixed = [data[a:b].tobytes().decode("utf-8", "replace").encode() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        return letter_stream(np.frombuffer(b"".join(fixed), np.uint8), np.cumsum([0, *map(len, fixed)]))
+    at = np.where(offsets > 0, starts[np.maximum(offsets, 1) - 1], 0) if len(data) else np.zeros(n + 1, np.int64)
+    low = np.minimum(points, 0xFFFF)
+    point = np.where((points > 0xFFFF) | _LETTER[low], np.where(points > 0xFFFF, points, _SMALL[low]), np.uint32(32))
+    # a space before and after each text
+    bounds = np.concatenate((at[:-1], at[1:]))
+    order = np.argsort(np.concatenate((np.arange(n) * 2, np.arange(n) * 2 + 1)), kind="stable")
+    point = np.insert(point, bounds[order], np.uint32(32))
+    begin = at[:-1] + 2 * np.arange(n)
+    end = at[1:] + 2 * np.arange(n) + 2
+    keep = np.ones(len(point), bool)
+    keep[1:] = (point[1:] != 32) | (point[:-1] != 32)
+    keep[begin] = True
+    at_most = np.concatenate(([0], np.cumsum(keep)))
+    bounds = np.append(at_most[begin], at_most[-1]) if n else np.zeros(1, np.int64)
+    return point[keep], bounds
+
+
+def gram_hashes(points: np.ndarray, width: int) -> np.ndarray:
+    """64-bit hashes of all runs of ``width`` code points (texts aren't told apart)."""
+    m = len(points) - width + 1
+    if m <= 0:
+        return np.zeros(0, np.uint64)
+    wide = points.astype(np.uint64)
+    total = np.full(m, np.uint64(width), np.uint64)
+    factor = int(_PRIME)
+    for i in range(width):
+        total += wide[i : i + m] * np.uint64(factor)
+        factor = factor * int(_PRIME) % (1 << 64)
+    return mix64(total)
+
+
+class Lookup:
+    """Finds which of many hashes belong to a small fixed set: a bitmap of their top
+    bits rules most out, a binary search settles the rest."""
+
+    BITS = 22
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = np.sort(hashes.astype(np.uint64))
+        self._map = None
+
+    def __getstate__(self):
+        return {"hashes": self.hashes, "_map": None}
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(position in ``hashes``, index in the sorted set) of each hit."""
+        if not len(self.hashes) or not len(hashes):
+            z = np.zeros(0, np.int64)
+            return z, z
+        shift = np.uint64(64 - self.BITS)
+        if self._map is None:
+            self._map = np.zeros(1 << self.BITS, bool)
+            self._map[self.hashes >> shift] = True
+        at = np.flatnonzero(self._map[hashes >> shift])
+        index = np.searchsorted(self.hashes, hashes[at])
+        hit = self.hashes[np.minimum(index, len(self.hashes) - 1)] == hashes[at]
+        return at[hit], index[hit]
