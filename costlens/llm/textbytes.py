@@ -175,8 +175,7 @@ _LETTER, _SMALL = _letter_tables()
 
 def letter_stream(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Code points of the texts, lower-cased, each run of other characters than letters
-    as one space, and each text between two spaces; and the bounds of the texts.
-    Code points from 0x10000 count as letters."""
+    as one space, and each text between two spaces; and the bounds of the texts. Case is left as it is from 0x10000 on."""
     n = len(offsets) - 1
     points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le", "replace"), np.uint32)
     starts = np.cumsum((data & 0xC0) != 0x80)  # code points up to and with each byte
@@ -185,7 +184,11 @@ def letter_stream(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
         return letter_stream(np.frombuffer(b"".join(fixed), np.uint8), np.cumsum([0, *map(len, fixed)]))
     at = np.where(offsets > 0, starts[np.maximum(offsets, 1) - 1], 0) if len(data) else np.zeros(n + 1, np.int64)
     low = np.minimum(points, 0xFFFF)
-    point = np.where((points > 0xFFFF) | _LETTER[low], np.where(points > 0xFFFF, points, _SMALL[low]), np.uint32(32))
+    point = np.where(_LETTER[low], _SMALL[low], np.uint32(32))
+    high = np.flatnonzero(points > 0xFFFF)
+    for c in np.unique(points[high]):
+        if chr(c).isalpha():
+            point[high[points[high] == c]] = c
     # a space before and after each text
     bounds = np.concatenate((at[:-1], at[1:]))
     order = np.argsort(np.concatenate((np.arange(n) * 2, np.arange(n) * 2 + 1)), kind="stable")
