@@ -10,12 +10,14 @@ on company NATION_2 and its smallest project number, and the
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -134,7 +136,25 @@ def _missing(spark, sf_dir):
 
 def _backfill(spark, sf_dir):
     src = _src(spark, sf_dir)
-    return S.resumen(src, G.backfill_requests(src, _snapshot(src), P), P)
+    return S.resumen(src, G.backfill_requests(src, _snapshot(src), P), P, restrict=True)
+
+
+def _expected_company(spark, sf_dir):
+    return G.expected_projects(_src(spark, sf_dir), company=ONE_COMPANY.lower())
+
+
+def _existing_company(spark, sf_dir):
+    # the snapshot holds company names in lower case between spaces
+    return G.existing_projects(_snapshot(_src(spark, sf_dir)), P, company=f" {ONE_COMPANY} ")
+
+
+def _backfill_dry_run(spark, sf_dir):
+    """The pairs that a dry run of the backfill lists for one company."""
+    src = _src(spark, sf_dir)
+    out = RUN.backfill_missing(spark, src, P, RUN.Target(scratch_path(spark, "dry-run")),
+                               snapshot=_snapshot(src), dry_run=True, company=ONE_COMPANY.lower())
+    assert out["run"] == 0
+    return out["requests"]
 
 
 def _read_back(spark, path, drop=(), schema=None):
@@ -142,24 +162,43 @@ def _read_back(spark, path, drop=(), schema=None):
     return df.drop(*T.META_COLS, *drop)
 
 
+def _written_summary(spark, src, name):
+    """The month's summary, evaluated once and written to the shared folder."""
+    path = scratch_path(spark, name)
+    S.resumen(src, R.all_projects(src), P).write.parquet(path)
+    return spark.read.schema(_summary_types()).parquet(path)
+
+
+def _summary_types():
+    meta = set(T.META_COLS)
+    return StructType([f for f in RUN.summary_schema().fields if f.name not in meta])
+
+
 def _upsert_resumen(spark, sf_dir):
-    """Upsert the month's summary twice (the second run replaces the first)."""
+    """Two batches. The first has other values for every key and, for one company,
+    projects ('ZZ...') that the second lacks; the second lacks company NATION_3. The table
+    must hold the second batch's values, the ZZ projects, and NATION_3 as first written."""
     src = _src(spark, sf_dir)
     target = RUN.Target(scratch_path(spark, "upsert-resumen"))
-    for _ in range(2):
-        rows = RUN._prep(S.resumen(src, R.all_projects(src), P), T.RunStamp.new())
-        T.upsert(spark, rows, target.path(RUN.SUMMARY), S.KEY_COLS, partition_by=RUN.SUMMARY_PARTITIONS,
-                 schema=RUN.summary_schema())
+    rows = _written_summary(spark, src, "upsert-source")
+    first = rows.withColumn("coste_qwark", F.col("coste_qwark") + 1)
+    vanished = first.where(F.col("company_name") == ONE_COMPANY) \
+        .withColumn("project_no", F.concat(F.lit("ZZ"), "project_no"))
+    for batch in (first.unionByName(vanished), rows.where("company_name <> 'NATION_3'")):
+        T.upsert(spark, RUN._prep(batch, T.RunStamp.new()), target.path(RUN.SUMMARY), S.KEY_COLS,
+                 partition_by=RUN.SUMMARY_PARTITIONS, schema=RUN.summary_schema())
     return _read_back(spark, target.path(RUN.SUMMARY), schema=RUN.summary_schema()).select(*S.OUT_COLS)
 
 
 def _upsert_facturas(spark, sf_dir):
+    """The month's invoices, summed to the sink key; first with every cost one higher."""
     src = _src(spark, sf_dir)
-    target = RUN.Target(scratch_path(spark, "upsert-facturas"))
-    for _ in range(2):
-        rows = RUN._prep(RUN.invoice_rows(src, P), T.RunStamp.new())
-        T.upsert(spark, rows, target.path(RUN.INVOICES), RUN.INVOICE_KEYS)
-    return _read_back(spark, target.path(RUN.INVOICES)).select(*RUN.INVOICE_COLS)
+    path = RUN.Target(scratch_path(spark, "upsert-facturas")).path(RUN.INVOICES)
+    rows = RUN.invoice_rows(src, P)
+    RUN.upsert_invoices(spark, rows.withColumn("coste_registrado_a_origen", F.col("coste_registrado_a_origen") + 1),
+                        T.RunStamp.new(), path)
+    RUN.upsert_invoices(spark, rows, T.RunStamp.new(), path)
+    return _read_back(spark, path, schema=RUN.invoice_schema()).select(*RUN.INVOICE_COLS)
 
 
 def _append_detail(name):
@@ -175,16 +214,19 @@ def _append_detail(name):
 
 
 def _latest_snapshot(spark, sf_dir):
-    """Run log of two runs (every project, then the backfill of the missing
-    ones, later); the latest-row view keeps one row per key."""
+    """Run log of two runs (every project, then, later and with other amounts, the
+    projects that the gap fill names); the latest-row view keeps one row per key."""
     src = _src(spark, sf_dir)
     path = scratch_path(spark, "latest")
-    first = RUN._prep(S.resumen(src, R.all_projects(src), P), T.RunStamp.new())
-    T.append(first, path, partition_by="period_date")
-    reqs = G.backfill_requests(src, _snapshot(src), P)
-    second = RUN._prep(S.resumen(src, reqs, P), T.RunStamp.new())
-    T.append(second, path, partition_by="period_date")
-    latest = T.latest_rows(T.read_table(spark, path), S.KEY_COLS)
+    rows = _written_summary(spark, src, "latest-source")
+    first = T.RunStamp.new()
+    later = T.RunStamp(first.run_id, first.run_ts + dt.timedelta(hours=1))
+    # the older run is written last: the order of writing must not matter
+    keys = G.backfill_requests(src, _snapshot(src), P).select("company_name", "project_no")
+    again = rows.join(keys, ["company_name", "project_no"], "left_semi").withColumn("contratos", F.col("contratos") + 1000)
+    T.append(RUN._prep(again, later), path, partition_by="period_date")
+    T.append(RUN._prep(rows, first), path, partition_by="period_date")
+    latest = T.latest_rows(T.read_table(spark, path, RUN.summary_schema()), S.KEY_COLS)
     return latest.drop(*T.META_COLS).select(*S.OUT_COLS)
 
 
@@ -256,6 +298,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "expected_projects": _expected,
         "existing_projects": _existing,
         "missing_projects": _missing,
+        "expected_projects_company": _expected_company,
+        "existing_projects_company": _existing_company,
+        "backfill_dry_run": _backfill_dry_run,
         "backfill_missing": _backfill,
         # sinks (written to a fresh folder under the checkpoint dir, read back)
         "upsert_resumen": _upsert_resumen,
@@ -314,12 +359,15 @@ def oracle_sql() -> dict[str, str]:
         "expected_projects": O.expected_projects(),
         "existing_projects": O.existing_projects(),
         "missing_projects": O.missing_projects(),
+        "expected_projects_company": O.expected_projects_company(),
+        "existing_projects_company": O.existing_projects_company(),
+        "backfill_dry_run": O.backfill_dry_run(),
         "backfill_missing": O.backfill_missing(),
-        "upsert_resumen": O.resumen(),
+        "upsert_resumen": O.upsert_resumen(),
         "upsert_facturas": O.upsert_facturas(),
         "append_unposted_docs": O.cleaned(O.unposted_docs(), O.TEXT_COLUMNS["unposted_docs"]),
         "append_pending_docs": O.cleaned(O.pending_docs(), O.TEXT_COLUMNS["pending_docs"]),
         "append_tracking_docs": O.cleaned(O.tracking_docs(), O.TEXT_COLUMNS["tracking_docs"]),
         "append_resource_entries": O.cleaned(O.resource_entries(), O.TEXT_COLUMNS["resource_entries"]),
-        "latest_snapshot": O.resumen(),
+        "latest_snapshot": O.latest_snapshot(),
     }

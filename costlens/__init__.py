@@ -10,7 +10,6 @@ Layout:
   operators/  dataset queries and chapter aggregates
   plans/      composite plans: the summary (`resumen`), gap fill, run stamp
   sinks/      upsert / append / latest-row writers over parquet tables
-  streaming/  incremental (micro-batch) driving of the same plans
 """
 
 from costlens.plans.period import Period

@@ -34,7 +34,3 @@ def clamp_pct(raw) -> Column:
     frac = money(raw) * F.lit(0.01).cast(DecimalType(3, 2))
     clipped = F.least(F.greatest(frac, F.lit(0).cast(PCT)), F.lit(1).cast(PCT))
     return F.coalesce(clipped, F.lit(0)).cast(PCT)
-
-
-def to_double(c) -> Column:
-    return _col(c).cast("double")

@@ -32,11 +32,11 @@ def trim_ws(c) -> Column:
 def normalize_text(c) -> Column:
     """NBSP -> space, strip, case-fold; NULL renders as 'none' like ``str(None)``.
 
-    Spark's ``lower`` keeps 'ß' where Python's ``casefold`` gives 'ss'; that is
-    the only known difference and is accepted.
+    Case folding is ``lower`` with 'ß' written 'ss'; rarer foldings (ligatures, final
+    sigma) stay as ``lower`` leaves them.
     """
     s = F.coalesce(_col(c).cast("string"), F.lit("None"))
-    return F.lower(trim_ws(F.regexp_replace(s, NBSP, " ")))
+    return F.replace(F.lower(trim_ws(F.regexp_replace(s, NBSP, " "))), F.lit("ß"), F.lit("ss"))
 
 
 def normalize_chapter(c) -> Column:

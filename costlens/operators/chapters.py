@@ -24,7 +24,6 @@ from costlens.functions.text import (
     contains_ci, derive_project, is_blank, normalize_chapter, normalize_text, trim_ws,
 )
 from costlens.operators.datasets import CERT, not_certification
-from costlens.operators.joins import small_side
 from costlens.plans.period import Period
 from costlens.sources.loaders import Sources
 
@@ -41,38 +40,21 @@ PART_METRICS = [
 ]
 
 
-def _jobs_companies(src: Sources) -> DataFrame:
-    """Project -> company name lookup (one row per job), broadcast when a
-    bounded count proves it small; otherwise joins with it stay shuffle joins."""
-    if "_jobs_companies" in src:
-        return src["_jobs_companies"]
-    jobs = src["job_list_bc"].select(F.col("No"), F.col("CompanyId").alias("_jcid"))
-    comps = small_side(src["companies_bc"].select(F.col("id"), F.col("name").alias("company_name")))
-    return small_side(jobs.join(comps, F.col("_jcid") == F.col("id"), "inner").drop("id"))
+def _jobs(src: Sources) -> DataFrame:
+    return src["job_list_bc"].select(F.col("No"), F.col("CompanyId").alias("_jcid"))
 
 
-def _lookup(src: Sources, name: str, build) -> DataFrame:
-    return src[name] if name in src else build()
-
-
-def with_lookups(src: Sources) -> dict:
-    """Size-check the shared lookups once per plan (each check is one bounded
-    count) and hand the same DataFrames to every part."""
-    out = dict(src)
-    out["_jobs_companies"] = _jobs_companies(src)
-    out["_cq"] = _companies_qwark(src)
-    out["_bu"] = _business_units(src)
-    return out
+def _companies(src: Sources) -> DataFrame:
+    return src["companies_bc"].select(F.col("id").alias("_cid"), F.col("name").alias("company_name"))
 
 
 def _companies_qwark(src: Sources) -> DataFrame:
-    return _lookup(src, "_cq", lambda: small_side(src["companies_qwark"].select(
-        F.col("id").alias("_cq_id"), F.col("name").alias("company_name"))))
+    return src["companies_qwark"].select(F.col("id").alias("_cq_id"), F.col("name").alias("company_name"))
 
 
 def _business_units(src: Sources) -> DataFrame:
-    return _lookup(src, "_bu", lambda: small_side(src["businessUnit_qwark"].select(
-        F.col("id").cast("string").alias("_bu_id"), F.col("Unidad de negocio").alias("_unit"))))
+    return src["businessUnit_qwark"].select(
+        F.col("id").cast("string").alias("_bu_id"), F.col("Unidad de negocio").alias("_unit"))
 
 
 def _to_requests(df: DataFrame, req: DataFrame, left_keys, right_keys) -> DataFrame:
@@ -84,9 +66,23 @@ def _to_requests(df: DataFrame, req: DataFrame, left_keys, right_keys) -> DataFr
     for lk, rk in zip(left_keys, right_keys):
         c = F.col(lk) == F.col(f"_r_{rk}")
         cond = c if cond is None else cond & c
-    keep = [c for c in df.columns if c not in ("company_name", "project_no")]
+    keep = [c for c in df.columns if c not in ("company_name", "project_no", "company_id")]
     return df.join(r, cond, "inner").select(
-        F.col("_r_company_name").alias("company_name"), F.col("_r_project_no").alias("project_no"), *keep)
+        F.col("_r_company_name").alias("company_name"), F.col("_r_project_no").alias("project_no"),
+        F.col("_r_company_id").alias("company_id"), *keep)
+
+
+def _with_project(src: Sources, agg: DataFrame) -> DataFrame:
+    """Ledger aggregates with their project and company name. Jobs and companies are
+    joined one after the other, as plain scans that Spark can broadcast by size."""
+    jobs, comps = _jobs(src), _companies(src)
+    j = agg.join(jobs, (agg["Job_No"] == jobs["No"]) & (agg["CompanyId"] == jobs["_jcid"]), "inner")
+    return j.join(comps, F.col("_jcid") == F.col("_cid"), "inner").withColumn("project_no", F.col("No"))
+
+
+def _task_key(job, company) -> "F.Column":
+    """The reference's text key of a job, under which task lines match."""
+    return F.concat(job, F.lit("_"), company)
 
 
 def ledger_part(src: Sources, req: DataFrame, period: Period) -> DataFrame:
@@ -99,10 +95,7 @@ def ledger_part(src: Sources, req: DataFrame, period: Period) -> DataFrame:
         F.sum(F.when(nc, F.col("Total_Cost_LCY"))).alias("cbo"),
         F.sum(F.when(nc & (d >= lit_date(period.month_start)), F.col("Total_Cost_LCY"))).alias("cbm"),
     )
-    jc = _jobs_companies(src)
-    j = agg.join(jc, (agg["Job_No"] == jc["No"]) & (agg["CompanyId"] == jc["_jcid"]), "inner") \
-        .select(jc["company_name"], jc["No"].alias("project_no"),
-                agg["Job_Task_No"].alias("raw_cap"), "cbo", "cbm")
+    j = _with_project(src, agg).select("company_name", "project_no", F.col("Job_Task_No").alias("raw_cap"), "cbo", "cbm")
     j = _to_requests(j, req, ["company_name", "project_no"], ["company_name", "project_no"])
     return j.withColumns({"cap": normalize_chapter("raw_cap"), "in_spine": F.lit(True)})
 
@@ -164,11 +157,10 @@ def tasks_part(src: Sources, req: DataFrame, period: Period, with_end_date: bool
     agg = t.groupBy("Job_No", "CompanyId", normalize_chapter("Job_Task_No").alias("cap")).agg(
         F.sum(F.when(ended, F.col("Schedule_Total_Price"))).alias("contr"),
         F.sum(F.when(ended, F.col("Schedule_Total_Cost"))).alias("plan"))
-    jc = _jobs_companies(src)
-    tkey = F.concat(agg["Job_No"], F.lit("_"), agg["CompanyId"])
-    jkey = F.concat(jc["No"], F.lit("_"), jc["_jcid"])
-    j = agg.join(jc, tkey == jkey, "inner").select(
-        jc["company_name"], jc["No"].alias("project_no"), "cap", "contr", "plan")
+    jobs, comps = _jobs(src), _companies(src)
+    j = agg.join(jobs, _task_key(agg["Job_No"], agg["CompanyId"]) == _task_key(jobs["No"], jobs["_jcid"]), "inner") \
+        .join(comps, F.col("_jcid") == F.col("_cid"), "inner") \
+        .select("company_name", F.col("No").alias("project_no"), "cap", "contr", "plan")
     j = _to_requests(j, req, ["company_name", "project_no"], ["company_name", "project_no"])
     return j.withColumns({"raw_cap": F.col("cap"), "in_spine": F.lit(True)})
 
@@ -213,29 +205,30 @@ def raw_exact(df: DataFrame, metrics) -> DataFrame:
 
 
 def restrict_to_requests(src: Sources, req: DataFrame) -> dict:
-    """Cut every raw source down to rows whose project can belong to a request,
-    before any aggregation: a single-project or backfill run then reads the
-    big tables but aggregates only its own projects. The filters are supersets
-    (project number only; blank invoice jobs kept, their project is derived
-    later) — the exact request match happens after aggregation. Only used
-    when the request set is proven small, so both sides are broadcast."""
-    projects = F.broadcast(req.select(F.col("project_no").alias("_fp")).distinct())
-    keys = F.broadcast(req.select(F.col("project_key").alias("_fk")).distinct())
+    """Cut every raw source down to rows that can belong to a request, before any
+    aggregation, so a single-project or backfill run aggregates only its own
+    projects. Each semi-join uses the key under which the source matches jobs (task
+    lines: the concatenated key), so no row of a request is lost; the exact request
+    match follows after the aggregation. Blank invoice jobs are kept: their project
+    is derived later."""
+    projects = req.select(F.col("project_no").alias("_fp"))
+    keys = req.select(F.col("project_key").alias("_fk"))
     out = dict(src)
-
-    def by_project(name: str, col: str) -> None:
-        df = src[name]
-        out[name] = df.join(projects, df[col] == projects["_fp"], "left_semi")
-
-    by_project("job_ledger_entries_bc", "Job_No")
-    by_project("job_task_lines_subform_bc", "Job_No")
-    by_project("job_planning_lines_bc", "Job_No")
+    for name in ("job_ledger_entries_bc", "job_planning_lines_bc"):
+        out[name] = src[name].join(projects, src[name]["Job_No"] == projects["_fp"], "left_semi")
+    tasks = src["job_task_lines_subform_bc"]
+    jobs = _jobs(src).join(projects, F.col("No") == F.col("_fp"), "left_semi").select(
+        _task_key(F.col("No"), F.col("_jcid")).alias("_ft"))
+    out["job_task_lines_subform_bc"] = tasks.join(
+        jobs, _task_key(tasks["Job_No"], tasks["CompanyId"]) == jobs["_ft"], "left_semi")
     for name in ("DimSeguimientoProduccion", "DimPendientesProduccion"):
         df = src[name]
         out[name] = df.join(keys, normalize_text(df["proyecto"]) == keys["_fk"], "left_semi")
     fq = src["facturas_qwark"]
-    fq = fq.join(projects, fq["posting_jobNo"] == projects["_fp"], "left")
-    out["facturas_qwark"] = fq.where(F.col("_fp").isNotNull() | is_blank("posting_jobNo")).drop("_fp")
+    blank = fq.where(is_blank("posting_jobNo"))
+    given = fq.where(~is_blank("posting_jobNo"))
+    given = given.join(projects, given["posting_jobNo"] == projects["_fp"], "left_semi")
+    out["facturas_qwark"] = given.unionByName(blank)
     return out
 
 
@@ -247,8 +240,7 @@ def all_parts(src: Sources, req: DataFrame, period: Period, with_prev_month: boo
     ``normalize_all_chapters`` corrects the raw-chapter lookups: ledger,
     production and planning amounts then land on their normalised chapter
     instead of being lost for NULL / untrimmed chapters. ``restrict`` cuts
-    the raw sources to the requested projects first (small request sets)."""
-    src = with_lookups(src)
+    the raw sources to the requested projects first; the result is the same."""
     if restrict:
         src = restrict_to_requests(src, req)
     exact = (lambda df, m: df) if normalize_all_chapters else raw_exact
@@ -267,13 +259,12 @@ def all_parts(src: Sources, req: DataFrame, period: Period, with_prev_month: boo
         prev = production_part(src, req, period, prev=True) \
             .withColumnRenamed("cpend", "cpend_prev").withColumnRenamed("resto", "resto_prev")
         parts.append(exact(prev, ("cpend_prev", "resto_prev")))
-    cols = ["company_name", "project_no", "cap", "in_spine"] + PART_METRICS
+    cols = ["company_name", "project_no", "company_id", "cap", "in_spine"] + PART_METRICS
     out = None
     for p in parts:
         p = p.drop("raw_cap")
         out = p if out is None else out.unionByName(p, allowMissingColumns=True)
-    have = set(out.columns)
-    return out.select(*[F.col(c) if c in have else F.lit(None).cast("decimal(18,6)").alias(c) for c in cols])
+    return out.select(*[c for c in cols if c in set(out.columns)])
 
 
 # ─────────────── individual chapter aggregates (§2.5 queries) ───────────────
@@ -305,9 +296,7 @@ def cost_by_chapter(src: Sources, req: DataFrame, period: Period, month: bool) -
     cond = not_certification("Gen_Prod_Posting_Group") & window
     agg = fle.where(cond).groupBy("Job_No", "CompanyId", "Job_Task_No") \
         .agg(F.sum("Total_Cost_LCY").alias("_v"))
-    jc = _jobs_companies(src)
-    j = agg.join(jc, (agg["Job_No"] == jc["No"]) & (agg["CompanyId"] == jc["_jcid"]), "inner") \
-        .select(jc["company_name"], jc["No"].alias("project_no"), agg["Job_Task_No"], "_v")
+    j = _with_project(src, agg).select("company_name", "project_no", "Job_Task_No", "_v")
     j = _to_requests(j, req, ["company_name", "project_no"], ["company_name", "project_no"])
     name = "coste_bc_mes_actual" if month else "coste_bc_a_origen"
     return j.groupBy("company_name", "project_no", F.col("Job_Task_No").alias("job_task_no")) \

@@ -3,8 +3,8 @@
 Each function takes the canonical ``Sources`` mapping plus optional company
 / project filters and returns a lazy DataFrame. Filters are only added when
 a parameter is given, and are written on source columns so Catalyst pushes
-them into the scans. Dimension joins (companies, business units) go through
-``small_side`` which broadcasts only after a bounded row count.
+them into the scans. Dimensions (jobs, companies, business units) are joined one by
+one as plain scans, so Spark broadcasts each by its size in bytes.
 """
 
 from __future__ import annotations
@@ -19,8 +19,7 @@ from costlens.functions.money import money
 from costlens.functions.text import (
     contains_ci, derive_project, normalize_chapter, normalize_text, trim_ws,
 )
-from costlens.operators.joins import is_small, small_side, where_eq
-from costlens.session import checkpointed
+from costlens.operators.joins import where_eq, where_given
 from costlens.sources.loaders import Sources
 
 CERT = "CERTIFICACIONES"   # posting group of certified revenue (fixed value)
@@ -31,16 +30,14 @@ def not_certification(gppg) -> "F.Column":
     return ~F.col(gppg).eqNullSafe(F.lit(CERT)) if isinstance(gppg, str) else ~gppg.eqNullSafe(F.lit(CERT))
 
 
-def _jobs_companies(src: Sources) -> DataFrame:
-    """job_list_bc ⨝ companies_bc -> (No, CompanyId, Description, company_name).
+def _jobs(src: Sources, project: str | None) -> DataFrame:
+    jobs = src["job_list_bc"].select("No", F.col("CompanyId").alias("_jcid"), "Description")
+    return where_eq(jobs, "No", project)
 
-    One row per job: broadcast when a bounded count proves it small, so the
-    fact table joined to it (ledger, task lines) is never shuffled and a hot
-    project cannot skew a join partition; above the bound it stays a shuffle
-    join (AQE splits skewed partitions)."""
-    jobs = src["job_list_bc"].select("No", "CompanyId", "Description")
-    comps = small_side(src["companies_bc"].select(F.col("id"), F.col("name").alias("company_name")))
-    return small_side(jobs.join(comps, jobs["CompanyId"] == comps["id"], "inner").drop("id"))
+
+def _companies(src: Sources, company: str | None) -> DataFrame:
+    comps = src["companies_bc"].select(F.col("id").alias("_cid"), F.col("name").alias("company_name"))
+    return where_eq(comps, "company_name", company)
 
 
 # ─────────────────────────── ledger / tasks ───────────────────────────
@@ -50,10 +47,9 @@ def ledger_entries(src: Sources, company: str | None, project: str | None,
     """Job ledger entries up to ``date_to`` with company and project attributes."""
     led = src["job_ledger_entries_bc"]
     fle = led.where(on_or_before(led, "Posting_Date", date_to))
-    jc = _jobs_companies(src)
-    jc = where_eq(jc, "company_name", company)
-    jc = where_eq(jc, "No", project)
-    j = fle.join(jc, (fle["Job_No"] == jc["No"]) & (fle["CompanyId"] == jc["CompanyId"]), "inner")
+    jobs, comps = _jobs(src, project), _companies(src, company)
+    j = fle.join(jobs, (fle["Job_No"] == jobs["No"]) & (fle["CompanyId"] == jobs["_jcid"]), "inner")
+    j = j.join(comps, jobs["_jcid"] == comps["_cid"], "inner")
     return j.select(
         as_date(fle["Posting_Date"]).alias("posting_date"),
         fle["Gen_Prod_Posting_Group"].alias("gppg"),
@@ -61,11 +57,11 @@ def ledger_entries(src: Sources, company: str | None, project: str | None,
         fle["Job_Task_No"].alias("job_task_no"),
         fle["Total_Cost_LCY"].alias("total_cost_lcy"),
         fle["Line_Amount_LCY"].alias("line_amount_lcy"),
-        jc["company_name"],
-        jc["CompanyId"].alias("company_id"),
-        jc["No"].alias("project_no"),
-        jc["Description"].alias("project_description"),
-        F.concat(jc["No"], F.lit("_"), jc["CompanyId"]).alias("project_id"),
+        comps["company_name"],
+        jobs["_jcid"].alias("company_id"),
+        jobs["No"].alias("project_no"),
+        jobs["Description"].alias("project_description"),
+        F.concat(jobs["No"], F.lit("_"), jobs["_jcid"]).alias("project_id"),
     )
 
 
@@ -77,17 +73,16 @@ def task_lines(src: Sources, company: str | None, project: str | None) -> DataFr
     the data behaves identically (and NULL ids never match).
     """
     t = src["job_task_lines_subform_bc"]
-    jc = _jobs_companies(src)
-    jc = where_eq(jc, "company_name", company)
-    jc = where_eq(jc, "No", project)
+    jobs, comps = _jobs(src, project), _companies(src, company)
     tkey = F.concat(t["Job_No"], F.lit("_"), t["CompanyId"])
-    jkey = F.concat(jc["No"], F.lit("_"), jc["CompanyId"])
-    return t.join(jc, tkey == jkey, "inner").select(
+    jkey = F.concat(jobs["No"], F.lit("_"), jobs["_jcid"])
+    j = t.join(jobs, tkey == jkey, "inner").join(comps, jobs["_jcid"] == comps["_cid"], "inner")
+    return j.select(
         t["Job_Task_No"].alias("job_task_no"),
         t["Schedule_Total_Price"].alias("schedule_total_price"),
         t["Schedule_Total_Cost"].alias("schedule_total_cost"),
-        jc["No"].alias("project_no"),
-        jc["company_name"],
+        jobs["No"].alias("project_no"),
+        comps["company_name"],
     )
 
 
@@ -96,11 +91,10 @@ def task_lines(src: Sources, company: str | None, project: str | None) -> DataFr
 def _unposted_base(src: Sources) -> DataFrame:
     """facturas_qwark LEFT companies LEFT business units, with lookup names."""
     fq = src["facturas_qwark"]
-    cq = small_side(src["companies_qwark"].select(F.col("id").alias("_cq_id"),
-                                                  F.col("name").alias("company_name_bc")))
-    bu = small_side(src["businessUnit_qwark"].select(
+    cq = src["companies_qwark"].select(F.col("id").alias("_cq_id"), F.col("name").alias("company_name_bc"))
+    bu = src["businessUnit_qwark"].select(
         F.col("id").cast("string").alias("_bu_id"),
-        F.col("Unidad de negocio").alias("unidad_negocio")))
+        F.col("Unidad de negocio").alias("unidad_negocio"))
     j = fq.join(cq, fq["company"] == cq["_cq_id"], "left")
     j = j.join(bu, fq["bunisnessUnit"].cast("string") == bu["_bu_id"], "left")
     return j.drop("_cq_id", "_bu_id")
@@ -129,8 +123,8 @@ def unposted_pending(src: Sources, company: str | None, project: str | None,
         F.col("bunisnessUnit").cast("string").alias("business_unit_id"),
         F.col("company_name_bc").alias("company_name"),
     ).where((F.col("base_amount") > 0) & ~F.col("registrada"))
-    out = where_eq(out, "company_name_bc", company)
-    return where_eq(out, "proyecto", project)
+    out = where_given(out, "company_name_bc", company)
+    return where_given(out, "proyecto", project)
 
 
 def unposted_docs(src: Sources, company: str | None, project: str | None,
@@ -156,8 +150,8 @@ def unposted_docs(src: Sources, company: str | None, project: str | None,
         F.col("posting_jobTaskNo").alias("job_task_no"),
         F.col("baseAmount").alias("base_amount"),
     )
-    out = where_eq(out, "company_name", company)
-    out = where_eq(out, "project_no", project)
+    out = where_given(out, "company_name", company)
+    out = where_given(out, "project_no", project)
     if not sort:
         return out
     return out.orderBy(F.col("fecha_factura").asc_nulls_last(), F.col("document_no").asc_nulls_last())
@@ -165,15 +159,15 @@ def unposted_docs(src: Sources, company: str | None, project: str | None,
 
 # ─────────────────────────── overhead percentages ───────────────────────────
 
-def overhead_pct(src: Sources, requests: DataFrame) -> DataFrame:
+def overhead_pct(src: Sources, requests: DataFrame, with_id: bool = False) -> DataFrame:
     """Overhead percentages ('gastos generales', 'postventa') of each request,
-    matched on (project number, company id as text)."""
+    matched on (project number, company id as text); ``with_id`` adds the company id."""
     dp = src["DimProporcionales"]
     r = requests.select("company_name", "project_no", "company_id").where(F.col("company_id").isNotNull())
     j = r.join(dp, (dp["number"] == r["project_no"]) & (dp["CompanyId"].cast("string") == r["company_id"]),
                "inner")
     return j.select(
-        r["company_name"], r["project_no"],
+        r["company_name"], r["project_no"], *([r["company_id"]] if with_id else []),
         money(dp["gastos generales"]).alias("gastos_generales"),
         money(dp["postventa"]).alias("postventa"),
     )
@@ -248,8 +242,7 @@ def _strip_filter(df: DataFrame, company, project, company_col, project_col) ->
 
 def _company_by_name(src: Sources, df: DataFrame) -> DataFrame:
     """LEFT join companies_bc on the (unstripped) name; NULL matches NULL."""
-    comps = small_side(src["companies_bc"].select(F.col("id").cast("string").alias("company_id"),
-                                                  F.col("name").alias("_cname")))
+    comps = src["companies_bc"].select(F.col("id").cast("string").alias("company_id"), F.col("name").alias("_cname"))
     return df.join(comps, df["company_name"].eqNullSafe(comps["_cname"]), "left").drop("_cname")
 
 
@@ -301,8 +294,7 @@ def resource_entries(src: Sources, company: str | None, project: str | None,
     r = src["resource_ledger_entries_bc"]
     r = r.where(within(r, "Posting_Date", d1, d2))
     r = where_eq(r, "Job_No", project)
-    comps = small_side(src["companies_bc"].select(F.col("id").cast("string").alias("_cid"),
-                                                  F.col("name").alias("_cname")))
+    comps = src["companies_bc"].select(F.col("id").cast("string").alias("_cid"), F.col("name").alias("_cname"))
     r = r.join(comps, r["CompanyId"].cast("string") == comps["_cid"], "left")
     r = where_eq(r, "_cname", company)
     return r.select(
@@ -320,6 +312,11 @@ def resource_entries(src: Sources, company: str | None, project: str | None,
 
 # ─────────────────────────── invoices by chapter ───────────────────────────
 
+def _document_key(company: str, number: str) -> "F.Column":
+    """The reference's text key of an invoice document."""
+    return F.concat(F.col(company).cast("string"), F.lit("|"), F.coalesce(F.col(number).cast("string"), F.lit("")))
+
+
 def invoices_by_chapter(src: Sources, company: str | None, project: str | None,
                         d1: dt.date, d2: dt.date, dedupe_lines: bool = False,
                         sort: bool = True) -> DataFrame:
@@ -333,47 +330,33 @@ def invoices_by_chapter(src: Sources, company: str | None, project: str | None,
     join of the two aggregates: the same totals, with no quadratic fan-out on
     a hot document. ``dedupe_lines=True`` counts each invoice once instead.
     """
-    # lines counted per invoice map-side first: the header join then sees one
-    # row per invoice, however many lines a hot invoice has
-    pil = src["purchase_invoice_lines_bc"].groupBy("CompanyId", "InvoiceId") \
-        .agg(F.count(F.lit(1)).alias("n_lines"))
-    pi = src["purchase_invoices_bc"]
-    pi = pi.where(within(pi, "invoiceDate", d1, d2))
-    base = pil.join(pi, (pi["id"] == pil["InvoiceId"]) & (pi["CompanyId"] == pil["CompanyId"]), "left") \
-        .select(pil["CompanyId"].alias("company_id"), pil["InvoiceId"].alias("invoice_id"),
-                pi["number"].alias("numero_factura"), pi["vendorName"].alias("proveedor"),
-                as_date(pi["invoiceDate"]).alias("fecha_factura"), pil["n_lines"])
-    base = base.where(F.col("fecha_factura").between(lit_date(d1), lit_date(d2)))
-    comps = small_side(src["companies_bc"].select(F.col("id").alias("_cid"), F.col("name").alias("_cname")))
-    comps = where_eq(comps, "_cname", company)
-    base = base.join(comps, base["company_id"] == comps["_cid"], "inner").drop("_cid", "_cname")
-    inv = base.groupBy("company_id", "invoice_id", "numero_factura", "proveedor", "fecha_factura") \
-        .agg(F.sum("n_lines").alias("n_lines"))
-    if dedupe_lines:
-        inv = inv.withColumn("n_lines", F.lit(1).cast("long"))
-    inv = inv.withColumn("_k", F.concat(F.col("company_id").cast("string"), F.lit("|"),
-                                        F.coalesce(F.col("numero_factura").cast("string"), F.lit(""))))
-    # one month's invoices: materialised once (read by the size check and the
-    # join) in the shared checkpoint folder
-    inv = checkpointed(inv)
-
-    j = src["job_ledger_entries_bc"].where(not_certification("Gen_Prod_Posting_Group")
-                                           & F.col("Job_Task_No").isNotNull())
-    j = where_eq(j, "Job_No", project)
-    led_key = F.concat(F.col("CompanyId").cast("string"), F.lit("|"),
-                       F.coalesce(F.col("Document_No").cast("string"), F.lit("")))
-    small = is_small(inv)
-    if small:
-        # the ledger (the biggest table) is cut to this month's invoice
-        # documents before it is aggregated, by a broadcast semi-join
-        keys = F.broadcast(inv.select(F.col("_k").alias("_ik")).distinct())
-        j = j.join(keys, led_key == keys["_ik"], "left_semi")
-    led = j.groupBy(led_key.alias("_k"), F.col("Job_Task_No"), F.col("Job_No")) \
-        .agg(F.sum("Total_Cost_LCY").alias("_cost"), F.count(F.lit(1)).alias("_n"))
-    if small:
-        inv = F.broadcast(inv)
-
-    out = inv.join(led, "_k", "inner").groupBy(
+    # the month's headers of the wanted companies come first: lines and ledger
+    # entries, the big tables, are cut to them before anything is aggregated
+    headers = src["purchase_invoices_bc"]
+    headers = headers.where(within(headers, "invoiceDate", d1, d2))
+    wanted = where_eq(src["companies_bc"].select("name", F.col("id").alias("_cid")), "name", company)
+    headers = headers.join(wanted, headers["CompanyId"] == wanted["_cid"], "inner").select(
+        F.col("CompanyId").alias("company_id"), F.col("id").alias("invoice_id"),
+        F.col("number").alias("numero_factura"), F.col("vendorName").alias("proveedor"),
+        as_date("invoiceDate").alias("fecha_factura"))
+    lines = src["purchase_invoice_lines_bc"].select(F.col("CompanyId").alias("_lc"), F.col("InvoiceId").alias("_li"))
+    same = (F.col("_lc") == F.col("company_id")) & (F.col("_li") == F.col("invoice_id"))
+    counted = lines.join(headers.select("company_id", "invoice_id"), same, "left_semi") \
+        .groupBy("_lc", "_li").agg(F.count(F.lit(1)).alias("n_lines"))
+    n_lines = F.lit(1).cast("long") if dedupe_lines else F.sum("n_lines")
+    invoices = headers.join(counted, same, "inner") \
+        .groupBy("company_id", "invoice_id", "numero_factura", "proveedor", "fecha_factura") \
+        .agg(n_lines.alias("n_lines"))
+    invoices = invoices.withColumn("_k", _document_key("company_id", "numero_factura"))
+
+    entries = src["job_ledger_entries_bc"]
+    entries = entries.where(not_certification("Gen_Prod_Posting_Group") & F.col("Job_Task_No").isNotNull())
+    entries = where_eq(entries, "Job_No", project).withColumn("_k", _document_key("CompanyId", "Document_No"))
+    asked = headers.select(_document_key("company_id", "numero_factura").alias("_k"))
+    cost = entries.join(asked, "_k", "left_semi").groupBy("_k", "Job_Task_No", "Job_No") \
+        .agg(F.sum("Total_Cost_LCY").alias("_cost"))
+
+    out = invoices.join(cost, "_k", "inner").groupBy(
         "Job_Task_No", "numero_factura", "proveedor", "fecha_factura", "company_id", "invoice_id", "Job_No",
     ).agg(F.sum(F.col("_cost") * F.col("n_lines")).alias("coste_registrado_a_origen"))
     out = out.select(

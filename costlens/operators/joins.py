@@ -1,25 +1,15 @@
-"""Join helpers: size-checked broadcast and optional-parameter filters."""
+"""Join helpers: optional-parameter filters.
+
+No join in this package carries a broadcast hint: lookups are joined as plain
+scans, so Spark broadcasts them by their measured bytes and its own threshold, and
+adaptive execution re-plans the rest at run time.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when a bounded count proves it has at most
-# this many rows; otherwise the join stays a shuffle join (and AQE may still
-# convert it at runtime from measured shuffle sizes).
-BROADCAST_MAX_ROWS = 200_000
-
-
-def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Bounded size check: reads at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its row count is proven small, else ``df`` unchanged."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
 
 def where_eq(df: DataFrame, col: Column | str, value) -> DataFrame:
     """``(value IS NULL OR col = value)`` built only when the value is given,
@@ -28,3 +18,8 @@ def where_eq(df: DataFrame, col: Column | str, value) -> DataFrame:
         return df
     c = F.col(col) if isinstance(col, str) else col
     return df.where(c == F.lit(value))
+
+
+def where_given(df: DataFrame, col: Column | str, value) -> DataFrame:
+    """``where_eq`` for the datasets whose reference filter treats '' as no filter."""
+    return where_eq(df, col, value or None)

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costlens.functions.text import trim_ws
-from costlens.operators.joins import small_side
 from costlens.plans.period import Period
 from costlens.plans.requests import resolve_company_ids
 from costlens.sources.loaders import Sources
@@ -21,9 +20,9 @@ def expected_projects(src: Sources, company: str | None = None, sort: bool = Fal
     company is unknown: LEFT join); ``sort`` orders the report by company and
     project (the anti-join below does not need the order)."""
     jobs = src["job_list_bc"].select(F.col("No"), F.col("CompanyId"))
-    comps = small_side(src["companies_bc"].select(F.col("id").alias("_cid"), F.col("name").alias("_cname")))
+    comps = src["companies_bc"].select(F.col("id").alias("_cid"), F.col("name").alias("_cname"))
     j = jobs.join(comps, jobs["CompanyId"] == comps["_cid"], "left")
-    if company is not None:
+    if company:  # '' means every company, as in the reference
         j = j.where(F.lower(F.col("_cname").cast("string")) == F.lower(F.lit(company)))
     out = j.select(F.col("_cname").cast("string").alias("company_name"),
                    F.col("No").cast("string").alias("project_no")).distinct()
@@ -35,7 +34,7 @@ def existing_projects(snapshot: DataFrame, period: Period, company: str | None =
     spaces only, then lower-case)."""
     s = snapshot.where(F.col("period_date").between(F.lit(period.month_start).cast("date"),
                                                     F.lit(period.month_end).cast("date")))
-    if company is not None:
+    if company:
         s = s.where(F.lower(F.col("company_name").cast("string")) == F.lower(F.lit(company)))
     return s.select(F.trim(F.lower(F.col("company_name").cast("string"))).alias("company_key"),
                     F.trim(F.lower(F.col("project_no").cast("string"))).alias("project_key")).distinct()
@@ -48,8 +47,7 @@ def missing_projects(src: Sources, snapshot: DataFrame, period: Period,
     exp = expected_projects(src, company)
     exp = exp.withColumn("company_key", F.lower(trim_ws("company_name"))) \
              .withColumn("project_key", F.lower(trim_ws("project_no")))
-    # one row per project already in the summary: broadcast after a bounded count
-    exist = small_side(existing_projects(snapshot, period, company))
+    exist = existing_projects(snapshot, period, company)
     return exp.join(exist, ["company_key", "project_key"], "left_anti") \
               .select("company_name", "project_no").distinct()
 

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costlens.functions.text import normalize_text
-from costlens.operators.joins import small_side
 from costlens.sources.loaders import Sources
 
 
@@ -23,7 +22,7 @@ def resolve_company_ids(src: Sources, pairs: DataFrame) -> DataFrame:
     one, here the smallest (deterministic). Unresolvable pairs keep NULL.
     """
     jobs = src["job_list_bc"].select(F.col("No"), F.col("CompanyId"))
-    comps = small_side(src["companies_bc"].select(F.col("id"), F.col("name")))
+    comps = src["companies_bc"].select(F.col("id"), F.col("name"))
     ids = jobs.join(comps, jobs["CompanyId"] == comps["id"], "inner") \
         .groupBy(F.col("name").alias("_n"), F.col("No").alias("_p")) \
         .agg(F.min("CompanyId").alias("company_id"))
@@ -40,7 +39,7 @@ def all_projects(src: Sources, company: str | None = None,
                  project: str | None = None) -> DataFrame:
     """Every project of jobs ⨝ companies (optionally one company / project)."""
     jobs = src["job_list_bc"].select(F.col("No"), F.col("CompanyId"))
-    comps = small_side(src["companies_bc"].select(F.col("id"), F.col("name")))
+    comps = src["companies_bc"].select(F.col("id"), F.col("name"))
     j = jobs.join(comps, jobs["CompanyId"] == comps["id"], "inner")
     if company is not None:
         j = j.where(F.col("name") == F.lit(company))

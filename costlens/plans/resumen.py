@@ -4,16 +4,19 @@ Shape of the plan (one request = one (company, project) pair):
 
 1. every source is aggregated on its own keys and mapped to request keys
    (``operators.chapters.all_parts``); every request adds one *seed* row that
-   carries its company id and overhead percentages;
+   carries its overhead percentages;
 2. that tall union is hash-partitioned by (company_name, project_no) **once**.
    The chapter aggregation, the per-project totals window, the expansion of
    the seed into the two overhead rows, the chapter-unification window and
    the final re-aggregation all cluster on supersets of those keys, so the
    whole tail runs inside that one partitioning, with no further shuffle and
-   no second evaluation of the direct rows;
-3. the request set is small (one row per project) but read by every source
-   join; it is checkpointed once to the shared checkpoint folder, and so is
-   the partitioned tall union (the narrowest point of the plan).
+   no second evaluation of the direct rows.
+
+Building the DataFrame starts no Spark job: whoever writes it materialises it,
+once, at the sink. Text keys are cleaned when the union is made, as the sink
+would clean them, so the result has unique keys; the company id is constant per
+request and grouped by, not aggregated, which keeps every aggregation of the
+tail a hash aggregation. Columns that are constant 0 are added at the end.
 
 Money stays DECIMAL throughout (order-independent sums, half-up rounding to
 cents) and becomes DOUBLE only in the output. Row volume after step 1 is
@@ -30,11 +33,9 @@ from costlens.functions.money import CENTS, PCT, clamp_pct, round_money
 from costlens.functions.text import clean_chapter, clean_value
 from costlens.operators.chapters import all_parts
 from costlens.operators.datasets import overhead_pct
-from costlens.operators.joins import is_small, small_side
 from costlens.plans.period import Period
 from costlens.plans.requests import with_norm_keys
 from costlens.sources.loaders import Sources
-from costlens.session import checkpointed
 
 KEY_COLS = ["company_name", "project_no", "period_date", "grupo", "capitulo", "nivel"]
 
@@ -47,6 +48,9 @@ NUM_COLS = [
     "resto_produccion_mes_anterior", "produccion_mes_anterior", "resultado", "pct_resultado",
     "contratos", "planificado", "pct_avance_venta_contrato", "pct_avance_coste_planificado",
 ]
+# Always 0 in the reference, and 0 unless the previous month is asked for.
+CONSTANT = ["resultado", "pct_resultado", "pct_avance_venta_contrato", "pct_avance_coste_planificado"]
+PREVIOUS = ["certificacion_pendiente_mes_anterior", "resto_produccion_mes_anterior"]
 OUT_COLS = ["company_id", "company_name", "project_no", "period_date", "grupo", "capitulo", "nivel"] + NUM_COLS
 
 # Group / level labels and the overhead lines.
@@ -57,6 +61,7 @@ OVERHEAD_LINES = (("Gastos generales", "gastos_generales"), ("Postventa", "postv
 DESCRIPTIVE_CHAPTER = r"^[0-9]{2}\.[0-9]{2}\..+"   # 'NN.NN.<description>'
 
 _REQ_KEYS = ["company_name", "project_no"]
+_TEXT_KEYS = [*_REQ_KEYS, "company_id"]
 _SUMMED = ["cbo", "cbm", "pend", "qwk", "cpend", "resto", "contr", "plan",
            "rows_o", "sum_o", "n_o", "rows_m", "sum_m", "n_m", "cpend_prev", "resto_prev"]
 _SEED = "R"      # row kinds in the tall union: request seed / source data
@@ -68,45 +73,32 @@ def _zero() -> Column:
 
 
 def prepare_requests(requests: DataFrame) -> DataFrame:
-    """Request set with normalised join keys, materialised once (checkpoint to
-    the shared checkpoint folder) because every source join reads it, and
-    broadcast only when a bounded count proves it small."""
-    req = with_norm_keys(requests.select("company_name", "project_no", "company_id"))
-    req = checkpointed(req)
-    return small_side(req)
-
-
-# A request set at most this large (and proven so by a bounded count) also
-# filters the raw sources before aggregation (see ``restrict_to_requests``).
-RESTRICT_MAX_REQUESTS = 50_000
+    """Request set with normalised join keys (lazy; one small row per project)."""
+    return with_norm_keys(requests.select("company_name", "project_no", "company_id"))
 
 
 def _seeds(src: Sources, req: DataFrame) -> DataFrame:
-    """Seed rows of kind R: one per request (its company id) plus one per
-    matching overhead-percentage row. They are aggregated together with the
-    chapters, inside the same partitioning, so the percentages need no shuffle
-    of their own."""
-    ids = req.select(*_REQ_KEYS, "company_id")
-    pcts = overhead_pct(src, req).select(*_REQ_KEYS, F.lit(None).cast("string").alias("company_id"),
-                                          F.col("gastos_generales").alias("gg"), F.col("postventa").alias("pv"))
+    """Seed rows of kind R: one per request plus one per matching
+    overhead-percentage row. They are aggregated together with the chapters,
+    inside the same partitioning, so the percentages need no shuffle of their
+    own."""
+    ids = req.select(*_TEXT_KEYS)
+    pcts = overhead_pct(src, req, with_id=True).select(
+        *_TEXT_KEYS, F.col("gastos_generales").alias("gg"), F.col("postventa").alias("pv"))
     s = ids.unionByName(pcts, allowMissingColumns=True)
-    return s.select(*_REQ_KEYS, F.lit(_SEED).alias("kind"), F.lit(None).cast("string").alias("cap"),
-                    F.lit(False).alias("in_spine"), "company_id", "gg", "pv")
+    return s.select(*_TEXT_KEYS, F.lit(_SEED).alias("kind"), F.lit(None).cast("string").alias("cap"),
+                    F.lit(False).alias("in_spine"), "gg", "pv")
 
 
 def _tall(src: Sources, req: DataFrame, period: Period, with_seeds: bool = True, **options) -> DataFrame:
-    """Source contributions (+ request seeds), checkpointed to the shared
-    checkpoint folder, then hash-partitioned by request.
-
-    The checkpoint sits at the narrowest point of the plan (already aggregated
-    per source, about projects x chapters rows): a lost executor re-reads it
-    instead of re-running the source scans, and the tail is planned over a
-    small plan. The repartition comes after it, inside the tail's query, so
-    every later operator of the tail reuses that one partitioning."""
-    restrict = is_small(req, RESTRICT_MAX_REQUESTS)
-    data = all_parts(src, req, period, restrict=restrict, **options).withColumn("kind", F.lit(_DATA))
+    """Source contributions (+ request seeds) with cleaned text keys,
+    hash-partitioned by request: every later operator of the tail reuses that
+    one partitioning. A lost executor re-runs its own map tasks only; nothing is
+    materialised here."""
+    data = all_parts(src, req, period, **options).withColumn("kind", F.lit(_DATA))
     tall = data.unionByName(_seeds(src, req), allowMissingColumns=True) if with_seeds else data
-    return checkpointed(tall).repartition(*_REQ_KEYS)
+    tall = tall.withColumns({k: clean_value(k) for k in _TEXT_KEYS})
+    return tall.repartition(*_REQ_KEYS)
 
 
 def _grouped(tall: DataFrame) -> DataFrame:
@@ -115,15 +107,14 @@ def _grouped(tall: DataFrame) -> DataFrame:
     numeric percentage without an order; here the smallest (deterministic)."""
     extra = []
     if "gg" in tall.columns:
-        extra = [F.max("company_id").alias("company_id"),
-                 clamp_pct(F.min("gg")).alias("gastos_generales"), clamp_pct(F.min("pv")).alias("postventa")]
-    agg = tall.groupBy("company_name", "project_no", "kind", "cap").agg(
-        F.max("in_spine").alias("in_spine"), *[F.sum(m).alias(m) for m in _SUMMED], *extra)
+        extra = [clamp_pct(F.min("gg")).alias("gastos_generales"), clamp_pct(F.min("pv")).alias("postventa")]
+    agg = tall.groupBy(*_TEXT_KEYS, "kind", "cap").agg(
+        F.max("in_spine").alias("in_spine"), *[F.sum(m).alias(m) for m in _SUMMED if m in tall.columns], *extra)
     return agg.where((F.col("kind") == _SEED) | F.col("in_spine"))
 
 
-def _direct_metrics() -> dict[str, Column]:
-    """The 21 metrics of a spine chapter, rounded to cents. Certification
+def _direct_metrics(with_prev: bool) -> dict[str, Column]:
+    """The metrics of a spine chapter that aren't constant, rounded to cents. Certification
     metrics are NULL when the chapter's planning amounts are all NULL (they
     then drop out of the overhead base and become 0 in the output)."""
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
@@ -133,8 +124,7 @@ def _direct_metrics() -> dict[str, Column]:
     cert_m = F.when(rows_m == 0, F.lit(0)).when(F.col("n_m") == 0, F.lit(None)).otherwise(F.col("sum_m"))
     cert_prev = F.when(rows_o == 0, F.lit(0)).when(F.col("n_o") == 0, F.lit(None)) \
         .otherwise(F.col("sum_o") - z("sum_m"))
-    m = {c: _zero() for c in NUM_COLS}
-    m.update({
+    m = {
         "coste_bc_a_origen": round_money(z("cbo")),
         "coste_bc_mes_actual": round_money(z("cbm")),
         "coste_bc_mes_anterior": round_money(z("cbo") - z("cbm")),
@@ -148,52 +138,54 @@ def _direct_metrics() -> dict[str, Column]:
         "resto_produccion": round_money(z("resto")),
         "produccion_a_origen": round_money(cert_o + z("cpend") + z("resto")),
         "produccion_mes_anterior": round_money(cert_prev),
-        "certificacion_pendiente_mes_anterior": round_money(z("cpend_prev")),
-        "resto_produccion_mes_anterior": round_money(z("resto_prev")),
         "contratos": round_money(z("contr")),
         "planificado": round_money(z("plan")),
-    })
-    return m
+    }
+    if with_prev:
+        m.update(zip(PREVIOUS, (round_money(z("cpend_prev")), round_money(z("resto_prev")))))
+    return {c: m[c].cast(CENTS) for c in NUM_COLS if c in m}
 
 
 def _with_directs(grouped: DataFrame) -> DataFrame:
-    m = _direct_metrics()
     is_d = F.col("kind") == _DATA
-    return grouped.select("company_name", "project_no", "kind", "cap", "company_id",
-                          "gastos_generales", "postventa",
-                          *[F.when(is_d, m[c]).alias(c) for c in NUM_COLS])
+    return grouped.select(*_TEXT_KEYS, "kind", "cap", "gastos_generales", "postventa",
+                          *[F.when(is_d, m).alias(c) for c, m in _direct_metrics("cpend_prev" in grouped.columns).items()])
+
+
+def _metrics_of(rows: DataFrame) -> list[str]:
+    return [c for c in NUM_COLS if c in rows.columns]
 
 
 def _expand(rows: DataFrame) -> DataFrame:
     """Totals of the direct rows per request (window over the request
     partition), then each seed becomes the two overhead rows. The overhead
     bases are sums of the rounded direct values with NULLs skipped."""
+    metrics = _metrics_of(rows)
     w = Window.partitionBy(*_REQ_KEYS)
     is_d = F.col("kind") == _DATA
     tot = lambda c: F.coalesce(F.sum(F.when(is_d, F.col(c))).over(w), F.lit(0)).cast(CENTS)
-    rows = rows.select(*[c for c in rows.columns if c != "company_id"],
+    rows = rows.select(*rows.columns,
                        tot("produccion_a_origen").alias("t_po"),
                        tot("certificacion_mes_actual").alias("t_cm"),
-                       tot("produccion_mes_anterior").alias("t_pp"),
-                       F.max("company_id").over(w).alias("company_id"))
+                       tot("produccion_mes_anterior").alias("t_pp"))
     lines = F.when(~is_d, F.array(*[
         F.struct(F.lit(label).alias("linea"), F.coalesce(F.col(col), F.lit(0)).cast(PCT).alias("pct"))
         for label, col in OVERHEAD_LINES])
     ).otherwise(F.array(F.struct(F.col("cap").alias("linea"), F.lit(None).cast(PCT).alias("pct"))))
     rows = rows.withColumn("l", F.explode(lines))
     pct = F.col("l.pct")
-    ctao = round_money(pct * F.col("t_po"))
-    over = {c: _zero() for c in NUM_COLS}
+    ctao = round_money(pct * F.col("t_po")).cast(CENTS)
+    over = {c: _zero() for c in metrics}
     over.update({
         "coste_bc_a_origen": ctao, "coste_total_a_origen": ctao,
-        "coste_bc_mes_actual": round_money(pct * F.col("t_cm")),
-        "coste_bc_mes_anterior": round_money(pct * F.col("t_pp")),
+        "coste_bc_mes_actual": round_money(pct * F.col("t_cm")).cast(CENTS),
+        "coste_bc_mes_anterior": round_money(pct * F.col("t_pp")).cast(CENTS),
     })
     return rows.select(
-        "company_id", *_REQ_KEYS, "kind",
+        *_TEXT_KEYS, "kind",
         F.when(is_d, F.lit(DIRECT)).otherwise(F.lit(OVERHEAD)).alias("grupo"),
         F.col("l.linea").alias("linea"), F.lit(DETAIL).alias("nivel"),
-        *[F.when(is_d, F.col(c)).otherwise(over[c]).alias(c) for c in NUM_COLS],
+        *[F.when(is_d, F.col(c)).otherwise(over[c]).alias(c) for c in metrics],
         "t_po", "t_cm", "t_pp")
 
 
@@ -209,7 +201,7 @@ def unify_chapters(rows: DataFrame) -> DataFrame:
     first_descr = F.min_by(F.when(descr, F.col("capitulo")), F.when(descr, F.col("linea"))).over(w)
     mapped = F.when((F.length("capitulo") == 5) & first_descr.isNotNull(), first_descr) \
         .otherwise(F.col("capitulo"))
-    return cleaned.withColumn("capitulo", mapped).drop("linea")
+    return cleaned.withColumn("capitulo", clean_value(mapped)).drop("linea")
 
 
 def transform_frame(src: Sources, requests: DataFrame, period: Period, **options) -> DataFrame:
@@ -221,31 +213,31 @@ def transform_frame(src: Sources, requests: DataFrame, period: Period, **options
 
 def resumen(src: Sources, requests: DataFrame, period: Period, as_double: bool = True,
             with_prev_month: bool = False, with_end_date: bool = False,
-            normalize_all_chapters: bool = False, ordered: bool = False) -> DataFrame:
+            normalize_all_chapters: bool = False, ordered: bool = False, restrict: bool = False) -> DataFrame:
     """Summary rows (28 columns) for every request and the given month.
 
-    Options (both off by default, as in the reference): ``with_prev_month``
+    Options (off by default, as in the reference): ``with_prev_month``
     feeds the previous month's production into the '*_mes_anterior' columns
     and the spine; ``with_end_date`` limits contract / planned amounts to
-    tasks ended by the cut; ``ordered`` sorts the rows as a report; ``normalize_all_chapters`` keeps the ledger,
-    production and planning amounts of NULL / untrimmed chapters (the
-    reference loses them)."""
-    rows = transform_frame(src, requests, period, with_prev_month=with_prev_month,
-                           with_end_date=with_end_date, normalize_all_chapters=normalize_all_chapters)
-    rows = rows.select("company_id", *_REQ_KEYS, "grupo", "linea", "nivel",
-                       *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in NUM_COLS])
+    tasks ended by the cut; ``ordered`` sorts the rows as a report;
+    ``normalize_all_chapters`` keeps the ledger, production and planning
+    amounts of NULL / untrimmed chapters (the reference loses them).
+    ``restrict`` cuts the sources to the requests before aggregating, which
+    pays for few requests and changes no row."""
+    rows = transform_frame(src, requests, period, with_prev_month=with_prev_month, with_end_date=with_end_date,
+                           normalize_all_chapters=normalize_all_chapters, restrict=restrict)
+    metrics = [c for c in _metrics_of(rows) if c != "produccion_a_origen"]
+    rows = rows.select(*_TEXT_KEYS, "grupo", "linea", "nivel",
+                       *[F.coalesce(F.col(c), _zero()).alias(c) for c in metrics])
     rows = unify_chapters(rows)
-    out = rows.groupBy("company_id", "company_name", "project_no", "grupo", "capitulo", "nivel") \
-        .agg(*[F.sum(c).alias(c) for c in NUM_COLS])
+    out = rows.groupBy(*_TEXT_KEYS, "grupo", "capitulo", "nivel").agg(*[F.sum(c).alias(c) for c in metrics])
     # produccion_a_origen is recomputed from its three components after the
-    # re-aggregation; text keys are cleaned as the sink does
-    text_keys = ("company_id", "company_name", "project_no", "grupo", "capitulo", "nivel")
-    out = out.select(
-        *[clean_value(c).alias(c) if c in text_keys else F.col(c) for c in out.columns
-          if c != "produccion_a_origen"],
-        (F.col("certificacion_a_origen") + F.col("certificacion_pendiente")
-         + F.col("resto_produccion")).alias("produccion_a_origen"),
-        F.lit(period.cut).cast("date").alias("period_date"))
+    # re-aggregation
+    made = {c: _zero() for c in NUM_COLS if c not in metrics}
+    made["produccion_a_origen"] = F.col("certificacion_a_origen") + F.col("certificacion_pendiente") \
+        + F.col("resto_produccion")
+    made["period_date"] = F.lit(period.cut).cast("date")
+    out = out.withColumns(made)
     if as_double:
         out = out.select(*[F.col(c).cast("double").alias(c) if c in NUM_COLS else F.col(c) for c in OUT_COLS])
     else:
@@ -273,8 +265,9 @@ def transform_rows(src: Sources, requests: DataFrame, period: Period, which: str
         rows = rows.where(F.col("kind") == _DATA)
     elif which == "overhead":
         rows = rows.where(F.col("kind") == _SEED)
-    return rows.select(*_REQ_KEYS, "grupo", "linea", "nivel",
-                       *[F.coalesce(F.col(c), F.lit(0)).cast("double").alias(c) for c in NUM_COLS])
+    have = _metrics_of(rows)
+    value = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("double") if c in have else F.lit(0.0)
+    return rows.select(*_REQ_KEYS, "grupo", "linea", "nivel", *[value(c).alias(c) for c in NUM_COLS])
 
 
 def direct_totals(src: Sources, requests: DataFrame, period: Period) -> DataFrame:

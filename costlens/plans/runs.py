@@ -16,7 +16,6 @@ from pyspark.sql.types import DateType, DoubleType, StringType, StructField, Str
 
 from costlens.functions.text import trim_ws
 from costlens.operators import datasets as D
-from costlens.operators.joins import small_side
 from costlens.output import decimals_to_double
 from costlens.plans import gapfill as G
 from costlens.plans.period import Period
@@ -25,7 +24,7 @@ from costlens.sinks.tables import (
     RunStamp, append, append_run_log, clean_text_columns, read_table, stamp_run, table_exists, upsert,
 )
 from costlens.sources.loaders import Sources
-from costlens.session import checkpointed
+from costlens.session import scratch_path
 
 SUMMARY = "resumen_seguimiento"
 INVOICES = "facturas"
@@ -40,6 +39,9 @@ RUN_LOG = "snapshot_run"
 SUMMARY_PARTITIONS = ["period_date", "company_name"]
 
 INVOICE_KEYS = ["company_id", "invoice_id", "capitulo"]
+# Invoices are partitioned by the month of their date: a month's run leaves the
+# others alone, unless an invoice's date has moved.
+INVOICE_PARTITION = "mes_factura"
 INVOICE_COLS = ["company_id", "invoice_id", "job_no", "capitulo", "numero_factura", "proveedor",
                 "fecha_factura", "coste_registrado_a_origen"]
 
@@ -53,6 +55,15 @@ def summary_schema() -> StructType:
     return StructType(fields)
 
 
+def invoice_schema() -> StructType:
+    """Column types of the invoice table."""
+    fields = [StructField("snapshot_run_id", StringType()), StructField("snapshot_run_ts", TimestampType())]
+    for c in [*INVOICE_COLS, INVOICE_PARTITION]:
+        t = DateType() if c == "fecha_factura" else DoubleType() if c.startswith("coste") else StringType()
+        fields.append(StructField(c, t))
+    return StructType(fields)
+
+
 @dataclass(frozen=True)
 class Target:
     """Root folder of the snapshot tables (shared storage on a cluster)."""
@@ -66,16 +77,16 @@ def _prep(df: DataFrame, stamp: RunStamp) -> DataFrame:
     return stamp_run(clean_text_columns(decimals_to_double(df)), stamp)
 
 
-def summary_rows(src: Sources, requests: DataFrame, period: Period) -> DataFrame:
-    return resumen(src, requests, period)
+def summary_rows(src: Sources, requests: DataFrame, period: Period, restrict: bool = False) -> DataFrame:
+    return resumen(src, requests, period, restrict=restrict)
 
 
 def invoice_rows(src: Sources, period: Period, requests: DataFrame | None = None) -> DataFrame:
     inv = D.invoices_by_chapter(src, None, None, period.month_start, period.month_end, sort=False)
     if requests is not None:
-        ids = small_side(requests.join(
+        ids = requests.join(
             src["companies_bc"].select(F.col("id").alias("_cid"), F.col("name").alias("_cn")),
-            F.col("company_name") == F.col("_cn"), "inner").select("_cid", F.col("project_no").alias("_p")))
+            F.col("company_name") == F.col("_cn"), "inner").select("_cid", F.col("project_no").alias("_p"))
         inv = inv.join(ids, (inv["CompanyId"] == ids["_cid"]) & (inv["Job_No"] == ids["_p"]), "left_semi")
     return inv.select(F.col("CompanyId").cast("string").alias("company_id"),
                       F.col("id").cast("string").alias("invoice_id"),
@@ -83,11 +94,29 @@ def invoice_rows(src: Sources, period: Period, requests: DataFrame | None = None
                       "fecha_factura", "coste_registrado_a_origen")
 
 
+def invoice_sink_rows(rows: DataFrame) -> DataFrame:
+    """Invoice rows at the sink's key (company, invoice, cleaned chapter): costs are
+    summed, since cleaning or several jobs may bring rows of one key together; the
+    other columns keep their smallest value. ``rows`` are prepared (``_prep``)."""
+    others = [c for c in INVOICE_COLS if c not in (*INVOICE_KEYS, "coste_registrado_a_origen")]
+    stamps = [c for c in rows.columns if c not in INVOICE_COLS]
+    out = rows.groupBy(*stamps, *INVOICE_KEYS).agg(
+        F.sum("coste_registrado_a_origen").alias("coste_registrado_a_origen"), *[F.min(c).alias(c) for c in others])
+    return out.select(*rows.columns, F.date_format("fecha_factura", "yyyy-MM").alias(INVOICE_PARTITION))
+
+
+def upsert_invoices(spark: SparkSession, rows: DataFrame, stamp: RunStamp, path: str) -> dict:
+    """Sum to the sink key in DECIMAL, then upsert."""
+    exact = stamp_run(clean_text_columns(rows), stamp)
+    return upsert(spark, decimals_to_double(invoice_sink_rows(exact)), path, INVOICE_KEYS,
+                  partition_by=INVOICE_PARTITION, schema=invoice_schema())
+
+
 def _semi(df: DataFrame, requests: DataFrame | None, company_col: str, project_col: str,
           strip: bool = False) -> DataFrame:
     if requests is None:
         return df
-    r = small_side(requests.select(F.col("company_name").alias("_c"), F.col("project_no").alias("_p")))
+    r = requests.select(F.col("company_name").alias("_c"), F.col("project_no").alias("_p"))
     c, p = F.col(company_col), F.col(project_col)
     if strip:
         c, p = trim_ws(c), trim_ws(p)
@@ -102,7 +131,7 @@ def detail_rows(src: Sources, period: Period, requests: DataFrame | None = None)
     res = D.resource_entries(src, None, None, a, b)
     if requests is not None:
         names = src["companies_bc"].select(F.col("id").cast("string").alias("_cid"), F.col("name").alias("_cn"))
-        res = res.join(small_side(names), res["company_id"] == F.col("_cid"), "left")
+        res = res.join(names, res["company_id"] == F.col("_cid"), "left")
         res = _semi(res, requests, "_cn", "job_no").drop("_cid", "_cn")
     return {UNPOSTED_DOCS: unposted, PENDING_DOCS: pending, TRACKING_DOCS: tracking, RESOURCES: res}
 
@@ -113,21 +142,37 @@ def run_snapshot(spark: SparkSession, src: Sources, requests: DataFrame, period:
     """Write the summary (upsert by its 6 keys, partition = period) and, with
     ``details``, the invoice table (upsert) and the four detail photos
     (append). ``all_projects`` marks a run over every project, which lets the
-    detail queries skip the request semi-joins."""
+    detail queries skip the request semi-joins.
+
+    The summary must succeed; a detail table that fails is reported under its
+    name as ``{"error": ...}`` and doesn't stop the others, and the run is logged
+    in any case, as in the reference."""
     stamp = stamp or RunStamp.new()
     req = None if all_projects else requests
     out = {"snapshot_run_id": stamp.run_id}
-    out[SUMMARY] = upsert(spark, _prep(summary_rows(src, requests, period), stamp),
-                          target.path(SUMMARY), KEY_COLS, partition_by=SUMMARY_PARTITIONS,
-                          schema=summary_schema())
-    if details:
-        out[INVOICES] = upsert(spark, _prep(invoice_rows(src, period, req), stamp),
-                               target.path(INVOICES), INVOICE_KEYS)
-        for name, df in detail_rows(src, period, req).items():
-            df = _prep(df, stamp).withColumn("period_date", F.lit(period.cut).cast("date"))
-            out[name] = append(df, target.path(name), partition_by="period_date")
-    append_run_log(spark, target.path(RUN_LOG), stamp,
-                   {"year": period.year, "month": period.month, "details": details})
+
+    def attempt(name: str, load) -> None:
+        try:
+            out[name] = load()
+        except Exception as exc:  # a detail table is best effort
+            out[name] = {"error": f"{type(exc).__name__}: {exc}"}
+
+    def photo(name: str):
+        rows = _prep(detail_rows(src, period, req)[name], stamp)
+        return append(rows.withColumn("period_date", F.lit(period.cut).cast("date")),
+                      target.path(name), partition_by="period_date")
+
+    try:
+        out[SUMMARY] = upsert(spark, _prep(summary_rows(src, requests, period, restrict=not all_projects), stamp),
+                              target.path(SUMMARY), KEY_COLS, partition_by=SUMMARY_PARTITIONS,
+                              schema=summary_schema())
+        if details:
+            attempt(INVOICES, lambda: upsert_invoices(spark, invoice_rows(src, period, req), stamp, target.path(INVOICES)))
+            for name in (UNPOSTED_DOCS, PENDING_DOCS, TRACKING_DOCS, RESOURCES):
+                attempt(name, lambda name=name: photo(name))
+    finally:
+        append_run_log(spark, target.path(RUN_LOG), stamp,
+                       {"year": period.year, "month": period.month, "details": details})
     return out
 
 
@@ -145,16 +190,20 @@ def backfill_missing(spark: SparkSession, src: Sources, period: Period, target:
                      snapshot: DataFrame | None = None, dry_run: bool = False,
                      company: str | None = None, details: bool = True) -> dict:
     """Find the projects without a summary row in the month and run them all
-    in one batched snapshot (the reference runs one pipeline per project)."""
+    in one batched snapshot (the reference runs one pipeline per project).
+    ``requests`` of the result lists them; with ``dry_run`` nothing else is done."""
     snap = snapshot if snapshot is not None else snapshot_table(spark, target)
     reqs = G.backfill_requests(src, snap, period, company)
-    # materialise the request set: it is read by every sink of the run
-    reqs = checkpointed(reqs)
+    # the request set is written once: every sink of the run reads it, and the
+    # summary it depends on changes meanwhile
+    path = scratch_path(spark, "backfill-requests")
+    reqs.write.parquet(path)
+    reqs = spark.read.schema(reqs.schema).parquet(path)
     n = reqs.count()
     if dry_run or n == 0:
-        return {"missing": n, "run": 0}
+        return {"missing": n, "run": 0, "requests": reqs}
     res = run_snapshot(spark, src, reqs, period, target, details=details)
-    return {"missing": n, "run": n, "result": res}
+    return {"missing": n, "run": n, "requests": reqs, "result": res}
 
 
 def run_from_params(spark: SparkSession, src: Sources, params: dict, target: Target) -> dict:
@@ -165,7 +214,7 @@ def run_from_params(spark: SparkSession, src: Sources, params: dict, target: Tar
     from costlens.plans import requests as R
     try:
         period = Period(int(params["year"]), int(params["month"]))
-        company, project = params.get("company_name"), params.get("project_no")
+        company, project = params.get("company_name") or None, params.get("project_no") or None
         reqs = R.all_projects(src, company=company, project=project)
         if company is not None and project is not None:
             reqs = R.explicit(spark, src, [(company, project)])

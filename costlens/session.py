@@ -16,10 +16,12 @@ RECOMMENDED_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
+    # checkpoint files go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
-def cluster_conf(executors: int = 1000, cores_per_executor: int = 8,
+def cluster_conf(checkpoint_root: str, executors: int = 1000, cores_per_executor: int = 8,
                  shuffle_mb_per_task: int = 256) -> dict:
     """Settings for the production scale (~100 TB of sources, ~1000 executors).
 
@@ -28,11 +30,13 @@ def cluster_conf(executors: int = 1000, cores_per_executor: int = 8,
       the advisory size and splits skewed join partitions;
     * large input splits: the sources are read once per plan, column-pruned
       and date-filtered in the scan;
-    * the broadcast threshold stays Spark's default; explicit broadcasts in
-      this package happen only after a bounded row count (``operators.joins``).
+    * the broadcast threshold stays Spark's default, and the plans of the
+      reference's operators carry no broadcast hints;
+    * ``checkpoint_root`` is a folder on storage that all executors share.
     """
     cores = executors * cores_per_executor
     return dict(RECOMMENDED_CONF, **{
+        "spark.checkpoint.dir": checkpoint_root,
         "spark.sql.shuffle.partitions": str(max(2 * cores, 200)),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{shuffle_mb_per_task}m",
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16m",
@@ -66,7 +70,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
     On a cluster this setting names shared storage and is always used as is.
-    Only when it is unset (local tests) a scratch folder is created.
+    Only on a ``local[...]`` master, where there is but one machine, a scratch
+    folder is created when it is unset; anywhere else that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -74,18 +79,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="costlens-ckpt-", dir=os.environ.get("COSTLENS_SCRATCH", "/tmp"))
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
 
 
-def checkpointed(df):
-    """Reliable checkpoint into the shared checkpoint folder (``spark.checkpoint.dir``;
-    a scratch folder only when the session has none, as in local tests)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location (for written tables)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

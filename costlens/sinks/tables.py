@@ -1,11 +1,13 @@
 """Snapshot sinks over parquet tables: upsert, append, latest row, run log.
 
-Upsert on plain parquet (no MERGE): the new rows plus the existing rows of
-the touched partitions whose key is not among the new rows are written to a
-staging folder first, then copied over the table with dynamic partition
-overwrite. Only the partitions present in the new rows are replaced, the
-table is never read and overwritten by the same job, and the staged copy
-cuts the lineage, so a lost executor re-runs from the staged files.
+Upsert on plain parquet (no MERGE): the new rows are written once to a staging
+folder beside the table; the rows of the touched partitions whose key isn't among
+them are added to it, and the staged partition folders are then moved into place.
+Only touched partitions are read and replaced, no job reads what it overwrites,
+and a lost executor re-runs from written files. The moves are the one step
+without Spark: a folder is set aside, its successor moved in, then it is deleted,
+so a crash leaves either version whole. On stores without a cheap rename use a
+table format with MERGE.
 """
 
 from __future__ import annotations
@@ -14,13 +16,12 @@ import datetime as dt
 import json
 import uuid
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from costlens.functions.text import clean_value
-from costlens.operators.joins import small_side
-from costlens.session import checkpointed
 
 
 @dataclass(frozen=True)
@@ -89,74 +90,127 @@ def _keys_equal(left: DataFrame, right: DataFrame, keys) -> "F.Column":
     return cond
 
 
+#: Files that the rows of one partition are spread over, at most.
+SPREAD = 8
+#: Touched partitions whose values are passed to the scan as literals.
+LITERALS = 1000
+
+
+class DuplicateKeys(ValueError):
+    """A batch holds two rows of one key."""
+
+
 def _clustered(df: DataFrame, parts: list[str], keys: list[str]) -> DataFrame:
-    """Range-partition rows on (partition columns, first other key) before a
-    partitioned write: each task then covers a contiguous key range and writes
-    files for few partitions (no small-file explosion), while a hot partition
-    value is still split across several tasks by its key range."""
+    """Before a partitioned write, bring a partition's rows together in up to
+    ``SPREAD`` tasks (by a hash of the first other key): few files a partition, and
+    a hot partition value is still written by several tasks."""
     if not parts:
         return df
-    extra = [k for k in keys if k not in parts][:1]
-    return df.repartitionByRange(*[F.col(c) for c in parts + extra])
+    extra = [F.pmod(F.xxhash64(k), F.lit(SPREAD)) for k in keys if k not in parts][:1]
+    return df.repartition(*[F.col(c) for c in parts], *extra)
+
+
+def _write(df: DataFrame, path: str, parts: list[str], mode: str) -> None:
+    w = df.write.mode(mode)
+    (w.partitionBy(*parts) if parts else w).parquet(path)
+
+
+def _partition_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Paths of the partition folders under ``path``, relative to it."""
+    fs, root = _fs(spark, path)
+    level = [""]
+    for _ in range(depth):
+        found = []
+        for rel in level:
+            jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{rel}".rstrip("/"))
+            found += [f"{rel}/{x.getPath().getName()}".lstrip("/") for x in fs.listStatus(jpath)
+                      if x.isDirectory() and not x.getPath().getName().startswith(("_", "."))]
+        level = found
+    return level
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    """Put the folder ``source`` in the place of ``target``."""
+    fs, src = _fs(spark, source)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    dst = path(target)
+    name, aside = dst.getName(), None
+    if fs.exists(dst):
+        aside = path(dst.getParent(), f"_old-{uuid.uuid4().hex[:12]}")  # hidden from readers
+        if not fs.rename(dst, aside):
+            raise OSError(f"can't set {target} aside")
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(src, path(dst.getParent(), name)):
+        raise OSError(f"can't move {source} to {target}")
+    if aside is not None:
+        fs.delete(aside, True)
+
+
+def _only_partitions(table: DataFrame, wanted: DataFrame, parts: list[str]) -> DataFrame:
+    """``table`` cut to the partitions in ``wanted``: known values become literals, so
+    the scan lists only their folders; the semi-join makes it exact."""
+    values = wanted.limit(LITERALS + 1).collect()
+    if len(values) <= LITERALS:
+        for c in parts:
+            known = {r[c] for r in values}
+            if None not in known:
+                table = table.where(F.col(c).isin(list(known)))
+    keys = wanted.select(*[F.col(c).alias(f"_k_{c}") for c in parts])
+    return table.join(keys, _keys_equal(table, keys, parts), "left_semi")
 
 
 def upsert(spark: SparkSession, incoming: DataFrame, path: str, keys: list[str],
            partition_by=None, schema=None) -> dict:
     """Insert-or-replace ``incoming`` rows by ``keys`` into the parquet table at ``path``.
 
-    Keys that appear more than once in ``incoming`` keep one deterministic row
-    (largest non-key values first), so a batch never carries two versions of
-    a key. ``partition_by`` is a column or a list of columns; only the
-    partitions present in ``incoming`` are read and rewritten. ``schema``
-    fixes the table's column types on read (see ``read_table``).
+    ``incoming`` is evaluated once. A key that appears twice in it raises
+    ``DuplicateKeys`` before the table is touched, as the reference's database
+    would: sum or choose before. ``partition_by`` is a column or a list of columns;
+    a row whose key lies in another partition of the table moves to its new one.
+    ``schema`` fixes the table's column types on read (see ``read_table``).
     """
     parts = _cols(partition_by)
-    others = [c for c in incoming.columns if c not in keys]
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in others])
-    incoming = incoming.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-
-    if not table_exists(spark, path):
-        obs = Observation("upsert")
-        # observed above the range repartition: its sampling job must not count
-        w0 = _clustered(incoming, parts, keys).observe(obs, F.count(F.lit(1)).alias("rows")) \
-            .write.mode("overwrite")
-        if parts:
-            w0 = w0.partitionBy(*parts)
-        w0.parquet(path)
-        return {"inserted": int(obs.get["rows"]), "skipped": 0}
-
-    # The new rows feed three branches below (merged rows, key set, touched
-    # partitions); materialise them once in the shared checkpoint folder
-    # instead of evaluating their plan three times.
-    incoming = checkpointed(incoming)
-    inserted = incoming.count()
-
-    existing = read_table(spark, path, schema)
-    if parts:
-        touched = small_side(incoming.select(*parts).distinct())
-        existing = existing.join(touched, parts, "left_semi")
-    # the new keys are broadcast when a bounded count proves them few (a
-    # backfill), so the existing partition is not shuffled for the anti-join
-    inc_keys = small_side(incoming.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct())
-    kept = existing.join(inc_keys, _keys_equal(existing, inc_keys, keys), "left_anti")
-    merged = incoming.unionByName(kept, allowMissingColumns=True)
-
-    # sibling of the table on the same (shared) file system, never inside it:
-    # a whole-table overwrite would delete it before it is read
+    # sibling of the table on the same (shared) file system, never inside it
     staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex[:12]}"
-    sw = _clustered(merged, parts, keys).write.mode("overwrite")
-    if parts:
-        sw = sw.partitionBy(*parts)
-    sw.parquet(staging)
-
-    # Without a partition column the staged copy holds every row of the table
-    # and replaces it whole; with one, only the touched partitions are replaced.
-    staged = read_table(spark, staging, schema)
-    ow = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    if parts:
-        ow = ow.partitionBy(*parts)
-    ow.parquet(path)
-    _remove(spark, staging)
+    obs = Observation("upsert")
+    _write(_clustered(incoming, parts, keys).observe(obs, F.count(F.lit(1)).alias("rows")), staging, parts, "overwrite")
+    inserted = int(obs.get["rows"])
+    if not inserted:
+        if table_exists(spark, path):
+            _remove(spark, staging)
+        else:
+            _move(spark, staging, path)
+        return {"inserted": 0, "skipped": 0}
+    new = read_table(spark, staging, schema or incoming.schema)
+    if new.groupBy(*keys).count().where("count > 1").limit(1).count():
+        _remove(spark, staging)
+        raise DuplicateKeys(f"{path}: two rows of one key ({', '.join(keys)}) in a batch")
+
+    if table_exists(spark, path):
+        existing = read_table(spark, path, schema)
+        new_keys = new.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+        if parts:
+            touched = new.select(*parts).distinct()
+            if not set(parts) <= set(keys):  # keys may have moved from other partitions
+                slim = existing.select(*dict.fromkeys([*keys, *parts]))
+                moved = slim.join(new_keys, _keys_equal(slim, new_keys, keys), "left_semi").select(*parts)
+                touched = touched.union(moved).distinct()
+            existing = _only_partitions(existing, touched, parts)
+        kept = existing.join(new_keys, _keys_equal(existing, new_keys, keys), "left_anti")
+        _write(_clustered(kept, parts, keys), staging, parts, "append")
+        if parts:
+            staged = _partition_folders(spark, staging, len(parts))
+            # a partition that only lost rows has no staged successor
+            label = lambda r: "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if r[c] is None else r[c]}" for c in parts)
+            gone = {label(r) for r in touched.collect()} - {unquote(rel) for rel in staged}
+            for rel in staged:
+                _move(spark, f"{staging}/{rel}", f"{path.rstrip('/')}/{rel}")
+            for rel in _partition_folders(spark, path, len(parts)) if gone else []:
+                if unquote(rel) in gone:
+                    _remove(spark, f"{path.rstrip('/')}/{rel}")
+            _remove(spark, staging)
+            return {"inserted": inserted, "skipped": 0}
+    _move(spark, staging, path)
     return {"inserted": inserted, "skipped": 0}
 
 
@@ -173,8 +227,10 @@ def append(incoming: DataFrame, path: str, partition_by=None) -> dict:
 
 def latest_rows(table: DataFrame, keys: list[str], ts_col: str = "snapshot_run_ts") -> DataFrame:
     """Newest row per key (``DISTINCT ON (keys) ... ORDER BY ts DESC``; a NULL
-    timestamp sorts first, as PostgreSQL's DESC does)."""
-    w = Window.partitionBy(*keys).orderBy(F.col(ts_col).desc_nulls_first())
+    timestamp sorts first, as PostgreSQL's DESC does; equal timestamps: the
+    largest run id)."""
+    order = [F.col(c).desc_nulls_first() for c in (ts_col, "snapshot_run_id") if c in table.columns]
+    w = Window.partitionBy(*keys).orderBy(*order)
     return table.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 

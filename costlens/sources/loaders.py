@@ -18,14 +18,15 @@ Sources = Mapping[str, DataFrame]
 
 
 def load_parquet_sources(spark: SparkSession, root: str, tables=None,
-                         cast: bool = True) -> dict[str, DataFrame]:
+                         cast: bool = True, merge_schema: bool = False) -> dict[str, DataFrame]:
     """Read ``{root}/{table}`` parquet datasets and resolve them to canonical form.
 
-    ``mergeSchema`` lets additive schema evolution of the exports through.
+    ``merge_schema`` is for exports whose files differ in columns: it opens the
+    footer of every file before planning, so it is off by default.
     """
     out = {}
     for name in tables or TABLES:
-        df = spark.read.option("mergeSchema", "true").parquet(f"{root.rstrip('/')}/{name}")
+        df = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(f"{root.rstrip('/')}/{name}")
         out[name] = resolve_columns(df, name, cast=cast)
     return out
 

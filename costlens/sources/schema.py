@@ -180,13 +180,3 @@ def resolve_columns(df: DataFrame, table: str | Table, cast: bool = False) -> Da
             e = e.try_cast(col.dtype)
         exprs.append(e.alias(col.name))
     return df.select(*exprs)
-
-
-def pad_columns(df: DataFrame, columns: list[str], types: dict[str, str] | None = None) -> DataFrame:
-    """Fix a column order, adding absent columns as typed NULLs."""
-    types = types or {}
-    have = set(df.columns)
-    return df.select(*[
-        F.col(c) if c in have else F.lit(None).cast(types.get(c, "string")).alias(c)
-        for c in columns
-    ])

@@ -71,13 +71,7 @@ def test_restricted_sources_give_the_same_rows(spark):
     from costlens.plans import resumen as S
     src = load_fixture_sources(spark, SF)
     reqs = R.all_projects(src).orderBy("project_no").limit(5)
-    restricted = rows(S.resumen(src, reqs, JAN))
-    old = S.RESTRICT_MAX_REQUESTS
-    try:
-        S.RESTRICT_MAX_REQUESTS = 0          # never restrict
-        full = rows(S.resumen(src, reqs, JAN))
-    finally:
-        S.RESTRICT_MAX_REQUESTS = old
+    restricted, full = (rows(S.resumen(src, reqs, JAN, restrict=r)) for r in (True, False))
     assert restricted == full and len(full) > 0
 
 

@@ -43,8 +43,9 @@ def _key_shuffles(df) -> int:
 
 
 def test_plan_shape_of_the_summary(spark, tmp_table_root):
-    """Guards the plan: one shuffle per source in the source job, exactly one
-    shuffle for the whole tail."""
+    """Guards the plan before adaptive execution: shuffles of the sources carry
+    aggregated rows, and the whole tail adds the union's one shuffle to them and to
+    those of the overhead percentages."""
     from costlens.operators.chapters import all_parts
     from costlens.plans import resumen as S
     fx = load_fixture_sources(spark, SF)
@@ -52,5 +53,30 @@ def test_plan_shape_of_the_summary(spark, tmp_table_root):
         df.write.mode("overwrite").parquet(f"{tmp_table_root}/{name}")
     pq = load_parquet_sources(spark, tmp_table_root, tables=list(fx))
     req = S.prepare_requests(R.all_projects(pq))
-    assert _key_shuffles(all_parts(pq, req, JAN)) <= 6
-    assert _key_shuffles(resumen(pq, R.all_projects(pq), JAN)) == 1
+    parts = _key_shuffles(all_parts(pq, req, JAN))
+    assert parts <= 12
+    whole = resumen(pq, R.all_projects(pq), JAN)
+    assert _key_shuffles(whole) - parts <= 4
+    assert sum("REPARTITION_BY_COL" in ln for ln in _plan(whole).split("\n")) == 1
+
+
+def test_invoices_cut_the_big_tables_first(spark, tmp_table_root):
+    """The month's headers semi-join lines and ledger below their aggregations, at any size."""
+    fx = load_fixture_sources(spark, SF)
+    for name, df in fx.items():
+        df.write.mode("overwrite").parquet(f"{tmp_table_root}/{name}")
+    pq = load_parquet_sources(spark, tmp_table_root, tables=list(fx))
+    plan = DS.invoices_by_chapter(pq, None, None, JAN.month_start, JAN.month_end, sort=False) \
+        ._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    depth = lambda ln: len(ln) - len(ln.lstrip(" :+-"))
+    for table, agg in (("InvoiceId", "count(1)"), ("Total_Cost_LCY", "sum(Total_Cost_LCY")):
+        scan = next(i for i, ln in enumerate(plan) if "Relation" in ln and table in ln)
+        above, d = [], depth(plan[scan])
+        for ln in reversed(plan[:scan]):
+            if depth(ln) < d:
+                above.append(ln)
+                d = depth(ln)
+        joins = next(i for i, ln in enumerate(above) if "LeftSemi" in ln)
+        aggs = next(i for i, ln in enumerate(above) if "Aggregate" in ln and agg in ln)
+        assert joins < aggs, above
+    assert any("GreaterThanOrEqual(invoiceDate" in ln or "invoiceDate" in ln and ">=" in ln for ln in plan)

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 
 from costlens.sinks import tables as T
 
@@ -27,11 +28,39 @@ def test_upsert_without_partitions_and_schema_evolution(spark, tmp_table_root):
     assert got == [("a", 1.0, None), ("b", 2.0, "x")]
 
 
-def test_upsert_duplicate_keys_keep_one(spark, tmp_table_root):
+def test_upsert_duplicate_keys_raise_and_leave_the_table(spark, tmp_table_root):
     path = tmp_table_root + "/d"
-    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("a", None)], "k string, v double")
-    T.upsert(spark, df, path, ["k"])
-    assert [(r["k"], r["v"]) for r in T.read_table(spark, path).collect()] == [("a", 3.0)]
+    T.upsert(spark, spark.createDataFrame([("a", 7.0)], "k string, v double"), path, ["k"])
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", None)], "k string, v double")
+    with pytest.raises(T.DuplicateKeys):
+        T.upsert(spark, df, path, ["k"])
+    assert [(r["k"], r["v"]) for r in T.read_table(spark, path).collect()] == [("a", 7.0)]
+
+
+def test_upsert_moves_keys_between_partitions(spark, tmp_table_root):
+    """A partition column outside the key: a row whose month changed leaves its old one."""
+    path = tmp_table_root + "/m"
+    sch = "k string, v double, mes string"
+    T.upsert(spark, spark.createDataFrame([("a", 1.0, "1997-01"), ("b", 2.0, "1997-01"), ("c", 3.0, "1997-02 x/y")], sch),
+             path, ["k"], partition_by="mes")
+    T.upsert(spark, spark.createDataFrame([("a", 5.0, "1997-03"), ("c", 6.0, "1997-03")], sch), path, ["k"], partition_by="mes")
+    got = sorted((r["k"], r["v"], str(r["mes"])) for r in T.read_table(spark, path).collect())
+    assert got == [("a", 5.0, "1997-03"), ("b", 2.0, "1997-01"), ("c", 6.0, "1997-03")]
+
+
+def test_empty_batches(spark, tmp_table_root):
+    path = tmp_table_root + "/e"
+    rows = spark.createDataFrame([("a", 1.0)], "k string, v double")
+    assert T.upsert(spark, rows.limit(0), path, ["k"])["inserted"] == 0
+    assert T.upsert(spark, rows, path, ["k"])["inserted"] == 1
+    assert T.upsert(spark, rows.limit(0), path, ["k"])["inserted"] == 0
+    assert T.read_table(spark, path).count() == 1
+
+
+def test_latest_rows_tie_break(spark):
+    at = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([("a", 1, "r1", at), ("a", 2, "r2", at)], "k string, v int, snapshot_run_id string, snapshot_run_ts timestamp")
+    assert [r["v"] for r in T.latest_rows(df, ["k"]).collect()] == [2]
 
 
 def test_append_duplicates_on_rerun(spark, tmp_table_root):

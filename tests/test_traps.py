@@ -221,3 +221,75 @@ def test_planning_matched_by_name_when_the_request_has_no_company_id(spark):
     rows = {r["capitulo"]: r for r in resumen(src, R.explicit(spark, src, [("ACME", "PY_9")]), JAN).collect()}
     assert rows["01.01"]["company_id"] is None
     assert rows["01.01"]["certificacion_a_origen"] == 40.0
+
+
+def test_t12_restricted_run_keeps_rows_of_the_concatenated_key(spark):
+    """Task line (A, B_C) belongs to project (A_B, C): cutting the sources to the requests
+    must not lose it."""
+    src = make_sources(
+        spark, companies_bc=[company("C", "Y")], job_list_bc=[job("A_B", "C"), job("Z", "C")],
+        job_task_lines_subform_bc=[
+            {"Job_No": "A", "CompanyId": "B_C", "Job_Task_No": "01", "Schedule_Total_Price": dec(10)},
+            {"Job_No": "Z", "CompanyId": "C", "Job_Task_No": "01", "Schedule_Total_Price": dec(99)}],
+        facturas_qwark=[{"documentDate": TS(1997, 1, 3), "documentNo": "1", "baseAmount": dec(5), "posting_jobNo": "A_B",
+                         "posting_jobTaskNo": "01", "company": "C"}])
+    req = R.explicit(spark, src, [("Y", "A_B")])
+    free, cut = (sorted(map(tuple, resumen(src, req, JAN, restrict=r).collect())) for r in (False, True))
+    assert free == cut and len(free) == 3
+    assert [r["contratos"] for r in resumen(src, req, JAN, restrict=True).where("capitulo = '01'").collect()] == [10.0]
+
+
+def test_building_a_query_starts_no_job(spark):
+    """Datasets and the summary are lazy."""
+    src = make_sources(spark, companies_bc=[company("1", "ACME")], job_list_bc=[job("PY_1", "1")])
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "no jobs expected")
+    try:
+        req = R.all_projects(src)
+        for restrict in (False, True):
+            resumen(src, req, JAN, restrict=restrict)
+        DS.invoices_by_chapter(src, "ACME", None, D(1997, 1, 1), D(1997, 1, 31))
+        DS.ledger_entries(src, None, None, D(1997, 1, 31))
+        DS.unposted_docs(src, "", "", D(1997, 1, 1), D(1997, 1, 31))
+        assert list(tracker.getJobIdsForGroup("building")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_empty_parameters_mean_no_filter(spark, base):
+    src = make_sources(spark, **base, companies_qwark=[company("1", "ACME")], facturas_qwark=[
+        {"documentDate": TS(1997, 1, 3), "documentNo": "1", "baseAmount": dec(5), "posting_jobNo": "PY_1", "company": "1"}])
+    assert DS.unposted_docs(src, "", "", D(1997, 1, 1), D(1997, 1, 31)).count() == 1
+    assert DS.unposted_pending(src, "", "", D(1997, 1, 31)).count() == 1
+    assert DS.task_lines(src, "", None).count() == 0  # the SQL datasets do compare with ''
+
+
+def test_summary_tail_is_hash_aggregated(spark, base):
+    src = make_sources(spark, **base)
+    plan = resumen(src, R.all_projects(src), JAN)._jdf.queryExecution().executedPlan().toString()
+    # only the requests' company id, one row per project, is a text that is aggregated
+    sorts = [ln for ln in plan.split("\n") if "SortAggregate" in ln]
+    assert all("min(CompanyId" in ln for ln in sorts) and "HashAggregate" in plan
+
+
+def test_detail_tables_fail_on_their_own(spark, base, tmp_table_root):
+    """A broken detail source is reported; the others and the run log are still written."""
+    from costlens.plans import runs as RUN
+    src = make_sources(spark, **base, job_ledger_entries_bc=[ledger(D(1997, 1, 5), "PY_1", "01.01", 10)])
+    src = dict(src, purchase_invoices_bc=src["purchase_invoices_bc"].drop("number"))
+    target = RUN.Target(tmp_table_root)
+    out = RUN.run_snapshot(spark, src, R.all_projects(src), JAN, target, all_projects=True)
+    assert out[RUN.SUMMARY]["inserted"] == 3 and "error" in out[RUN.INVOICES]
+    assert out[RUN.RESOURCES] == {"inserted": 0, "skipped": 0}
+    assert spark.read.parquet(target.path(RUN.RUN_LOG)).count() == 1
+
+
+def test_checkpoint_folder_is_required_off_local_masters(monkeypatch):
+    from types import SimpleNamespace
+
+    from costlens import session
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    far = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d: d))
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(far)
+    assert session.cluster_conf("s3a://bucket/ckpt")["spark.checkpoint.dir"] == "s3a://bucket/ckpt"
