@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costlens.llm import chat, langid, mixing, warc
+from costlens.llm import chat, langid, mixing, oracles, warc
 from costlens.llm.decontaminate import decontaminate
 from costlens.llm.embedding_dedup import embedding_dedup
 from costlens.llm.hilbert import document_dims, hilbert_shards
@@ -90,4 +90,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL can't express the classifiers, edit matching and the curve's checksums; those
+    queries are tested against brute force and by held-out accuracy."""
+    return {
+        "op2_minhash_near_dedup": oracles.near_dedup(),
+        "op6_warc": oracles.warc(),
+        "op7_chat_formatting": oracles.chat(),
+        "op8_curriculum_mixing": oracles.mix(),
+        "op9_cross_polytope_near_dedup": oracles.embeddings(),
+    }
