@@ -147,7 +147,7 @@ def unposted_docs(src: Sources, company: str | None, project: str | None,
         F.col("vendorName").alias("vendor_name"),
         F.col("posting_description"),
         F.col("bc_draftDocumentNo").alias("bc_draft_document_no"),
-        F.col("posting_jobTaskNo").alias("job_task_no"),
+        F.col("detail_jobTaskNo").alias("job_task_no"),
         F.col("baseAmount").alias("base_amount"),
     )
     out = where_given(out, "company_name", company)

@@ -112,6 +112,9 @@ TABLES: dict[str, Table] = {t.name: t for t in [
            required=False),
         _c("posting_jobTaskNo", "string", "posting_job_task_no", "job_task_no",
            "capitulo_codigo", "capitulo", required=False),
+        # the document photo accepts fewer spellings of the chapter than the summary
+        _c("detail_jobTaskNo", "string", "posting_jobTaskNo", "posting_job_task_no", "job_task_no",
+           required=False),
         _c("company", "string", "companyid", "company_id"),
         _c("bunisnessUnit", "string", "businessUnit", "business_unit", "businessunit",
            required=False))),

@@ -38,3 +38,13 @@ def test_load_parquet_sources(spark, tmp_table_root):
         .write.parquet(f"{tmp_table_root}/companies_bc")
     src = load_parquet_sources(spark, tmp_table_root, tables=["companies_bc"])
     assert [tuple(r) for r in src["companies_bc"].collect()] == [("1", "ACME")]
+
+
+def test_document_photo_takes_fewer_spellings_of_the_chapter(spark):
+    row = "1997-01-03", "1", "S", 5, "PY_1", "07.01", "1"
+    df = spark.createDataFrame([row], "documentDate string, documentNo string, vendorName string, baseAmount int, "
+                                      "posting_jobNo string, capitulo string, company string")
+    got = resolve_columns(df, "facturas_qwark", cast=True).first()
+    assert got["posting_jobTaskNo"] == "07.01" and got["detail_jobTaskNo"] is None
+    got = resolve_columns(df.withColumnRenamed("capitulo", "job_task_no"), "facturas_qwark", cast=True).first()
+    assert got["posting_jobTaskNo"] == got["detail_jobTaskNo"] == "07.01"
