@@ -47,7 +47,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each source's documents as often as its target weight asks, in training order."""
-    return mixing.training_order(docs).drop("copy", "position").select(*docs.columns)
+    return mixing.training_order(docs, copy="__copy", position="__position").select(*docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

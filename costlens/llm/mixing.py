@@ -18,7 +18,7 @@ or empty text, or one without words, has size 0 and is taken 0 words, in as many
 copies as its place asks; a source without words has target 0; rows that repeat a
 doc_id are separate rows with a place each; with no words at all every target is
 0. Rows with a null doc_id are placed like others. Columns of the input are kept
-by ``training_order``; an input column named ``copy`` or ``position`` is replaced.
+by ``training_order``, but for those named like its two own.
 """
 
 from __future__ import annotations
@@ -133,15 +133,15 @@ def plan(docs: DataFrame, weights: tuple = WEIGHTS, schedules: tuple = SCHEDULES
     return rows.select("doc_id", "source", "size", "source_size", "target", (F.size("__starts") * F.col("size")).alias("taken"), positions.alias("positions"), "__id", "__body")
 
 
-def training_order(docs: DataFrame, **options) -> DataFrame:
-    """The copies that the mix takes, with all columns of ``docs`` and ``copy`` (from 0)
-    and ``position`` (0 to 1), range-sorted by position. Rows equal in doc_id, source and
-    text share out their places one to one."""
-    keep = [F.col(c) for c in docs.columns if c not in ("copy", "position")]
+def training_order(docs: DataFrame, copy: str = "copy", position: str = "position", **options) -> DataFrame:
+    """The copies that the mix takes, with all columns of ``docs`` and, named as asked, the
+    copy's number (from 0) and position (0 to 1), range-sorted by position. Rows equal in
+    doc_id, source and text share out their places one to one."""
+    keep = [F.col(c) for c in docs.columns if c not in (copy, position)]
     order = lambda last: F.row_number().over(Window.partitionBy("__id", "__body").orderBy(last))
-    places = plan(docs, **options).select("__id", "__body", "positions")
-    places = places.withColumn("__nth", order(F.size("positions").desc())).where(F.size("positions") > 0)
+    places = plan(docs, **options).select("__id", "__body", F.col("positions").alias("__places"))
+    places = places.withColumn("__nth", order(F.size("__places").desc())).where(F.size("__places") > 0)
     rows = docs.select(*keep, *_identity()).withColumn("__nth", order("__id"))
     rows = rows.join(places, ["__id", "__body", "__nth"])
-    rows = rows.select(*keep, F.posexplode("positions").alias("copy", "position"))
-    return rows.orderBy("position")
+    rows = rows.select(*keep, F.posexplode("__places").alias(copy, position))
+    return rows.orderBy(position)

@@ -19,7 +19,7 @@ def folder(spark, tmp_path_factory):
     rows += [(1000 + i, edited(prose(7, 100), i, i % 4)) for i in range(20)] + [(1100 + i, prose(8, 60)) for i in range(10)]
     items = [(i, prose(700 + i, 20)) for i in range(5)]
     rows += [(1200 + i, f"{prose(i, 15)} {items[i % 5][1]} {prose(i + 1, 9)}", "en", "leaky") for i in range(15)]
-    rows += [(2000 + (d or 0), t) for d, t, *_ in EDGES if t != EDGES[10][1]]
+    rows += [(2000 + d, t) for d, t, *_ in EDGES if d is not None and d != 10]
     documents(spark, rows).write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
