@@ -247,7 +247,8 @@ def near_dedup(docs: DataFrame, width: int = 5, percent: int = 85, k: int = 64,
 
     # dense classes: nearly all they retain is common
     held = F.size("sketch")
-    spare = F.when(F.col("n") > k, F.lit(misses(k, percent))).otherwise(F.floor((100 - percent) * F.col("n") / F.lit(float(percent)) + 1e-9))
+    # (a partner of a set just below k may be above it, and then not retain all that both have)
+    spare = F.when(100 * F.col("n") > percent * k, F.lit(misses(k, percent))).otherwise(F.floor((100 - percent) * F.col("n") / F.lit(float(percent)) + 1e-9))
     dense = classes.join(common, "id").where(held - F.col("common") <= spare)
     smallest = F.slice("sketch", 1, lists_needed(percent))  # ascending
     entries = staged(dense.select("id", "n", "h1", F.explode(smallest).alias("v")), "dense")
