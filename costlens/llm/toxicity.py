@@ -11,6 +11,9 @@ sample into rows of features run as Spark jobs, and the driver gets at most
 ``features`` selected n-grams and the sample's feature indices. Scoring reads
 every whole text once, without a shuffle.
 
+The score is the probability at the sample's share of label 1, so that a rare label
+is found by a single clear sign; it isn't shifted to the label's share in the data.
+
 Defined results: a null or empty text has no feature and gets the score of the
 intercept; without labelled rows of both labels every score is the share of
 label 1 among them (0 without any). Labels of repeated doc_ids count as 1 if any
@@ -34,9 +37,9 @@ from costlens.llm.staging import staged
 #: Lengths of the n-grams.
 WIDTHS = (4, 5)
 #: Sampled rows of each label; each is read whole.
-PER_LABEL = 4000
+PER_LABEL = 2500
 #: Selected n-grams at most, and the least likelihood-ratio statistic of a selected one.
-FEATURES = 8192
+FEATURES = 4096
 LEAST_G2 = 12.0
 
 
@@ -101,6 +104,7 @@ def _fit(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, l2: float = 0
     n, m = len(rows), len(ratio)
     at = np.repeat(np.arange(n), [len(r) for r in rows])
     feature = np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64)
+    rows.clear()
     value = ratio[feature]
     norm = np.bincount(at, value**2, minlength=n).max(initial=0.0) + 1.0
     step = 1.0 / (0.25 * norm + l2 / n)
