@@ -15,7 +15,7 @@ without a shuffle.
 Defined results: a null text, or one without a letter, gets ``und`` and score 0; so
 does every text if no language was learned. A text that has letters but no n-gram
 in common with any centroid gets the first language by name and score 0; equal
-cosines go to the first language by name. Null languages aren't learned. Rows are
+cosines go to the first language by name. Null languages and rows with a null doc_id aren't learned from. Rows are
 scored one by one, so repeated rows get equal rows. Other columns aren't read.
 """
 
@@ -134,14 +134,16 @@ def _centroids(idf: np.ndarray, k: int) -> Callable:
 
 def train(docs: DataFrame, per_lang: int = PER_LANG, centroids: int = CENTROIDS) -> Model:
     """Learn from ``docs`` (doc_id, text, lang)."""
-    rows = docs.where("lang is not null and text is not null").select("lang", "doc_id", "text", F.xxhash64("doc_id").alias("__hash"))
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("__n"))
-    # far fewer rows than a language has reach its task: a share by hash first, then the first of them
+    rows = docs.where("lang is not null and text is not null and doc_id is not null").select("lang", "doc_id", "text")
+    ids = rows.select("lang", "doc_id", F.xxhash64("doc_id").alias("__hash"))
+    sizes = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("__n"))
+    # ids are drawn without their texts: a share of each language by hash, then the first of them
     share = F.col("__hash") / F.lit(float(1 << 64)) + 0.5
-    few = rows.join(sizes, "lang").where(share * F.col("__n") < 4.0 * per_lang)
-    order = Window.partitionBy("lang").orderBy("__hash", "doc_id", F.xxhash64("text"))
-    sample = few.withColumn("__i", F.row_number().over(order)).where(F.col("__i") <= per_lang).select("lang", "doc_id", "text")
-    sample = staged(sample, "lang-sample")
+    few = ids.join(sizes, "lang").where(share * F.col("__n") < 4.0 * per_lang)
+    order = Window.partitionBy("lang").orderBy("__hash", "doc_id")
+    drawn = few.withColumn("__i", F.row_number().over(order)).where(F.col("__i") <= per_lang).select("lang", "doc_id")
+    drawn = staged(drawn.distinct(), "lang-drawn")  # per_lang ids a language at most
+    sample = staged(rows.join(F.broadcast(drawn), ["lang", "doc_id"]), "lang-sample")
     n = sample.count()
     seen = sample.select("text").repartition(8).mapInArrow(_frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     df = np.zeros(BUCKETS)
