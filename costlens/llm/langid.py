@@ -139,7 +139,8 @@ def train(docs: DataFrame, per_lang: int = PER_LANG, centroids: int = CENTROIDS)
     sizes = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("__n"))
     # ids are drawn without their texts: a share of each language by hash, then the first of them
     share = F.col("__hash") / F.lit(float(1 << 64)) + 0.5
-    few = ids.join(sizes, "lang").where(share * F.col("__n") < 4.0 * per_lang)
+    # (a row a language, fewer than the model's own rows: sent to all tasks, so no id is shuffled)
+    few = ids.join(F.broadcast(sizes), "lang").where(share * F.col("__n") < 4.0 * per_lang)
     order = Window.partitionBy("lang").orderBy("__hash", "doc_id")
     drawn = few.withColumn("__i", F.row_number().over(order)).where(F.col("__i") <= per_lang).select("lang", "doc_id")
     drawn = staged(drawn.distinct(), "lang-drawn")  # per_lang ids a language at most
