@@ -82,7 +82,7 @@ def _turns(record: Column, mapping) -> Column:
             text = F.array_join(parts, "\n\n")
         else:
             text = _get(record, path)
-        number = F.coalesce(F.get_json_object(record, "$.turn").cast("long"), F.lit(i).cast("long")) if len(mapping) == 1 else F.lit(i).cast("long")
+        number = F.get_json_object(record, "$.turn").cast("long") if len(mapping) == 1 else F.lit(i).cast("long")  # a null number stays null
         name = _role(F.get_json_object(record, role)) if role.startswith("$.") else F.lit(role)
         out.append(F.struct(number.alias("turn"), name.alias("role"), text.alias("text")))
     return F.array(*out)

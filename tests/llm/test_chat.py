@@ -4,7 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from costlens.llm import chat
+from costlens.llm import chat, queries
 from tests.llm.helpers import clashing
 
 TURNS = "conv_id long, turn long, role string, text string"
@@ -72,3 +72,20 @@ def test_fingerprints_depend_on_paths_only(spark):
     texts = ['{"a": 1, "b": {"c": "x"}}', '{"b": {"c": null}, "a": 2.5}', '{"a": 1, "b": {"d": "x"}}', '{"a": [1], "b": {"c": 1}}', '{"a": true, "b": {"c": "STRING>"}}']
     f = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(chat.fingerprint(F.col("t"))).collect()]
     assert f[0] == f[1] == f[4] and len({f[0], f[2], f[3]}) == 3
+
+
+def query(spark, folder, rows):
+    """The registered query's rows on a folder with these conversations, by conv_id."""
+    spark.createDataFrame(rows, TURNS).repartition(3).write.parquet(f"{folder}/conversations.parquet")
+    return {r.conv_id: r for r in queries.op7_chat_formatting(spark, str(folder)).collect()}
+
+
+def test_query_keeps_rows_with_null_fields(spark, tmp_path):
+    rows = [(1, 0, "user", "zero"), (1, None, "assistant", "no number"), (1, -1, "user", "minus"), (2, None, "user", "b"), (2, None, "assistant", "a"), (2, 0, None, "x")]
+    rows += [(3, 0, "assistant", None), (3, None, None, "only text"), (4, None, None, None), (None, None, "assistant", "no id")]
+    got = query(spark, tmp_path, rows)
+    assert (got[-1].n_turns, got[-1].loss_chars) == (2, len("<|im_end|><|im_start|>assistant ok"))
+    order = lambda r: (r[1] is not None, r[1] or 0, r[2] or "user", r[3] or "")
+    for c in {r[0] for r in rows}:
+        turns = [(r[2] or "user", r[3] or "") for r in sorted((r for r in rows if r[0] == c), key=order)]
+        assert (got[c].n_turns, got[c].turns_sha256, got[c].loss_chars, got[c].loss_sha256) == want(turns), c
