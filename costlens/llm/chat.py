@@ -68,8 +68,9 @@ def _get(record: Column, path: str | None) -> Column:
     return F.lit("") if path is None else F.coalesce(F.get_json_object(record, path), F.lit(""))
 
 
-def _turns(record: Column, mapping) -> Column:
-    """The turns of a record under a mapping: an array of (turn, role, text)."""
+def _turns(record: Column, mapping, aliases: bool = True) -> Column:
+    """The turns of a record under a mapping: an array of (turn, role, text); without
+    ``aliases`` a role that the record itself names in a row layout stays as it is."""
     if isinstance(mapping, tuple):
         at, role, text = mapping
         items = F.from_json(F.get_json_object(record, at), f"array<struct<`{role}`:string,`{text}`:string>>")
@@ -83,7 +84,8 @@ def _turns(record: Column, mapping) -> Column:
         else:
             text = _get(record, path)
         number = F.get_json_object(record, "$.turn").cast("long") if len(mapping) == 1 else F.lit(i).cast("long")  # a null number stays null
-        name = _role(F.get_json_object(record, role)) if role.startswith("$.") else F.lit(role)
+        said = F.get_json_object(record, role) if role.startswith("$.") else F.lit(role)
+        name = _role(said) if aliases else F.coalesce(said, F.lit("user"))
         out.append(F.struct(number.alias("turn"), name.alias("role"), text.alias("text")))
     return F.array(*out)
 
@@ -93,9 +95,11 @@ def _role(name: Column) -> Column:
     return F.coalesce(F.try_element_at(known, name), name, F.lit("user"))
 
 
-def canonical_turns(records: DataFrame, record: str, key: str) -> DataFrame:
+def canonical_turns(records: DataFrame, record: str, key: str, row_aliases: bool = True) -> DataFrame:
     """(key, layout, fingerprint, turn, role, text): a row for each turn of the JSON texts in
-    column ``record``; a record in no known layout gives one row with a null layout and turn."""
+    column ``record``; a record in no known layout gives one row with a null layout and turn.
+    Without ``row_aliases`` the names of ``ROLES`` stay as they are in the row layouts, whose
+    roles are then canonical already."""
     spark = records.sparkSession
     known = spark.createDataFrame([(n, x) for n, (x, _) in LAYOUTS.items()], "layout string, example string")
     prints = {r["layout"]: r["f"] for r in known.select("layout", fingerprint(F.col("example")).alias("f")).collect()}
@@ -104,7 +108,7 @@ def canonical_turns(records: DataFrame, record: str, key: str) -> DataFrame:
     for name, (_, mapping) in LAYOUTS.items():
         mine = F.col("fingerprint") == prints[name]
         layout = F.when(mine, name).otherwise(layout)
-        turns = F.when(mine, _turns(F.col("__record"), mapping).cast(f"array<{TURN}>")).otherwise(turns)
+        turns = F.when(mine, _turns(F.col("__record"), mapping, row_aliases).cast(f"array<{TURN}>")).otherwise(turns)
     rows = rows.select(key, layout.alias("layout"), "fingerprint", F.explode(turns).alias("__turn"))
     return rows.select(key, "layout", "fingerprint", "__turn.turn", "__turn.role", "__turn.text")
 

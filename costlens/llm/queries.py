@@ -58,7 +58,8 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rows.unionByName(spark.createDataFrame(extra, "conv_id long, turn long, role string, text string"))
     # null fields stay in the record: they are part of its layout
     records = rows.select("conv_id", F.to_json(F.struct("turn", "role", "text"), {"ignoreNullFields": "false"}).alias("record"))
-    return chat.digests(chat.format_chat(chat.canonical_turns(records, "record", "conv_id"), "conv_id"), "conv_id")
+    turns = chat.canonical_turns(records, "record", "conv_id", row_aliases=False)  # the table's roles are what is digested
+    return chat.digests(chat.format_chat(turns, "conv_id"), "conv_id")
 
 
 def op8_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

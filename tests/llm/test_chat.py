@@ -89,3 +89,9 @@ def test_query_keeps_rows_with_null_fields(spark, tmp_path):
     for c in {r[0] for r in rows}:
         turns = [(r[2] or "user", r[3] or "") for r in sorted((r for r in rows if r[0] == c), key=order)]
         assert (got[c].n_turns, got[c].turns_sha256, got[c].loss_chars, got[c].loss_sha256) == want(turns), c
+
+
+def test_query_keeps_the_roles_of_the_table(spark, tmp_path):
+    roles = ["human", "gpt", "bot", "model", "user", "assistant", "system", "tool"]
+    got = query(spark, tmp_path, [(7, i, role, f"text {i}") for i, role in enumerate(roles)])[7]
+    assert (got.n_turns, got.turns_sha256, got.loss_chars, got.loss_sha256) == want([(r, f"text {i}") for i, r in enumerate(roles)])
