@@ -5,7 +5,8 @@ A stage takes (spark, docs, sf_dir) and returns a DataFrame; the result is writt
 as Parquet to the cluster's shared checkpoint folder and read again as the next
 stage's docs. All stages but the last return exactly the columns they were given.
 
-Rejections are joined by doc_id; a null doc_id is never rejected by them.
+Decisions are taken and applied row by row, whatever the doc_ids: rows of a null or
+repeated doc_id are documents of their own.
 """
 
 from __future__ import annotations
@@ -14,35 +15,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costlens.llm import mixing
-from costlens.llm.decontaminate import decontaminate
+from costlens.llm.decontaminate import without_items
 from costlens.llm.hilbert import document_dims, hilbert_shards
 from costlens.llm.near_dedup import near_dedup
 from costlens.llm.staging import staged, table
-from costlens.llm.toxicity import toxicity as toxicity_scores
+from costlens.llm.toxicity import without_toxic
 
 #: Similarity, in percent, at which the pipeline counts documents as near copies.
 NEAR_PERCENT = 80
 
 
-def _without(docs: DataFrame, lost: DataFrame) -> DataFrame:
-    """``docs`` but for the doc_ids of ``lost``."""
-    lost = lost.select(F.col("doc_id").alias("__lost")).distinct()
-    return docs.join(lost, docs["doc_id"] == F.col("__lost"), "left_anti")
-
-
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier predicts to be toxic go."""
-    return _without(docs, toxicity_scores(docs, table(spark, sf_dir, "labels")).where("predicted = 1"))
+    return without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest id."""
-    return _without(docs, near_dedup(docs, percent=NEAR_PERCENT).where(~F.col("kept")))
+    """One document of each group of near copies stays, the one with the smallest id; a
+    null id is the smallest, and of rows that share it any one."""
+    # rows get numbers for this stage, written once so that every job sees the same ones
+    rows = staged(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    verdicts = near_dedup(rows.select(F.col("__row").alias("doc_id"), "text"), percent=NEAR_PERCENT)
+    copies = staged(verdicts.where(~F.col("kept")).select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__group")), "copies")
+    members = copies.unionByName(copies.select(F.col("__group").alias("__row"), "__group").distinct())
+    members = members.join(rows.select("__row", "doc_id"), "__row")
+    stays = members.groupBy("__group").agg(F.min(F.struct("doc_id", "__row")).alias("__first")).select(F.col("__first.__row").alias("__row"))
+    lost = members.join(stays, "__row", "left_anti").select("__row")
+    return rows.join(lost, "__row", "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold an item of the benchmark go."""
-    return _without(docs, decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated"))
+    return without_items(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -231,19 +231,50 @@ def _match(items: Items) -> Callable:
     return run
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.06, min_chars: int = 40) -> DataFrame:
-    """(doc_id, contaminated, item_ids, least_distance) of every row of ``docs``: the
-    items of ``benchmark`` (item_id, text) that occur in the text within ``error_rate``
-    edits a character, ascending, and the least edit distance (null without any)."""
+def _clean(items: Items, text_at: int) -> Callable:
+    """The rows whose text, in column ``text_at``, holds no item of the block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = Matcher(items)
+        for batch in batches:
+            offsets, data = tb.buffers(batch.column(text_at))
+            for i, j in tb.slices(offsets):
+                points, bounds = tb.letter_stream(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                stays = np.ones(j - i, bool)
+                stays[matcher.find(points, bounds)[0]] = False
+                yield batch.slice(i, j - i).filter(pa.array(stays))
+
+    return run
+
+
+def _blocks(benchmark: DataFrame, error_rate: float, min_chars: int) -> Iterator[Items]:
+    """The items of ``benchmark`` (item_id, text) in blocks of bounded size."""
     asked = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null")
     blocks = 1 + (asked.agg(F.sum(F.length("text"))).first()[0] or 0) // BLOCK_CHARS
-    none = F.array().cast("array<long>")
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), none.alias("item_ids"), none.alias("distances"))
     for i in range(blocks):
         some = asked.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == i).orderBy("item_id", "text").collect()
         items = prepare([tuple(r) for r in some], error_rate, min_chars)
         if items is not None:
-            out = out.mapInArrow(_match(items), "doc_id long, text string, item_ids array<long>, distances array<long>")
+            yield items
+
+
+def without_items(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.06, min_chars: int = 40) -> DataFrame:
+    """The rows of ``docs`` that ``decontaminate`` doesn't find contaminated, whole. Each row
+    is judged by its own text, so null and repeated doc_ids are told apart."""
+    out = docs.withColumn("text", F.col("text").cast("string"))
+    for items in _blocks(benchmark, error_rate, min_chars):
+        out = out.mapInArrow(_clean(items, out.columns.index("text")), out.schema)
+    return out
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.06, min_chars: int = 40) -> DataFrame:
+    """(doc_id, contaminated, item_ids, least_distance) of every row of ``docs``: the
+    items of ``benchmark`` (item_id, text) that occur in the text within ``error_rate``
+    edits a character, ascending, and the least edit distance (null without any)."""
+    none = F.array().cast("array<long>")
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), none.alias("item_ids"), none.alias("distances"))
+    for items in _blocks(benchmark, error_rate, min_chars):
+        out = out.mapInArrow(_match(items), "doc_id long, text string, item_ids array<long>, distances array<long>")
     return out.select(
         "doc_id",
         (F.size("item_ids") > 0).alias("contaminated"),

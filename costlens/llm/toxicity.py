@@ -176,10 +176,36 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(_score(model), "doc_id long, score double")
 
 
+def _below(model: Model, threshold: float, text: int) -> Callable:
+    """The rows whose text, in column ``text``, scores less than ``threshold``."""
+    scored = _score(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first = 0
+            for part in scored(iter([pa.RecordBatch.from_arrays([batch.column(text)] * 2, ["doc_id", "text"])])):
+                stays = pa.array(part.column(1).to_numpy() < threshold)
+                yield batch.slice(first, part.num_rows).filter(stays)
+                first += part.num_rows
+
+    return run
+
+
+def _learned(docs: DataFrame, labels: DataFrame, fold: int, parts: int) -> Model:
+    """The classifier of ``toxic`` of ``labels``, from the rows that aren't held out."""
+    learn = labels.where(~held_out(fold, parts)).select("doc_id", F.col("toxic").alias("label"))
+    return train(docs, learn)
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, fold: int = 0, parts: int = 5) -> DataFrame:
+    """The rows of ``docs`` that ``toxicity`` doesn't predict to be toxic, whole. Each row is
+    judged by its own text, so null and repeated doc_ids are told apart."""
+    docs = docs.withColumn("text", F.col("text").cast("string"))
+    return docs.mapInArrow(_below(_learned(docs, labels, fold, parts), threshold, docs.columns.index("text")), docs.schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, fold: int = 0, parts: int = 5) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of ``docs``; the classifier
     learns ``toxic`` of ``labels`` from the rows that aren't held out."""
-    learn = labels.where(~held_out(fold, parts)).select("doc_id", F.col("toxic").alias("label"))
-    model = train(docs, learn)
-    out = score(docs, model)
+    out = score(docs, _learned(docs, labels, fold, parts))
     return out.select("doc_id", held_out(fold, parts).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

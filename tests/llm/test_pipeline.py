@@ -80,3 +80,25 @@ def test_odd_tables(spark, folder):
                 assert rows == docs.count()
     nulls = cp.near_duplicates(spark, documents(spark, EDGES), path).where(F.col("doc_id").isNull()).count()
     assert nulls == 2
+
+
+def test_decisions_hold_for_null_and_repeated_ids(spark, folder):
+    """A row goes or stays by its own text; the rows that share its id don't matter."""
+    path, items = folder
+    insult = prose(1, 40).replace(" ", " zurgle ", 3)
+    leak = f"{prose(800, 9)} {items[0][1]} {prose(801, 9)}"
+    clean = [prose(900 + i, 40) for i in range(4)]
+    copy, family = prose(950, 60), prose(960, 120)
+    rows = [(None, insult, "en", "odd"), (5000, insult, "en", "odd"), (5000, clean[0], "en", "odd"), (None, clean[1], "en", "odd")]
+    docs = spark.read.parquet(f"{path}/documents.parquet").unionByName(documents(spark, rows))
+    assert sorted(r.text for r in cp.toxicity(spark, docs, path).where("source = 'odd'").collect()) == sorted(clean[:2])
+    rows = [(None, leak), (2, leak), (2, clean[2]), (None, clean[3])]
+    assert sorted(r.text for r in cp.decontamination(spark, documents(spark, rows), path).collect()) == sorted(clean[2:])
+    rows = [(3, copy)] * 3 + [(3, clean[0]), (None, clean[1]), (None, None), (None, None), (4, ""), (4, "")]
+    rows += [(9, family), (8, edited(family, 1, 1)), (8, edited(family, 2, 1)), (7, edited(family, 3, 1))] + [(6, clean[2]), (None, clean[2]), (None, clean[2])]
+    docs = clashing(documents(spark, rows))
+    out = cp.near_duplicates(spark, docs, path)
+    assert out.columns == docs.columns
+    got = sorted((r.doc_id is not None, r.doc_id or 0, r.text or "") for r in out.collect())
+    want = [(3, copy), (3, clean[0]), (None, clean[1]), (None, None), (None, None), (4, ""), (4, ""), (7, edited(family, 3, 1)), (None, clean[2])]
+    assert got == sorted((d is not None, d or 0, t or "") for d, t in want)
