@@ -7,9 +7,10 @@ regression is fitted on the scaled features.
 
 Training reads a bounded, documented sample of the labelled rows, ``per_label``
 of each label in the order of a hash of doc_id; counting n-grams and turning the
-sample into rows of features run as Spark jobs, and the driver gets at most
-``features`` selected n-grams and the sample's feature indices. Scoring reads
-every whole text once, without a shuffle.
+sample into rows of features run as Spark jobs, and the driver gets every n-gram
+whose statistic is ``LEAST_G2`` at least (their number is bounded by the sample,
+not by a cap) and the sample's feature indices. Scoring reads every whole text
+once, without a shuffle.
 
 The score is the probability at the sample's share of label 1, so that a rare label
 is found by a single clear sign; it isn't shifted to the label's share in the data.
@@ -38,8 +39,7 @@ from costlens.llm.staging import staged
 WIDTHS = (4, 5)
 #: Sampled rows of each label; each is read whole.
 PER_LABEL = 2500
-#: Selected n-grams at most, and the least likelihood-ratio statistic of a selected one.
-FEATURES = 4096
+#: The least likelihood-ratio statistic of a selected n-gram.
 LEAST_G2 = 12.0
 
 
@@ -121,7 +121,7 @@ def _fit(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, l2: float = 0
     return w[:m] * ratio, float(w[m])
 
 
-def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, features: int = FEATURES) -> Model:
+def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Model:
     """Fit on the labelled rows of ``docs`` (doc_id, text) and ``labels`` (doc_id, label)."""
     marks = labels.where("label in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
     drawn = [
@@ -147,7 +147,7 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, featur
     g2 = 2 * (term(a, both * n0) + term(b, both * n1) + term(F.lit(n0) - a, (1 - both) * n0) + term(F.lit(n1) - b, (1 - both) * n1))
     ratio = F.log(((b + 1) / (n1 + 2)) / ((a + 1) / (n0 + 2)))
     chosen = counts.where((a + b < n0 + n1) & (a + b >= 3)).select("gram", g2.alias("g2"), ratio.alias("r")).where(F.col("g2") >= LEAST_G2)
-    chosen = chosen.orderBy(F.desc("g2"), "gram").limit(features).toPandas()
+    chosen = chosen.toPandas()
     hashes = chosen["gram"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hashes)
     lookup = tb.Lookup(hashes)

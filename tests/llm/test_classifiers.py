@@ -144,3 +144,27 @@ def test_given_tables(spark):
     model = langid.train(docs.where(~toxicity.held_out(2, 4)))
     lang = langid.classify(docs, model).join(docs.select("doc_id", "lang"), "doc_id").where(toxicity.held_out(2, 4)).collect()
     assert np.mean([r.lang == r.lang_pred for r in lang]) > 0.95
+
+
+def test_every_significant_gram_is_kept(spark):
+    """All n-grams that pass the statistic are features, however many there are."""
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("bcdfghjklmnpqrstvwxz"), 8)) for _ in range(900)]
+    rows, labels = [], []
+    for i in range(1200):
+        marks = [words[w] for w in rng.choice(900, 22, replace=False)] if i % 2 else []
+        rows.append((i, " ".join([prose(i, 20), *marks])))
+        labels.append((i, i % 2))
+    model = toxicity.train(documents(spark, rows), spark.createDataFrame(labels, "doc_id long, label int"))
+    seen = {}  # documents of each label that have the n-gram
+    for i, text in rows:
+        padded = f" {text} "
+        for gram in {padded[at : at + n] for n in (4, 5) for at in range(len(padded) - n + 1)}:
+            seen.setdefault(gram, [0, 0])[i % 2] += 1
+
+    def g2(a, b):
+        share = (a + b) / 1200
+        return 2 * sum(x * np.log(x / y) for x, y in ((a, 600 * share), (b, 600 * share), (600 - a, 600 - 600 * share), (600 - b, 600 - 600 * share)) if x)
+
+    passing = sum(3 <= a + b < 1200 and g2(a, b) >= 12 for a, b in seen.values())
+    assert len(model.hashes) == passing > 5000
