@@ -1,6 +1,6 @@
 """Operators of a large-scale training-data pipeline.
 
-Ten operators over the tables documents, embeddings, pages, benchmark, labels
+Thirteen operators over the tables documents, embeddings, pages, benchmark, labels
 and conversations. Nothing outside this package, ``corpus_pipeline.py`` and the
 guarded block of ``__spark_entry__.py`` imports it.
 """

@@ -3,7 +3,7 @@ definitions (brute force), not from the operators."""
 
 from __future__ import annotations
 
-from costlens.llm import mixing
+from costlens.llm import lm_score, mixing
 
 _WORD = r"[^\x20\x09-\x0D]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -118,3 +118,66 @@ n AS (SELECT x, count(*) AS n FROM links GROUP BY x)
 SELECT e.vec_id, coalesce(n.n, 0) AS n_links, least(e.vec_id, coalesce(m.y, e.vec_id)) AS component_id,
        e.vec_id = least(e.vec_id, coalesce(m.y, e.vec_id)) AS kept
 FROM embeddings e LEFT JOIN n ON n.x = e.vec_id LEFT JOIN least m ON m.x = e.vec_id"""
+
+
+def search() -> str:
+    """Scores of all pairs of an item and a document that share a term."""
+    term = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    split = f"unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '{term}')) AS t"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+i AS (SELECT row_number() OVER () AS q, item_id, text FROM benchmark),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, {split} FROM d) GROUP BY r, t),
+size AS (SELECT r, sum(tf)::BIGINT AS n FROM tf GROUP BY r),
+whole AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM size),
+norm AS (SELECT r, 75 + (25 * n * n_docs) // n_terms AS m FROM size, whole),
+w AS (SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, whole GROUP BY t, n_docs),
+asked AS (SELECT q, t, count(*) AS times FROM (SELECT q, {split} FROM i) GROUP BY q, t),
+scored AS (
+    SELECT q, r, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+    FROM asked JOIN w USING (t) JOIN tf USING (t) JOIN norm USING (r) GROUP BY q, r),
+ranked AS (
+    SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank
+    FROM scored JOIN d USING (r) WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked JOIN i USING (q) WHERE rank <= 20"""
+
+
+def _crc32(ids: str) -> str:
+    """Recursive tables ``crc`` (r, s, i, x): x after i characters of the text s is the CRC-32 of
+    the whole text, complemented, in its last row. ``ids``: a query of (r, s)."""
+    step = "CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
+    return f"""
+bits(b, x, k) AS (SELECT range, range, 0 FROM range(256) UNION ALL SELECT b, {step}, k + 1 FROM bits WHERE k < 8),
+byte AS (SELECT b, x FROM bits WHERE k = 8),
+crc(r, s, i, x) AS (
+    SELECT r, s, 0, 4294967295::BIGINT FROM ({ids})
+    UNION ALL
+    SELECT c.r, c.s, c.i + 1, xor(c.x >> 8, byte.x) FROM crc c JOIN byte ON byte.b = xor(c.x, ascii(substr(c.s, c.i + 1, 1))) & 255 WHERE c.i < length(c.s)),
+hashed AS (SELECT r, xor(x, 4294967295) AS crc FROM crc WHERE i = length(s))"""
+
+
+def lm() -> str:
+    """The interpolated two-word model by joins of counts."""
+    pull = lm_score.PULL[0]
+    return f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+{_crc32("SELECT r, doc_id::VARCHAR AS s FROM d")},
+said AS (
+    SELECT r, doc_id, crc % 7 = 2 AS held_out,
+           ['  '] || regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_WORD}') || [' '] AS w
+    FROM d JOIN hashed USING (r)),
+t AS (SELECT r, held_out, w[i - 1] AS before, w[i] AS t FROM (SELECT r, held_out, w, unnest(range(2, len(w) + 1)) AS i FROM said)),
+one AS (SELECT t, count(*) AS c FROM t WHERE NOT held_out GROUP BY t),
+two AS (SELECT before, t, count(*) AS c FROM t WHERE NOT held_out GROUP BY before, t),
+whole AS (SELECT sum(c)::BIGINT AS n, count(*) AS v, coalesce(max(c) FILTER (t = ' '), 0) AS texts FROM one),
+p AS (
+    SELECT r, n, v, coalesce(a.c, 0) AS c1, coalesce(two.c, 0) AS c2,
+           CASE WHEN t.before = '  ' THEN texts ELSE coalesce(b.c, 0) END AS seen,
+           CASE WHEN a.c > 0 THEN a.c ELSE v END / (n + v)::DOUBLE AS p1
+    FROM t CROSS JOIN whole LEFT JOIN one a ON a.t = t.t LEFT JOIN one b ON b.t = t.before
+    LEFT JOIN two ON two.t = t.t AND two.before = t.before),
+scored AS (
+    SELECT r, n, count(*) AS n_tokens, count(*) FILTER (c1 > 0) AS n_known, sum(log10((c1 + 1)::DOUBLE / (n + v + 1))) AS base_score,
+           sum(log10(CASE WHEN seen > 0 THEN (c2 + {pull} * p1) / (seen + {pull}) ELSE p1 END)) AS score
+    FROM p GROUP BY r, n)
+SELECT doc_id, held_out, n_tokens, n_known, n AS train_tokens, base_score, score FROM scored JOIN said USING (r)"""

@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators and their DuckDB statements.
+"""Registered queries of the operators and their DuckDB statements.
 
 Each query applies its operator with production parameters to its whole table.
 """
@@ -14,10 +14,13 @@ from costlens.llm import chat, langid, mixing, oracles, warc
 from costlens.llm.decontaminate import decontaminate
 from costlens.llm.embedding_dedup import embedding_dedup
 from costlens.llm.hilbert import document_dims, hilbert_shards
+from costlens.llm.lm_score import lm_score
 from costlens.llm.near_dedup import near_dedup
 from costlens.llm.quality import quality
+from costlens.llm.search import lexical_search
 from costlens.llm.staging import table
 from costlens.llm.toxicity import held_out, toxicity
+from costlens.llm.whitening import whiten
 from costlens.session import scratch_path
 
 
@@ -76,6 +79,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lm_score(table(spark, sf_dir, "documents"), ~held_out(2, 7))
+    return out.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
@@ -88,16 +104,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_curriculum_mixing": op8_curriculum_mixing,
         "op9_cross_polytope_near_dedup": op9_cross_polytope_near_dedup,
         "op10_toxicity": op10_toxicity,
+        "op11_lexical_search": op11_lexical_search,
+        "op12_whitening": op12_whitening,
+        "op13_lm_scoring": op13_lm_scoring,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    """SQL can't express the classifiers, edit matching and the curve's checksums; those
-    queries are tested against brute force and by held-out accuracy."""
+    """SQL can't express the classifiers, edit matching, the curve's checksums and
+    eigenvectors; those queries are tested against brute force and by held-out accuracy."""
     return {
         "op2_minhash_near_dedup": oracles.near_dedup(),
         "op6_warc": oracles.warc(),
         "op7_chat_formatting": oracles.chat(),
         "op8_curriculum_mixing": oracles.mix(),
         "op9_cross_polytope_near_dedup": oracles.embeddings(),
+        "op11_lexical_search": oracles.search(),
+        "op13_lm_scoring": oracles.lm(),
     }

@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from costlens.session import scratch_path
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` under ``spark.checkpoint.dir`` and read it back."""
+def staged(df: DataFrame, name: str, **options) -> DataFrame:
+    """Write ``df`` under ``spark.checkpoint.dir`` and read it back; ``options`` are the writer's."""
     path = scratch_path(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -67,12 +67,13 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         i = j
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, start, end) of each word of the texts ``data[offsets[i]:offsets[i+1]]``."""
+def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = _IS_SEP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, end) of each word of the texts ``data[offsets[i]:offsets[i+1]]``; a byte
+    for which ``separators`` is true is in no word."""
     if not len(data):
         z = np.zeros(0, np.int64)
         return z, z, z
-    inside = ~_IS_SEP[data]
+    inside = ~separators[data]
     first = np.zeros(len(data) + 1, dtype=bool)
     first[offsets] = True  # a text begins: a word can't run across
     begins = inside.copy()
