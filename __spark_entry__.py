@@ -28,11 +28,13 @@ from costlens.operators import datasets as D  # noqa: E402
 from costlens.plans import gapfill as G  # noqa: E402
 from costlens.plans import requests as R  # noqa: E402
 from costlens.plans import resumen as S  # noqa: E402
+from costlens.plans import rollup as B  # noqa: E402
 from costlens.plans import runs as RUN  # noqa: E402
 from costlens.plans.period import DEFAULT_PERIOD as P  # noqa: E402
 from costlens.session import scratch_path  # noqa: E402
 from costlens.sinks import tables as T  # noqa: E402
 from costlens.sources.fixtures import load_fixture_sources  # noqa: E402
+from costlens.sources.schema import Col, Table, resolve_columns  # noqa: E402
 
 SF_SMOKE = "/root/testdata/sf0.001"
 ONE_COMPANY = "NATION_2"
@@ -230,6 +232,118 @@ def _latest_snapshot(spark, sf_dir):
     return latest.drop(*T.META_COLS).select(*S.OUT_COLS)
 
 
+def _backfill_isolated(spark, sf_dir):
+    """The missing projects, the smallest of each company asked for under a second company id too, so
+    that its rows have each key twice: those fail, all others are written."""
+    src = _src(spark, sf_dir)
+    path = scratch_path(spark, "isolated-requests")
+    G.backfill_requests(src, _snapshot(src), P).write.parquet(path)
+    reqs = spark.read.parquet(path)
+    bad = reqs.groupBy("company_name").agg(F.min("project_no").alias("project_no"))
+    bad = bad.select("company_name", "project_no", F.lit("another").alias("company_id"))
+    target = RUN.Target(scratch_path(spark, "isolated"))
+    out = RUN.run_snapshot(spark, src, reqs.unionByName(bad), P, target, details=False)
+    written = T.read_table(spark, target.path(RUN.SUMMARY), RUN.summary_schema()).groupBy("company_name", "project_no") \
+        .agg(F.lit("written").alias("outcome"), F.count(F.lit(1)).alias("n_rows"), F.sum("contratos").alias("contratos"))
+    failed = out["failed"].select("company_name", "project_no", F.col("refused_because").alias("outcome"))
+    return written.unionByName(failed, allowMissingColumns=True)
+
+
+def _evolve_schema(spark, sf_dir):
+    """A first batch brings two columns that the summary doesn't declare; a second one, without
+    them, replaces the rows of every other project. The others keep theirs."""
+    src = _src(spark, sf_dir)
+    path = RUN.Target(scratch_path(spark, "evolve")).path(RUN.SUMMARY)
+    rows = _written_summary(spark, src, "evolve-source")
+    wider = rows.withColumns({"nota": F.concat(F.lit("nota "), "project_no"), "margen": F.col("contratos") * 2})
+    again = rows.where(F.substring("project_no", 4, 99).cast("int") % 2 == 0)
+    for batch in (wider, again):
+        T.upsert(spark, RUN._prep(batch, T.RunStamp.new()), path, S.KEY_COLS, partition_by=RUN.SUMMARY_PARTITIONS,
+                 schema=RUN.summary_schema())
+    return _read_back(spark, path, schema=RUN.summary_schema()).select(*S.OUT_COLS, "nota", "margen")
+
+
+def _keep_first(spark, sf_dir):
+    """The earliest unposted document of each (company, project, chapter)."""
+    docs = D.unposted_docs(_src(spark, sf_dir), None, None, P.month_start, P.month_end, sort=False)
+    return T.keep_first(decimals_to_double(docs), ["company_id", "project_no", "job_task_no"], ["fecha_factura", "base_amount"])
+
+
+def _run_log(spark, sf_dir):
+    """The log of a run for each company, read back by its parameters."""
+    src = _src(spark, sf_dir)
+    path = scratch_path(spark, "run-log")
+    for r in R.all_projects(src).groupBy("company_name").count().collect():  # a row a company
+        T.append_run_log(spark, path, T.RunStamp.new(), {"company": r[0], "projects": r[1], "project": None, "year": P.year, "month": P.month})
+    log = spark.read.parquet(path).select(F.from_json("params_json", "company string, projects long, project string, year int, month int").alias("p"),
+                                          F.col("params_json").contains('"project":null').alias("no_project"))
+    return log.select("p.company", "p.projects", "no_project", "p.year", "p.month")
+
+
+def _coerced_cells(spark, sf_dir):
+    """Spreadsheet cells coerced on load: bad dates and numbers become null."""
+    cells = spark.sql(O.COERCED_CELLS.format(lineitem=f"parquet.`{sf_dir}/lineitem.parquet`"))
+    spec = Table("cells", (Col("id", "bigint", ("l_orderkey",)), Col("fecha", "date"), Col("importe", "decimal(18,6)")))
+    return decimals_to_double(resolve_columns(cells, spec, cast=True))
+
+
+def _as_of(src, share: float):
+    """The sources as they were when that share of the entries had been made: later ones are missing, and
+    invoices that have changed since have their old amount and aren't registered yet."""
+    out = dict(src)
+    for of in (B.COST, B.CERTIFIED):
+        out[of.source] = src[of.source].where(F.pmod(F.xxhash64(of.mark), F.lit(1000)) < int(1000 * share))
+    fq = src[B.UNPOSTED.source]
+    old = F.pmod(F.xxhash64("Change_No"), F.lit(1000)) < int(1000 * share)
+    changes = F.pmod(F.col("Change_No"), F.lit(5)) == 0
+    out[B.UNPOSTED.source] = fq.where(old).withColumns({
+        "baseAmount": F.when(changes, F.abs("baseAmount") + 1).otherwise(F.col("baseAmount")).cast("decimal(18,6)"),
+        "bc_documentNo": F.when(~changes, F.col("bc_documentNo"))})
+    return out
+
+
+def _marked(src, share: float):
+    """Change marks in the order in which ``_as_of`` lets entries appear, changed invoices last."""
+    out = dict(src)
+    for of in B.BALANCES:
+        late = (F.pmod(F.xxhash64(of.mark), F.lit(1000)) >= int(1000 * share))
+        if of.document:
+            late = late | (F.pmod(F.col(of.mark), F.lit(5)) == 0)
+        out[of.source] = src[of.source].withColumn(of.mark, F.when(late, F.col(of.mark) + (1 << 40)).otherwise(F.col(of.mark)))
+    return out
+
+
+def _rollup(spark, src, balances=B.BALANCES) -> tuple:
+    """Balances of November, from 60 % of the entries, and of December, from 80 %; and the sources with all."""
+    rollup = B.Rollup(scratch_path(spark, "balances"))
+    for period, share in ((P.previous().previous(), 0.6), (P.previous(), 0.8)):
+        for of in balances:
+            B.close_month(spark, _as_of(src, share), of, period, rollup)
+        src = _marked(src, share)
+    return rollup, src
+
+
+def _to_date(of, fn, *args):
+    """A to-date aggregate from the balance of December and the entries since."""
+    def run(spark, sf_dir):
+        rollup, src = _rollup(spark, _src(spark, sf_dir), [of])
+        sums = B.to_date(spark, src, of, P, rollup)
+        return decimals_to_double(fn(src, R.all_projects(src), P, *args, agg=sums))
+    return run
+
+
+def _resumen_rollup(spark, sf_dir):
+    rollup, src = _rollup(spark, _src(spark, sf_dir))
+    return S.resumen(src, R.all_projects(src), P, rollup=rollup)
+
+
+def _cert_by_name(spark, sf_dir):
+    """Certified revenue of requests without a company id: planning lines match by company name."""
+    src = _src(spark, sf_dir)
+    named = R.all_projects(src).withColumn("company_id", F.lit(None).cast("string"))
+    return decimals_to_double(C.cert_by_chapter(src, named, P, False))
+
+
 def _llm():
     """Query and SQL tables of the training-data operators and their pipeline;
     empty without the subpackage."""
@@ -310,6 +424,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "append_tracking_docs": _append_detail(RUN.TRACKING_DOCS),
         "append_resource_entries": _append_detail(RUN.RESOURCES),
         "latest_snapshot": _latest_snapshot,
+        # isolation of failures, schema evolution, keep-first, run log, coerced cells
+        "backfill_isolated": _backfill_isolated,
+        "evolve_schema": _evolve_schema,
+        "keep_first_documents": _keep_first,
+        "run_log": _run_log,
+        "coerced_cells": _coerced_cells,
+        # to-date metrics from balances, and planning lines matched by name
+        "cost_to_date_rollup": _to_date(B.COST, C.cost_by_chapter, False),
+        "cert_to_date_rollup": _to_date(B.CERTIFIED, C.cert_by_chapter, False),
+        "unposted_cost_rollup": _to_date(B.UNPOSTED, C.unposted_cost_by_chapter),
+        "resumen_rollup": _resumen_rollup,
+        "cert_to_date_by_name": _cert_by_name,
     }
 
 
@@ -370,4 +496,14 @@ def oracle_sql() -> dict[str, str]:
         "append_tracking_docs": O.cleaned(O.tracking_docs(), O.TEXT_COLUMNS["tracking_docs"]),
         "append_resource_entries": O.cleaned(O.resource_entries(), O.TEXT_COLUMNS["resource_entries"]),
         "latest_snapshot": O.latest_snapshot(),
+        "backfill_isolated": O.backfill_isolated(),
+        "evolve_schema": O.evolve_schema(),
+        "keep_first_documents": O.keep_first_documents(),
+        "run_log": O.run_log(),
+        "coerced_cells": O.coerced_cells(),
+        "cost_to_date_rollup": O.cost_to_date_by_chapter(),
+        "cert_to_date_rollup": O.cert_to_date_by_chapter(),
+        "unposted_cost_rollup": O.unposted_cost_by_chapter(),
+        "resumen_rollup": O.resumen(),
+        "cert_to_date_by_name": O.cert_to_date_by_chapter(),
     }

@@ -7,6 +7,8 @@ one JVM-side regex so the normalisation stays inside whole-stage codegen.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,14 +31,39 @@ def trim_ws(c) -> Column:
     return F.regexp_replace(_col(c).cast("string"), _EDGE_WS, "")
 
 
+@cache
+def _foldings() -> tuple[str, str, dict[str, str]]:
+    """Full Unicode case folding, by the rule of ``str.casefold``: the characters that fold, the
+    first character of what each becomes, and by what follows it the characters of longer ones."""
+    before, after, tails = [], [], {}
+    for point in range(0x110000):
+        c = chr(point)
+        folded = c.casefold()
+        if folded != c:
+            before.append(c)
+            after.append(folded[0])
+            if len(folded) > 1:
+                tails[folded[1:]] = tails.get(folded[1:], "") + c
+    return "".join(before), "".join(after), tails
+
+
+def casefold(c) -> Column:
+    """Full case folding (``str.casefold``) as a native expression. Plain ASCII, told by its
+    length in bytes, is lower-cased; in other text the tails of characters that become
+    several are inserted behind them, then every character is translated."""
+    s = _col(c).cast("string")
+    before, after, tails = _foldings()
+    insert = F.array(*[F.struct(F.lit(f"([{chars}])").alias("at"), F.lit(f"$1{tail}").alias("with")) for tail, chars in tails.items()])
+    longer = F.aggregate(insert, s, lambda text, m: F.regexp_replace(text, m["at"], m["with"]))
+    return F.when(F.octet_length(s) == F.char_length(s), F.lower(s)).otherwise(F.translate(longer, before, after))
+
+
 def normalize_text(c) -> Column:
     """NBSP -> space, strip, case-fold; NULL renders as 'none' like ``str(None)``.
 
-    Case folding is ``lower`` with 'ß' written 'ss'; rarer foldings (ligatures, final
-    sigma) stay as ``lower`` leaves them.
-    """
+    Meant for few rows (distinct spellings, aggregated keys): see ``operators.spelling``."""
     s = F.coalesce(_col(c).cast("string"), F.lit("None"))
-    return F.replace(F.lower(trim_ws(F.regexp_replace(s, NBSP, " "))), F.lit("ß"), F.lit("ss"))
+    return casefold(trim_ws(F.regexp_replace(s, NBSP, " ")))
 
 
 def normalize_chapter(c) -> Column:

@@ -24,6 +24,7 @@ from costlens.functions.text import (
     contains_ci, derive_project, is_blank, normalize_chapter, normalize_text, trim_ws,
 )
 from costlens.operators.datasets import CERT, not_certification
+from costlens.operators.spelling import semi_spelled
 from costlens.plans.period import Period
 from costlens.sources.loaders import Sources
 
@@ -85,16 +86,18 @@ def _task_key(job, company) -> "F.Column":
     return F.concat(job, F.lit("_"), company)
 
 
-def ledger_part(src: Sources, req: DataFrame, period: Period) -> DataFrame:
+def ledger_part(src: Sources, req: DataFrame, period: Period, agg: DataFrame | None = None) -> DataFrame:
     """Posted cost (non-certification) to date and in the month, per raw chapter.
-    Every ledger row up to the cut adds its chapter to the spine."""
+    Every ledger row up to the cut adds its chapter to the spine. ``agg``: the sums per
+    job, company id and raw chapter, where a balance has them (``plans.rollup``)."""
     fle = src["job_ledger_entries_bc"]
     d = as_date("Posting_Date")
     nc = not_certification("Gen_Prod_Posting_Group")
-    agg = fle.where(on_or_before(fle, "Posting_Date", period.cut)).groupBy("Job_No", "CompanyId", "Job_Task_No").agg(
-        F.sum(F.when(nc, F.col("Total_Cost_LCY"))).alias("cbo"),
-        F.sum(F.when(nc & (d >= lit_date(period.month_start)), F.col("Total_Cost_LCY"))).alias("cbm"),
-    )
+    if agg is None:
+        agg = fle.where(on_or_before(fle, "Posting_Date", period.cut)).groupBy("Job_No", "CompanyId", "Job_Task_No").agg(
+            F.sum(F.when(nc, F.col("Total_Cost_LCY"))).alias("cbo"),
+            F.sum(F.when(nc & (d >= lit_date(period.month_start)), F.col("Total_Cost_LCY"))).alias("cbm"),
+        )
     j = _with_project(src, agg).select("company_name", "project_no", F.col("Job_Task_No").alias("raw_cap"), "cbo", "cbm")
     j = _to_requests(j, req, ["company_name", "project_no"], ["company_name", "project_no"])
     return j.withColumns({"cap": normalize_chapter("raw_cap"), "in_spine": F.lit(True)})
@@ -102,40 +105,43 @@ def ledger_part(src: Sources, req: DataFrame, period: Period) -> DataFrame:
 
 def production_part(src: Sources, req: DataFrame, period: Period, prev: bool = False) -> DataFrame:
     """Pending certification and remaining production of the month (raw chapter),
-    matched to requests on normalised company / project text."""
+    matched to requests on normalised company / project text. Rows are summed by raw
+    spelling first; only the sums' names are normalised."""
     p = period.previous() if prev else period
     d = src["DimSeguimientoProduccion"]
     d = d.where(within(d, "fecha_produccion", p.month_start, p.month_end))
     raw = F.coalesce(F.col("capitulo_codigo").cast("string"), F.col("capitulo").cast("string"))
-    agg = d.groupBy(normalize_text("empresa").alias("_ck"), normalize_text("proyecto").alias("_pk"),
-                    raw.alias("raw_cap")).agg(
+    agg = d.groupBy("empresa", "proyecto", raw.alias("raw_cap")).agg(
         F.sum("certificacion_pendiente").alias("cpend"),
         F.sum("resto_produccion").alias("resto"))
+    agg = agg.select(normalize_text("empresa").alias("_ck"), normalize_text("proyecto").alias("_pk"), "raw_cap", "cpend", "resto")
     j = _to_requests(agg, req, ["_ck", "_pk"], ["company_key", "project_key"]).drop("_ck", "_pk")
     return j.withColumns({"cap": normalize_chapter("raw_cap"), "in_spine": F.lit(True)})
 
 
 def pending_part(src: Sources, req: DataFrame, period: Period) -> DataFrame:
-    """Pending cost of the month, per normalised chapter."""
+    """Pending cost of the month, per normalised chapter (summed by raw spelling first)."""
     d = src["DimPendientesProduccion"]
     d = d.where(within(d, "fecha_produccion", period.month_start, period.month_end))
     raw = F.coalesce(F.col("capitulo_codigo").cast("string"), F.col("capitulo").cast("string"))
-    agg = d.groupBy(normalize_text("empresa").alias("_ck"), normalize_text("proyecto").alias("_pk"),
-                    normalize_chapter(raw).alias("cap")).agg(F.sum("coste_pendiente").alias("pend"))
+    agg = d.groupBy("empresa", "proyecto", raw.alias("_raw")).agg(F.sum("coste_pendiente").alias("pend"))
+    agg = agg.select(normalize_text("empresa").alias("_ck"), normalize_text("proyecto").alias("_pk"),
+                     normalize_chapter("_raw").alias("cap"), "pend")
     j = _to_requests(agg, req, ["_ck", "_pk"], ["company_key", "project_key"]).drop("_ck", "_pk")
     return j.withColumns({"raw_cap": F.col("cap"), "in_spine": F.lit(True)})
 
 
-def unposted_part(src: Sources, req: DataFrame, period: Period) -> DataFrame:
+def unposted_part(src: Sources, req: DataFrame, period: Period, agg: DataFrame | None = None) -> DataFrame:
     """Unposted positive invoices up to the cut, per normalised chapter
     (blank chapter -> 'None'). Pre-aggregated on the invoice's own keys before
-    the company / business-unit lookups."""
-    fq = src["facturas_qwark"]
-    fq = fq.where(on_or_before(fq, "documentDate", period.cut) & (F.col("baseAmount") > 0)
-                  & ~contains_ci("bc_documentNo", "CFR"))
-    agg = fq.groupBy("company", "bunisnessUnit", "posting_jobNo",
-                     normalize_chapter("posting_jobTaskNo").alias("cap")) \
-        .agg(F.sum("baseAmount").alias("qwk"))
+    the company / business-unit lookups, or taken from a balance (``agg``)."""
+    if agg is None:
+        fq = src["facturas_qwark"]
+        fq = fq.where(on_or_before(fq, "documentDate", period.cut) & (F.col("baseAmount") > 0)
+                      & ~contains_ci("bc_documentNo", "CFR"))
+        agg = fq.groupBy("company", "bunisnessUnit", "posting_jobNo",
+                         normalize_chapter("posting_jobTaskNo").alias("cap")) \
+            .agg(F.sum("baseAmount").alias("qwk"))
     cq = _companies_qwark(src)
     bu = _business_units(src)
     j = agg.join(cq, agg["company"] == cq["_cq_id"], "left") \
@@ -165,11 +171,12 @@ def tasks_part(src: Sources, req: DataFrame, period: Period, with_end_date: bool
     return j.withColumns({"raw_cap": F.col("cap"), "in_spine": F.lit(True)})
 
 
-def planning_part(src: Sources, req: DataFrame, period: Period) -> DataFrame:
+def planning_part(src: Sources, req: DataFrame, period: Period, agg: DataFrame | None = None) -> DataFrame:
     """Certified revenue from planning lines (posting group CERTIFICACIONES):
     to date and in the month, per raw chapter, with row and non-null counts so
     'all amounts NULL' can be told apart from 'no rows'. Matched on company id
-    (or on company name when the request has no id). Not part of the spine."""
+    (or on company name when the request has no id). Not part of the spine. ``agg``: the
+    same sums from a balance."""
     pl = src["job_planning_lines_bc"]
     ts = as_ts("Planning_Date")
     amt = F.col("Line_Amount")
@@ -178,11 +185,12 @@ def planning_part(src: Sources, req: DataFrame, period: Period) -> DataFrame:
     # (planning dates are compared as timestamps: a 10:00 entry on the last
     # day is after the midnight cut, as in the reference)
     cid = trim_ws(F.coalesce(F.col("CompanyId").cast("string"), F.lit("None")))
-    agg = p.groupBy(cid.alias("_cid"), F.col("Company_Name").alias("_cname"),
-                    F.col("Job_No").alias("_pno"), F.col("Job_Task_No").alias("raw_cap")).agg(
-        F.count(F.lit(1)).alias("rows_o"), F.sum(amt).alias("sum_o"), F.count(amt).alias("n_o"),
-        F.count(F.when(in_m, F.lit(1))).alias("rows_m"), F.sum(F.when(in_m, amt)).alias("sum_m"),
-        F.count(F.when(in_m, amt)).alias("n_m"))
+    if agg is None:
+        agg = p.groupBy(cid.alias("_cid"), F.col("Company_Name").alias("_cname"),
+                        F.col("Job_No").alias("_pno"), F.col("Job_Task_No").alias("raw_cap")).agg(
+            F.count(F.lit(1)).alias("rows_o"), F.sum(amt).alias("sum_o"), F.count(amt).alias("n_o"),
+            F.count(F.when(in_m, F.lit(1))).alias("rows_m"), F.sum(F.when(in_m, amt)).alias("sum_m"),
+            F.count(F.when(in_m, amt)).alias("n_m"))
     # One equi-join for both matching rules: a request with a company id is
     # keyed 'i:<id>', one without 'n:<name>'; each aggregated planning row
     # offers both of its keys (after the aggregation, so the explode is cheap)
@@ -222,8 +230,7 @@ def restrict_to_requests(src: Sources, req: DataFrame) -> dict:
     out["job_task_lines_subform_bc"] = tasks.join(
         jobs, _task_key(tasks["Job_No"], tasks["CompanyId"]) == jobs["_ft"], "left_semi")
     for name in ("DimSeguimientoProduccion", "DimPendientesProduccion"):
-        df = src[name]
-        out[name] = df.join(keys, normalize_text(df["proyecto"]) == keys["_fk"], "left_semi")
+        out[name] = semi_spelled(src[name], "proyecto", keys, "_fk")
     fq = src["facturas_qwark"]
     blank = fq.where(is_blank("posting_jobNo"))
     given = fq.where(~is_blank("posting_jobNo"))
@@ -234,24 +241,26 @@ def restrict_to_requests(src: Sources, req: DataFrame) -> dict:
 
 def all_parts(src: Sources, req: DataFrame, period: Period, with_prev_month: bool = False,
               with_end_date: bool = False, normalize_all_chapters: bool = False,
-              restrict: bool = False) -> DataFrame:
+              restrict: bool = False, balances: dict | None = None) -> DataFrame:
     """Tall union of every source's contribution (one row per source group).
 
     ``normalize_all_chapters`` corrects the raw-chapter lookups: ledger,
     production and planning amounts then land on their normalised chapter
     instead of being lost for NULL / untrimmed chapters. ``restrict`` cuts
-    the raw sources to the requested projects first; the result is the same."""
+    the raw sources to the requested projects first; the result is the same. ``balances``
+    has the sums to date of sources by name (``plans.rollup``)."""
+    balances = balances or {}
     if restrict:
         src = restrict_to_requests(src, req)
     exact = (lambda df, m: df) if normalize_all_chapters else raw_exact
-    planning = planning_part(src, req, period)
+    planning = planning_part(src, req, period, balances.get("certified"))
     if normalize_all_chapters:
         planning = planning.withColumn("cap", normalize_chapter("raw_cap"))
     parts = [
-        exact(ledger_part(src, req, period), RAW_KEYED["ledger"]),
+        exact(ledger_part(src, req, period, balances.get("cost")), RAW_KEYED["ledger"]),
         exact(production_part(src, req, period), RAW_KEYED["production"]),
         pending_part(src, req, period),
-        unposted_part(src, req, period),
+        unposted_part(src, req, period, balances.get("unposted")),
         tasks_part(src, req, period, with_end_date),
         planning,
     ]
@@ -287,15 +296,19 @@ def _norm_req(req: DataFrame) -> DataFrame:
     return req
 
 
-def cost_by_chapter(src: Sources, req: DataFrame, period: Period, month: bool) -> DataFrame:
+def cost_by_chapter(src: Sources, req: DataFrame, period: Period, month: bool, agg: DataFrame | None = None) -> DataFrame:
     """Σ posted cost excluding certifications (NULL group kept), to date or in
-    the month, by (company, project, raw chapter)."""
+    the month, by (company, project, raw chapter). ``agg``: the sums to date from a
+    balance, with ``rows_nc``, the number of such entries."""
     fle = src["job_ledger_entries_bc"]
     window = within(fle, "Posting_Date", period.month_start, period.cut) if month \
         else on_or_before(fle, "Posting_Date", period.cut)
     cond = not_certification("Gen_Prod_Posting_Group") & window
-    agg = fle.where(cond).groupBy("Job_No", "CompanyId", "Job_Task_No") \
-        .agg(F.sum("Total_Cost_LCY").alias("_v"))
+    if agg is None:
+        agg = fle.where(cond).groupBy("Job_No", "CompanyId", "Job_Task_No") \
+            .agg(F.sum("Total_Cost_LCY").alias("_v"))
+    else:
+        agg = agg.where("rows_nc > 0").select("Job_No", "CompanyId", "Job_Task_No", F.col("cbo").alias("_v"))
     j = _with_project(src, agg).select("company_name", "project_no", "Job_Task_No", "_v")
     j = _to_requests(j, req, ["company_name", "project_no"], ["company_name", "project_no"])
     name = "coste_bc_mes_actual" if month else "coste_bc_a_origen"
@@ -303,9 +316,9 @@ def cost_by_chapter(src: Sources, req: DataFrame, period: Period, month: bool) -
         .agg(F.coalesce(F.sum("_v"), F.lit(0)).alias(name))
 
 
-def cert_by_chapter(src: Sources, req: DataFrame, period: Period, month: bool) -> DataFrame:
+def cert_by_chapter(src: Sources, req: DataFrame, period: Period, month: bool, agg: DataFrame | None = None) -> DataFrame:
     """Σ certified planning amounts by raw chapter; NULL when every amount is NULL."""
-    p = planning_part(src, req, period)
+    p = planning_part(src, req, period, agg)
     if month:
         p = p.where(F.col("rows_m") > 0)
         v = F.sum("sum_m")
@@ -331,8 +344,8 @@ def pending_cost_by_chapter(src: Sources, req: DataFrame, period: Period) -> Dat
     return chapter_aggregate(pending_part(src, _norm_req(req), period), "pend", "coste_pendiente")
 
 
-def unposted_cost_by_chapter(src: Sources, req: DataFrame, period: Period) -> DataFrame:
-    return chapter_aggregate(unposted_part(src, req, period), "qwk", "coste_qwark")
+def unposted_cost_by_chapter(src: Sources, req: DataFrame, period: Period, agg: DataFrame | None = None) -> DataFrame:
+    return chapter_aggregate(unposted_part(src, req, period, agg), "qwk", "coste_qwark")
 
 
 def task_by_chapter(src: Sources, req: DataFrame, period: Period, metric: str) -> DataFrame:

@@ -16,10 +16,9 @@ from pyspark.sql import functions as F
 
 from costlens.functions.dates import as_date, lit_date, on_or_before, within
 from costlens.functions.money import money
-from costlens.functions.text import (
-    contains_ci, derive_project, normalize_chapter, normalize_text, trim_ws,
-)
+from costlens.functions.text import contains_ci, derive_project, normalize_chapter, trim_ws
 from costlens.operators.joins import where_eq, where_given
+from costlens.operators.spelling import where_spelled
 from costlens.sources.loaders import Sources
 
 CERT = "CERTIFICACIONES"   # posting group of certified revenue (fixed value)
@@ -177,11 +176,12 @@ def overhead_pct(src: Sources, requests: DataFrame, with_id: bool = False) -> Da
 
 def _norm_filter(df: DataFrame, company: str | None, project: str | None,
                  company_col: str, project_col: str) -> DataFrame:
-    """Equality on normalised text (NBSP, Unicode strip, case fold)."""
+    """Equality on normalised text (NBSP, Unicode strip, case fold), by the spellings of the
+    column: the scan gets the raw values."""
     if company is not None and company != "":
-        df = df.where(normalize_text(company_col) == normalize_text(F.lit(company)))
+        df = where_spelled(df, company_col, company)
     if project is not None and project != "":
-        df = df.where(normalize_text(project_col) == normalize_text(F.lit(project)))
+        df = where_spelled(df, project_col, project)
     return df
 
 

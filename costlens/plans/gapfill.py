@@ -59,3 +59,9 @@ def backfill_requests(src: Sources, snapshot: DataFrame, period: Period,
     miss = missing_projects(src, snapshot, period, company) \
         .where(F.col("company_name").isNotNull() & F.col("project_no").isNotNull())
     return resolve_company_ids(src, miss)
+
+
+def unnamed_missing(src: Sources, snapshot: DataFrame, period: Period, company: str | None = None) -> DataFrame:
+    """Missing pairs without company or project: the summary's keys can't hold them."""
+    return missing_projects(src, snapshot, period, company) \
+        .where(F.col("company_name").isNull() | F.col("project_no").isNull())

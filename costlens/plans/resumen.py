@@ -213,7 +213,8 @@ def transform_frame(src: Sources, requests: DataFrame, period: Period, **options
 
 def resumen(src: Sources, requests: DataFrame, period: Period, as_double: bool = True,
             with_prev_month: bool = False, with_end_date: bool = False,
-            normalize_all_chapters: bool = False, ordered: bool = False, restrict: bool = False) -> DataFrame:
+            normalize_all_chapters: bool = False, ordered: bool = False, restrict: bool = False,
+            rollup=None) -> DataFrame:
     """Summary rows (28 columns) for every request and the given month.
 
     Options (off by default, as in the reference): ``with_prev_month``
@@ -223,9 +224,15 @@ def resumen(src: Sources, requests: DataFrame, period: Period, as_double: bool =
     ``normalize_all_chapters`` keeps the ledger, production and planning
     amounts of NULL / untrimmed chapters (the reference loses them).
     ``restrict`` cuts the sources to the requests before aggregating, which
-    pays for few requests and changes no row."""
+    pays for few requests and changes no row. ``rollup`` (a ``plans.rollup.Rollup``)
+    takes the sums to date from the last balances and reads only the entries since; it
+    changes no row either."""
+    balances = None
+    if rollup is not None:
+        from costlens.plans.rollup import BALANCES, to_date
+        balances = {of.name: to_date(requests.sparkSession, src, of, period, rollup) for of in BALANCES}
     rows = transform_frame(src, requests, period, with_prev_month=with_prev_month, with_end_date=with_end_date,
-                           normalize_all_chapters=normalize_all_chapters, restrict=restrict)
+                           normalize_all_chapters=normalize_all_chapters, restrict=restrict, balances=balances)
     metrics = [c for c in _metrics_of(rows) if c != "produccion_a_origen"]
     rows = rows.select(*_TEXT_KEYS, "grupo", "linea", "nivel",
                        *[F.coalesce(F.col(c), _zero()).alias(c) for c in metrics])

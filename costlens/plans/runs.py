@@ -1,5 +1,9 @@
 """A snapshot run: the summary and the five detail tables for many requests.
 
+A request whose rows the summary can't hold (a null key, two rows of one key) fails alone:
+its rows go to the summary's quarantine with the reason, its details aren't written, and all
+other requests are, as if each had a run of its own.
+
 One run id / timestamp stamps every sink of the run (the reference mints one
 per sink) and one run-log row records the parameters. Each sink is written by
 its own Spark job; the summary upsert replaces only the run's period
@@ -14,14 +18,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, StringType, StructField, StructType, TimestampType
 
-from costlens.functions.text import trim_ws
+from costlens.functions.text import clean_value, trim_ws
 from costlens.operators import datasets as D
 from costlens.output import decimals_to_double
 from costlens.plans import gapfill as G
 from costlens.plans.period import Period
 from costlens.plans.resumen import KEY_COLS, NUM_COLS, OUT_COLS, resumen
 from costlens.sinks.tables import (
-    RunStamp, append, append_run_log, clean_text_columns, read_table, stamp_run, table_exists, upsert,
+    NULL_KEY, RunStamp, append, append_run_log, clean_text_columns, quarantined, read_table, recover, stamp_run, table_exists,
+    upsert,
 )
 from costlens.sources.loaders import Sources
 from costlens.session import scratch_path
@@ -38,6 +43,9 @@ RUN_LOG = "snapshot_run"
 # rewrites only the (month, company) partitions it touches.
 SUMMARY_PARTITIONS = ["period_date", "company_name"]
 
+# What fails alone in a run.
+REQUEST = ["company_name", "project_no"]
+
 INVOICE_KEYS = ["company_id", "invoice_id", "capitulo"]
 # Invoices are partitioned by the month of their date: a month's run leaves the
 # others alone, unless an invoice's date has moved.
@@ -136,6 +144,13 @@ def detail_rows(src: Sources, period: Period, requests: DataFrame | None = None)
     return {UNPOSTED_DOCS: unposted, PENDING_DOCS: pending, TRACKING_DOCS: tracking, RESOURCES: res}
 
 
+def without(requests: DataFrame, failed: DataFrame) -> DataFrame:
+    """The requests whose cleaned names aren't among ``failed``."""
+    bad = failed.select(*[F.col(c).alias(f"_bad_{c}") for c in REQUEST])
+    same = [clean_value(c).eqNullSafe(F.col(f"_bad_{c}")) for c in REQUEST]
+    return requests.join(bad, same[0] & same[1], "left_anti")
+
+
 def run_snapshot(spark: SparkSession, src: Sources, requests: DataFrame, period: Period,
                  target: Target, details: bool = True, all_projects: bool = False,
                  stamp: RunStamp | None = None) -> dict:
@@ -144,12 +159,12 @@ def run_snapshot(spark: SparkSession, src: Sources, requests: DataFrame, period:
     (append). ``all_projects`` marks a run over every project, which lets the
     detail queries skip the request semi-joins.
 
-    The summary must succeed; a detail table that fails is reported under its
-    name as ``{"error": ...}`` and doesn't stop the others, and the run is logged
-    in any case, as in the reference."""
+    The summary must succeed but for the requests that it refuses, which ``failed``
+    lists (company_name, project_no, refused_because; None if there are none); a detail
+    table that fails is reported under its name as ``{"error": ...}`` and doesn't stop the
+    others, and the run is logged in any case, as in the reference."""
     stamp = stamp or RunStamp.new()
-    req = None if all_projects else requests
-    out = {"snapshot_run_id": stamp.run_id}
+    out = {"snapshot_run_id": stamp.run_id, "failed": None}
 
     def attempt(name: str, load) -> None:
         try:
@@ -165,7 +180,12 @@ def run_snapshot(spark: SparkSession, src: Sources, requests: DataFrame, period:
     try:
         out[SUMMARY] = upsert(spark, _prep(summary_rows(src, requests, period, restrict=not all_projects), stamp),
                               target.path(SUMMARY), KEY_COLS, partition_by=SUMMARY_PARTITIONS,
-                              schema=summary_schema())
+                              schema=summary_schema(), isolate=REQUEST)
+        req = None if all_projects else requests
+        if out[SUMMARY]["rejected"]:
+            refused = quarantined(spark, target.path(SUMMARY), stamp.run_id)
+            out["failed"] = refused.select(*REQUEST, "refused_because").distinct()
+            req = without(requests, out["failed"])
         if details:
             attempt(INVOICES, lambda: upsert_invoices(spark, invoice_rows(src, period, req), stamp, target.path(INVOICES)))
             for name in (UNPOSTED_DOCS, PENDING_DOCS, TRACKING_DOCS, RESOURCES):
@@ -179,6 +199,7 @@ def run_snapshot(spark: SparkSession, src: Sources, requests: DataFrame, period:
 def snapshot_table(spark: SparkSession, target: Target, empty_like: DataFrame | None = None) -> DataFrame:
     """The summary table, or an empty frame of the given shape before the first run."""
     path = target.path(SUMMARY)
+    recover(spark, path)  # a run opens the table: an interrupted write is finished first
     if table_exists(spark, path):
         return read_table(spark, path, summary_schema())
     if empty_like is None:
@@ -191,7 +212,11 @@ def backfill_missing(spark: SparkSession, src: Sources, period: Period, target:
                      company: str | None = None, details: bool = True) -> dict:
     """Find the projects without a summary row in the month and run them all
     in one batched snapshot (the reference runs one pipeline per project).
-    ``requests`` of the result lists them; with ``dry_run`` nothing else is done."""
+
+    ``missing`` counts them, ``requests`` lists those that can be run; with ``dry_run``
+    nothing else is done. ``failed`` lists the pairs that couldn't be written, with the
+    reason (pairs without a company or project among them), and ``run`` counts the
+    requests that were."""
     snap = snapshot if snapshot is not None else snapshot_table(spark, target)
     reqs = G.backfill_requests(src, snap, period, company)
     # the request set is written once: every sink of the run reads it, and the
@@ -199,11 +224,18 @@ def backfill_missing(spark: SparkSession, src: Sources, period: Period, target:
     path = scratch_path(spark, "backfill-requests")
     reqs.write.parquet(path)
     reqs = spark.read.schema(reqs.schema).parquet(path)
-    n = reqs.count()
+    nameless = scratch_path(spark, "backfill-nameless")
+    G.unnamed_missing(src, snap, period, company).select(*REQUEST, F.lit(NULL_KEY).alias("refused_because")).write.parquet(nameless)
+    failed = spark.read.schema(", ".join(f"{c} string" for c in (*REQUEST, "refused_because"))).parquet(nameless)
+    n, unnamed = reqs.count(), failed.count()
+    out = {"missing": n + unnamed, "run": 0, "requests": reqs, "failed": failed}
     if dry_run or n == 0:
-        return {"missing": n, "run": 0, "requests": reqs}
+        return out
     res = run_snapshot(spark, src, reqs, period, target, details=details)
-    return {"missing": n, "run": n, "requests": reqs, "result": res}
+    if res["failed"] is not None:
+        out["failed"] = failed.unionByName(res["failed"])
+        n = without(reqs, res["failed"]).count()
+    return out | {"run": n, "result": res}
 
 
 def run_from_params(spark: SparkSession, src: Sources, params: dict, target: Target) -> dict:
@@ -220,6 +252,8 @@ def run_from_params(spark: SparkSession, src: Sources, params: dict, target: Tar
             reqs = R.explicit(spark, src, [(company, project)])
         result = run_snapshot(spark, src, reqs, period, target, details=bool(params.get("details", True)),
                               all_projects=company is None and project is None)
+        if result["failed"] is not None and not result[SUMMARY]["inserted"]:
+            raise ValueError(f"refused: {result['failed'].first()['refused_because']}")
         return {"ok": True, "message": "snapshot written", "params": params, "result": result}
     except Exception as exc:  # reported to the caller like the reference's entry
         return {"ok": False, "message": f"{type(exc).__name__}: {exc}", "params": params, "result": None}

@@ -60,7 +60,9 @@ TABLES: dict[str, Table] = {t.name: t for t in [
         _c("Total_Cost_LCY", "decimal(18,6)"),
         _c("Line_Amount_LCY", "decimal(18,6)"),
         _c("CompanyId"),
-        _c("Document_No", required=False))),
+        _c("Document_No", required=False),
+        # change mark of the balances (plans.rollup): grows with every entry added
+        _c("Entry_No", "bigint", "entry_no", required=False))),
     Table("job_task_lines_subform_bc", (
         _c("Job_No", "string", "project_no", "job_no"),
         _c("CompanyId", "string", "company_id"),
@@ -79,7 +81,8 @@ TABLES: dict[str, Table] = {t.name: t for t in [
         _c("Job_Task_No", "string", "job_task_no", "Task_No", "task_no", required=False),
         _c("CompanyId", "string", "company_id", "Company_Id", "company", "Company",
            required=False),
-        _c("Company_Name", "string", "company_name", "Name", "name", required=False))),
+        _c("Company_Name", "string", "company_name", "Name", "name", required=False),
+        _c("Entry_No", "bigint", "entry_no", required=False))),
     Table("purchase_invoices_bc", (
         _c("id", "string", "Id", "ID"),
         _c("CompanyId", "string", "company_id", "companyid", "company"),
@@ -117,7 +120,9 @@ TABLES: dict[str, Table] = {t.name: t for t in [
            required=False),
         _c("company", "string", "companyid", "company_id"),
         _c("bunisnessUnit", "string", "businessUnit", "business_unit", "businessunit",
-           required=False))),
+           required=False),
+        # grows with every invoice added or changed
+        _c("Change_No", "bigint", "change_no", required=False))),
     Table("businessUnit_qwark", (
         _c("id"),
         _c("Unidad de negocio", "string", "unidad_negocio"))),

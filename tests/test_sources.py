@@ -13,7 +13,7 @@ def test_resolve_aliases_case_and_optional_defaults(spark):
                                "planningdate string, AMOUNT string, project_no string, gppg string, company string")
     out = resolve_columns(df, "job_planning_lines_bc", cast=True)
     assert out.columns == ["Planning_Date", "Gen_Prod_Posting_Group", "Line_Amount", "Job_No",
-                           "Job_Task_No", "CompanyId", "Company_Name"]
+                           "Job_Task_No", "CompanyId", "Company_Name", "Entry_No"]
     r = out.first()
     assert r["Planning_Date"] == dt.datetime(2024, 1, 5)
     assert float(r["Line_Amount"]) == 12.5
