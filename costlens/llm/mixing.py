@@ -11,7 +11,8 @@ The share of the whole that is mixed is ``volume``; a target stops at ``most``
 times its source's size, and the excess is shared out again by weight until no
 target is above. A document is taken whole: the last pass takes those whose
 middle lies before the target's end, so a source misses its target by at most
-half a document. No shuffle carries texts except the final range-sort.
+half a document. Texts are shuffled twice: once by row number, to meet their places, and
+once, copies and all, in the final range-sort.
 
 Defined results: a null source is a source of its own, after all others; a null
 or empty text, or one without words, has size 0 and is taken 0 words, in as many
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from costlens.llm.prefix import hash_of, with_running_total
-from costlens.llm.staging import staged
+from costlens.llm.staging import numbered, staged
 
 #: Words.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -92,16 +93,17 @@ def targets(sources: DataFrame, volume: float, most: float) -> DataFrame:
 
 
 def _identity() -> list[Column]:
-    """Null-free columns that tell documents apart."""
+    """Null-free columns by which documents of equal hashes are ordered."""
     text, source = F.col("text").cast("string"), F.col("source").cast("string")
     doc_id = F.col("doc_id").cast("long")
     body = F.xxhash64(doc_id.isNull(), source.isNull(), F.coalesce(source, F.lit("")), text.isNull(), F.coalesce(text, F.lit("")))
     return [F.coalesce(doc_id, F.lit(-1).cast("long")).alias("__id"), body.alias("__body")]
 
 
-def plan(docs: DataFrame, weights: tuple = WEIGHTS, schedules: tuple = SCHEDULES, volume: float = 1.5, most: float = 2.0) -> DataFrame:
+def plan(docs: DataFrame, weights: tuple = WEIGHTS, schedules: tuple = SCHEDULES, volume: float = 1.5, most: float = 2.0, keep: tuple = ()) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken, positions) of every row of
-    ``docs`` (doc_id, text, source): ``taken`` words in ``size(positions)`` copies."""
+    ``docs`` (doc_id, text, source): ``taken`` words in ``size(positions)`` copies; then the
+    columns ``keep`` of ``docs``."""
     if len(weights) != len(schedules):
         raise ValueError("every weight needs a schedule")
     text = F.col("text").cast("string")
@@ -109,8 +111,10 @@ def plan(docs: DataFrame, weights: tuple = WEIGHTS, schedules: tuple = SCHEDULES
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        hash_of(F.col("doc_id")).alias("__hash"),
+        # ids that repeat, or are null, are told apart by their texts: no id fills a bucket
+        hash_of(F.concat_ws(":", F.col("doc_id").cast("long"), F.md5(text.cast("binary")))).alias("__hash"),
         *_identity(),
+        *keep,
     )
     rows = rows.withColumn("__key", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
     rows = staged(rows, "mix-rows")
@@ -120,7 +124,7 @@ def plan(docs: DataFrame, weights: tuple = WEIGHTS, schedules: tuple = SCHEDULES
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.col("__class") + 1)
     sources = staged(sources.withColumn("weight", weight).drop("__name"), "mix-sources")
     sources = targets(sources, volume, most).drop("weight")
-    rows = with_running_total(rows, sources, "__key", "size", ["doc_id", "size", "__body"])
+    rows = with_running_total(rows, sources, "__key", "size", ["doc_id", "size", "__body", *keep])
     # pass p holds the demand from p * source_size on; a copy counts while its middle is within the target
     pass_starts = F.transform(F.sequence(F.lit(0), F.lit(ceil(most))), lambda p: p * F.col("source_size") + F.col("__before"))
     starts = F.filter(pass_starts, lambda q: (q + F.col("size") / 2 < F.col("target")) & (q < F.col("target")))
@@ -130,18 +134,15 @@ def plan(docs: DataFrame, weights: tuple = WEIGHTS, schedules: tuple = SCHEDULES
         mine = _times(knots)
         positions = mine if positions is None else F.when(F.col("__class") == i, mine).otherwise(positions)
     rows = rows.withColumn("__starts", starts)
-    return rows.select("doc_id", "source", "size", "source_size", "target", (F.size("__starts") * F.col("size")).alias("taken"), positions.alias("positions"), "__id", "__body")
+    return rows.select("doc_id", "source", "size", "source_size", "target", (F.size("__starts") * F.col("size")).alias("taken"), positions.alias("positions"), *keep)
 
 
 def training_order(docs: DataFrame, copy: str = "copy", position: str = "position", **options) -> DataFrame:
     """The copies that the mix takes, with all columns of ``docs`` and, named as asked, the
-    copy's number (from 0) and position (0 to 1), range-sorted by position. Rows equal in
-    doc_id, source and text share out their places one to one."""
+    copy's number (from 0) and position (0 to 1), range-sorted by position. Every row has
+    places of its own."""
     keep = [F.col(c) for c in docs.columns if c not in (copy, position)]
-    order = lambda last: F.row_number().over(Window.partitionBy("__id", "__body").orderBy(last))
-    places = plan(docs, **options).select("__id", "__body", F.col("positions").alias("__places"))
-    places = places.withColumn("__nth", order(F.size("__places").desc())).where(F.size("__places") > 0)
-    rows = docs.select(*keep, *_identity()).withColumn("__nth", order("__id"))
-    rows = rows.join(places, ["__id", "__body", "__nth"])
-    rows = rows.select(*keep, F.posexplode("__places").alias(copy, position))
+    rows = numbered(docs)
+    places = plan(rows, keep=("__row",), **options).where(F.size("positions") > 0).select("__row", F.col("positions").alias("__places"))
+    rows = rows.join(places, "__row").select(*keep, F.posexplode("__places").alias(copy, position))
     return rows.orderBy(position)

@@ -5,6 +5,7 @@ Method. One hash function orders all word shingles; a document's sketch is the
 generate the overlaps, an estimate over the sketch of the union filters them,
 and the exact Jaccard similarity of the full sets confirms each link.
 
+Rows are told apart by numbers, not by doc_id, so a repeated id multiplies nothing.
 Documents with equal sets form a class first, so copies cost one row each.
 Between classes:
 
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 
 from costlens.llm import textbytes as tb
 from costlens.llm.components import components
-from costlens.llm.staging import staged
+from costlens.llm.staging import numbered, staged
 
 #: Bound on the probability that a pair at the threshold is missed by one step.
 FAIL = 1e-8
@@ -205,19 +206,16 @@ def _confirm(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int,
     return rows.mapInArrow(_compare(width, percent), "a long, b long").distinct()
 
 
-def near_dedup(docs: DataFrame, width: int = 5, percent: int = 85, k: int = 64, rare_df: int = 32) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of each row of ``docs``.
-
-    Rows link whose sets of ``width``-word shingles have ``100 * intersection >=
-    percent * union``; ``component_id`` is the smallest doc_id reachable over links,
-    ``kept`` is true where it is the row's own. ``percent`` from 50 to 100.
-    """
+def near_rows(rows: DataFrame, width: int = 5, percent: int = 85, k: int = 64, rare_df: int = 32) -> DataFrame:
+    """(row, n_shingles, component): for each of ``rows`` (row, text), whose numbers are distinct, the
+    smallest row reachable over links. Rows link whose sets of ``width``-word shingles have
+    ``100 * intersection >= percent * union``; ``percent`` from 50 to 100."""
     if not 50 <= percent <= 100:
         raise ValueError("percent must be from 50 to 100")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = rows.select(F.col("row").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = staged(sketches(texts, width, k), "sketches")
     slim = rows.select("doc_id", "n_shingles", "h1", "h2")
-    sets = slim.where("n_shingles > 0 and doc_id is not null").groupBy("h1", "h2").agg(F.min("doc_id").alias("id"))
+    sets = slim.where("n_shingles > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("id"))
     own = rows.where("n_shingles > 0").withColumnRenamed("doc_id", "id")
     classes = own.join(sets, ["h1", "h2", "id"], "left_semi").select("id", "h1", F.col("n_shingles").alias("n"), "sketch")
     classes = staged(classes.dropDuplicates(["id", "h1"]), "classes")
@@ -272,6 +270,26 @@ def near_dedup(docs: DataFrame, width: int = 5, percent: int = 85, k: int = 64,
 
     members = slim.join(sets, ["h1", "h2"], "left").select("doc_id", "n_shingles", F.coalesce("id", "doc_id").alias("id"))
     out = members.join(comps.withColumnRenamed("component_id", "c"), "id", "left")
-    component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("c", "id"))
-    out = out.select("doc_id", "n_shingles", component.alias("component_id"))
+    return out.select(F.col("doc_id").alias("row"), "n_shingles", F.coalesce("c", "id").alias("component"))
+
+
+def near_dedup(docs: DataFrame, width: int = 5, percent: int = 85, k: int = 64, rare_df: int = 32) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of each row of ``docs`` (doc_id, text).
+
+    Rows link as in ``near_rows``; ``component_id`` is the smallest doc_id reachable over links,
+    ``kept`` is true where it is the row's own.
+    """
+    rows = numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), "row")
+    # rows without an id are counted, but link nothing
+    named = near_rows(rows.where("doc_id is not null"), width, percent, k, rare_df).join(rows.select("row", "doc_id"), "row")
+    named = staged(named, "near-rows")
+    # rows that repeat a doc_id are one node: their components are one
+    twice = named.groupBy("doc_id").agg(F.min("component").alias("a"), F.max("component").alias("hi")).where("a <> hi")
+    joined = named.join(twice.select("doc_id", "a"), "doc_id").select("a", F.col("component").alias("b"))
+    same = components(joined).select(F.col("id").alias("component"), F.col("component_id").alias("whole"))
+    named = named.join(same, "component", "left").withColumn("whole", F.coalesce("whole", "component"))
+    least = named.groupBy("whole").agg(F.min("doc_id").alias("component_id"))
+    out = named.join(least, "whole").select("doc_id", "n_shingles", "component_id")
+    nameless = sketches(rows.where("doc_id is null").select("doc_id", "text"), width, 1)
+    out = out.unionByName(nameless.select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id")))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

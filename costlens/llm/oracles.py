@@ -76,7 +76,7 @@ def mix() -> str:
     return f"""
 WITH d AS (
     SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{_WORD}')), 0)::BIGINT AS size,
-           ('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT AS h
+           ('0x' || substr(md5(concat_ws(':', doc_id, md5(text))), 1, 15))::BIGINT AS h
     FROM documents),
 s AS (
     SELECT source, source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {n} AS class,

@@ -82,3 +82,25 @@ def test_empty_and_clashing_columns(spark):
     assert got == {1: 1, 2: 1, 3: 3}
     with pytest.raises(ValueError):
         nd.near_dedup(documents(spark, rows), percent=40)
+
+
+def test_an_id_with_many_texts(spark):
+    """A third of the rows under one id: one node, whose links are those of all its texts."""
+    rows = [(77, prose(5000 + i, 30)) for i in range(150)] + [(i % 40 + 200, edited(prose(5000 + i, 30), i, i % 3)) for i in range(150)] + [(i, prose(i, 30)) for i in range(60)]
+    each = {i: sets for i, (_, sets) in enumerate((d, {tuple(words_of(t)[j : j + 5]) for j in range(len(words_of(t)) - 4)}) for d, t in rows)}
+    root = {d: d for d, _ in rows}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in each.items():
+        for j in range(i):
+            both = len(a & each[j])
+            if both and 100 * both >= 85 * len(a | each[j]):
+                x, y = find(rows[i][0]), find(rows[j][0])
+                root[max(x, y)] = min(x, y)
+    got = nd.near_dedup(documents(spark, rows)).collect()
+    assert len(got) == len(rows) and all(r.component_id == find(r.doc_id) and r.kept == (r.doc_id == r.component_id) for r in got)
+    assert len({r.component_id for r in got}) < 90
