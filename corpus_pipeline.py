@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from costlens.llm import mixing
 from costlens.llm.decontaminate import without_items
 from costlens.llm.hilbert import document_dims, hilbert_shards
-from costlens.llm.near_dedup import near_dedup
-from costlens.llm.staging import staged, table
+from costlens.llm.near_dedup import near_rows
+from costlens.llm.staging import numbered, staged, table
 from costlens.llm.toxicity import without_toxic
 
 #: Similarity, in percent, at which the pipeline counts documents as near copies.
@@ -33,12 +33,11 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the smallest id; a
     null id is the smallest, and of rows that share it any one."""
-    # rows get numbers for this stage, written once so that every job sees the same ones
-    rows = staged(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    verdicts = near_dedup(rows.select(F.col("__row").alias("doc_id"), "text"), percent=NEAR_PERCENT)
-    copies = staged(verdicts.where(~F.col("kept")).select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__group")), "copies")
+    rows = numbered(docs)
+    near = near_rows(rows.select(F.col("__row").alias("row"), "text"), percent=NEAR_PERCENT)
+    copies = staged(near.where("row <> component").select(F.col("row").alias("__row"), F.col("component").alias("__group")), "copies")
     members = copies.unionByName(copies.select(F.col("__group").alias("__row"), "__group").distinct())
-    members = members.join(rows.select("__row", "doc_id"), "__row")
+    members = members.join(rows.select("__row", F.col("doc_id").cast("long").alias("doc_id")), "__row")
     stays = members.groupBy("__group").agg(F.min(F.struct("doc_id", "__row")).alias("__first")).select(F.col("__first.__row").alias("__row"))
     lost = members.join(stays, "__row", "left_anti").select("__row")
     return rows.join(lost, "__row", "left_anti").select(*docs.columns)
