@@ -2,10 +2,12 @@
 
 Writing. One record a page. Of pages with equal payloads of at least
 ``MIN_REVISIT`` bytes the one with the smallest page_id is written in full, as a
-response; the others are revisits that refer to it and carry its digest. Records
+response; the others are revisits that refer to it and carry its digest. Who is a
+revisit is found from row numbers, ids and digests alone; payloads cross the network
+once, by row number, to their archive, where the decisions join them. Records
 are laid out by column expressions and written by Spark's text writer, whose line
 separator is the empty line pair that ends a record; archives hold about
-``ARCHIVE_BYTES`` each, so that a reading task's memory is bounded.
+``ARCHIVE_BYTES`` each, however often a page repeats, so a reading task's memory is bounded.
 
 Reading. Spark reads whole archives, plain or gzipped a member per record. Every
 record is checked: version line, header syntax, content length, the end of the
@@ -33,6 +35,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from costlens.llm.staging import numbered, staged
+
 #: Payloads from so many bytes on are written once.
 MIN_REVISIT = 100
 #: Bytes of an archive, on average.
@@ -40,6 +44,9 @@ ARCHIVE_BYTES = 16 << 20
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
+#: Bytes that are inflated at once.
+_PIECE = 1 << 16
+
 _VERSION = re.compile(rb"WARC/\d\.\d\r\n")
 _MEMBER = b"\x1f\x8b\x08"
 _END = b"\r\n\r\n"
@@ -51,25 +58,31 @@ def _line(name: str, value: Column) -> Column:
     return F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit("\r\n")), F.lit(""))
 
 
-def records(pages: DataFrame) -> DataFrame:
-    """(page_id, bytes, record): the record of each row of ``pages`` (page_id, url, html), as text."""
+def revisits(pages: DataFrame) -> DataFrame:
+    """(row, page_id, bytes, digest, first) of each row of ``pages`` (row, page_id, html): ``first`` is
+    the page that a revisit refers to, null for a response."""
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    rows = pages.select(
-        F.col("page_id").cast("long").alias("page_id"),
-        F.col("url").cast("string").alias("url"),
-        html.alias("html"),
-        F.octet_length(html).cast("long").alias("bytes"),
-        F.sha2(html.cast("binary"), 256).alias("digest"),
-    )
-    large = rows.where(F.col("bytes") >= MIN_REVISIT).groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
-    rows = rows.join(large.where("n > 1").select("digest", "first"), "digest", "left")
-    again = (F.col("bytes") >= MIN_REVISIT) & F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id"))
-    url = F.when(F.col("url") != "", F.col("url"))
+    rows = pages.select("row", F.col("page_id").cast("long").alias("page_id"), F.octet_length(html).cast("long").alias("bytes"), F.sha2(html.cast("binary"), 256).alias("digest"))
+    rows = staged(rows, "warc-digests")
+    large = F.col("bytes") >= MIN_REVISIT
+    lead = rows.where(large).groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    rows = rows.join(lead.select("digest", "first"), "digest", "left")
+    again = large & F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id"))
+    return rows.select("row", "page_id", "bytes", "digest", F.when(again, F.col("first")).alias("first"))
+
+
+def records(pages: DataFrame) -> DataFrame:
+    """(page_id, bytes, record): the record of each row of ``pages`` (page_id, url, html, bytes, digest,
+    first), as text."""
+    again, html = F.col("first").isNotNull(), F.coalesce(F.col("html").cast("string"), F.lit(""))
+    url = F.col("url").cast("string")
+    plain = F.when(url != "", url)
+    coded = plain
     for code in (*range(0x21), 0x7F):
-        url = F.replace(url, F.lit(chr(code)), F.lit(f"%{code:02X}"))
-    url = F.when(F.col("url").rlike(r"[\x00-\x20\x7F]"), url).otherwise(F.when(F.col("url") != "", F.col("url")))
+        coded = F.replace(coded, F.lit(chr(code)), F.lit(f"%{code:02X}"))
+    url = F.when(url.rlike(r"[\x00-\x20\x7F]"), coded).otherwise(plain)
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("bytes").cast("string"), F.lit("\r\n\r\n"))
-    block = F.when(again, http).otherwise(F.concat(http, F.col("html")))
+    block = F.when(again, http).otherwise(F.concat(http, html))
     to = lambda c: F.concat(F.lit("<urn:x-page:"), c.cast("string"), F.lit(">"))
     header = F.concat(
         F.lit("WARC/1.1\r\n"),
@@ -84,14 +97,17 @@ def records(pages: DataFrame) -> DataFrame:
         _line("Content-Length", F.octet_length(block).cast("string")),
         F.lit("\r\n"),
     )
-    return rows.select("page_id", "bytes", F.concat(header, block).alias("record"))
+    return pages.select("page_id", "bytes", F.concat(header, block).alias("record"))
 
 
 def write_archives(pages: DataFrame, path: str) -> None:
-    """Write the records of ``pages`` as archives under ``path``."""
-    total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
-    rows = records(pages).repartition(1 + total // ARCHIVE_BYTES, F.xxhash64("page_id", F.col("record")))
-    rows.select("record").write.option("lineSep", "\r\n\r\n").text(path)
+    """Write the records of ``pages`` (page_id, url, html) as archives under ``path``."""
+    rows = numbered(pages.select("page_id", "url", "html"), "row")
+    found = staged(revisits(rows), "warc-revisits")
+    total = found.agg(F.sum("bytes")).first()[0] or 0
+    # dealt by row numbers, which never repeat; the small table of decisions comes to the rows
+    rows = rows.drop("page_id").repartition(1 + total // ARCHIVE_BYTES, "row").join(found, "row")
+    records(rows).select("record").write.option("lineSep", "\r\n\r\n").text(path)
 
 
 @dataclass
@@ -139,17 +155,21 @@ def parse(data: bytes, at: int) -> Record:
 
 def _member(data: bytes, at: int) -> Record:
     """The record of the gzip member at ``at``."""
-    inflate = zlib.decompressobj(31)
+    inflate, parts, stop = zlib.decompressobj(31), [], at
     try:
-        plain = inflate.decompress(data[at:])
+        while not inflate.eof and stop < len(data):  # in pieces: what follows the member isn't copied
+            piece = data[stop : stop + _PIECE]
+            parts.append(inflate.decompress(piece))
+            stop += len(piece)
     except zlib.error as e:
         raise Damage(f"bad gzip member: {e}") from e
     if not inflate.eof:
         raise Damage("gzip member doesn't end")
+    plain = b"".join(parts)
     record = parse(plain, 0)
     if record.length != len(plain):
         raise Damage("gzip member holds more than a record")
-    return Record(at, len(data) - at - len(inflate.unused_data), record.headers, record.payload)
+    return Record(at, stop - at - len(inflate.unused_data), record.headers, record.payload)
 
 
 def salvage(data: bytes) -> Iterator[Record | tuple[int, int, str]]:

@@ -105,3 +105,41 @@ def test_salvage_odd_archives():
     assert split(bytes(bad) + gzip.compress(record(2)))[0] == [2]
     assert split(record(1)[:-3] + record(2))[0] == [2]
     assert split(gzip.compress(record(1) + record(2)) + record(3))[0] == [3]
+
+
+def test_query_equals_its_sql_with_copies(spark, tmp_path):
+    """The registered query on a table with copies, nulls and payloads of 99 and 100 bytes."""
+    import duckdb
+
+    from costlens.llm import oracles, queries
+    from tests.compare import compare
+
+    seen, rows = set(), []
+    for r in pages():
+        if r[0] is not None and r[0] not in seen:
+            seen.add(r[0])
+            rows.append(r)
+    spark.createDataFrame(rows, SCHEMA).repartition(4).write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    got = queries.op6_warc(spark, str(tmp_path)).toPandas()
+    ok, message = compare(got, con.execute(oracles.warc()).df())
+    assert ok, message
+    assert (got.record_type == "revisit").sum() > 25
+
+
+def test_repeated_rows_fill_archives_evenly(spark, tmp_table_root, monkeypatch):
+    """A third of the rows equal: no archive is much larger than the others."""
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 50_000)
+    rows = [(7, "u", "c" * 2000)] * 200 + [(100 + i, "u", f"{i}" + "d" * 2000) for i in range(400)]
+    warc.write_archives(spark.createDataFrame(rows, SCHEMA).repartition(4), tmp_table_root)
+    sizes = [r[0] for r in spark.read.format("binaryFile").load(tmp_table_root).select("length").collect()]
+    assert len(sizes) > 15 and max(sizes) < 200_000
+    assert warc.read_archives(spark, tmp_table_root).where("gap is null").count() == 600
+
+
+def test_gzip_members_are_read_in_pieces():
+    plain = [b"WARC/1.1\r\nWARC-Type: x\r\nContent-Length: %d\r\n\r\n" % n + bytes(i % 251 for i in range(n)) + b"\r\n\r\n" for n in (10, 300_000, 70_000)]
+    data = b"".join(gzip.compress(p, 0) for p in plain)
+    found = list(warc.salvage(data))
+    assert [len(r.payload) for r in found] == [10, 300_000, 70_000] and sum(r.length for r in found) == len(data)
