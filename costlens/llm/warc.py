@@ -3,11 +3,12 @@
 Writing. One record a page. Of pages with equal payloads of at least
 ``MIN_REVISIT`` bytes the one with the smallest page_id is written in full, as a
 response; the others are revisits that refer to it and carry its digest. Who is a
-revisit is found from row numbers, ids and digests alone; payloads cross the network
-once, by row number, to their archive, where the decisions join them. Records
-are laid out by column expressions and written by Spark's text writer, whose line
-separator is the empty line pair that ends a record; archives hold about
-``ARCHIVE_BYTES`` each, however often a page repeats, so a reading task's memory is bounded.
+revisit is found from row numbers, ids and digests alone, and the few decisions come to the
+pages. Records are laid out by column expressions and written by Spark's text writer, whose
+line separator is the empty line pair that ends a record, straight from the tasks that read
+the pages: payloads cross the network only if the decisions are too many to be broadcast. An archive holds at most ``ARCHIVE_BYTES`` of payload, however often a page
+repeats, or one larger page, so a reading task's memory is bounded: pages are written by
+classes of size, each with as many records an archive as its largest pages allow.
 
 Reading. Spark reads whole archives, plain or gzipped a member per record. Every
 record is checked: version line, header syntax, content length, the end of the
@@ -39,8 +40,10 @@ from costlens.llm.staging import numbered, staged
 
 #: Payloads from so many bytes on are written once.
 MIN_REVISIT = 100
-#: Bytes of an archive, on average.
+#: Bytes of payload of an archive at most, but for larger single pages.
 ARCHIVE_BYTES = 16 << 20
+#: Largest payloads of the classes of size; a page beyond the last one has an archive of its own.
+CLASSES = (4 << 10, 64 << 10, 1 << 20)
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -58,17 +61,18 @@ def _line(name: str, value: Column) -> Column:
     return F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit("\r\n")), F.lit(""))
 
 
-def revisits(pages: DataFrame) -> DataFrame:
-    """(row, page_id, bytes, digest, first) of each row of ``pages`` (row, page_id, html): ``first`` is
-    the page that a revisit refers to, null for a response."""
+def _measured(pages: DataFrame) -> DataFrame:
+    """``pages`` with ``bytes`` and ``digest`` of the payload."""
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    rows = pages.select("row", F.col("page_id").cast("long").alias("page_id"), F.octet_length(html).cast("long").alias("bytes"), F.sha2(html.cast("binary"), 256).alias("digest"))
-    rows = staged(rows, "warc-digests")
-    large = F.col("bytes") >= MIN_REVISIT
-    lead = rows.where(large).groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    rows = rows.join(lead.select("digest", "first"), "digest", "left")
-    again = large & F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id"))
-    return rows.select("row", "page_id", "bytes", "digest", F.when(again, F.col("first")).alias("first"))
+    return pages.withColumns({"page_id": F.col("page_id").cast("long"), "bytes": F.octet_length(html).cast("long"), "digest": F.sha2(html.cast("binary"), 256)})
+
+
+def revisits(digests: DataFrame) -> DataFrame:
+    """(row, first) of the rows (row, page_id, bytes, digest) that are revisits: ``first`` is the page
+    that they refer to."""
+    large = digests.where(F.col("bytes") >= MIN_REVISIT)
+    lead = large.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1 and first is not null")
+    return large.join(lead.select("digest", "first"), "digest").where(~F.col("first").eqNullSafe(F.col("page_id"))).select("row", "first")
 
 
 def records(pages: DataFrame) -> DataFrame:
@@ -102,12 +106,16 @@ def records(pages: DataFrame) -> DataFrame:
 
 def write_archives(pages: DataFrame, path: str) -> None:
     """Write the records of ``pages`` (page_id, url, html) as archives under ``path``."""
-    rows = numbered(pages.select("page_id", "url", "html"), "row")
-    found = staged(revisits(rows), "warc-revisits")
-    total = found.agg(F.sum("bytes")).first()[0] or 0
-    # dealt by row numbers, which never repeat; the small table of decisions comes to the rows
-    rows = rows.drop("page_id").repartition(1 + total // ARCHIVE_BYTES, "row").join(found, "row")
-    records(rows).select("record").write.option("lineSep", "\r\n\r\n").text(path)
+    rows = _measured(numbered(pages.select("page_id", "url", "html"), "row"))
+    digests = staged(rows.select("row", "page_id", "bytes", "digest"), "warc-digests")
+    again = staged(revisits(digests), "warc-revisits")
+    largest = digests.agg(F.max("bytes")).first()[0] or 0
+
+    for low, high in zip((-1, *CLASSES), (*CLASSES, 1 << 62), strict=True):
+        if low < largest or low < 0:  # an empty table gives empty archives
+            some = rows.where((F.col("bytes") > low) & (F.col("bytes") <= high)).join(again, "row", "left")
+            out = records(some).select("record").write.mode("append").option("lineSep", "\r\n\r\n")
+            out.option("maxRecordsPerFile", max(1, ARCHIVE_BYTES // high)).text(path)
 
 
 @dataclass
