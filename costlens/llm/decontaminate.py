@@ -7,15 +7,20 @@ one occurs unchanged in any such passage. Exact piece hits are found in one pass
 over each document, and each hit's surroundings are verified with Myers'
 bit-parallel edit distance, many candidates at a time.
 
-Items are a query set: they are handled in blocks of bounded size (``BLOCK_CHARS``),
-each block broadcast with the job and held against all documents. The documents
-are read once per block and never shuffled.
-
-Defined results: null and empty texts, of items or documents, match nothing; an
-item shorter than ``min_chars`` after normalising is ignored; items that repeat an
-item_id or a text are separate items, and a document lists each item_id once; a
-document shorter than the item can't hold it beyond its k edits. Rows that repeat
-a doc_id get a row each. Other columns aren't read.
+Short items, of fewer than ``least_chars`` letters, say little once digits and signs are gone:
+they have no error budget and are sought as whole words in streams of letters and
+digits, as one piece.
+
+Items are a query set: they are handled in blocks of bounded size (``BLOCK_CHARS``). A
+block is a job of its own that sends the block to all tasks, reads the documents once
+and adds its hits to a written table; no task or driver holds two blocks. Documents are
+told apart by row numbers and never shuffled for the search.
+
+Defined results: null and empty texts, of items or documents, match nothing, nor do
+items without a letter or digit; items that repeat an item_id or a text are separate
+items, and a document lists each item_id once; an item with a null item_id is sought too: it
+contaminates, and isn't listed; a document shorter than the item can't hold it beyond
+its k edits. Rows that repeat a doc_id get a row each. Other columns aren't read.
 """
 
 from __future__ import annotations
@@ -29,46 +34,59 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costlens.llm import textbytes as tb
+from costlens.llm.staging import numbered
+from costlens.session import scratch_path
 
 #: Characters of the items that are sent with a job at once.
 BLOCK_CHARS = 4 << 20
-#: Candidates verified together (bounds memory).
-TOGETHER = 4096
+#: Candidates verified together, and characters of their surroundings (both bound memory).
+TOGETHER, CELLS = 4096, 1 << 21
+#: Letters of an item that may have errors, at least.
+LEAST_CHARS = 40
 
 
 @dataclass
 class Items:
-    """A block of items: their letter streams, one after the other, and their pieces."""
+    """A block of items: their streams, one after the other, and their pieces."""
 
-    item_id: np.ndarray
+    item_id: list
     points: np.ndarray
-    bounds: np.ndarray  # of the streams, without the outer spaces
+    bounds: np.ndarray  # of the streams; without the outer spaces, but for exact items
     errors: np.ndarray  # k of each item
     piece_item: np.ndarray
     piece_start: np.ndarray  # in the item
     piece_end: np.ndarray
+    digits: bool
 
 
-def prepare(rows: list[tuple[int, str]], error_rate: float, min_chars: int) -> Items | None:
-    """Split items into pieces."""
-    ids, streams, errors, pieces = [], [], [], []
-    for item_id, text in rows:
-        raw = (text or "").encode()
-        points, _ = tb.letter_stream(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
-        points = points[points != 32] if not (points != 32).any() else points[1:-1]
-        if len(points) < max(min_chars, 1):
-            continue
-        k = int(error_rate * len(points))
-        cut = np.linspace(0, len(points), k + 2).astype(np.int64)
-        pieces += [(len(ids), a, b) for a, b in zip(cut[:-1], cut[1:], strict=True)]
-        ids.append(item_id)
-        streams.append(points)
-        errors.append(k)
-    if not ids:
+def _split(found: list[tuple], error_rate: float, digits: bool) -> Items | None:
+    """The pieces of (item_id, stream)."""
+    if not found:
         return None
+    errors = [int(error_rate * len(points)) for _, points in found]
+    pieces = []
+    for i, ((_, points), k) in enumerate(zip(found, errors, strict=True)):
+        cut = np.linspace(0, len(points), k + 2).astype(np.int64)
+        pieces += [(i, a, b) for a, b in zip(cut[:-1], cut[1:], strict=True)]
     piece = np.array(pieces, np.int64)
-    bounds = np.cumsum([0, *map(len, streams)])
-    return Items(np.array(ids, np.int64), np.concatenate(streams), bounds, np.array(errors, np.int64), piece[:, 0], piece[:, 1], piece[:, 2])
+    bounds = np.cumsum([0, *(len(points) for _, points in found)])
+    return Items([x for x, _ in found], np.concatenate([p for _, p in found]), bounds, np.array(errors, np.int64), piece[:, 0], piece[:, 1], piece[:, 2], digits)
+
+
+def prepare(rows: list[tuple], error_rate: float, least_chars: int = LEAST_CHARS) -> list[Items]:
+    """Items (item_id, text) split into pieces: those with an error budget, and the short ones,
+    whole words with the spaces around them."""
+    edited, exact = [], []
+    for item_id, text in rows:
+        raw = np.frombuffer((text or "").encode(), np.uint8)
+        points, _ = tb.letter_stream(raw, np.array([0, len(raw)]))
+        if len(points) - 2 >= max(least_chars, 1) and (points != 32).any():
+            edited.append((item_id, points[1:-1]))
+            continue
+        points, _ = tb.letter_stream(raw, np.array([0, len(raw)]), digits=True)
+        if (points != 32).any():
+            exact.append((item_id, points))
+    return [x for x in (_split(edited, error_rate, False), _split(exact, 0.0, True)) if x is not None]
 
 
 def myers(pattern: np.ndarray, lengths: np.ndarray, windows: np.ndarray) -> np.ndarray:
@@ -195,8 +213,13 @@ class Matcher:
         first = np.maximum(first, bounds[text])
         distance = np.empty(len(text), np.int64)
         order = np.argsort(n, kind="stable")
-        for i in range(0, len(order), TOGETHER):
-            some = order[i : i + TOGETHER]
+        longest = np.maximum.accumulate((end - first)[order])  # a group's arrays are as wide as its longest
+        i = 0
+        while i < len(order):
+            j = min(i + TOGETHER, len(order))
+            j = i + max(1, int(np.searchsorted(np.arange(1, j - i + 1) * longest[i:j], CELLS, side="right")))
+            some = order[i:j]
+            i = j
             b = items.bounds[item[some]]
             distance[some] = myers(_padded(items.points, b, b + n[some], 0), n[some], _padded(points, first[some], end[some], 1))
         hit = distance <= k
@@ -208,76 +231,63 @@ class Matcher:
         return text[keep], item[keep], distance[keep]
 
 
-def _match(items: Items) -> Callable:
-    """(doc_id, text, item_ids, distances) with the block's items added to the lists."""
+def _hits(blocks: list[Items]) -> Callable:
+    """(row, text) to (row, item_id, distance) of the items found."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(items)
+        matchers = [Matcher(x) for x in blocks]
         for batch in batches:
+            rows = batch.column(0).to_numpy()
             offsets, data = tb.buffers(batch.column(1))
             for i, j in tb.slices(offsets):
-                points, bounds = tb.letter_stream(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                text, item, distance = matcher.find(points, bounds)
-                part = batch.slice(i, j - i)
-                if len(text):
-                    ids, far = part.column(2).to_pylist(), part.column(3).to_pylist()
-                    for t, x, d in zip(text.tolist(), items.item_id[item].tolist(), distance.tolist(), strict=True):
-                        ids[t], far[t] = [*ids[t], x], [*far[t], d]
-                    lists = [pa.array(x, pa.list_(pa.int64())) for x in (ids, far)]
-                else:
-                    lists = [part.column(2), part.column(3)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *lists], ["doc_id", "text", "item_ids", "distances"])
+                for matcher in matchers:
+                    points, bounds = tb.letter_stream(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], matcher.items.digits)
+                    text, item, distance = matcher.find(points, bounds)
+                    ids = pa.array([matcher.items.item_id[x] for x in item.tolist()], pa.int64())
+                    yield pa.RecordBatch.from_arrays([pa.array(rows[i + text]), ids, pa.array(distance)], ["row", "item_id", "distance"])
 
     return run
 
 
-def _clean(items: Items, text_at: int) -> Callable:
-    """The rows whose text, in column ``text_at``, holds no item of the block."""
+_HIT = "row long, item_id long, distance long"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(items)
-        for batch in batches:
-            offsets, data = tb.buffers(batch.column(text_at))
-            for i, j in tb.slices(offsets):
-                points, bounds = tb.letter_stream(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                stays = np.ones(j - i, bool)
-                stays[matcher.find(points, bounds)[0]] = False
-                yield batch.slice(i, j - i).filter(pa.array(stays))
 
-    return run
-
-
-def _blocks(benchmark: DataFrame, error_rate: float, min_chars: int) -> Iterator[Items]:
-    """The items of ``benchmark`` (item_id, text) in blocks of bounded size."""
-    asked = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null")
+def hits(rows: DataFrame, benchmark: DataFrame, error_rate: float = 0.06, least_chars: int = LEAST_CHARS) -> DataFrame:
+    """(row, item_id, distance) of each item of ``benchmark`` (item_id, text) that occurs in the text of
+    ``rows`` (row, text), in a written table."""
+    spark = rows.sparkSession
+    asked = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     blocks = 1 + (asked.agg(F.sum(F.length("text"))).first()[0] or 0) // BLOCK_CHARS
+    path = scratch_path(spark, "llm-hits")
+    spark.createDataFrame([], _HIT).write.parquet(path)
     for i in range(blocks):
         some = asked.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == i).orderBy("item_id", "text").collect()
-        items = prepare([tuple(r) for r in some], error_rate, min_chars)
-        if items is not None:
-            yield items
+        items = prepare([tuple(r) for r in some], error_rate, least_chars)
+        if items:
+            rows.select("row", "text").mapInArrow(_hits(items), _HIT).write.mode("append").parquet(path)
+    return spark.read.schema(_HIT).parquet(path)
 
 
-def without_items(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.06, min_chars: int = 40) -> DataFrame:
+def without_items(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.06, least_chars: int = LEAST_CHARS) -> DataFrame:
     """The rows of ``docs`` that ``decontaminate`` doesn't find contaminated, whole. Each row
     is judged by its own text, so null and repeated doc_ids are told apart."""
-    out = docs.withColumn("text", F.col("text").cast("string"))
-    for items in _blocks(benchmark, error_rate, min_chars):
-        out = out.mapInArrow(_clean(items, out.columns.index("text")), out.schema)
-    return out
+    rows = numbered(docs.withColumn("text", F.col("text").cast("string")))
+    found = hits(rows.select(F.col("__row").alias("row"), "text"), benchmark, error_rate, least_chars)
+    bad = found.select(F.col("row").alias("__row")).distinct()
+    return rows.join(bad, "__row", "left_anti").select(*docs.columns)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.06, min_chars: int = 40) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.06, least_chars: int = LEAST_CHARS) -> DataFrame:
     """(doc_id, contaminated, item_ids, least_distance) of every row of ``docs``: the
     items of ``benchmark`` (item_id, text) that occur in the text within ``error_rate``
     edits a character, ascending, and the least edit distance (null without any)."""
+    rows = numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), "row")
+    found = hits(rows, benchmark, error_rate, least_chars)
+    found = found.groupBy("row").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"), F.min("distance").alias("least_distance"))
     none = F.array().cast("array<long>")
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), none.alias("item_ids"), none.alias("distances"))
-    for items in _blocks(benchmark, error_rate, min_chars):
-        out = out.mapInArrow(_match(items), "doc_id long, text string, item_ids array<long>, distances array<long>")
-    return out.select(
+    return rows.select("row", "doc_id").join(found, "row", "left").select(
         "doc_id",
-        (F.size("item_ids") > 0).alias("contaminated"),
-        F.array_sort(F.array_distinct("item_ids")).alias("item_ids"),
-        F.array_min("distances").alias("least_distance"),
+        F.col("least_distance").isNotNull().alias("contaminated"),
+        F.coalesce("item_ids", none).alias("item_ids"),
+        "least_distance",
     )

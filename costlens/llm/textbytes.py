@@ -157,38 +157,39 @@ def shingle_sets(col: pa.Array, width: int) -> Iterator[tuple[int, int, np.ndarr
         yield i, j - i, np.searchsorted(row, np.arange(j - i + 1)), value
 
 
-def _letter_tables() -> tuple[np.ndarray, np.ndarray]:
-    """For the code points below 0x10000: is it a letter or a mark inside a word; its
-    lower case where that is a single code point, itself otherwise."""
-    letter, lower = np.zeros(0x10000, bool), np.arange(0x10000, dtype=np.uint32)
+def _letter_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For the code points below 0x10000: is it a letter or a mark inside a word; is it that or
+    a digit; its lower case where that is a single code point, itself otherwise."""
+    letter, digit, lower = np.zeros(0x10000, bool), np.zeros(0x10000, bool), np.arange(0x10000, dtype=np.uint32)
     for c in range(0x10000):
         s = chr(c)
-        if s.isalpha() or unicodedata.category(s)[0] == "M":
-            letter[c] = True
-            small = s.lower()
-            if len(small) == 1:
-                lower[c] = ord(small)
-    return letter, lower
+        digit[c] = s.isalnum()
+        letter[c] = s.isalpha() or unicodedata.category(s)[0] == "M"
+        small = s.lower()
+        if (letter[c] or digit[c]) and len(small) == 1:
+            lower[c] = ord(small)
+    return letter, letter | digit, lower
 
 
-_LETTER, _SMALL = _letter_tables()
+_LETTER, _LETTER_OR_DIGIT, _SMALL = _letter_tables()
 
 
-def letter_stream(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def letter_stream(data: np.ndarray, offsets: np.ndarray, digits: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Code points of the texts, lower-cased, each run of other characters than letters
-    as one space, and each text between two spaces; and the bounds of the texts. Case is left as it is from 0x10000 on."""
+    (with ``digits``: than letters and digits) as one space, and each text between two
+    spaces; and the bounds of the texts. Case is left as it is from 0x10000 on."""
     n = len(offsets) - 1
     points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le", "replace"), np.uint32)
     starts = np.cumsum((data & 0xC0) != 0x80)  # code points up to and with each byte
     if len(data) and starts[-1] != len(points):  # not UTF-8 throughout: repair each text
         fixed = [data[a:b].tobytes().decode("utf-8", "replace").encode() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-        return letter_stream(np.frombuffer(b"".join(fixed), np.uint8), np.cumsum([0, *map(len, fixed)]))
+        return letter_stream(np.frombuffer(b"".join(fixed), np.uint8), np.cumsum([0, *map(len, fixed)]), digits)
     at = np.where(offsets > 0, starts[np.maximum(offsets, 1) - 1], 0) if len(data) else np.zeros(n + 1, np.int64)
     low = np.minimum(points, 0xFFFF)
-    point = np.where(_LETTER[low], _SMALL[low], np.uint32(32))
+    point = np.where((_LETTER_OR_DIGIT if digits else _LETTER)[low], _SMALL[low], np.uint32(32))
     high = np.flatnonzero(points > 0xFFFF)
     for c in np.unique(points[high]):
-        if chr(c).isalpha():
+        if chr(c).isalnum() if digits else chr(c).isalpha():
             point[high[points[high] == c]] = c
     # a space before and after each text
     bounds = np.concatenate((at[:-1], at[1:]))
