@@ -24,6 +24,7 @@ from costlens.output import decimals_to_double
 from costlens.plans import gapfill as G
 from costlens.plans.period import Period
 from costlens.plans.resumen import KEY_COLS, NUM_COLS, OUT_COLS, resumen
+from costlens.plans.rollup import Rollup
 from costlens.sinks.tables import (
     NULL_KEY, RunStamp, append, append_run_log, clean_text_columns, quarantined, read_table, recover, stamp_run, table_exists,
     upsert,
@@ -85,8 +86,9 @@ def _prep(df: DataFrame, stamp: RunStamp) -> DataFrame:
     return stamp_run(clean_text_columns(decimals_to_double(df)), stamp)
 
 
-def summary_rows(src: Sources, requests: DataFrame, period: Period, restrict: bool = False) -> DataFrame:
-    return resumen(src, requests, period, restrict=restrict)
+def summary_rows(src: Sources, requests: DataFrame, period: Period, restrict: bool = False,
+                 rollup: Rollup | None = None) -> DataFrame:
+    return resumen(src, requests, period, restrict=restrict, rollup=rollup)
 
 
 def invoice_rows(src: Sources, period: Period, requests: DataFrame | None = None) -> DataFrame:
@@ -153,11 +155,12 @@ def without(requests: DataFrame, failed: DataFrame) -> DataFrame:
 
 def run_snapshot(spark: SparkSession, src: Sources, requests: DataFrame, period: Period,
                  target: Target, details: bool = True, all_projects: bool = False,
-                 stamp: RunStamp | None = None) -> dict:
+                 stamp: RunStamp | None = None, rollup: Rollup | None = None) -> dict:
     """Write the summary (upsert by its 6 keys, partition = period) and, with
     ``details``, the invoice table (upsert) and the four detail photos
     (append). ``all_projects`` marks a run over every project, which lets the
-    detail queries skip the request semi-joins.
+    detail queries skip the request semi-joins. ``rollup`` takes the to-date metrics from
+    the last balances (``rollup.close_all`` closes a month).
 
     The summary must succeed but for the requests that it refuses, which ``failed``
     lists (company_name, project_no, refused_because; None if there are none); a detail
@@ -178,7 +181,7 @@ def run_snapshot(spark: SparkSession, src: Sources, requests: DataFrame, period:
                       target.path(name), partition_by="period_date")
 
     try:
-        out[SUMMARY] = upsert(spark, _prep(summary_rows(src, requests, period, restrict=not all_projects), stamp),
+        out[SUMMARY] = upsert(spark, _prep(summary_rows(src, requests, period, not all_projects, rollup), stamp),
                               target.path(SUMMARY), KEY_COLS, partition_by=SUMMARY_PARTITIONS,
                               schema=summary_schema(), isolate=REQUEST)
         req = None if all_projects else requests
@@ -209,7 +212,7 @@ def snapshot_table(spark: SparkSession, target: Target, empty_like: DataFrame |
 
 def backfill_missing(spark: SparkSession, src: Sources, period: Period, target: Target,
                      snapshot: DataFrame | None = None, dry_run: bool = False,
-                     company: str | None = None, details: bool = True) -> dict:
+                     company: str | None = None, details: bool = True, rollup: Rollup | None = None) -> dict:
     """Find the projects without a summary row in the month and run them all
     in one batched snapshot (the reference runs one pipeline per project).
 
@@ -231,7 +234,7 @@ def backfill_missing(spark: SparkSession, src: Sources, period: Period, target:
     out = {"missing": n + unnamed, "run": 0, "requests": reqs, "failed": failed}
     if dry_run or n == 0:
         return out
-    res = run_snapshot(spark, src, reqs, period, target, details=details)
+    res = run_snapshot(spark, src, reqs, period, target, details=details, rollup=rollup)
     if res["failed"] is not None:
         out["failed"] = failed.unionByName(res["failed"])
         n = without(reqs, res["failed"]).count()

@@ -147,7 +147,8 @@ def _write(df: DataFrame, path: str, parts: list[str], mode: str) -> None:
 
 def _refused(df: DataFrame, keys: list[str], isolate: list[str]) -> DataFrame:
     """``df`` with the reason why a row's request is refused. Both windows cluster on the request
-    (a key holds it), so rows that are partitioned by it aren't shuffled again."""
+    (a key holds it), so one shuffle by request serves both."""
+    df = df.repartition(*isolate)
     null = F.lit(False)
     for k in keys:
         null = null | F.col(k).isNull()

@@ -89,3 +89,37 @@ def test_unification_keeps_metric_totals(spark):
         .agg(*[F.round(F.sum(c), 2).alias(c) for c in cols])
     assert rows(before) == rows(after)
     assert before.count() == reqs.count()
+
+
+def test_backfill_goes_on_after_refused_pairs(spark, tmp_table_root, tmp_path):
+    """A pair whose rows break the summary's key, and pairs without a name, fail alone, with their
+    details; the run with balances gives the same rows."""
+    from pyspark.sql import functions as F
+
+    from costlens.plans import rollup as B
+
+    src = load_fixture_sources(spark, SF)
+    # 'NATION_2 ' is cleaned to the same name under another id, so a project of both has each key twice
+    one = R.all_projects(src, company="NATION_2").orderBy("project_no").first()["project_no"]
+    bad = dict(src)
+    bad["companies_bc"] = src["companies_bc"].unionByName(spark.createDataFrame([("zz", "NATION_2 ")], "id string, name string"))
+    bad["job_list_bc"] = src["job_list_bc"].unionByName(spark.createDataFrame(
+        [(one, "zz", "again"), ("PY_NONAME", "unknown", "no company")], "No string, CompanyId string, Description string"))
+    empty = src["resumen_seguimiento"].limit(0)
+    target = RUN.Target(tmp_table_root + "/refused")
+    out = RUN.backfill_missing(spark, bad, JAN, target, snapshot=empty, company=None, details=True)
+    failed = {(r["company_name"], r["project_no"], r["refused_because"]) for r in out["failed"].collect()}
+    assert failed == {("NATION_2", one, "duplicate key"), (None, "PY_NONAME", "null key")}
+    assert out["missing"] == out["run"] + 3  # both requests of the pair, and the nameless one
+    snap = RUN.snapshot_table(spark, target)
+    assert snap.where(F.col("project_no") == one).count() == 0
+    pending = spark.read.parquet(target.path(RUN.PENDING_DOCS))
+    assert pending.where(F.col("project_no") == one).count() == 0 and pending.count() > 0
+
+    rollup = B.Rollup(str(tmp_path / "balances"))
+    B.close_all(spark, src, JAN.previous(), rollup)
+    plain, balanced = RUN.Target(tmp_table_root + "/plain"), RUN.Target(tmp_table_root + "/balanced")
+    RUN.run_snapshot(spark, src, R.all_projects(src), JAN, plain, details=False, all_projects=True)
+    RUN.run_snapshot(spark, src, R.all_projects(src), JAN, balanced, details=False, all_projects=True, rollup=rollup)
+    meta = ("snapshot_run_id", "snapshot_run_ts")
+    assert rows(RUN.snapshot_table(spark, plain).drop(*meta)) == rows(RUN.snapshot_table(spark, balanced).drop(*meta))
