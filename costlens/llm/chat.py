@@ -1,7 +1,9 @@
 """Chat formatting by schema fingerprinting (operator 7). DataFrame functions only.
 
 Method. Records come as JSON in different layouts. A record's layout is the set of
-its nested field paths, whatever the values; its hash is the fingerprint. A small
+its nested field paths, whatever the values; its hash is the fingerprint. It is taken
+from a copy of the record without its values (texts emptied, numbers 0, equal neighbours
+in lists once), so neither long texts nor many turns change it. A small
 table maps fingerprints to declarative mappings, which say where the turns of such
 a record are, and turn it into canonical turns of (role, text). Layouts without a
 mapping are kept and named in ``layout``, with no turns.
@@ -51,10 +53,24 @@ LAYOUTS = {
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
 
+#: The JSON reader's own limit of a text's length is raised to what a string can hold.
+_ANY_LENGTH = {"maxStringLen": str((1 << 31) - 1)}
+_LIST = "array<struct<`{0}`:string,`{1}`:string>>"
+
+
+def _skeleton(record: Column) -> Column:
+    """The record without its values. Escapes are blanked first, so that a string ends at the next
+    quote; a string before a colon is a name and stays."""
+    bare = F.replace(F.replace(record, F.lit("\\\\"), F.lit("??")), F.lit('\\"'), F.lit("??"))
+    bare = F.regexp_replace(bare, r'("[^"]*+"\s*+:)|(")[^"]*+(")', "$1$2$3")
+    bare = F.regexp_replace(bare, r"(?<=[:\[,\s])-?[0-9][0-9.eE+-]*+(?=\s*+[,\]}])", "0")
+    return F.regexp_replace(bare, r"(\{[^{}]*+\}\s*+,\s*+)(?=\1)", "")
+
+
 def paths(record: Column) -> Column:
     """The nested field paths of a JSON text, in one canonical string: the record's shape
     without its scalar types."""
-    shape = F.schema_of_variant(F.try_parse_json(record))
+    shape = F.schema_of_variant(F.try_parse_json(_skeleton(record)))
     shape = F.regexp_replace(shape, r"\b(VOID|BOOLEAN|BIGINT|DOUBLE|FLOAT|STRING|VARIANT|DATE|TIMESTAMP|DECIMAL\(\d+,\d+\))(?=[,>]|$)", "_")
     return F.coalesce(shape, F.lit(""))
 
@@ -64,17 +80,24 @@ def fingerprint(record: Column) -> Column:
     return F.xxhash64(paths(record))
 
 
+def _fields() -> str:
+    """The type of a record with the fields of all layouts; a text of another kind is read as its JSON."""
+    lists = {m[0]: _LIST.format(*m[1:]) for _, m in LAYOUTS.values() if isinstance(m, tuple)}
+    plain = {p for _, m in LAYOUTS.values() if isinstance(m, list) for turn in m for x in turn
+             for p in (x if isinstance(x, tuple) else [x]) if p and p.startswith("$.")}
+    return ", ".join(f"`{p.removeprefix('$.')}` {kind}" for p, kind in [("$.turn", "string"), *sorted((p, "string") for p in plain), *sorted(lists.items())])
+
+
 def _get(record: Column, path: str | None) -> Column:
-    return F.lit("") if path is None else F.coalesce(F.get_json_object(record, path), F.lit(""))
+    return F.lit("") if path is None else F.coalesce(record[path.removeprefix("$.")], F.lit(""))
 
 
 def _turns(record: Column, mapping, aliases: bool = True) -> Column:
-    """The turns of a record under a mapping: an array of (turn, role, text); without
+    """The turns of a parsed record under a mapping: an array of (turn, role, text); without
     ``aliases`` a role that the record itself names in a row layout stays as it is."""
     if isinstance(mapping, tuple):
         at, role, text = mapping
-        items = F.from_json(F.get_json_object(record, at), f"array<struct<`{role}`:string,`{text}`:string>>")
-        made = F.transform(items, lambda x, i: F.struct(i.cast("long").alias("turn"), _role(x[role]).alias("role"), F.coalesce(x[text], F.lit("")).alias("text")))
+        made = F.transform(record[at.removeprefix("$.")], lambda x, i: F.struct(i.cast("long").alias("turn"), _role(x[role]).alias("role"), F.coalesce(x[text], F.lit("")).alias("text")))
         return F.coalesce(made, F.array().cast(f"array<{TURN}>"))
     out = []
     for i, (role, path) in enumerate(mapping):
@@ -83,8 +106,8 @@ def _turns(record: Column, mapping, aliases: bool = True) -> Column:
             text = F.array_join(parts, "\n\n")
         else:
             text = _get(record, path)
-        number = F.get_json_object(record, "$.turn").cast("long") if len(mapping) == 1 else F.lit(i).cast("long")  # a null number stays null
-        said = F.get_json_object(record, role) if role.startswith("$.") else F.lit(role)
+        number = record["turn"].try_cast("long") if len(mapping) == 1 else F.lit(i).cast("long")  # a null number stays null
+        said = record[role.removeprefix("$.")] if role.startswith("$.") else F.lit(role)
         name = _role(said) if aliases else F.coalesce(said, F.lit("user"))
         out.append(F.struct(number.alias("turn"), name.alias("role"), text.alias("text")))
     return F.array(*out)
@@ -103,7 +126,8 @@ def canonical_turns(records: DataFrame, record: str, key: str, row_aliases: bool
     spark = records.sparkSession
     known = spark.createDataFrame([(n, x) for n, (x, _) in LAYOUTS.items()], "layout string, example string")
     prints = {r["layout"]: r["f"] for r in known.select("layout", fingerprint(F.col("example")).alias("f")).collect()}
-    rows = records.select(F.col(key).alias(key), F.col(record).cast("string").alias("__record")).withColumn("fingerprint", fingerprint(F.col("__record")))
+    said = F.col(record).cast("string")
+    rows = records.select(F.col(key).alias(key), fingerprint(said).alias("fingerprint"), F.from_json(said, _fields(), _ANY_LENGTH).alias("__record"))
     layout, turns = F.lit(None).cast("string"), F.array(F.lit(None).cast(TURN))
     for name, (_, mapping) in LAYOUTS.items():
         mine = F.col("fingerprint") == prints[name]

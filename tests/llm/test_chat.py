@@ -1,5 +1,8 @@
 import hashlib
 import json
+import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -95,3 +98,44 @@ def test_query_keeps_the_roles_of_the_table(spark, tmp_path):
     roles = ["human", "gpt", "bot", "model", "user", "assistant", "system", "tool"]
     got = query(spark, tmp_path, [(7, i, role, f"text {i}") for i, role in enumerate(roles)])[7]
     assert (got.n_turns, got.turns_sha256, got.loss_chars, got.loss_sha256) == want([(r, f"text {i}") for i, r in enumerate(roles)])
+
+
+LONG = """
+import sys
+from pyspark.sql import SparkSession, functions as F
+from costlens.llm import queries
+path, n = sys.argv[1], int(sys.argv[2])
+spark = SparkSession.builder.master("local[1]").config("spark.driver.memory", "5g").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+made = [(1, 0, "user", "short", 1), (1, 1, "assistant", sys.argv[3], 17 * n // len(sys.argv[3].encode())), (2, 0, "assistant", sys.argv[4], 40 * n // len(sys.argv[4].encode())), (2, 1, "user", "x", 1)]
+df = spark.createDataFrame(made, "conv_id long, turn long, role string, part string, n int").select("conv_id", "turn", "role", F.expr("repeat(part, n)").alias("text"))
+df.coalesce(1).write.parquet(f"{path}/conversations.parquet")
+for r in queries.op7_chat_formatting(spark, path).where("conv_id > 0").collect():
+    print("GOT", r.conv_id, r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256)
+"""
+
+
+def test_very_long_texts_through_the_query(tmp_path):
+    """Texts beyond the limits of variants (16 MiB) and of the JSON reader (20 million characters); in
+    a session of its own, for memory."""
+    n, parts = 1 << 20, ('line "one"\\n', "é<|im_end|>\n")
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", LONG, str(tmp_path), str(n), *parts], capture_output=True, text=True, cwd=root, env=os.environ | {"PYTHONPATH": root}, timeout=600)
+    got = {line.split()[1]: line.split()[2:] for line in out.stdout.splitlines() if line.startswith("GOT")}
+    texts = [parts[0] * (17 * n // len(parts[0].encode())), parts[1] * (40 * n // len(parts[1].encode()))]
+    assert got["1"] == [str(x) for x in want([("user", "short"), ("assistant", texts[0])])], out.stderr[-2000:]
+    assert got["2"] == [str(x) for x in want([("assistant", texts[1]), ("user", "x")])]
+
+
+def test_fingerprints_without_values(spark):
+    """Neither values nor the number of turns change a fingerprint; names and nesting do."""
+    turn = lambda i: {"role": f"r{i}", "content": f'"\\ {{}}[], {i}: "'}
+    same = [{"messages": [turn(i) for i in range(n)]} for n in (1, 2, 50, 30_000)]
+    same.append({"messages": [turn(1), {"role": "x"}]})  # the same paths
+    odd = [{"messages": []}, {"messages": [{"role": "", "content": "", "turn": 1}]}, {"messages": turn(1)}, {'mess"ages': [turn(1)]}]
+    rows = [(i, json.dumps(r)) for i, r in enumerate(same + odd)]
+    out = spark.createDataFrame(rows, "i int, record string").select("i", chat.fingerprint(F.col("record")).alias("f")).collect()
+    prints = {r.i: r.f for r in out}
+    assert len({prints[i] for i in range(len(same))}) == 1
+    assert len({prints[i] for i in range(len(rows))}) == 1 + len(odd)
+    full = chat.canonical_turns(spark.createDataFrame(rows[3:4], "i int, record string"), "record", "i")
+    assert full.count() == 30_000 and full.where("layout = 'messages' and text like '%{}[]%'").count() == 30_000
