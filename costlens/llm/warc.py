@@ -6,9 +6,10 @@ response; the others are revisits that refer to it and carry its digest. Who is
 revisit is found from row numbers, ids and digests alone, and the few decisions come to the
 pages. Records are laid out by column expressions and written by Spark's text writer, whose
 line separator is the empty line pair that ends a record, straight from the tasks that read
-the pages: payloads cross the network only if the decisions are too many to be broadcast. An archive holds at most ``ARCHIVE_BYTES`` of payload, however often a page
-repeats, or one larger page, so a reading task's memory is bounded: pages are written by
-classes of size, each with as many records an archive as its largest pages allow.
+the pages: payloads cross the network only if the decisions are too many to be broadcast. An
+archive holds at most ``ARCHIVE_BYTES`` of payload, however often a page repeats, or one
+larger page, so a reading task's memory is bounded: pages are written by classes of size,
+each with as many records an archive as its largest pages allow.
 
 Reading. Spark reads whole archives, plain or gzipped a member per record. Every
 record is checked: version line, header syntax, content length, the end of the
