@@ -5,8 +5,8 @@ stream (lower-cased letters, anything else as one space). Each feature is scaled
 by its naive Bayes log-count ratio between the two labels, and a logistic
 regression is fitted on the scaled features.
 
-Training reads a bounded, documented sample of the labelled rows, ``per_label``
-of each label in the order of a hash of doc_id; counting n-grams and turning the
+Training reads a bounded, documented sample of the labelled rows, ``per_label`` rows
+of each label at most, by a hash of doc_id and, where ids repeat, of the row; counting n-grams and turning the
 sample into rows of features run as Spark jobs, and the driver gets every n-gram
 whose statistic is ``LEAST_G2`` at least (their number is bounded by the sample,
 not by a cap) and the sample's feature indices. Scoring reads every whole text
@@ -33,10 +33,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costlens.llm import textbytes as tb
-from costlens.llm.staging import staged
+from costlens.llm.staging import bounded_rows, staged
 
 #: Lengths of the n-grams.
-WIDTHS = (4, 5)
+WIDTHS = (4, 5, 6, 7)
 #: Sampled rows of each label; each is read whole.
 PER_LABEL = 2500
 #: The least likelihood-ratio statistic of a selected n-gram.
@@ -129,8 +129,8 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Mod
         for k in (0, 1)
     ]
     totals = {r["label"]: r["count"] for r in marks.groupBy("label").count().collect()}
-    sample = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    sample = sample.join(F.broadcast(drawn[0].unionByName(drawn[1])), "doc_id").select("text", "label")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    sample = bounded_rows(texts, drawn[0].unionByName(drawn[1]), per_label, "label", (0, 1)).select("text", "label")
     sample = staged(sample, "toxic-sample")
     share = totals.get(1, 0) / max(1, sum(totals.values()))
     sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
