@@ -231,7 +231,7 @@ def embedding_dedup(vectors: DataFrame, least: float = 0.95) -> DataFrame:
     some = F.exists("embedding", lambda v: v != 0)
     usable = F.coalesce(~bad & some, F.lit(False))
     classes = rows.where(usable).groupBy("embedding").agg(F.min("vec_id").alias("least_id"), F.count(F.lit(1)).alias("copies"))
-    classes = staged(classes.withColumn("id", F.xxhash64("embedding")), "vector-classes")
+    classes = staged(classes.withColumn("id", F.xxhash64(F.transform("embedding", lambda v: v + F.lit(0.0)))), "vector-classes")
     n = classes.count()
     long = (classes.agg(F.max(F.size("embedding"))).first()[0] or 1)
     hashes = min(max(PROBES), max(1, round(log(max(n, 2)) / log(2 * max(2, 1 << (long - 1).bit_length())))))
@@ -251,9 +251,12 @@ def embedding_dedup(vectors: DataFrame, least: float = 0.95) -> DataFrame:
 
     named = classes.join(counts, "id", "left").join(comps, "id", "left").withColumn("component", F.coalesce("component_id", "id"))
     ids = named.groupBy("component").agg(F.min("least_id").alias("smallest"))
-    named = named.join(ids, "component").select(F.col("embedding").alias("__v"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "smallest")
-    out = rows.withColumn("embedding", F.when(usable, F.col("embedding")))
-    out = out.join(named, out["embedding"] == named["__v"], "left")
+    named = named.join(ids, "component").select("id", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "smallest")
+    # rows meet their class by its id: no vector is shuffled again (a negative zero counts as zero)
+    numbers = F.transform("embedding", lambda v: v + F.lit(0.0))
+    out = rows.where(usable).select("vec_id", F.xxhash64(numbers).alias("id")).join(named, "id").drop("id")
+    alone = rows.where(~usable).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("smallest"))
+    out = out.unionByName(alone)
     component = F.when(F.col("vec_id").isNotNull(), F.coalesce("smallest", "vec_id"))
-    out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"))
+    out = out.select("vec_id", F.col("n_links").cast("long").alias("n_links"), component.alias("component_id"))
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

@@ -78,3 +78,12 @@ def test_recall_at_the_threshold():
             h = ed.Hasher(dim, hashes)
             met = (h.keys(a)[:, :, :, None] == h.keys(b)[:, :, None, :]).any((1, 2, 3))
             assert met.mean() > 0.999, (dim, hashes)
+
+
+def test_a_common_vector_and_negative_zeros(spark):
+    """A third of the rows hold one vector, another third none; zeros of either sign are equal."""
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=16).tolist()
+    rows = [(i, base, 0) for i in range(100)] + [(200 + i, None if i % 2 else [0.0] * 16, 0) for i in range(100)] + [(400 + i, v, 0) for i, v in enumerate(family(rng, 60, 16, 0.3))]
+    rows += [(600, [0.0, 1.0], 0), (601, [-0.0, 1.0], 0), (602, [0.0, -1.0], 0)]
+    assert run(spark, rows) == brute(rows)
