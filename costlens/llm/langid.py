@@ -7,9 +7,9 @@ sampled texts. A text gets the language of the centroid with the largest cosine;
 it is marked as rejected where its cosine distance to that centroid exceeds the
 distance that all but a share ``REJECT`` of the centroid's own texts keep.
 
-Training reads at most ``per_lang`` texts of each language, drawn by a hash of
-doc_id; document frequencies are counted over that sample by a Spark job and each
-language is clustered in a task of its own. Scoring reads every whole text once,
+Document frequencies are counted over all training texts by a Spark job. Clustering
+reads at most ``per_lang`` texts of each language, rows drawn by a hash of their number, so
+that repeated ids don't matter, and each language is clustered in a task of its own. Scoring reads every whole text once,
 without a shuffle.
 
 Defined results: a null text, or one without a letter, gets ``und`` and score 0; so
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from costlens.llm import textbytes as tb
-from costlens.llm.staging import staged
+from costlens.llm.staging import numbered, staged
 
 WIDTHS = (1, 2, 3)
 BUCKETS = 1 << 13
@@ -77,13 +77,15 @@ def vectors(data: np.ndarray, offsets: np.ndarray, idf: np.ndarray) -> tuple[np.
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(BUCKETS, np.int64)
+    """(text) to (bucket, n): texts of the task that have the bucket, and all of them as bucket -1."""
+    total, texts = np.zeros(BUCKETS, np.int64), 0
     for batch in batches:
+        texts += batch.num_rows
         offsets, data = tb.buffers(batch.column(0))
         for i, j in tb.slices(offsets):
             total += np.bincount(counts(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])[1], minlength=BUCKETS)
     some = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["bucket", "n"])
+    yield pa.RecordBatch.from_arrays([pa.array([-1, *some.tolist()]), pa.array([texts, *total[some].tolist()])], ["bucket", "n"])
 
 
 def cluster(x: np.ndarray, k: int, rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:
@@ -134,22 +136,25 @@ def _centroids(idf: np.ndarray, k: int) -> Callable:
 
 def train(docs: DataFrame, per_lang: int = PER_LANG, centroids: int = CENTROIDS) -> Model:
     """Learn from ``docs`` (doc_id, text, lang)."""
-    rows = docs.where("lang is not null and text is not null and doc_id is not null").select("lang", "doc_id", "text")
-    ids = rows.select("lang", "doc_id", F.xxhash64("doc_id").alias("__hash"))
+    rows = numbered(docs.where("lang is not null and text is not null and doc_id is not null").select("lang", "doc_id", "text"))
+    ids = rows.select("lang", "__row", F.xxhash64("__row").alias("__hash"))
     sizes = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("__n"))
-    # ids are drawn without their texts: a share of each language by hash, then the first of them
+    # rows are drawn without their texts: a share of each language by hash, then the first of them
     share = F.col("__hash") / F.lit(float(1 << 64)) + 0.5
-    # (a row a language, fewer than the model's own rows: sent to all tasks, so no id is shuffled)
+    # (a row a language, fewer than the model's own rows: sent to all tasks, so no row is shuffled)
     few = ids.join(F.broadcast(sizes), "lang").where(share * F.col("__n") < 4.0 * per_lang)
-    order = Window.partitionBy("lang").orderBy("__hash", "doc_id")
-    drawn = few.withColumn("__i", F.row_number().over(order)).where(F.col("__i") <= per_lang).select("lang", "doc_id")
-    drawn = staged(drawn.distinct(), "lang-drawn")  # per_lang ids a language at most
-    sample = staged(rows.join(F.broadcast(drawn), ["lang", "doc_id"]), "lang-sample")
-    n = sample.count()
-    seen = sample.select("text").repartition(8).mapInArrow(_frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
-    df = np.zeros(BUCKETS)
+    order = Window.partitionBy("lang").orderBy("__hash", "__row")
+    drawn = few.withColumn("__i", F.row_number().over(order)).where(F.col("__i") <= per_lang).select("__row")
+    drawn = staged(drawn, "lang-drawn")  # per_lang rows a language at most
+    sample = staged(rows.join(F.broadcast(drawn), "__row").select("lang", "doc_id", "text"), "lang-sample")
+    # document frequencies are counted over all training texts
+    seen = rows.select("text").mapInArrow(_frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
+    df, n = np.zeros(BUCKETS), 0
     for r in seen:
-        df[r["bucket"]] = r["n"]
+        if r["bucket"] < 0:
+            n = r["n"]
+        else:
+            df[r["bucket"]] = r["n"]
     idf = np.log((1 + n) / (1 + df)) + 1.0
     found = sample.groupBy("lang").applyInArrow(_centroids(idf, centroids), "lang string, centroid array<float>, least double").collect()
     found = sorted(found, key=lambda r: r["lang"].encode())
