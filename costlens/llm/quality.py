@@ -5,8 +5,8 @@ path from a root to a node is a rule, a conjunction of threshold tests. A logist
 regression with an L1 penalty gives most rules the weight 0, and the others are
 compiled into one Spark column expression over the statistics.
 
-Training reads the statistics, not the texts, of at most ``most`` labelled rows drawn
-by a hash of doc_id; trees and weights are fitted on the driver. Statistics are
+Training reads the statistics, not the texts, of at most ``most`` labelled rows, drawn
+by a hash of doc_id and, where ids repeat, of the row; trees and weights are fitted on the driver. Statistics are
 made of every whole text in one pass without a shuffle.
 
 Defined results: a null text is empty; an empty text has statistics 0 and gets the
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costlens.llm import textbytes as tb
-from costlens.llm.staging import staged
+from costlens.llm.staging import bounded_rows, staged
 from costlens.llm.toxicity import held_out
 
 #: Labelled rows that training reads.
@@ -259,7 +259,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST) -> Model:
     """Fit on the labelled rows of ``docs`` (doc_id, text) and ``labels`` (doc_id, label)."""
     marks = labels.where("label in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
     drawn = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    sample = docs.join(F.broadcast(drawn), "doc_id").select("doc_id", "text")
+    sample = bounded_rows(docs.select("doc_id", "text"), drawn, most).select("doc_id", "text")
     rows = staged(measured(sample), "quality-sample").join(F.broadcast(drawn), "doc_id").orderBy(F.xxhash64("doc_id"), *STATISTICS).toPandas()
     y = rows["label"].to_numpy(np.float64)
     if len(np.unique(y)) < 2:
