@@ -122,7 +122,8 @@ def hilbert_shards(docs: DataFrame, dims: dict[str, Column], shards: int = 8, bi
     code = F.lit(0).cast("long")
     for c in steps.values():
         code = F.shiftleft(code, bits).bitwiseOR(c.cast("long"))
-    rows = docs.select("*", *[c.alias(k) for k, c in numbers.items()]).select(*keep, *[c.alias(k) for k, c in made.items()], code.alias("__cell"), hash_of(F.col("doc_id")).alias("__hash"))
+    rows = docs.select("*", *[c.alias(k) for k, c in numbers.items()]).select(*keep, *[c.alias(k) for k, c in made.items()], code.alias("__cell"))
+    rows = rows.withColumn("__hash", hash_of(F.concat_ws(":", F.col("doc_id").cast("string"), "size", "text_crc32")))  # no id fills a bucket
 
     counts = metadata.groupBy(code.alias("__cell")).agg(F.count(F.lit(1)).alias("__rows"))
     low = F.lit((1 << bits) - 1)

@@ -1,3 +1,4 @@
+import hashlib
 import zlib
 
 import pytest
@@ -42,9 +43,25 @@ def test_hot_cell_ties_and_reruns(spark, monkeypatch):
     rows = [(i, prose(i % 5, 10), "en", "hot") for i in range(600)] + [(i % 50, "same", f"l{i % 3}", f"s{i % 7}") for i in range(300)]
     runs = [hb.hilbert_shards(documents(spark, rows), hb.document_dims()).collect() for _ in range(2)]
     check(rows, runs[0], 8)
-    key = lambda r: (r.doc_id, r.lang, r.source, r.shard, r.slot)
-    places = [sorted((r.shard, r.slot, r.doc_id) for r in run) for run in runs]
-    assert places[0] == places[1] or sorted(map(key, runs[0])) != []
+    places = [sorted((r.doc_id, r.size, r.text_crc32, r.shard, r.slot) for r in run) for run in runs]
+    assert places[0] == places[1]
+
+
+def test_brute_force_order(spark):
+    """Slots along the curve, in each cell by the hash of id, size and checksum, cut into even runs."""
+    rows = [(i % 90 if i % 3 else None, prose(i % 40, 3 + i % 25), f"l{i % 2}", f"s{i % 3}") for i in range(500)]
+    got = hb.hilbert_shards(documents(spark, rows), hb.document_dims()).collect()
+
+    def order(r):
+        named = ":".join(str(x) for x in (r.doc_id, r.size, r.text_crc32) if x is not None)
+        return r.curve, int(hashlib.md5(named.encode()).hexdigest()[:15], 16)
+
+    ranked = sorted(got, key=order)
+    n, ends = len(ranked), [-(-s * len(ranked) // 8) for s in range(9)]
+    for s in range(8):
+        assert [r.slot for r in sorted((r for r in got if r.shard == s), key=lambda r: r.slot)] == list(range(ends[s + 1] - ends[s]))
+    want = [(order(r), i * 8 // n) for i, r in enumerate(ranked)]
+    assert sorted(want) == sorted((order(r), r.shard) for r in got)
 
 
 def test_shards_are_narrow(spark):
