@@ -2,6 +2,7 @@
 
 
 import pytest
+from pyspark.sql import functions as F
 
 from costlens.operators import datasets as DS
 from costlens.plans import requests as R
@@ -272,6 +273,34 @@ def test_summary_tail_is_hash_aggregated(spark, base):
     assert all("min(CompanyId" in ln for ln in sorts) and "HashAggregate" in plan
 
 
+@pytest.mark.parametrize("prev", [False, True])
+def test_summary_tail_holds_one_sort(spark, base, prev):
+    """Above the one shuffle of the tall union a task sorts its narrow rows once; sums and totals are
+    windows in that order, and no aggregation keeps a row of sums for every chapter of the task."""
+    src = make_sources(spark, **base)
+    plan = resumen(src, R.all_projects(src), JAN, with_prev_month=prev)._jdf.queryExecution().executedPlan().toString()
+    tail = plan[:plan.index("REPARTITION_BY_COL")].split("\n")
+    assert sum("- Sort [" in ln for ln in tail) == 1 and any("Window [" in ln for ln in tail)
+    assert not any("Aggregate" in ln or "Generate" in ln for ln in tail)
+
+
+def test_chapters_joined_within_a_code(spark, base):
+    """The bare code joins the first description, whatever lies between them; spellings that differ in a
+    no-break space are one chapter; other chapters of the code stay alone; rows of the same code of a
+    project asked for under two company ids stay apart."""
+    nbsp = chr(160)
+    tables = dict(base, job_ledger_entries_bc=[
+        ledger(D(1997, 1, 5), "PY_1", cap, cost) for cap, cost in
+        [("03.01", 1), (f"03.01.A{nbsp}X", 2), ("03.01.A X", 4), ("03.01.B", 8), ("03.01-A", 16), ("04.01", 32), ("04.01.Z", 64), ("CAP A", 128), ("CAP A1", 256)]])
+    src = make_sources(spark, **tables)
+    both = R.all_projects(src).unionByName(R.all_projects(src).withColumn("company_id", F.lit("another")))
+    rows = [r for r in resumen(src, both, JAN).collect() if r["grupo"] == "Directos"]
+    for cid in ("1", "another"):
+        assert {r["capitulo"]: r["coste_bc_a_origen"] for r in rows if r["company_id"] == cid} == {
+            "03.01.A X": 7.0, "03.01.B": 8.0, "03.01-A": 16.0, "04.01.Z": 96.0, "CAP A": 128.0, "CAP A1": 256.0}
+    assert len(rows) == 12
+
+
 def test_detail_tables_fail_on_their_own(spark, base, tmp_table_root):
     """A broken detail source is reported; the others and the run log are still written."""
     from costlens.plans import runs as RUN
