@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from costlens.sources import MissingColumnError, load_parquet_sources, resolve_columns
+from costlens.sources.fixtures import spark_sql
 
 
 def test_resolve_aliases_case_and_optional_defaults(spark):
@@ -48,3 +49,17 @@ def test_document_photo_takes_fewer_spellings_of_the_chapter(spark):
     assert got["posting_jobTaskNo"] == "07.01" and got["detail_jobTaskNo"] is None
     got = resolve_columns(df.withColumnRenamed("capitulo", "job_task_no"), "facturas_qwark", cast=True).first()
     assert got["posting_jobTaskNo"] == got["detail_jobTaskNo"] == "07.01"
+
+
+def test_spreading_a_table_sorts_no_scan_and_changes_no_row(spark, tmp_table_root):
+    """Dealt round-robin, the task that reads a file would sort all of it first."""
+    orders = [(k % 40 if k % 7 else None, k % 3 if k % 5 else None, dt.date(1997, 1, 1 + k % 28)) for k in range(200)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate date").coalesce(1) \
+        .write.parquet(f"{tmp_table_root}/orders.parquet")
+    spark.createDataFrame([(0, 1), (1, 2), (None, 3)], "c_custkey long, c_nationkey long") \
+        .write.parquet(f"{tmp_table_root}/customer.parquet")
+    spread = spark.sql(spark_sql("purchase_invoices_bc", tmp_table_root, 4))
+    plain = spark.sql(spark_sql("purchase_invoices_bc", tmp_table_root))
+    assert sorted(map(str, spread.collect())) == sorted(map(str, plain.collect()))
+    plan = spread._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "RoundRobin" not in plan
