@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from costlens.sinks import tables as T
 
@@ -37,6 +38,22 @@ def test_upsert_duplicate_keys_raise_and_leave_the_table(spark, tmp_table_root):
     assert [(r["k"], r["v"]) for r in T.read_table(spark, path).collect()] == [("a", 7.0)]
 
 
+def test_duplicates_are_sought_by_hash_and_settled_by_key(spark, tmp_table_root):
+    """No task holds the batch's keys as texts; keys that only share a hash aren't duplicates."""
+    sch = "k string, l string, v double"
+    met = spark.createDataFrame([(None, "a", 1.0), ("a", None, 2.0), ("b", "c", 3.0)], sch)
+    assert met.select(F.xxhash64("k", "l")).distinct().count() == 2
+    grouped = T._hashes_twice(met, ["k", "l"])
+    assert "xxhash64(k" in grouped._jdf.queryExecution().executedPlan().toString()
+    assert grouped.count() == 1
+    T.upsert(spark, met, tmp_table_root + "/h", ["k", "l"])
+    assert T.read_table(spark, tmp_table_root + "/h").count() == 3
+    for twice in ([("a", None, 1.0), ("a", None, 2.0)], [(None, None, 1.0), (None, None, 1.0), (None, "a", 1.0)]):
+        with pytest.raises(T.DuplicateKeys):
+            T.upsert(spark, spark.createDataFrame(twice, sch), tmp_table_root + "/h", ["k", "l"])
+    assert T.read_table(spark, tmp_table_root + "/h").count() == 3
+
+
 def test_upsert_moves_keys_between_partitions(spark, tmp_table_root):
     """A partition column outside the key: a row whose month changed leaves its old one."""
     path = tmp_table_root + "/m"
