@@ -268,3 +268,24 @@ def test_run_log_parameters(spark, tmp_table_root):
     import json
     got = [json.loads(r["params_json"]) for r in spark.read.parquet(f"{tmp_table_root}/log2").collect()]
     assert {"a": 'x"y', "b": None, "d": "1997-01-01", "n": 1.5, "t": True} in got and {} in got
+
+
+def test_latest_rows_and_appends_sort_no_whole_file(spark, tmp_table_root, monkeypatch):
+    """Rows are shuffled by key before the first sort of the latest rows, whatever keys hold; appended rows of one
+    period are written as they come, and the session's setting is as before."""
+    from pyspark.sql.readwriter import DataFrameWriter
+    name, seen, old = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: (seen.append(spark.conf.get(name)), old(self, *a, **k)))
+    before, path = spark.conf.get(name), tmp_table_root + "/latest"
+    rows = [(k, l, f"r{run}", dt.datetime(2024, 1, 1 + run), 10 * run + i, p)
+            for run in range(3) for p in ("x", "y", "z", "u", "v", None)
+            for i, (k, l) in enumerate([("a", None), (None, "a"), (None, None), ("b", "c")])]
+    df = spark.createDataFrame(rows, "k string, l string, snapshot_run_id string, snapshot_run_ts timestamp, v int, p string")
+    assert T.append(df, path, partition_by="p")["inserted"] == len(rows)
+    assert int(seen[0]) >= T.OPEN_FILES and spark.conf.get(name) == before
+    table = T.read_table(spark, path, df.schema)
+    latest = T.latest_rows(table, ["k", "l", "p"])
+    assert sorted(map(str, latest.collect())) == sorted(str(r) for r in df.where("v >= 20").collect())
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    plan = plan[plan.index("Initial Plan"):] if "Initial Plan" in plan else plan
+    assert plan.rindex("REBALANCE") > plan.rindex("Sort [") and plan.count("Exchange") == 2
