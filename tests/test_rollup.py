@@ -1,6 +1,8 @@
 """Balances: the same to-date metrics as a full scan, from one month's scan."""
 
 import datetime as dt
+import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -117,3 +119,43 @@ def test_sources_without_marks(spark, tmp_path):
         B.close_month(spark, src, B.COST, Period(1996, 12), rollup)
     assert all("error" in x for x in B.close_all(spark, src, Period(1996, 12), rollup).values())
     assert B.to_date(spark, src, B.COST, Period(1997, 1), rollup).count() == 1
+
+
+def _shuffle_files(spark):
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for d in dirs for _, _, files in os.walk(d.getPath()) for f in files if f.startswith("shuffle_")}
+
+
+def test_closing_a_month_leaves_no_shuffle_files(spark, src, tmp_path):
+    """The files of a finished step else stay on disk while the next ones write theirs."""
+    rollup = B.Rollup(str(tmp_path / "balances"))
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting, before = spark.conf.get(key), _shuffle_files(spark)
+    for of in B.BALANCES:
+        for period in (Period(1996, 11), Period(1996, 12)):
+            B.close_month(spark, src, of, period, rollup)
+    until = time.time() + 20
+    while _shuffle_files(spark) - before and time.time() < until:  # they are removed in the background
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - before
+    assert spark.conf.get(key) == setting
+
+
+def test_changed_documents_are_read_and_dealt_out_once(spark, src, tmp_path):
+    rollup = B.Rollup(str(tmp_path / "balances"))
+    jan = Period(1997, 1)
+    B.close_month(spark, src, B.UNPOSTED, jan.previous(), rollup)
+    plan = B.to_date(spark, src, B.UNPOSTED, jan, rollup)._jdf.queryExecution().executedPlan().toString().split("\n")
+    assert sum("FileScan parquet" in x and "facturas_qwark" in x for x in plan) == 1
+    assert sum("Exchange hashpartitioning" in x for x in plan) == 2  # by document, then by the keys alone
+
+
+def test_unnamed_documents_are_dealt_out_by_their_keys(spark, tmp_path):
+    """Rows without a document never meet in one place, and none replaces another."""
+    from decimal import Decimal as X
+    rollup = B.Rollup(str(tmp_path / "balances"))
+    bills = [_bill(None, X(k + 1), k, job_no=f"J{k % 5}") for k in range(40)] + [_bill("a", X(100), 41), _bill("a", X(7), 42, job_no="J9")]
+    B.close_month(spark, make_sources(spark, facturas_qwark=bills[:30] + bills[40:]), B.UNPOSTED, Period(1996, 11), rollup)
+    src = make_sources(spark, facturas_qwark=bills[:-2] + [_bill("a", X(9), 50, job_no="J9")])
+    want = rows(B.to_date(spark, src, B.UNPOSTED, Period(1996, 12)))
+    assert rows(B.to_date(spark, src, B.UNPOSTED, Period(1996, 12), rollup)) == want and len(want) == 6

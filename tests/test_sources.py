@@ -63,3 +63,22 @@ def test_spreading_a_table_sorts_no_scan_and_changes_no_row(spark, tmp_table_roo
     assert sorted(map(str, spread.collect())) == sorted(map(str, plain.collect()))
     plan = spread._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_NUM" in plan and "RoundRobin" not in plan
+
+
+def test_tables_larger_than_a_split_are_not_spread(spark):
+    """Each row of a large table crosses one shuffle to its join, and the rows are the same."""
+    from costlens.sources.fixtures import load_fixture_sources
+    sf, key = "/root/testdata/sf0.001", "spark.sql.files.maxPartitionBytes"
+    names = ("job_ledger_entries_bc", "job_task_lines_subform_bc", "facturas_qwark", "resource_ledger_entries_bc", "job_planning_lines_bc", "DimSeguimientoProduccion")
+    small = load_fixture_sources(spark, sf)
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1k")
+    try:
+        large = load_fixture_sources(spark, sf)
+    finally:
+        spark.conf.set(key, before)
+    for name in names:
+        assert "REPARTITION_BY_NUM" not in large[name]._jdf.queryExecution().executedPlan().toString(), name
+        assert large[name].schema == small[name].schema
+        assert sorted(map(str, large[name].collect())) == sorted(map(str, small[name].collect())), name
+    assert "REPARTITION_BY_NUM" in small[names[0]]._jdf.queryExecution().executedPlan().toString()
